@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import files_queries, index_queries, pr_queries, source_queries
+from . import files_queries, index_queries, pr_queries, source_queries, stream_queries
 
-_MODULES = [files_queries, pr_queries, index_queries, source_queries]
+_MODULES = [files_queries, pr_queries, index_queries, source_queries, stream_queries]
 
 
 def queries() -> dict:
