@@ -173,8 +173,11 @@ def search_hybrid(corpus: DataFrame, queries: DataFrame, k: int = 10, ratio: flo
     both = kw_pairs.unionByName(sem_top).groupBy(query, key).agg(
         F.max("kw").alias("kw"), F.max("sem").alias("sem"))
     sem = F.greatest(F.coalesce(F.col("sem"), F.lit(0.0)), F.lit(0.0))
-    scored = both.select(query, key, F.round(ratio * sem + (1 - ratio) * F.coalesce(F.col("kw"), F.lit(0.0)), 6)
-                         .alias("score"))
+    mix = ratio * sem + (1 - ratio) * F.coalesce(F.col("kw"), F.lit(0.0))
+    # round half up in plain floating point: ratio * (6-decimal score) often ends
+    # in an exact 5 at the 7th decimal, where decimal-expansion rounding and
+    # scaled rounding disagree; this form gives the same double everywhere
+    scored = both.select(query, key, (F.floor(mix * 1e6 + 0.5) / 1e6).alias("score"))
     return top_k(scored, k, query, key)
 
 

@@ -241,7 +241,8 @@ best AS (SELECT query_id, max(score) AS best FROM kw GROUP BY query_id),
 kwn AS (SELECT query_id, doc_id, CASE WHEN best > 0 THEN score / best ELSE 0 END AS kw FROM kw JOIN best USING (query_id)),
 allp AS (SELECT q.query_id, d.doc_id FROM fx_search_queries q CROSS JOIN documents d),
 scored AS (SELECT a.query_id, a.doc_id,
-  round(CAST(0.7 AS DOUBLE) * greatest(coalesce(sem.sem, 0), 0) + (1 - CAST(0.7 AS DOUBLE)) * coalesce(kwn.kw, 0), 6) AS score
+  floor((CAST(0.7 AS DOUBLE) * greatest(coalesce(sem.sem, 0), 0) + (1 - CAST(0.7 AS DOUBLE)) * coalesce(kwn.kw, 0))
+        * CAST(1e6 AS DOUBLE) + CAST(0.5 AS DOUBLE)) / CAST(1e6 AS DOUBLE) AS score
   FROM allp a LEFT JOIN sem USING (query_id, doc_id) LEFT JOIN kwn USING (query_id, doc_id))
 SELECT query_id, doc_id, score, rank FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM scored) t WHERE rank <= 10"""
