@@ -159,21 +159,69 @@ def search_hybrid(corpus: DataFrame, queries: DataFrame, k: int = 10, ratio: flo
 
     Candidates are every keyword match plus each task's semantic top-k: a
     document outside both is beaten by k documents of its own task and cannot
-    reach the global top-k, so the result is exact.
+    reach the global top-k, so the result is exact. Keyword scores are grouped
+    per document (at most one entry per query) and joined onto the corpus once;
+    a single pass over the vectors then emits both kinds of candidates.
     """
     kw = bm25_scores(corpus, queries, key, text, query, q_text)
     best = kw.groupBy(query).agg(F.max("score").alias("best"))
-    kw = kw.join(checked_broadcast(best, MAX_QUERIES), query).select(
+    # ``best`` has one row per query and ``per_doc`` at most one per document:
+    # AQE turns these joins into broadcasts at run time when they are small
+    # (its threshold is the size check), and keeps shuffle joins otherwise
+    kw = kw.join(best, query).select(
         query, key, F.when(F.col("best") > 0, F.col("score") / F.col("best")).otherwise(0.0).alias("kw"))
-    qv = checked_broadcast(queries.select(query, F.col(q_vec).alias("_qv")), MAX_QUERIES)
-    kw_pairs = (kw.join(corpus.select(key, vec), key).join(qv, query)
-                  .select(query, key, "kw", F.round(cosine(F.col(vec), F.col("_qv")), 6).alias("sem")))
-    sem_top = cosine_candidates(corpus, queries, k, key, vec, query, q_vec, clip=True).select(
-        query, key, F.lit(None).cast("double").alias("kw"), F.col("score").alias("sem"))
-    both = kw_pairs.unionByName(sem_top).groupBy(query, key).agg(
-        F.max("kw").alias("kw"), F.max("sem").alias("sem"))
-    sem = F.greatest(F.coalesce(F.col("sem"), F.lit(0.0)), F.lit(0.0))
-    mix = ratio * sem + (1 - ratio) * F.coalesce(F.col("kw"), F.lit(0.0))
+    per_doc = kw.groupBy(key).agg(F.collect_list(F.struct(F.col(query).alias("q"), F.col("kw").alias("w"))).alias("_kw"))
+    docs = corpus.select(key, vec).join(per_doc, key, "left")
+
+    q_ids, q_mat, q_norm = _query_matrix(queries, query, q_vec)
+    col_of = {q: j for j, q in enumerate(q_ids.tolist())}
+    key_type = dict(corpus.dtypes)[key]
+    q_type = dict(queries.dtypes)[query]
+    schema = f"{query} {q_type}, {key} {key_type}, kw double, sem double"
+
+    def flush(keys, vecs, kws):
+        if len(q_ids) == 0 or not keys:
+            return
+        mat = np.array([np.asarray(v, dtype=np.float64) for v in vecs])
+        norms = np.linalg.norm(mat, axis=1)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            sims = np.round((mat @ q_mat.T) / np.outer(norms, q_norm), 6)
+        sims = np.where(np.isfinite(sims), np.maximum(sims, 0.0), 0.0)
+        karr = np.asarray(keys)
+        out = []
+        for j, qid in enumerate(q_ids):
+            order = np.lexsort((karr, -sims[:, j]))[:k]
+            out.append(pd.DataFrame({query: qid, key: karr[order], "kw": np.nan, "sem": sims[order, j]}))
+        rq, rk, rw, rs = [], [], [], []
+        for i, lst in enumerate(kws):
+            if lst is None:
+                continue
+            for item in lst:
+                j = col_of.get(item["q"])
+                if j is None:
+                    continue
+                rq.append(item["q"])
+                rk.append(keys[i])
+                rw.append(item["w"])
+                rs.append(sims[i, j])
+        if rq:
+            out.append(pd.DataFrame({query: rq, key: rk, "kw": rw, "sem": rs}))
+        yield pd.concat(out, ignore_index=True)
+
+    def run(batches):
+        keys, vecs, kws = [], [], []
+        for pdf in batches:
+            keys.extend(pdf[key].tolist())
+            vecs.extend(pdf[vec].tolist())
+            kws.extend(pdf["_kw"].tolist())
+            if len(keys) >= 65536:
+                yield from flush(keys, vecs, kws)
+                keys, vecs, kws = [], [], []
+        yield from flush(keys, vecs, kws)
+
+    cand = docs.mapInPandas(run, schema)
+    both = cand.groupBy(query, key).agg(F.max("kw").alias("kw"), F.max("sem").alias("sem"))
+    mix = ratio * F.coalesce(F.col("sem"), F.lit(0.0)) + (1 - ratio) * F.coalesce(F.col("kw"), F.lit(0.0))
     # round half up in plain floating point: ratio * (6-decimal score) often ends
     # in an exact 5 at the 7th decimal, where decimal-expansion rounding and
     # scaled rounding disagree; this form gives the same double everywhere

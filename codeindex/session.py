@@ -70,9 +70,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+_REGISTERED: dict[int, str] = {}
+
+
 def register_tables(spark: SparkSession, sf_dir: str) -> None:
-    """Expose the given parquet tables as temp views named after the files."""
+    """Expose the given parquet tables as temp views named after the files (once per session and folder)."""
     configure(spark)
+    sid = id(spark.sparkContext)
+    if _REGISTERED.get(sid) == sf_dir and spark.catalog.tableExists("documents"):
+        return
+    _REGISTERED[sid] = sf_dir
     for name in TABLES:
         path = os.path.join(sf_dir, f"{name}.parquet")
         if os.path.exists(path) or "://" in sf_dir:
