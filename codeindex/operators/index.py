@@ -85,9 +85,14 @@ class IndexTable:
         fs, path = self._fs()
         return fs.exists(path)
 
-    def write_batch(self, docs: DataFrame, batch_no: int) -> bool:
-        """Write one batch; an empty batch is a no-op (K04). Returns whether rows were written."""
-        if docs.isEmpty():
+    def write_batch(self, docs: DataFrame, batch_no: int, check_empty: bool = True) -> bool:
+        """Write one batch; an empty batch is a no-op (K04). Returns whether a write ran.
+
+        With ``check_empty=False`` the emptiness probe (an extra job) is skipped:
+        an empty frame then creates no ``batch_no`` folder and replaces nothing,
+        because only the partitions present in the data are overwritten.
+        """
+        if check_empty and docs.isEmpty():
             return False
         (docs.withColumn("batch_no", F.lit(int(batch_no)).cast("long"))
              .write.mode("overwrite").partitionBy("batch_no")
@@ -95,6 +100,10 @@ class IndexTable:
         return True
 
     def raw(self) -> DataFrame:
+        fs, path = self._fs()
+        if not fs.exists(path) or not any(st.getPath().getName().startswith("batch_no=")
+                                          for st in fs.listStatus(path)):
+            raise FileNotFoundError(f"index table {self.root} holds no batch yet")
         return self.spark.read.option("mergeSchema", "true").parquet(self.root)
 
     def read(self) -> DataFrame:
