@@ -121,3 +121,16 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert "id" in df.columns and "text" in df.columns
+
+
+def test_model_embedder_plugs_in(spark):
+    import numpy as np
+    from codeindex.operators.embed import attach_vectors, model_embedder
+
+    def load():
+        return lambda texts: np.array([[len(t), 1.0, 0.0] for t in texts])
+
+    docs = spark.createDataFrame([("a", "xyz"), ("b", "")], "id string, text string")
+    vecs = docs.withColumn("embedding", model_embedder(load, 3)("text"))
+    got = {r.id: list(r._vectors["default"]) for r in attach_vectors(docs, vecs.select("id", "embedding")).collect()}
+    assert got == {"a": [3.0, 1.0, 0.0], "b": [0.0, 1.0, 0.0]}
