@@ -32,4 +32,5 @@ def code_documents(files_with_requests: DataFrame, **chunk_kw) -> DataFrame:
         "class_name",
         "function_name",
         "route",
+        "chunk_error",
     )
