@@ -31,6 +31,17 @@ def postings(corpus: DataFrame, key: str, text: str) -> DataFrame:
     return token_rows(corpus, key, text).groupBy(key, "token", "dl").agg(F.count(F.lit(1)).alias("tf"))
 
 
+def doc_tokens(corpus: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, _toks, dl) with documents hash-partitioned by key.
+
+    The shuffle moves raw text (smaller than its token tuples), spreads the
+    tokenising over every partition whatever the input file layout, and leaves
+    a later (key, token) aggregation with no second shuffle.
+    """
+    arr = corpus.select(key, text).repartition(key).select(key, tokens(F.col(text)).alias("_toks"))
+    return arr.select(key, "_toks", F.size("_toks").alias("dl"))
+
+
 def token_rows(corpus: DataFrame, key: str, text: str) -> DataFrame:
     """(key, dl, token) per token occurrence.
 
@@ -38,9 +49,7 @@ def token_rows(corpus: DataFrame, key: str, text: str) -> DataFrame:
     explode; an expression next to a generator would be re-evaluated for every
     generated row.
     """
-    arr = corpus.select(key, tokens(F.col(text)).alias("_toks"))
-    arr = arr.select(key, "_toks", F.size("_toks").alias("dl"))
-    return arr.select(key, "dl", F.explode("_toks").alias("token"))
+    return doc_tokens(corpus, key, text).select(key, "dl", F.explode("_toks").alias("token"))
 
 
 def top_k(scored: DataFrame, k: int, query: str = "query_id", key: str = "doc_id",
@@ -54,8 +63,7 @@ def top_k(scored: DataFrame, k: int, query: str = "query_id", key: str = "doc_id
 def bm25_scores(corpus: DataFrame, queries: DataFrame, key: str = "doc_id", text: str = "text",
                 query: str = "query_id", q_text: str = "q") -> DataFrame:
     """(query, key, score) for every document sharing at least one token with the query."""
-    stats = corpus.select(F.size(tokens(F.col(text))).alias("n")).agg(
-        F.count(F.lit(1)).alias("N"), F.avg("n").alias("avgdl")).first()
+    stats = doc_tokens(corpus, key, text).agg(F.count(F.lit(1)).alias("N"), F.avg("dl").alias("avgdl")).first()
     n_docs, avgdl = int(stats["N"]), float(stats["avgdl"] or 0.0)
     qt = queries.select(query, F.explode(F.array_distinct(tokens(F.col(q_text)))).alias("token"))
     qt = checked_broadcast(qt, MAX_QUERIES * 64)

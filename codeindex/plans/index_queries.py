@@ -226,7 +226,8 @@ ORACLE["search_vector"] = cte("fx_search_queries") + """SELECT query_id, vec_id,
 
 @q("search_hybrid")
 def search_hybrid(spark, sf):
-    corpus = EM.hash_embed(corpus_df(spark, sf), "doc_id", "text", TEST_DIM)
+    # the embedding is row-local: spread the documents first (the table file may be one row group)
+    corpus = EM.hash_embed(corpus_df(spark, sf).repartition("doc_id"), "doc_id", "text", TEST_DIM)
     qs = EM.hash_embed(queries_df(spark, sf), "query_id", "q", TEST_DIM)
     return SR.search_hybrid(corpus, qs, k=10, ratio=0.7).select("query_id", "doc_id", "score", "rank")
 
