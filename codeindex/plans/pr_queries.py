@@ -148,6 +148,9 @@ def src_issue_requests(spark, sf):
     return RQ.read_issue_requests(spark, path)
 
 
+ORACLE["src_issue_requests"] = cte("fx_pr_request_log") + "SELECT repository_id, owner, repo_name, pr_number AS issue_number FROM fx_pr_request_log"
+
+
 @q("scan_pull")
 def scan_pull(spark, sf):
     p = pulls_df(spark, sf)
