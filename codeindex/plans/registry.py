@@ -27,5 +27,6 @@ def prepare(spark, sf_dir: str) -> None:
     from . import source_queries as SQ
     from . import stream_queries as STQ
     for fn in (PQ.pulls_df, PQ.pull_files_df, PQ.pull_commits_df, PQ.pr_requests_df, PQ.repo_requests_df,
-               SQ.archives_df, SQ.trees_df, SQ.blobs_df, STQ._pr_request_dir, STQ._repo_request_dir):
+               SQ.archives_df, SQ.trees_df, SQ.blobs_df, STQ._pr_request_dir, STQ._repo_request_dir,
+               STQ._sources):
         fn(spark, sf_dir)
