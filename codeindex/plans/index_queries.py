@@ -33,7 +33,7 @@ def upsert_code_index(spark, sf):
         "index_name", F.concat(F.col("source"), F.lit("_code")))
     table = IX.IndexTable(spark, new_path(spark, "code-index"))
     for b in (1, 2):
-        table.write_batch(batches.where(F.col("batch_no") == b).drop("batch_no"), b)
+        table.write_batch(batches.where(F.col("batch_no") == b).drop("batch_no"), b, check_empty=False)
     return table.read().select("index_name", "id", "text", "language", "source")
 
 
@@ -53,7 +53,7 @@ def upsert_pr_index(spark, sf):
     table = IX.IndexTable(spark, new_path(spark, "pr-index"))
     for b in (0, 1):
         docs = PR.pr_documents(reqs.where(F.col("request_id") % 2 == b), recs)
-        table.write_batch(docs, b + 1)
+        table.write_batch(docs, b + 1, check_empty=False)
     return table.read().select("index_name", "id", "pr_number", "repository_id", "title", "search_text")
 
 
