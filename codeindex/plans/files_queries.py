@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
+from ..functions import patterns as Pt
 from ..operators import chunking, documents, files as FL
 from ..sources.fixtures import cte, fixture
 from . import sqlbits as S
@@ -164,11 +165,6 @@ def chunk_route(spark, sf):
 ORACLE["chunk_route"] = FILES_SQL + "SELECT doc_id, route, chunk_size FROM routed"
 
 
-def _whole_chunks(spark, sf):
-    docs = documents.code_documents(_requested_files(spark, sf).withColumnRenamed("doc_id", "src_doc_id"))
-    return docs
-
-
 @q("chunk_header")
 def chunk_header(spark, sf):
     ch = chunking.chunk_records(_requested_files(spark, sf))
@@ -279,7 +275,7 @@ def java_gate(spark, sf):
 ORACLE["java_gate"] = FILES_SQL.replace("WITH ", "WITH " + cte("fx_java_files")[5:] + ",\n", 1) + f""", jfiles AS (
   SELECT 'fixture' AS src, file_id AS id, concat(p_head, p_m1, p_m2, p_tail) AS content, 'java' AS language FROM fx_java_files
   UNION ALL SELECT 'archive', doc_id, content, language FROM files WHERE language = 'java')
-SELECT src, id, {S.rx_count('content', __import__('codeindex.functions.patterns', fromlist=['x']).JAVA_GATE_METHOD)} AS n_signatures,
+SELECT src, id, {S.rx_count('content', Pt.JAVA_GATE_METHOD)} AS n_signatures,
   {S.java_gate('content', 'language')} AS gate FROM jfiles"""
 
 

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from ..functions import patterns as Pt
-from ..operators import chunking, documents, embed as EM, index as IX, search as SR
+from ..operators import documents, embed as EM, index as IX, pulls as PR, search as SR
 from ..session import new_path
 from ..sources.fixtures import cte, fixture
 from . import pr_queries as PQ
@@ -48,8 +47,7 @@ def upsert_pr_index(spark, sf):
     """PR documents arrive with the request log in two batches (by request id parity); replays collapse."""
     reqs = PQ.pr_requests_df(spark, sf)
     recs = PQ.records_df(spark, sf)
-    recs = recs.where(__import__("codeindex.operators.pulls", fromlist=["x"]).is_valid(recs))
-    from ..operators import pulls as PR
+    recs = recs.where(PR.is_valid(recs))
     table = IX.IndexTable(spark, new_path(spark, "pr-index"))
     for b in (0, 1):
         docs = PR.pr_documents(reqs.where(F.col("request_id") % 2 == b), recs)
