@@ -85,18 +85,32 @@ class IndexTable:
         fs, path = self._fs()
         return fs.exists(path)
 
-    def write_batch(self, docs: DataFrame, batch_no: int, check_empty: bool = True) -> bool:
+    def write_batch(self, docs: DataFrame, batch_no: int, check_empty: bool = True,
+                    prune_scope: list[str] | None = None) -> bool:
         """Write one batch; an empty batch is a no-op (K04). Returns whether a write ran.
 
         With ``check_empty=False`` the emptiness probe (an extra job) is skipped:
         an empty frame then creates no ``batch_no`` folder and replaces nothing,
         because only the partitions present in the data are overwritten.
+
+        ``prune_scope`` (e.g. ``["index_name", "repository_id"]``) treats the batch
+        as a full snapshot of every scope it touches: current documents of those
+        scopes whose id is absent from the batch get a tombstone row, so they
+        disappear from reads. Without it nothing is ever deleted.
         """
         if check_empty and docs.isEmpty():
             return False
-        (docs.withColumn("batch_no", F.lit(int(batch_no)).cast("long"))
-             .write.mode("overwrite").partitionBy("batch_no")
-             .option("partitionOverwriteMode", "dynamic").parquet(self.root))
+        out = docs.withColumn("_deleted", F.lit(False))
+        if prune_scope and self.exists():
+            current = self.read()
+            scopes = docs.select(*prune_scope).distinct()
+            stale = (current.join(scopes, prune_scope, "left_semi")
+                            .join(docs.select(*KEYS), KEYS, "left_anti")
+                            .select(*dict.fromkeys(KEYS + prune_scope)))
+            out = out.unionByName(stale.withColumn("_deleted", F.lit(True)), allowMissingColumns=True)
+        (out.withColumn("batch_no", F.lit(int(batch_no)).cast("long"))
+            .write.mode("overwrite").partitionBy("batch_no")
+            .option("partitionOverwriteMode", "dynamic").parquet(self.root))
         return True
 
     def raw(self) -> DataFrame:
@@ -107,13 +121,19 @@ class IndexTable:
         return self.spark.read.option("mergeSchema", "true").parquet(self.root)
 
     def read(self) -> DataFrame:
-        """The current documents: newest version per (index_name, id)."""
-        return latest(self.raw()).drop("batch_no")
+        """The current documents: newest version per (index_name, id), tombstones removed."""
+        cur = latest(self.raw())
+        if "_deleted" in cur.columns:
+            cur = cur.where(~F.coalesce(F.col("_deleted"), F.lit(False))).drop("_deleted")
+        return cur.drop("batch_no")
 
     def compact(self, target: str) -> "IndexTable":
         """Fold every batch into one snapshot at ``target`` (a new table)."""
         snap = IndexTable(self.spark, target)
-        latest(self.raw()).write.mode("overwrite").partitionBy("batch_no").parquet(target)
+        cur = latest(self.raw())
+        if "_deleted" in cur.columns:
+            cur = cur.where(~F.coalesce(F.col("_deleted"), F.lit(False)))
+        cur.write.mode("overwrite").partitionBy("batch_no").parquet(target)
         return snap
 
 

@@ -28,3 +28,20 @@ def test_doc_ids_unique_per_index(spark):
     import __spark_entry__ as E
     d = E.queries()["pr_documents"](spark, SF_SMALL)
     assert d.groupBy("index_name", "id").count().where(F.col("count") > 1).count() == 0
+
+
+def test_prune_scope_tombstones_vanished_documents(spark):
+    from codeindex.operators.index import IndexTable
+    from codeindex.session import new_path
+    t = IndexTable(spark, new_path(spark, "p-index"))
+    schema = "index_name string, id string, repository_id long, v long"
+    t.write_batch(spark.createDataFrame([("i", "a", 1, 1), ("i", "b", 1, 1), ("i", "c", 2, 1)], schema), 1)
+    # repository 1 re-synced without 'b': with pruning 'b' disappears, repository 2 is untouched
+    t.write_batch(spark.createDataFrame([("i", "a", 1, 2)], schema), 2, prune_scope=["index_name", "repository_id"])
+    got = sorted((r.id, r.v) for r in t.read().collect())
+    assert got == [("a", 2), ("c", 1)]
+    # default: nothing is deleted
+    u = IndexTable(spark, new_path(spark, "p-index2"))
+    u.write_batch(spark.createDataFrame([("i", "a", 1, 1), ("i", "b", 1, 1)], schema), 1)
+    u.write_batch(spark.createDataFrame([("i", "a", 1, 2)], schema), 2)
+    assert sorted((r.id, r.v) for r in u.read().collect()) == [("a", 2), ("b", 1)]
