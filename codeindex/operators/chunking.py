@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import columns as C
+from ..session import ship_package
 from . import java_methods, splitter
 
 ROUTE_SKIP, ROUTE_JAVA, ROUTE_WHOLE, ROUTE_SPLIT = "skip", "java", "whole", "split"
@@ -79,6 +80,7 @@ def chunk_files(files: DataFrame, content: str = "content", language: str = "lan
     skewed partitions of a REBALANCE and merges small ones), since a single
     repository or archive can hold a large share of all files.
     """
+    ship_package(files.sparkSession)
     routed = with_route(files, content, language, dynamic, static_size).where(F.col("route") != ROUTE_SKIP)
     if rebalance:
         routed = routed.hint("rebalance")

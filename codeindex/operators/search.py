@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checked_broadcast
+from ..session import checked_broadcast, ship_package
 from .embed import tokens
 from .index import INDEX_CONFIG
 
@@ -100,6 +100,7 @@ def cosine_candidates(corpus: DataFrame, queries: DataFrame, k: int, key: str =
                       vec: str = "embedding", query: str = "query_id", q_vec: str = "embedding",
                       clip: bool = False) -> DataFrame:
     """Per task: cosine of every corpus vector against every query, keep the local top-k per query."""
+    ship_package(corpus.sparkSession)
     q_ids, q_mat, q_norm = _query_matrix(queries, query, q_vec)
     key_type = dict(corpus.dtypes)[key]
     q_type = dict(queries.dtypes)[query]
@@ -181,6 +182,7 @@ def search_hybrid(corpus: DataFrame, queries: DataFrame, k: int = 10, ratio: flo
     per_doc = kw.groupBy(key).agg(F.collect_list(F.struct(F.col(query).alias("q"), F.col("kw").alias("w"))).alias("_kw"))
     docs = corpus.select(key, vec).join(per_doc, key, "left")
 
+    ship_package(corpus.sparkSession)
     q_ids, q_mat, q_norm = _query_matrix(queries, query, q_vec)
     col_of = {q: j for j, q in enumerate(q_ids.tolist())}
     key_type = dict(corpus.dtypes)[key]

@@ -2,15 +2,25 @@
 
 from __future__ import annotations
 
+from ..session import ship_package
 from . import files_queries, index_queries, pr_queries, source_queries, stream_queries
 
 _MODULES = [files_queries, pr_queries, index_queries, source_queries, stream_queries]
 
 
+def _shipped(fn):
+    def run(spark, sf_dir):
+        ship_package(spark)
+        return fn(spark, sf_dir)
+    run.__name__ = getattr(fn, "__name__", "query")
+    run.__doc__ = fn.__doc__
+    return run
+
+
 def queries() -> dict:
     out: dict = {}
     for m in _MODULES:
-        out.update(m.QUERIES)
+        out.update({k: _shipped(v) for k, v in m.QUERIES.items()})
     return out
 
 

@@ -94,3 +94,33 @@ def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Data
     """
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``codeindex`` importable in every Python worker (once per SparkContext).
+
+    The Arrow UDFs refer to helpers of this package, so executors must be able
+    to import it. The package's .py files are zipped on the driver and handed to
+    ``SparkContext.addPyFile``, which distributes them with the job, the same way
+    on a cluster as in local mode.
+    """
+    import os
+    import zipfile
+
+    sc = spark.sparkContext
+    if id(sc) in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    out = os.path.join(tempfile.mkdtemp(prefix="codeindex-pkg-"), "codeindex.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, _dirs, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(out)
+    _SHIPPED.add(id(sc))

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.languages import lookup_rows
+from ..session import ship_package
 
 ENTRY_SCHEMA = "repository_id long, entry string, content binary"
 SLICE_ROWS = 512
@@ -55,6 +56,7 @@ def expand_archives(archives: DataFrame, repo_col: str = "repository_id", conten
     With ``prefilter`` only entries that can survive the path filters are read;
     without it every entry is listed (directories with empty content).
     """
+    ship_package(archives.sparkSession)
     keys = frozenset(k for k, _ in lookup_rows())
 
     def run(batches):
@@ -86,6 +88,7 @@ def zip_entries(entries: DataFrame, per_archive: int = 500) -> DataFrame:
     hashed into ceil(n / per_archive) parts), so no single group grows with the data.
     """
     from ..session import checked_broadcast
+    ship_package(entries.sparkSession)
     counts = entries.groupBy("repository_id").agg(F.count(F.lit(1)).alias("_n"))
     parts = F.greatest(F.lit(1), F.ceil(F.col("_n") / per_archive)).cast("long")
     keyed = (entries.join(checked_broadcast(counts), "repository_id")
