@@ -45,3 +45,20 @@ def test_prune_scope_tombstones_vanished_documents(spark):
     u.write_batch(spark.createDataFrame([("i", "a", 1, 1), ("i", "b", 1, 1)], schema), 1)
     u.write_batch(spark.createDataFrame([("i", "a", 1, 2)], schema), 2)
     assert sorted((r.id, r.v) for r in u.read().collect()) == [("a", 2), ("b", 1)]
+
+
+def test_dataframe_upsert_last_batch_wins(spark):
+    from codeindex.operators.index import upsert
+    schema = "index_name string, id string, v long, batch_no long"
+    cur = spark.createDataFrame([("i", "a", 1, 1), ("i", "b", 1, 1)], schema)
+    new = spark.createDataFrame([("i", "a", 2, 2), ("i", "a", 3, 3), ("i", "c", 2, 2)], schema)
+    got = sorted((r.id, r.v) for r in upsert(cur, new).collect())
+    assert got == [("a", 3), ("b", 1), ("c", 2)]
+
+
+def test_route_limit_zero_means_default_and_equality_allowed(spark):
+    from codeindex.operators.routing import route_repositories
+    mb = 1024 * 1024
+    sizes = spark.createDataFrame([(1, None), (2, 50 * mb), (3, 50 * mb + 1)], "repository_id long, n_bytes long")
+    got = {r.repository_id: r.route for r in route_repositories(sizes, 0).collect()}
+    assert got == {1: "archive", 2: "archive", 3: "tree"}
