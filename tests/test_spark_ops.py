@@ -134,3 +134,15 @@ def test_model_embedder_plugs_in(spark):
     vecs = docs.withColumn("embedding", model_embedder(load, 3)("text"))
     got = {r.id: list(r._vectors["default"]) for r in attach_vectors(docs, vecs.select("id", "embedding")).collect()}
     assert got == {"a": [3.0, 1.0, 0.0], "b": [0.0, 1.0, 0.0]}
+
+
+def test_java_gate_needs_two_signatures(spark):
+    from codeindex.functions.columns import java_gate
+    from codeindex.operators.chunking import with_route
+    one = "public class A {\n  public void a() {\n  }\n}\n" + "// filler line\n" * 40
+    two = "public class A {\n  public void a() {\n  }\n  private int b() {\n    return 1;\n  }\n}\n"
+    df = spark.createDataFrame([("one", one, "java"), ("two", two, "java"), ("kt", two, "kotlin")],
+                               "k string, content string, language string")
+    got = {r.k: (r.g, r.route) for r in with_route(df).select("k", java_gate("content", "language").alias("g"),
+                                                               "route").collect()}
+    assert got == {"one": (False, "split"), "two": (True, "java"), "kt": (False, "whole")}
