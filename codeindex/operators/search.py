@@ -60,17 +60,54 @@ def top_k(scored: DataFrame, k: int, query: str = "query_id", key: str = "doc_id
 
 # ---- Q02 -------------------------------------------------------------------
 
-def bm25_scores(corpus: DataFrame, queries: DataFrame, key: str = "doc_id", text: str = "text",
-                query: str = "query_id", q_text: str = "q") -> DataFrame:
-    """(query, key, score) for every document sharing at least one token with the query."""
-    stats = doc_tokens(corpus, key, text).agg(F.count(F.lit(1)).alias("N"), F.avg("dl").alias("avgdl")).first()
-    n_docs, avgdl = int(stats["N"]), float(stats["avgdl"] or 0.0)
+class PostingsIndex:
+    """Q01 persisted: postings (key, token, tf, dl) and corpus statistics in the shared folder.
+
+    Built once (one tokenising pass, one write); every later keyword search reads
+    only the postings of its query tokens instead of re-tokenising the corpus.
+    """
+
+    def __init__(self, spark, root: str, key: str = "doc_id"):
+        self.spark, self.root, self.key = spark, root.rstrip("/"), key
+
+    @classmethod
+    def build(cls, corpus: DataFrame, root: str, key: str = "doc_id", text: str = "text") -> "PostingsIndex":
+        dt = doc_tokens(corpus, key, text)
+        post = dt.select(key, "dl", F.explode("_toks").alias("token")).groupBy(key, "token", "dl").agg(
+            F.count(F.lit(1)).alias("tf"))
+        post.write.mode("overwrite").parquet(f"{root}/postings")
+        # document lengths (documents without tokens count too)
+        dt.select(key, "dl").write.mode("overwrite").parquet(f"{root}/docs")
+        return cls(corpus.sparkSession, root, key)
+
+    def postings(self) -> DataFrame:
+        return self.spark.read.parquet(f"{self.root}/postings")
+
+    def stats(self) -> tuple[int, float]:
+        row = self.spark.read.parquet(f"{self.root}/docs").agg(
+            F.count(F.lit(1)).alias("N"), F.avg("dl").alias("avgdl")).first()
+        return int(row["N"]), float(row["avgdl"] or 0.0)
+
+
+def bm25_scores(corpus: DataFrame | None, queries: DataFrame, key: str = "doc_id", text: str = "text",
+                query: str = "query_id", q_text: str = "q", index: PostingsIndex | None = None) -> DataFrame:
+    """(query, key, score) for every document sharing at least one token with the query.
+
+    With ``index`` the postings and statistics come from a persisted
+    :class:`PostingsIndex` and ``corpus`` is not read.
+    """
     qt = queries.select(query, F.explode(F.array_distinct(tokens(F.col(q_text)))).alias("token"))
     qt = checked_broadcast(qt, MAX_QUERIES * 64)
     qtok = qt.select("token").distinct()
-    toks = token_rows(corpus, key, text)
-    hits = (toks.join(F.broadcast(qtok), "token", "left_semi")
-                .groupBy(key, "token", "dl").agg(F.count(F.lit(1)).alias("tf")))
+    if index is not None:
+        n_docs, avgdl = index.stats()
+        hits = index.postings().join(F.broadcast(qtok), "token", "left_semi")
+    else:
+        stats = doc_tokens(corpus, key, text).agg(F.count(F.lit(1)).alias("N"), F.avg("dl").alias("avgdl")).first()
+        n_docs, avgdl = int(stats["N"]), float(stats["avgdl"] or 0.0)
+        toks = token_rows(corpus, key, text)
+        hits = (toks.join(F.broadcast(qtok), "token", "left_semi")
+                    .groupBy(key, "token", "dl").agg(F.count(F.lit(1)).alias("tf")))
     df = hits.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
     idf = F.log(1 + (F.lit(n_docs) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     norm = F.lit(K1) * (1 - B + B * F.col("dl") / F.lit(avgdl if avgdl else 1.0))
@@ -79,7 +116,7 @@ def bm25_scores(corpus: DataFrame, queries: DataFrame, key: str = "doc_id", text
                 .groupBy(query, key).agg(F.round(F.sum(part), 6).alias("score")))
 
 
-def search_keyword(corpus: DataFrame, queries: DataFrame, k: int = 10, **kw) -> DataFrame:
+def search_keyword(corpus: DataFrame | None, queries: DataFrame, k: int = 10, **kw) -> DataFrame:
     return top_k(bm25_scores(corpus, queries, **kw), k, kw.get("query", "query_id"), kw.get("key", "doc_id"))
 
 

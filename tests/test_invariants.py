@@ -62,3 +62,16 @@ def test_route_limit_zero_means_default_and_equality_allowed(spark):
     sizes = spark.createDataFrame([(1, None), (2, 50 * mb), (3, 50 * mb + 1)], "repository_id long, n_bytes long")
     got = {r.repository_id: r.route for r in route_repositories(sizes, 0).collect()}
     assert got == {1: "archive", 2: "archive", 3: "tree"}
+
+
+def test_persisted_postings_index_gives_the_same_ranking(spark):
+    from codeindex.operators import search as SR
+    from codeindex.plans import index_queries as IQ
+    from codeindex.session import new_path
+    corpus, qs = IQ.corpus_df(spark, SF_SMALL), IQ.queries_df(spark, SF_SMALL)
+    direct = sorted(tuple(r) for r in SR.search_keyword(corpus, qs, k=10).select(
+        "query_id", "doc_id", "score", "rank").collect())
+    idx = SR.PostingsIndex.build(corpus, new_path(spark, "postings"))
+    via_index = sorted(tuple(r) for r in SR.search_keyword(None, qs, k=10, index=idx).select(
+        "query_id", "doc_id", "score", "rank").collect())
+    assert direct == via_index and direct
