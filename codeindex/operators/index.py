@@ -102,7 +102,11 @@ class IndexTable:
             return False
         out = docs.withColumn("_deleted", F.lit(False))
         if prune_scope and self.exists():
-            current = self.read()
+            # the other batches only: a retried batch never reads the folder it replaces
+            others = latest(self.raw().where(F.col("batch_no") != int(batch_no)))
+            if "_deleted" in others.columns:
+                others = others.where(~F.coalesce(F.col("_deleted"), F.lit(False))).drop("_deleted")
+            current = others.drop("batch_no")
             scopes = docs.select(*prune_scope).distinct()
             stale = (current.join(scopes, prune_scope, "left_semi")
                             .join(docs.select(*KEYS), KEYS, "left_anti")

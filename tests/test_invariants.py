@@ -75,3 +75,15 @@ def test_persisted_postings_index_gives_the_same_ranking(spark):
     via_index = sorted(tuple(r) for r in SR.search_keyword(None, qs, k=10, index=idx).select(
         "query_id", "doc_id", "score", "rank").collect())
     assert direct == via_index and direct
+
+
+def test_pruning_batch_retry_is_idempotent(spark):
+    from codeindex.operators.index import IndexTable
+    from codeindex.session import new_path
+    t = IndexTable(spark, new_path(spark, "r-index"))
+    schema = "index_name string, id string, repository_id long, v long"
+    t.write_batch(spark.createDataFrame([("i", "a", 1, 1), ("i", "b", 1, 1)], schema), 1)
+    snap = spark.createDataFrame([("i", "a", 1, 2)], schema)
+    t.write_batch(snap, 2, prune_scope=["index_name", "repository_id"])
+    t.write_batch(snap, 2, prune_scope=["index_name", "repository_id"])  # retried batch
+    assert sorted((r.id, r.v) for r in t.read().collect()) == [("a", 2)]
