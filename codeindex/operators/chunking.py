@@ -59,7 +59,7 @@ def _pieces_udf(keep_tail: bool):
                 errors.append(None)
             except Exception as exc:  # one bad file becomes one whole chunk, the job goes on
                 pieces.append([text])
-                errors.append(f"{type(exc).__name__}: {exc}"[:500])
+                errors.append(f"{type(exc).__name__}: {exc}")
         return pd.DataFrame({"pieces": pieces, "error": errors})
     return cut
 

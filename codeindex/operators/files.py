@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..functions.languages import with_language
-from ..session import checked_broadcast
 
 FILE_COLUMNS = ["repository_id", "file_path", "content", "language", "size"]
 
@@ -50,13 +49,11 @@ def utf8_rejects(files: DataFrame, content: str = "content") -> DataFrame:
 
 
 def attach_requests(files: DataFrame, requests: DataFrame) -> DataFrame:
-    """Every file row carries its request's owner / repo_name / branch.
-
-    The request side is broadcast only when it is provably small.
-    """
+    """Every file row carries the owner / repo_name of the request for its repository and branch."""
     req = requests.select("repository_id", "owner", "repo_name",
-                          F.coalesce(F.col("branch"), F.lit("main")).alias("branch"))
-    return files.join(checked_broadcast(req), "repository_id")
+                          F.coalesce(F.col("branch"), F.lit("main")).alias("branch")).distinct()
+    own = files.withColumn("branch", F.coalesce(F.col("branch"), F.lit("main")))
+    return own.join(req, ["repository_id", "branch"])
 
 
 def scan_stats(entries: DataFrame, entry: str = "entry", content: str = "content") -> DataFrame:

@@ -1,15 +1,20 @@
 """Index sinks (K01-K05, W01, U02, A03, P11): keyed upsert tables and their catalogue.
 
 An index table is an append-only set of batch folders under one root in the
-shared folder (``<root>/batch_no=<n>``). Writing batch ``n`` overwrites only its
-own folder, so a retried or replayed batch is idempotent. Reading applies
-last-write-wins per primary key (index_name, id); ``compact`` folds the batches
-into one snapshot (old ⟕anti new ∪ new). Nothing is ever deleted unless
-``prune`` asks for it, as in the reference.
+shared folder (``<root>/run_no=<r>/batch_no=<n>``). A run is one writer: a batch
+job or a stream with its checkpoint. Writing a batch again overwrites only its
+own folder, so a retried or replayed batch is idempotent, and no run touches the
+folders of another. Run numbers are handed out in ascending order, so
+(run_no, batch_no) orders the versions of a document; reading applies
+last-write-wins per primary key (index_name, id). ``compact`` folds the batches
+into one snapshot. Nothing is ever deleted unless ``prune_scope`` asks for it, as
+in the reference.
 """
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -55,14 +60,17 @@ def catalogue(spark: SparkSession, index_names: DataFrame) -> DataFrame:
     return out.withColumn("dims", F.lit(VECTOR_DIMS)).withColumn("primary_key", F.lit(PRIMARY_KEY))
 
 
-def latest(df: DataFrame, keys: list[str] = KEYS, order: str = "batch_no") -> DataFrame:
+VERSION = ["run_no", "batch_no"]
+
+
+def latest(df: DataFrame, keys: list[str] = KEYS, order: list[str] = VERSION) -> DataFrame:
     """The newest row per key (ties inside one batch broken by the row's text)."""
-    hashable = [c for c, t in df.dtypes if not t.startswith("map") and c != order]
-    w = Window.partitionBy(*keys).orderBy(F.col(order).desc(), F.xxhash64(*hashable).desc())
+    hashable = [c for c, t in df.dtypes if not t.startswith("map") and c not in order]
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order], F.xxhash64(*hashable).desc())
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
-def upsert(current: DataFrame, new: DataFrame, keys: list[str] = KEYS, order: str = "batch_no") -> DataFrame:
+def upsert(current: DataFrame, new: DataFrame, keys: list[str] = KEYS, order: list[str] = VERSION) -> DataFrame:
     """U02 + K01: rows of ``current`` whose key is not replaced, plus the newest ``new`` rows."""
     fresh = latest(new, keys, order)
     kept = current.join(fresh.select(*keys), keys, "left_anti")
@@ -76,22 +84,39 @@ class IndexTable:
         self.spark = spark
         self.root = root.rstrip("/")
 
-    def _fs(self):
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.root)
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+    def _fs(self, path: str):
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
 
     def exists(self) -> bool:
-        fs, path = self._fs()
+        fs, path = self._fs(self.root)
         return fs.exists(path)
 
+    def new_run(self) -> int:
+        """Reserve the next run number; creating its marker file is atomic, so no two writers share one."""
+        run = 1
+        while True:
+            fs, path = self._fs(f"{self.root}/_runs/{run}")
+            if fs.createNewFile(path):
+                return run
+            run += 1
+
+    def run_of(self, checkpoint: str) -> int:
+        """The run of a stream: reserved with a new checkpoint and kept in it, so that a restart goes on with it."""
+        fs, path = self._fs(f"{checkpoint.rstrip('/')}/_index_runs/{zlib.crc32(self.root.encode())}")
+        if fs.exists(path):
+            return int(fs.listStatus(path)[0].getPath().getName())
+        run = self.new_run()
+        fs.mkdirs(self.spark._jvm.org.apache.hadoop.fs.Path(path, str(run)))
+        return run
+
     def write_batch(self, docs: DataFrame, batch_no: int, check_empty: bool = True,
-                    prune_scope: list[str] | None = None) -> bool:
+                    prune_scope: list[str] | None = None, run_no: int = 0) -> bool:
         """Write one batch; an empty batch is a no-op (K04). Returns whether a write ran.
 
         With ``check_empty=False`` the emptiness probe (an extra job) is skipped:
-        an empty frame then creates no ``batch_no`` folder and replaces nothing,
-        because only the partitions present in the data are overwritten.
+        an empty frame then creates no folder and replaces nothing, because only
+        the partitions present in the data are overwritten.
 
         ``prune_scope`` (e.g. ``["index_name", "repository_id"]``) treats the batch
         as a full snapshot of every scope it touches: current documents of those
@@ -103,23 +128,23 @@ class IndexTable:
         out = docs.withColumn("_deleted", F.lit(False))
         if prune_scope and self.exists():
             # the other batches only: a retried batch never reads the folder it replaces
-            others = latest(self.raw().where(F.col("batch_no") != int(batch_no)))
+            others = latest(self.raw().where((F.col("batch_no") != int(batch_no)) | (F.col("run_no") != int(run_no))))
             if "_deleted" in others.columns:
                 others = others.where(~F.coalesce(F.col("_deleted"), F.lit(False))).drop("_deleted")
-            current = others.drop("batch_no")
+            current = others.drop(*VERSION)
             scopes = docs.select(*prune_scope).distinct()
             stale = (current.join(scopes, prune_scope, "left_semi")
                             .join(docs.select(*KEYS), KEYS, "left_anti")
                             .select(*dict.fromkeys(KEYS + prune_scope)))
             out = out.unionByName(stale.withColumn("_deleted", F.lit(True)), allowMissingColumns=True)
-        (out.withColumn("batch_no", F.lit(int(batch_no)).cast("long"))
-            .write.mode("overwrite").partitionBy("batch_no")
+        (out.withColumn("run_no", F.lit(int(run_no)).cast("long")).withColumn("batch_no", F.lit(int(batch_no)).cast("long"))
+            .write.mode("overwrite").partitionBy(*VERSION)
             .option("partitionOverwriteMode", "dynamic").parquet(self.root))
         return True
 
     def raw(self) -> DataFrame:
-        fs, path = self._fs()
-        if not fs.exists(path) or not any(st.getPath().getName().startswith("batch_no=")
+        fs, path = self._fs(self.root)
+        if not fs.exists(path) or not any(st.getPath().getName().startswith("run_no=")
                                           for st in fs.listStatus(path)):
             raise FileNotFoundError(f"index table {self.root} holds no batch yet")
         return self.spark.read.option("mergeSchema", "true").parquet(self.root)
@@ -129,7 +154,7 @@ class IndexTable:
         cur = latest(self.raw())
         if "_deleted" in cur.columns:
             cur = cur.where(~F.coalesce(F.col("_deleted"), F.lit(False))).drop("_deleted")
-        return cur.drop("batch_no")
+        return cur.drop(*VERSION)
 
     def compact(self, target: str) -> "IndexTable":
         """Fold every batch into one snapshot at ``target`` (a new table)."""
@@ -137,7 +162,7 @@ class IndexTable:
         cur = latest(self.raw())
         if "_deleted" in cur.columns:
             cur = cur.where(~F.coalesce(F.col("_deleted"), F.lit(False)))
-        cur.write.mode("overwrite").partitionBy("batch_no").parquet(target)
+        cur.write.mode("overwrite").partitionBy(*VERSION).parquet(target)
         return snap
 
 

@@ -14,6 +14,11 @@ from ..functions import patterns as P
 from ..functions.times import parse_epoch
 
 
+# A pull number is only known inside its repository.
+KEY = ["repository_id", "pr_number"]
+REQUIRED = ["pr_number", "title", "author", "created_at", "updated_at", "html_url"]
+
+
 def py_strip(c: Column) -> Column:
     """Python str.strip(): remove leading/trailing Unicode whitespace."""
     ws = P.WS_CLASS_BODY
@@ -34,7 +39,7 @@ def file_rollup(files: DataFrame, page_limit: int | None = None) -> DataFrame:
     """
     if page_limit:
         files = files.where(F.col("position") <= page_limit)
-    return files.groupBy("pr_number").agg(
+    return files.groupBy(*KEY).agg(
         _ordered("filename").alias("changed_files"),
         F.sum(F.coalesce("additions", F.lit(0))).alias("additions"),
         F.sum(F.coalesce("deletions", F.lit(0))).alias("deletions"),
@@ -45,13 +50,13 @@ def commit_rollup(commits: DataFrame, page_limit: int | None = None) -> DataFram
     """Commit messages in order."""
     if page_limit:
         commits = commits.where(F.col("position") <= page_limit)
-    return commits.groupBy("pr_number").agg(_ordered("message").alias("commit_messages"))
+    return commits.groupBy(*KEY).agg(_ordered("message").alias("commit_messages"))
 
 
 def flatten_pulls(pulls: DataFrame) -> DataFrame:
     """P16 + P17: nested payload -> flat pull record with epoch-second timestamps."""
     return pulls.select(
-        F.col("number").alias("pr_number"), "title",
+        "repository_id", F.col("number").alias("pr_number"), "title",
         F.coalesce(F.col("body"), F.lit("")).alias("body"), "state",
         F.col("user.login").alias("author"),
         parse_epoch(F.col("created_at")).alias("created_at"),
@@ -81,7 +86,7 @@ def pull_records(pulls: DataFrame, files: DataFrame, commits: DataFrame,
     fr = file_rollup(files, page_limit)
     cr = commit_rollup(commits, page_limit)
     empty = F.array().cast("array<string>")
-    return (flat.join(fr, "pr_number", "left").join(cr, "pr_number", "left")
+    return (flat.join(fr, KEY, "left").join(cr, KEY, "left")
                 .withColumn("changed_files", F.coalesce("changed_files", empty))
                 .withColumn("additions", F.coalesce("additions", F.lit(0)).cast("long"))
                 .withColumn("deletions", F.coalesce("deletions", F.lit(0)).cast("long"))
@@ -90,32 +95,24 @@ def pull_records(pulls: DataFrame, files: DataFrame, commits: DataFrame,
 
 
 def is_valid(df: DataFrame) -> Column:
-    """state open/closed and every required field present."""
-    required = ["pr_number", "title", "author", "created_at", "updated_at", "html_url"]
-    ok = F.col("state").isin("open", "closed")
-    for c in required:
+    """state open/closed and every required field present (never null)."""
+    ok = F.coalesce(F.col("state").isin("open", "closed"), F.lit(False))
+    for c in REQUIRED:
         ok = ok & F.col(c).isNotNull()
     return ok
 
 
 def invalid_reason(df: DataFrame) -> Column:
-    required = ["pr_number", "title", "author", "created_at", "updated_at", "html_url"]
     r = F.when(~F.col("state").isin("open", "closed") | F.col("state").isNull(), F.lit("invalid state"))
-    for c in required:
+    for c in REQUIRED:
         r = r.when(F.col(c).isNull(), F.lit(f"missing {c}"))
     return r
 
 
-PR_DOC_COLUMNS = ["id", "sourceType", "pr_number", "title", "state", "author", "created_at", "updated_at",
-                  "merged_at", "closed_at", "body", "commit_messages", "changed_files", "additions", "deletions",
-                  "changed_files_count", "labels", "milestone", "repository_id", "owner", "repo_name", "branch",
-                  "source", "html_url", "index_name", "search_text"]
-
-
 def pr_documents(requests: DataFrame, records: DataFrame) -> DataFrame:
     """One document per (request, found pull); repository context comes from the request."""
     req = requests.select("repository_id", "owner", "repo_name", "branch", "pr_number")
-    j = req.join(records, "pr_number")
+    j = req.join(records, KEY)
     return j.select(
         C.pr_doc_id(F.col("pr_number"), F.col("repository_id")).alias("id"),
         F.lit(1).alias("sourceType"), "pr_number", "title", "state", "author", "created_at", "updated_at",
@@ -126,9 +123,14 @@ def pr_documents(requests: DataFrame, records: DataFrame) -> DataFrame:
         search_text(F.col("title"), F.col("body"), F.col("commit_messages")).alias("search_text"))
 
 
+def pull_key() -> Column:
+    """A pull's name in the reject log."""
+    return F.concat_ws("#", "repository_id", "pr_number")
+
+
 def not_found(requests: DataFrame, pulls: DataFrame) -> DataFrame:
     """Requests naming a pull that does not exist (dropped, not retried)."""
-    return requests.join(pulls.select(F.col("number").alias("pr_number")), "pr_number", "left_anti")
+    return requests.join(pulls.select("repository_id", F.col("number").alias("pr_number")), KEY, "left_anti")
 
 
 def summary(docs: DataFrame) -> Column:

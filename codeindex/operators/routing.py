@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import checked_broadcast
-
 DEFAULT_LIMIT_MB = 50  # fixed value: default archive size limit
 
 
@@ -22,10 +20,9 @@ def route_repositories(sizes: DataFrame, limit_mb: float | None = None, size_col
                          .otherwise(F.lit("tree")).alias("route"))
 
 
-def routed_files(routes: DataFrame, archive_files: DataFrame, tree_files: DataFrame) -> DataFrame:
-    """Each repository's files from exactly one route (no file is emitted twice)."""
-    r = checked_broadcast(routes.select("repository_id", "route"))
-    a = archive_files.join(r.where(F.col("route") == "archive").select("repository_id"), "repository_id", "left_semi")
-    t = tree_files.join(r.where(F.col("route") == "tree").select("repository_id"), "repository_id", "left_semi")
-    return (a.withColumn("route", F.lit("archive"))
-             .unionByName(t.withColumn("route", F.lit("tree")), allowMissingColumns=True))
+def on_route(routes: DataFrame, rows: DataFrame, route: str) -> DataFrame:
+    """The rows (archives, listing items, files) of the repositories on one route.
+
+    Applied to archives and listings before anything is opened, so a repository is read on its own route only.
+    """
+    return rows.join(routes.where(F.col("route") == route).select("repository_id"), "repository_id", "left_semi")

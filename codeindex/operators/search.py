@@ -16,12 +16,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checked_broadcast, ship_package
+from ..session import ship_package
 from .embed import tokens
 from .index import INDEX_CONFIG
 
 K1, B = 1.2, 0.75
-MAX_QUERIES = 10_000
+# Bytes of one block of query vectors, and of one block of corpus vectors, in a task.
+BLOCK_BYTES = 16 << 20
 
 
 # ---- Q01 -------------------------------------------------------------------
@@ -60,77 +61,73 @@ def top_k(scored: DataFrame, k: int, query: str = "query_id", key: str = "doc_id
 
 # ---- Q02 -------------------------------------------------------------------
 
-class PostingsIndex:
-    """Q01 persisted: postings (key, token, tf, dl) and corpus statistics in the shared folder.
-
-    Built once (one tokenising pass, one write); every later keyword search reads
-    only the postings of its query tokens instead of re-tokenising the corpus.
-    """
-
-    def __init__(self, spark, root: str, key: str = "doc_id"):
-        self.spark, self.root, self.key = spark, root.rstrip("/"), key
-
-    @classmethod
-    def build(cls, corpus: DataFrame, root: str, key: str = "doc_id", text: str = "text") -> "PostingsIndex":
-        dt = doc_tokens(corpus, key, text)
-        post = dt.select(key, "dl", F.explode("_toks").alias("token")).groupBy(key, "token", "dl").agg(
-            F.count(F.lit(1)).alias("tf"))
-        post.write.mode("overwrite").parquet(f"{root}/postings")
-        # document lengths (documents without tokens count too)
-        dt.select(key, "dl").write.mode("overwrite").parquet(f"{root}/docs")
-        return cls(corpus.sparkSession, root, key)
-
-    def postings(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/postings")
-
-    def stats(self) -> tuple[int, float]:
-        row = self.spark.read.parquet(f"{self.root}/docs").agg(
-            F.count(F.lit(1)).alias("N"), F.avg("dl").alias("avgdl")).first()
-        return int(row["N"]), float(row["avgdl"] or 0.0)
-
-
-def bm25_scores(corpus: DataFrame | None, queries: DataFrame, key: str = "doc_id", text: str = "text",
-                query: str = "query_id", q_text: str = "q", index: PostingsIndex | None = None) -> DataFrame:
+def bm25_scores(corpus: DataFrame, queries: DataFrame, key: str = "doc_id", text: str = "text",
+                query: str = "query_id", q_text: str = "q") -> DataFrame:
     """(query, key, score) for every document sharing at least one token with the query.
 
-    With ``index`` the postings and statistics come from a persisted
-    :class:`PostingsIndex` and ``corpus`` is not read.
+    One pass tokenises the corpus: a row's term counts need no shuffle, the corpus totals are one aggregate over
+    (key, length, tokens), and only tokens that some query holds are counted on. Query tokens and their document
+    frequencies meet the postings by equi-joins, which Spark broadcasts when it sees that a side is small.
     """
     qt = queries.select(query, F.explode(F.array_distinct(tokens(F.col(q_text)))).alias("token"))
-    qt = checked_broadcast(qt, MAX_QUERIES * 64)
-    qtok = qt.select("token").distinct()
-    if index is not None:
-        n_docs, avgdl = index.stats()
-        hits = index.postings().join(F.broadcast(qtok), "token", "left_semi")
-    else:
-        stats = doc_tokens(corpus, key, text).agg(F.count(F.lit(1)).alias("N"), F.avg("dl").alias("avgdl")).first()
-        n_docs, avgdl = int(stats["N"]), float(stats["avgdl"] or 0.0)
-        toks = token_rows(corpus, key, text)
-        hits = (toks.join(F.broadcast(qtok), "token", "left_semi")
-                    .groupBy(key, "token", "dl").agg(F.count(F.lit(1)).alias("tf")))
-    df = hits.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    docs = doc_tokens(corpus, key, text)
+    totals = docs.agg(F.count(F.lit(1)).alias("_n"), F.coalesce(F.avg("dl"), F.lit(0.0)).alias("_avg"))
+    counts = (docs.select(key, "dl", F.explode("_toks").alias("token")).join(qt.select("token").distinct(), "token", "left_semi")
+                  .groupBy(key, "token", "dl").agg(F.count(F.lit(1)).alias("tf")))
+    n_docs, avgdl = totals.first()
+    df = counts.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
     idf = F.log(1 + (F.lit(n_docs) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     norm = F.lit(K1) * (1 - B + B * F.col("dl") / F.lit(avgdl if avgdl else 1.0))
     part = idf * F.col("tf") * (K1 + 1) / (F.col("tf") + norm)
-    return (hits.join(F.broadcast(df), "token").join(qt, "token")
-                .groupBy(query, key).agg(F.round(F.sum(part), 6).alias("score")))
+    return (counts.join(df, "token").join(qt, "token")
+                  .groupBy(query, key).agg(F.round(F.sum(part), 6).alias("score")))
 
 
-def search_keyword(corpus: DataFrame | None, queries: DataFrame, k: int = 10, **kw) -> DataFrame:
+def search_keyword(corpus: DataFrame, queries: DataFrame, k: int = 10, **kw) -> DataFrame:
     return top_k(bm25_scores(corpus, queries, **kw), k, kw.get("query", "query_id"), kw.get("key", "doc_id"))
 
 
 # ---- Q03 -------------------------------------------------------------------
 
-def _query_matrix(queries: DataFrame, query: str, vec: str):
-    qs = checked_broadcast(queries.select(query, vec), MAX_QUERIES)
-    rows = qs.collect()  # bounded by MAX_QUERIES, checked above
-    if len(rows) > MAX_QUERIES:
-        raise ValueError("too many query vectors")
-    ids = np.array([r[0] for r in rows])
-    mat = np.array([np.asarray(r[1], dtype=np.float64) for r in rows]) if rows else np.zeros((0, 0))
-    norms = np.linalg.norm(mat, axis=1) if len(rows) else np.zeros(0)
-    return ids, mat, norms
+def _query_blocks(queries: DataFrame, query: str, vec: str):
+    """(ids, matrix, norms) of the queries in blocks of BLOCK_BYTES: the stated query set against all rows, in blocks.
+
+    Only one block is on the driver at a time.
+    """
+    ids, rows, used = [], [], 0
+    for r in queries.select(query, vec).toLocalIterator():
+        if r[1] is None:
+            continue
+        ids.append(r[0])
+        rows.append(np.asarray(r[1], dtype=np.float64))
+        used += rows[-1].nbytes
+        if used >= BLOCK_BYTES:
+            yield np.array(ids), np.array(rows), np.linalg.norm(np.array(rows), axis=1)
+            ids, rows, used = [], [], 0
+    if ids:
+        yield np.array(ids), np.array(rows), np.linalg.norm(np.array(rows), axis=1)
+
+
+def _similarities(mat: np.ndarray, q_mat: np.ndarray, q_norm: np.ndarray) -> np.ndarray:
+    norms = np.linalg.norm(mat, axis=1)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return np.round((mat @ q_mat.T) / np.outer(norms, q_norm), 6)
+
+
+def _local_best(held, ids, keys: np.ndarray, sims: np.ndarray, k: int) -> dict:
+    """The running top-k per query: ``held`` maps a query's column to (keys, scores)."""
+    for j in range(len(ids)):
+        s = sims[:, j]
+        ok = np.flatnonzero(np.isfinite(s))
+        if len(ok) > k:  # keep ties with the k-th, the smaller key wins below
+            low = np.partition(s[ok], len(ok) - k)[len(ok) - k]
+            ok = ok[s[ok] >= low]
+        own = (keys[ok], s[ok])
+        if j in held:
+            own = tuple(np.concatenate([x, y]) for x, y in zip(held[j], own, strict=True))
+        best = np.lexsort((own[0], -own[1]))[:k]
+        held[j] = (own[0][best], own[1][best])
+    return held
 
 
 def cosine_candidates(corpus: DataFrame, queries: DataFrame, k: int, key: str = "doc_id",
@@ -138,47 +135,33 @@ def cosine_candidates(corpus: DataFrame, queries: DataFrame, k: int, key: str =
                       clip: bool = False) -> DataFrame:
     """Per task: cosine of every corpus vector against every query, keep the local top-k per query."""
     ship_package(corpus.sparkSession)
-    q_ids, q_mat, q_norm = _query_matrix(queries, query, q_vec)
     key_type = dict(corpus.dtypes)[key]
     q_type = dict(queries.dtypes)[query]
     schema = f"{query} {q_type}, {key} {key_type}, score double"
-
-    def run(batches):
-        keys, vecs = [], []
-        for pdf in batches:
-            keys.extend(pdf[key].tolist())
-            vecs.extend(pdf[vec].tolist())
-            if len(keys) >= 65536:
-                yield from _flush(keys, vecs)
-                keys, vecs = [], []
-        if keys:
-            yield from _flush(keys, vecs)
-
-    def _flush(keys, vecs):
-        if len(q_ids) == 0:
-            return
-        mat = np.array([np.asarray(v, dtype=np.float64) for v in vecs])
-        norms = np.linalg.norm(mat, axis=1)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            sims = (mat @ q_mat.T) / np.outer(norms, q_norm)
-        sims = np.round(sims, 6)
-        if clip:
-            sims = np.where(np.isfinite(sims), np.maximum(sims, 0.0), 0.0)
-        karr = np.asarray(keys)
-        out = []
-        for j, qid in enumerate(q_ids):
-            s = sims[:, j]
-            ok = np.isfinite(s)
-            if not ok.any():
-                continue
-            idx = np.nonzero(ok)[0]
-            order = np.lexsort((karr[idx], -s[idx]))[:k]
-            sel = idx[order]
-            out.append(pd.DataFrame({query: qid, key: karr[sel], "score": s[sel]}))
-        if out:
-            yield pd.concat(out, ignore_index=True)
-
-    return corpus.select(key, vec).mapInPandas(run, schema)
+    spark, out = corpus.sparkSession, None
+    for block in _query_blocks(queries, query, q_vec):
+        shared = spark.sparkContext.broadcast(block)  # at most BLOCK_BYTES and one vector
+
+        def run(batches, shared=shared):
+            q_ids, q_mat, q_norm = shared.value
+            held: dict = {}
+            for pdf in batches:
+                pdf = pdf[pdf[vec].notna()]
+                # a block of rows and its scores stay within BLOCK_BYTES
+                step = max(1, BLOCK_BYTES // (8 * max(q_mat.shape[1], len(q_ids))))
+                for at in range(0, len(pdf), step):
+                    part = pdf.iloc[at:at + step]
+                    mat = np.array([np.asarray(v, dtype=np.float64) for v in part[vec]])
+                    sims = _similarities(mat, q_mat, q_norm)
+                    if clip:
+                        sims = np.where(np.isfinite(sims), np.maximum(sims, 0.0), 0.0)
+                    held = _local_best(held, q_ids, part[key].to_numpy(), sims, k)
+            if held:
+                yield pd.concat([pd.DataFrame({query: q_ids[j], key: keys, "score": scores}) for j, (keys, scores) in held.items()], ignore_index=True)
+
+        part = corpus.select(key, vec).mapInPandas(run, schema)
+        out = part if out is None else out.unionByName(part)
+    return out if out is not None else spark.createDataFrame([], schema)
 
 
 def search_vector(corpus: DataFrame, queries: DataFrame, k: int = 10, key: str = "doc_id",
@@ -187,15 +170,6 @@ def search_vector(corpus: DataFrame, queries: DataFrame, k: int = 10, key: str =
     return top_k(cand, k, query, key)
 
 
-def cosine(a: Column, b: Column) -> Column:
-    """Native cosine of two equal-length arrays (null when a norm is zero)."""
-    dot = F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0),
-                      lambda acc, x: acc + x)
-    na = F.sqrt(F.aggregate(a, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double")))
-    nb = F.sqrt(F.aggregate(b, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double")))
-    return F.when((na > 0) & (nb > 0), dot / (na * nb))
-
-
 # ---- Q04 -------------------------------------------------------------------
 
 def search_hybrid(corpus: DataFrame, queries: DataFrame, k: int = 10, ratio: float = 0.7,
@@ -203,71 +177,29 @@ def search_hybrid(corpus: DataFrame, queries: DataFrame, k: int = 10, ratio: flo
                   query: str = "query_id", q_text: str = "q", q_vec: str = "embedding") -> DataFrame:
     """ratio * max(cosine, 0) + (1 - ratio) * bm25 / max bm25 of the query.
 
-    Candidates are every keyword match plus each task's semantic top-k: a
-    document outside both is beaten by k documents of its own task and cannot
-    reach the global top-k, so the result is exact. Keyword scores are grouped
-    per document (at most one entry per query) and joined onto the corpus once;
-    a single pass over the vectors then emits both kinds of candidates.
+    Candidates, exactly:
+    * every task's semantic top-k;
+    * the keyword matches that can still reach the top-k. A query's k-th best keyword part alone, (1 - ratio) * kw, is
+      a lower bound of its k-th best score, as semantic parts are not negative; a match is dropped when even a
+      semantic part of 1 leaves it below that bound.
+    A document outside both is beaten by k documents of its own task. The semantic score of a surviving keyword match
+    is computed natively from the two vectors.
     """
     kw = bm25_scores(corpus, queries, key, text, query, q_text)
     best = kw.groupBy(query).agg(F.max("score").alias("best"))
-    # ``best`` has one row per query and ``per_doc`` at most one per document:
-    # AQE turns these joins into broadcasts at run time when they are small
-    # (its threshold is the size check), and keeps shuffle joins otherwise
-    kw = kw.join(best, query).select(
-        query, key, F.when(F.col("best") > 0, F.col("score") / F.col("best")).otherwise(0.0).alias("kw"))
-    per_doc = kw.groupBy(key).agg(F.collect_list(F.struct(F.col(query).alias("q"), F.col("kw").alias("w"))).alias("_kw"))
-    docs = corpus.select(key, vec).join(per_doc, key, "left")
-
-    ship_package(corpus.sparkSession)
-    q_ids, q_mat, q_norm = _query_matrix(queries, query, q_vec)
-    col_of = {q: j for j, q in enumerate(q_ids.tolist())}
-    key_type = dict(corpus.dtypes)[key]
-    q_type = dict(queries.dtypes)[query]
-    schema = f"{query} {q_type}, {key} {key_type}, kw double, sem double"
-
-    def flush(keys, vecs, kws):
-        if len(q_ids) == 0 or not keys:
-            return
-        mat = np.array([np.asarray(v, dtype=np.float64) for v in vecs])
-        norms = np.linalg.norm(mat, axis=1)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            sims = np.round((mat @ q_mat.T) / np.outer(norms, q_norm), 6)
-        sims = np.where(np.isfinite(sims), np.maximum(sims, 0.0), 0.0)
-        karr = np.asarray(keys)
-        out = []
-        for j, qid in enumerate(q_ids):
-            order = np.lexsort((karr, -sims[:, j]))[:k]
-            out.append(pd.DataFrame({query: qid, key: karr[order], "kw": np.nan, "sem": sims[order, j]}))
-        rq, rk, rw, rs = [], [], [], []
-        for i, lst in enumerate(kws):
-            if lst is None:
-                continue
-            for item in lst:
-                j = col_of.get(item["q"])
-                if j is None:
-                    continue
-                rq.append(item["q"])
-                rk.append(keys[i])
-                rw.append(item["w"])
-                rs.append(sims[i, j])
-        if rq:
-            out.append(pd.DataFrame({query: rq, key: rk, "kw": rw, "sem": rs}))
-        yield pd.concat(out, ignore_index=True)
-
-    def run(batches):
-        keys, vecs, kws = [], [], []
-        for pdf in batches:
-            keys.extend(pdf[key].tolist())
-            vecs.extend(pdf[vec].tolist())
-            kws.extend(pdf["_kw"].tolist())
-            if len(keys) >= 65536:
-                yield from flush(keys, vecs, kws)
-                keys, vecs, kws = [], [], []
-        yield from flush(keys, vecs, kws)
-
-    cand = docs.mapInPandas(run, schema)
-    both = cand.groupBy(query, key).agg(F.max("kw").alias("kw"), F.max("sem").alias("sem"))
+    kth = top_k(kw, k, query, key).groupBy(query).agg(F.min("score").alias("kth"), F.count(F.lit(1)).alias("have"))
+    part = lambda c: F.when(F.col("best") > 0, F.col(c) / F.col("best")).otherwise(0.0)
+    kw = (kw.join(best, query).join(kth, query)
+            .where((F.col("have") < k) | (ratio + (1 - ratio) * part("score") >= (1 - ratio) * part("kth")))
+            .select(query, key, part("score").alias("kw")))
+    semantic = cosine_candidates(corpus, queries, k, key, vec, query, q_vec, clip=True).withColumnRenamed("score", "sem")
+    pairs = semantic.select(query, key).unionByName(kw.select(query, key)).distinct()
+    vectors = (pairs.join(corpus.select(key, F.col(vec).alias("_d")), key)
+                    .join(queries.select(query, F.col(q_vec).alias("_q")), query))
+    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
+    norm = F.sqrt(dot("_d", "_d")) * F.sqrt(dot("_q", "_q"))
+    sem = vectors.select(query, key, F.when(norm > 0, F.greatest(F.lit(0.0), F.round(dot("_d", "_q") / norm, 6))).otherwise(0.0).alias("sem"))
+    both = sem.join(kw, [query, key], "left")
     mix = ratio * F.coalesce(F.col("sem"), F.lit(0.0)) + (1 - ratio) * F.coalesce(F.col("kw"), F.lit(0.0))
     # round half up in plain floating point: ratio * (6-decimal score) often ends
     # in an exact 5 at the 7th decimal, where decimal-expansion rounding and
@@ -292,11 +224,29 @@ def check_attributes(kind: str, role: str, names: list[str]) -> None:
         raise ValueError(f"{bad} are not {role} attributes of a {kind} index (allowed: {allowed})")
 
 
+def condition(c: Column, v) -> Column:
+    """One condition on an attribute."""
+    if not isinstance(v, tuple):
+        return c == F.lit(v)
+    kind = v[0]
+    if kind == "in":
+        return c.isin(*v[1])
+    if kind == "has":
+        return F.array_contains(c, v[1])
+    if kind == "exists":
+        return c.isNotNull() if v[1] else c.isNull()
+    if kind == "range":
+        low, high = v[1:]
+        return (F.lit(True) if low is None else c >= low) & (F.lit(True) if high is None else c <= high)
+    raise ValueError(f"unknown condition {kind}")
+
+
 def filter_search(docs: DataFrame, kind: str, where: dict | None = None, sort: list[tuple[str, bool]] | None = None,
-                  limit: int = 20, key: str = "id") -> DataFrame:
+                  limit: int | None = None, key: str = "id") -> DataFrame:
     """Filter-only search: equality / IN / range / array-membership conditions, sort, limit.
 
-    ``where`` maps attribute -> value | ('in', [...]) | ('range', lo, hi) | ('has', v) | ('exists', bool).
+    ``where`` maps attribute -> value | ('in', [...]) | ('range', lo, hi) | ('has', v) | ('exists', bool),
+    or a list of these, which must all hold. Without ``limit`` all matches are returned.
     Attributes must be declared filterable / sortable for the index kind.
     """
     where = where or {}
@@ -304,20 +254,9 @@ def filter_search(docs: DataFrame, kind: str, where: dict | None = None, sort: l
     check_attributes(kind, "filterable", list(where))
     check_attributes(kind, "sortable", [s for s, _ in sort])
     cond = F.lit(True)
-    for name, v in where.items():
-        c = attribute(name)
-        if isinstance(v, tuple) and v[0] == "in":
-            cond = cond & c.isin(*v[1])
-        elif isinstance(v, tuple) and v[0] == "range":
-            if v[1] is not None:
-                cond = cond & (c >= v[1])
-            if v[2] is not None:
-                cond = cond & (c <= v[2])
-        elif isinstance(v, tuple) and v[0] == "has":
-            cond = cond & F.array_contains(c, v[1])
-        elif isinstance(v, tuple) and v[0] == "exists":
-            cond = cond & (c.isNotNull() if v[1] else c.isNull())
-        else:
-            cond = cond & (c == F.lit(v))
+    for name, wanted in where.items():
+        for v in wanted if isinstance(wanted, list) else [wanted]:
+            cond = cond & condition(attribute(name), v)
     order = [(attribute(s).desc_nulls_last() if desc else attribute(s).asc_nulls_last()) for s, desc in sort]
-    return docs.where(cond).orderBy(*order, F.col(key).asc()).limit(limit)
+    hits = docs.where(cond).orderBy(*order, F.col(key).asc())
+    return hits if limit is None else hits.limit(limit)

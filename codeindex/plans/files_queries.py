@@ -39,10 +39,10 @@ def _requested_files(spark, sf):
 # ---- shared oracle stages --------------------------------------------------
 
 FILES_SQL = cte("fx_archive_entries", "fx_repo_requests") + f""", cleaned AS (
-  SELECT doc_id, repository_id, entry, content, {S.clean_path('entry')} AS file_path
+  SELECT doc_id, repository_id, branch, entry, content, {S.clean_path('entry')} AS file_path
   FROM fx_archive_entries WHERE NOT ends_with(entry, '/')
 ), files AS (
-  SELECT doc_id, repository_id, file_path, content, {S.language('file_path')} AS language,
+  SELECT doc_id, repository_id, branch, file_path, content, {S.language('file_path')} AS language,
          strlen(content) AS size
   FROM cleaned WHERE file_path <> '' AND NOT {S.hidden('file_path')}
     AND {S.language('file_path')} <> 'unknown'
@@ -151,7 +151,7 @@ def join_request_files(spark, sf):
 
 
 ORACLE["join_request_files"] = FILES_SQL + """SELECT f.doc_id, f.file_path, r.owner, r.repo_name, r.branch
-FROM files f JOIN fx_repo_requests r USING (repository_id)"""
+FROM files f JOIN fx_repo_requests r USING (repository_id, branch)"""
 
 
 # ---- routing, chunk rows, ids (G01 G08 P04-P07 P12-P14 A05 A06) -------------
@@ -220,7 +220,7 @@ ORACLE["code_documents_whole"] = FILES_SQL + f"""SELECT {S.code_doc_id('f.reposi
   {S.index_name('r.repo_name', 'r.branch', '_code')} AS index_name, 0 AS chunk_index,
   {S.extract_class('content', 'language')} AS meta_class_name,
   {S.extract_function('content', 'language')} AS meta_function_name
-FROM routed f JOIN fx_repo_requests r ON f.repository_id = r.repository_id WHERE route = 'whole'"""
+FROM routed f JOIN fx_repo_requests r ON f.repository_id = r.repository_id AND f.branch = r.branch WHERE route = 'whole'"""
 
 
 @q("extract_class")

@@ -147,9 +147,7 @@ ORACLE["embed_pr"] = PQ.PULLS_SQL + ", d AS (SELECT id, search_text FROM docs)\n
 
 @q("attach_vectors")
 def attach_vectors(spark, sf):
-    docs = PQ.pr_docs_df(spark, sf)
-    vecs = EM.hash_embed(docs.select("id", "search_text"), "id", "search_text", TEST_DIM)
-    out = EM.attach_vectors(docs.select("id", "pr_number"), vecs)
+    out = EM.embedded(PQ.pr_docs_df(spark, sf), "search_text", TEST_DIM)
     v = F.col("_vectors").getItem("default")
     return out.select("id", "pr_number", F.size(v).alias("dims"),
                       F.size(F.filter(v, lambda x: x != 0)).alias("nonzero"))

@@ -75,7 +75,7 @@ def joined_arrays(df):
 # ---- oracle building blocks ----------------------------------------------------
 
 PULLS_SQL = cte("fx_pulls", "fx_pull_files", "fx_pull_commits", "fx_pr_request_log") + f""", pulls AS (
-  SELECT pr_number, title, coalesce(body, '') AS body, body AS raw_body, state,
+  SELECT repository_id, pr_number, title, coalesce(body, '') AS body, body AS raw_body, state,
          json_extract_string(payload, '$.user.login') AS author,
          {S.epoch('created_at')} AS created_at, {S.epoch('created_at')} AS updated_at,
          CAST(NULL AS BIGINT) AS merged_at, {S.epoch('closed_at')} AS closed_at,
@@ -85,15 +85,15 @@ PULLS_SQL = cte("fx_pulls", "fx_pull_files", "fx_pull_commits", "fx_pr_request_l
                 '.x/pull/', CAST(pr_number AS VARCHAR)) AS html_url
   FROM fx_pulls
 ), fr AS (
-  SELECT pr_number, string_agg(filename, '|' ORDER BY position) AS changed_files,
+  SELECT repository_id, pr_number, string_agg(filename, '|' ORDER BY position) AS changed_files,
          sum(coalesce(additions, 0)) AS additions, sum(coalesce(deletions, 0)) AS deletions,
          count(*) AS changed_files_count
-  FROM fx_pull_files GROUP BY pr_number
+  FROM fx_pull_files GROUP BY repository_id, pr_number
 ), cr AS (
-  SELECT pr_number, string_agg(message, chr(10) ORDER BY position) AS commit_messages, count(*) AS n_commits,
+  SELECT repository_id, pr_number, string_agg(message, chr(10) ORDER BY position) AS commit_messages, count(*) AS n_commits,
          string_agg('- ' || {S.py_strip('message')}, chr(10) ORDER BY position)
            FILTER (WHERE {S.py_strip('message')} <> '') AS commit_lines
-  FROM fx_pull_commits GROUP BY pr_number
+  FROM fx_pull_commits GROUP BY repository_id, pr_number
 ), recs AS (
   SELECT p.*, coalesce(fr.changed_files, '') AS changed_files, coalesce(fr.additions, 0) AS additions,
          coalesce(fr.deletions, 0) AS deletions, coalesce(fr.changed_files_count, 0) AS changed_files_count,
@@ -103,7 +103,7 @@ PULLS_SQL = cte("fx_pulls", "fx_pull_files", "fx_pull_commits", "fx_pr_request_l
            CASE WHEN {S.py_strip('p.body')} <> '' THEN '[Body]' || chr(10) || {S.py_strip('p.body')} END,
            CASE WHEN coalesce(cr.n_commits, 0) > 0 THEN '[Commits]' || chr(10) || coalesce(cr.commit_lines, '') END
          ) AS search_text
-  FROM pulls p LEFT JOIN fr USING (pr_number) LEFT JOIN cr USING (pr_number)
+  FROM pulls p LEFT JOIN fr USING (repository_id, pr_number) LEFT JOIN cr USING (repository_id, pr_number)
 ), reqs AS (
   SELECT DISTINCT repository_id, owner, repo_name, branch, pr_number FROM fx_pr_request_log
 ), docs AS (
@@ -112,13 +112,20 @@ PULLS_SQL = cte("fx_pulls", "fx_pull_files", "fx_pull_commits", "fx_pr_request_l
          changed_files_count, labels, milestone, r.repository_id, r.owner, r.repo_name, r.branch,
          concat(r.repo_name, '@', r.branch) AS source, html_url,
          {S.index_name('r.repo_name', 'r.branch', '_pr')} AS index_name, search_text, n_commits
-  FROM reqs r JOIN recs USING (pr_number)
+  FROM reqs r JOIN recs USING (repository_id, pr_number)
   WHERE state IN ('open', 'closed') AND title IS NOT NULL AND author IS NOT NULL AND created_at IS NOT NULL
     AND updated_at IS NOT NULL AND html_url IS NOT NULL
 )
 """
 
 
+# The reject rows of invalid pulls (first failing rule), on top of PULLS_SQL.
+INVALID_SQL = """SELECT 'pr_validate' AS stage, concat(CAST(repository_id AS VARCHAR), '#', CAST(pr_number AS VARCHAR)) AS key,
+  CASE WHEN coalesce(state, '') NOT IN ('open', 'closed') THEN 'invalid state' WHEN title IS NULL THEN 'missing title' WHEN author IS NULL THEN 'missing author'
+       WHEN created_at IS NULL THEN 'missing created_at' WHEN updated_at IS NULL THEN 'missing updated_at' ELSE 'missing html_url' END AS reason
+FROM recs WHERE (coalesce(state, '') NOT IN ('open', 'closed') OR title IS NULL OR author IS NULL OR created_at IS NULL OR updated_at IS NULL OR html_url IS NULL)"""
+
+
 # ---- sources -------------------------------------------------------------------
 
 @q("src_repo_requests")
@@ -154,13 +161,13 @@ ORACLE["src_issue_requests"] = cte("fx_pr_request_log") + "SELECT repository_id,
 @q("scan_pull")
 def scan_pull(spark, sf):
     p = pulls_df(spark, sf)
-    return p.select(F.col("number").alias("pr_number"), "title", "body", "state",
+    return p.select("repository_id", F.col("number").alias("pr_number"), "title", "body", "state",
                     F.col("user.login").alias("author"),
                     F.array_join(F.transform("labels", lambda x: x["name"]), "|").alias("labels"),
                     F.col("milestone.title").alias("milestone"), "created_at", "closed_at")
 
 
-ORACLE["scan_pull"] = cte("fx_pulls") + """SELECT pr_number, title, body, state, json_extract_string(payload, '$.user.login') AS author,
+ORACLE["scan_pull"] = cte("fx_pulls") + """SELECT repository_id, pr_number, title, body, state, json_extract_string(payload, '$.user.login') AS author,
   array_to_string(coalesce(json_extract_string(payload, '$.labels[*].name'), []), '|') AS labels,
   json_extract_string(payload, '$.milestone.title') AS milestone, created_at, closed_at FROM fx_pulls"""
 
@@ -170,7 +177,7 @@ def scan_pull_files(spark, sf):
     return pull_files_df(spark, sf)
 
 
-ORACLE["scan_pull_files"] = cte("fx_pull_files") + "SELECT pr_number, position, filename, additions, deletions FROM fx_pull_files"
+ORACLE["scan_pull_files"] = cte("fx_pull_files") + "SELECT repository_id, pr_number, position, filename, additions, deletions FROM fx_pull_files"
 
 
 @q("scan_pull_commits")
@@ -178,8 +185,8 @@ def scan_pull_commits(spark, sf):
     return pull_commits_df(spark, sf)
 
 
-ORACLE["scan_pull_commits"] = cte("fx_pull_commits") + """SELECT pr_number,
-  row_number() OVER (PARTITION BY pr_number ORDER BY position) AS position, message FROM fx_pull_commits"""
+ORACLE["scan_pull_commits"] = cte("fx_pull_commits") + """SELECT repository_id, pr_number,
+  row_number() OVER (PARTITION BY repository_id, pr_number ORDER BY position) AS position, message FROM fx_pull_commits"""
 
 
 # ---- rollups and projections ---------------------------------------------------
@@ -189,7 +196,7 @@ def pr_file_rollup(spark, sf):
     return joined_arrays(PR.file_rollup(pull_files_df(spark, sf)))
 
 
-ORACLE["pr_file_rollup"] = PULLS_SQL + "SELECT pr_number, changed_files, additions, deletions, changed_files_count FROM fr"
+ORACLE["pr_file_rollup"] = PULLS_SQL + "SELECT repository_id, pr_number, changed_files, additions, deletions, changed_files_count FROM fr"
 
 
 @q("pr_commit_rollup")
@@ -198,45 +205,45 @@ def pr_commit_rollup(spark, sf):
     return joined_arrays(r.withColumn("n_commits", F.size("commit_messages")))
 
 
-ORACLE["pr_commit_rollup"] = PULLS_SQL + "SELECT pr_number, commit_messages, n_commits FROM cr"
+ORACLE["pr_commit_rollup"] = PULLS_SQL + "SELECT repository_id, pr_number, commit_messages, n_commits FROM cr"
 
 
 @q("parse_epoch")
 def parse_epoch_q(spark, sf):
     f = PR.flatten_pulls(pulls_df(spark, sf))
-    return f.select("pr_number", "created_at", "updated_at", "merged_at", "closed_at")
+    return f.select("repository_id", "pr_number", "created_at", "updated_at", "merged_at", "closed_at")
 
 
-ORACLE["parse_epoch"] = PULLS_SQL + "SELECT pr_number, created_at, updated_at, merged_at, closed_at FROM pulls"
+ORACLE["parse_epoch"] = PULLS_SQL + "SELECT repository_id, pr_number, created_at, updated_at, merged_at, closed_at FROM pulls"
 
 
 @q("pr_flatten")
 def pr_flatten(spark, sf):
     f = PR.flatten_pulls(pulls_df(spark, sf))
-    return joined_arrays(f.select("pr_number", "title", "body", "state", "author", "labels", "milestone",
+    return joined_arrays(f.select("repository_id", "pr_number", "title", "body", "state", "author", "labels", "milestone",
                                   "html_url"))
 
 
-ORACLE["pr_flatten"] = PULLS_SQL + "SELECT pr_number, title, body, state, author, labels, milestone, html_url FROM pulls"
+ORACLE["pr_flatten"] = PULLS_SQL + "SELECT repository_id, pr_number, title, body, state, author, labels, milestone, html_url FROM pulls"
 
 
 @q("pr_search_text")
 def pr_search_text(spark, sf):
     r = records_df(spark, sf)
-    return r.select("pr_number", PR.search_text(F.col("title"), F.col("body"), F.col("commit_messages"))
+    return r.select("repository_id", "pr_number", PR.search_text(F.col("title"), F.col("body"), F.col("commit_messages"))
                     .alias("search_text"))
 
 
-ORACLE["pr_search_text"] = PULLS_SQL + "SELECT pr_number, search_text FROM recs"
+ORACLE["pr_search_text"] = PULLS_SQL + "SELECT repository_id, pr_number, search_text FROM recs"
 
 
 @q("pr_valid")
 def pr_valid(spark, sf):
     r = records_df(spark, sf)
-    return r.select("pr_number", PR.is_valid(r).alias("valid"))
+    return r.select("repository_id", "pr_number", PR.is_valid(r).alias("valid"))
 
 
-ORACLE["pr_valid"] = PULLS_SQL + """SELECT pr_number, (state IN ('open', 'closed') AND title IS NOT NULL AND author IS NOT NULL
+ORACLE["pr_valid"] = PULLS_SQL + """SELECT repository_id, pr_number, (coalesce(state, '') IN ('open', 'closed') AND title IS NOT NULL AND author IS NOT NULL
   AND created_at IS NOT NULL AND updated_at IS NOT NULL AND html_url IS NOT NULL) AS valid FROM recs"""
 
 
@@ -278,4 +285,4 @@ def pr_not_found(spark, sf):
 
 
 ORACLE["pr_not_found"] = PULLS_SQL + """SELECT request_id, repository_id, pr_number FROM fx_pr_request_log r
-WHERE NOT EXISTS (SELECT 1 FROM fx_pulls p WHERE p.pr_number = r.pr_number)"""
+WHERE NOT EXISTS (SELECT 1 FROM fx_pulls p WHERE p.repository_id = r.repository_id AND p.pr_number = r.pr_number)"""

@@ -14,7 +14,6 @@ from . import sqlbits as S
 
 QUERIES: dict = {}
 ORACLE: dict = {}
-ROUTE_LIMIT_MB = 0.125  # small enough that the sf0.01 repositories take both routes
 
 
 def q(name):
@@ -72,20 +71,23 @@ ORACLE["scan_archive_size"] = cte("fx_archives") + "SELECT repository_id, round(
 
 @q("route_archives")
 def route_archives(spark, sf):
-    routes = RT.route_repositories(fixture(spark, sf, "fx_archives"), ROUTE_LIMIT_MB)
-    arch = FL.entries_to_files(AR.expand_archives(archives_df(spark, sf)))
-    tree_files, _ = TR.join_blobs(TR.source_items(trees_df(spark, sf)), blobs_df(spark, sf))
-    u = RT.routed_files(routes, arch.select("repository_id", "file_path", "language", "size"),
-                        tree_files.select("repository_id", "file_path", "language", "size"))
+    sizes = fixture(spark, sf, "fx_archives")
+    # the limit that sends half of the repositories each way: the median size (one number)
+    median = sizes.agg(F.percentile("n_bytes", 0.5)).first()[0]
+    routes = RT.route_repositories(sizes, median / 1024 / 1024)
+    arch = FL.entries_to_files(AR.expand_archives(RT.on_route(routes, archives_df(spark, sf), "archive")))
+    tree_files, _ = TR.join_blobs(TR.source_items(RT.on_route(routes, trees_df(spark, sf), "tree")), blobs_df(spark, sf))
+    cols = ["repository_id", "file_path", "language", "size"]
+    u = arch.select(*cols, F.lit("archive").alias("route")).unionByName(tree_files.select(*cols, F.lit("tree").alias("route")))
     return u.select("repository_id", "route", "file_path", "language", "size")
 
 
 ORACLE["route_archives"] = FQ.FILES_SQL.replace("WITH ", "WITH " + cte("fx_archives", "fx_tree_items")[5:] + ",\n", 1) + f""", routes AS (
-  SELECT repository_id, CASE WHEN n_bytes IS NULL OR n_bytes / 1024 / 1024 <= {ROUTE_LIMIT_MB} THEN 'archive' ELSE 'tree' END AS route
+  SELECT repository_id, CASE WHEN n_bytes IS NULL OR n_bytes <= (SELECT quantile_cont(n_bytes, 0.5) FROM fx_archives) THEN 'archive' ELSE 'tree' END AS route
   FROM fx_archives
 ), items AS (
   SELECT repository_id, json_extract_string(item_json, '$.path') AS path, json_extract_string(item_json, '$.type') AS type,
-         url, blob_text FROM fx_tree_items
+         url, blob_text FROM fx_tree_items WHERE fault IS NULL
 ), tfiles AS (
   SELECT repository_id, path AS file_path, {S.language('path')} AS language, strlen(blob_text) AS size FROM items
   WHERE type = 'blob' AND NOT {S.hidden('path')} AND {S.language('path')} <> 'unknown' AND blob_text IS NOT NULL
@@ -97,7 +99,7 @@ SELECT t.repository_id, 'tree', file_path, language, size FROM tfiles t JOIN rou
 
 TREE_SQL = cte("fx_tree_items") + f""", items AS (
   SELECT doc_id, repository_id, json_extract_string(item_json, '$.path') AS path,
-         json_extract_string(item_json, '$.type') AS type, json_extract_string(item_json, '$.url') AS url, blob_text
+         json_extract_string(item_json, '$.type') AS type, json_extract_string(item_json, '$.url') AS url, blob_text, fault
   FROM fx_tree_items
 ), src AS (
   SELECT *, {S.language('path')} AS language FROM items
@@ -124,10 +126,12 @@ ORACLE["scan_tree_entries"] = TREE_SQL + "SELECT repository_id, false AS truncat
 
 @q("scan_blob")
 def scan_blob(spark, sf):
-    return TR.decode_blobs(blobs_df(spark, sf)).select("url", "size", "utf8", "text")
+    return TR.decode_blobs(blobs_df(spark, sf)).select("url", "size", "base64", "utf8", "text")
 
 
-ORACLE["scan_blob"] = cte("fx_tree_items") + "SELECT url, strlen(blob_text) AS size, true AS utf8, blob_text AS text FROM fx_tree_items WHERE blob_text IS NOT NULL"
+ORACLE["scan_blob"] = cte("fx_tree_items") + """SELECT url, CASE coalesce(fault, '') WHEN 'base64' THEN NULL WHEN 'utf8' THEN 2 ELSE strlen(blob_text) END AS size,
+  coalesce(fault, '') <> 'base64' AS base64, fault IS NULL AS utf8, CASE WHEN fault IS NULL THEN blob_text END AS text
+FROM fx_tree_items WHERE blob_text IS NOT NULL"""
 
 
 @q("join_tree_blob")
@@ -136,22 +140,30 @@ def join_tree_blob(spark, sf):
     return files.select("repository_id", "file_path", "url", "language", "size", "content")
 
 
-ORACLE["join_tree_blob"] = TREE_SQL + "SELECT repository_id, path AS file_path, url, language, strlen(blob_text) AS size, blob_text AS content FROM src WHERE blob_text IS NOT NULL"
+ORACLE["join_tree_blob"] = TREE_SQL + "SELECT repository_id, path AS file_path, url, language, strlen(blob_text) AS size, blob_text AS content FROM src WHERE blob_text IS NOT NULL AND fault IS NULL"
 
 
 @q("rejects")
 def rejects(spark, sf):
-    """The dead-letter log across stages (missing blobs, unknown pulls, invalid pulls)."""
+    """The dead-letter log across stages (bad archives, missing and bad blobs, unknown pulls, invalid pulls)."""
+    # every archive once more, cut short
+    broken = archives_df(spark, sf).where("part = 0").withColumn("content", F.expr("substring(content, 1, 20)"))
+    bad_archives = IX.rejects("archive_read", AR.archive_rejects(broken), F.concat_ws("@", "repository_id", "branch"), F.split_part("error", F.lit(":"), F.lit(1)))
     _, bad_blobs = TR.join_blobs(TR.source_items(trees_df(spark, sf)), blobs_df(spark, sf))
     nf = IX.rejects("pr_fetch", PR.not_found(PQ.pr_requests_df(spark, sf), PQ.pulls_df(spark, sf)),
                     "request_id", "pull not found")
     recs = PQ.records_df(spark, sf)
-    invalid = IX.rejects("pr_validate", recs.where(~PR.is_valid(recs)), "pr_number", PR.invalid_reason(recs))
-    return bad_blobs.unionByName(nf).unionByName(invalid)
+    invalid = IX.rejects("pr_validate", recs.where(~PR.is_valid(recs)), PR.pull_key(), PR.invalid_reason(recs))
+    return bad_archives.unionByName(bad_blobs).unionByName(nf).unionByName(invalid)
 
 
-ORACLE["rejects"] = TREE_SQL.replace("WITH ", "WITH " + cte("fx_pulls", "fx_pr_request_log")[5:] + ",\n", 1) + """
-SELECT 'blob_fetch' AS stage, url AS key, 'blob not found' AS reason FROM src WHERE blob_text IS NULL
+ORACLE["rejects"] = PQ.PULLS_SQL.rstrip() + ", " + TREE_SQL[5:].rstrip() + ",\n" + cte("fx_archive_entries")[5:].rstrip() + f"""
+SELECT DISTINCT 'archive_read' AS stage, concat(CAST(repository_id AS VARCHAR), '@', branch) AS key, 'bad archive' AS reason FROM fx_archive_entries
+UNION ALL
+SELECT 'blob_fetch', url, CASE WHEN blob_text IS NULL THEN 'blob not found' WHEN fault = 'base64' THEN 'not base64' ELSE 'not utf-8' END
+FROM src WHERE blob_text IS NULL OR fault IS NOT NULL
+UNION ALL
+{PQ.INVALID_SQL}
 UNION ALL
 SELECT 'pr_fetch', CAST(request_id AS VARCHAR), 'pull not found' FROM fx_pr_request_log r
-WHERE NOT EXISTS (SELECT 1 FROM fx_pulls p WHERE p.pr_number = r.pr_number)"""
+WHERE NOT EXISTS (SELECT 1 FROM fx_pulls p WHERE p.repository_id = r.repository_id AND p.pr_number = r.pr_number)"""

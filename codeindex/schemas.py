@@ -25,9 +25,10 @@ ISSUE_REQUEST = T.StructType([
     _f("repository_id", L), _f("owner", S), _f("repo_name", S), _f("issue_number", L), _f("github_token", S),
 ])
 
-# Pull payload as landed from the pulls endpoint (only the fields that are used).
+# Pull payload as landed from the pulls endpoint (only the fields that are used). Payloads are fetched per
+# repository, which the landing job writes beside them: a pull is known by (repository_id, number).
 PULL = T.StructType([
-    _f("number", L), _f("title", S), _f("body", S), _f("state", S),
+    _f("repository_id", L), _f("number", L), _f("title", S), _f("body", S), _f("state", S),
     _f("created_at", S), _f("updated_at", S), _f("closed_at", S), _f("merged_at", S), _f("html_url", S),
     _f("user", T.StructType([_f("login", S)])),
     _f("labels", T.ArrayType(T.StructType([_f("name", S)]))),
@@ -43,11 +44,11 @@ PULL_EXTRAS = T.StructType([
 
 # One landed document per pull for the files and commits endpoints.
 PULL_FILES = T.StructType([
-    _f("pr_number", L),
+    _f("repository_id", L), _f("pr_number", L),
     _f("files", T.ArrayType(T.StructType([_f("filename", S), _f("additions", L), _f("deletions", L)]))),
 ])
 PULL_COMMITS = T.StructType([
-    _f("pr_number", L),
+    _f("repository_id", L), _f("pr_number", L),
     _f("commits", T.ArrayType(T.StructType([_f("commit", T.StructType([_f("message", S)]))]))),
 ])
 
@@ -56,5 +57,3 @@ TREE = T.StructType([
     _f("repository_id", L), _f("truncated", T.BooleanType()), _f("tree", T.ArrayType(TREE_ITEM)),
 ])
 BLOB = T.StructType([_f("url", S), _f("encoding", S), _f("content", S)])
-
-REJECT = T.StructType([_f("stage", S), _f("key", S), _f("reason", S)])

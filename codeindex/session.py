@@ -1,4 +1,4 @@
-"""Session helpers: table loading, shared scratch folder, checked broadcasts."""
+"""Session helpers: table loading, shared scratch folder, code shipping."""
 
 from __future__ import annotations
 
@@ -6,16 +6,12 @@ import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
 ).split()
 
-# Tables above this many rows are never broadcast; the join falls back to a shuffle.
-BROADCAST_MAX_ROWS = 100_000
-
 
 def build_session(master: str = "local[*]", partitions: int = 8, app: str = "codeindex") -> SparkSession:
     """Session used by tests and the bench; on a cluster the launcher's session is used as is."""
@@ -52,6 +48,9 @@ def shared_dir(spark: SparkSession) -> str:
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
+    master = spark.sparkContext.master
+    if not d and (not master.startswith("local") or master.startswith("local-cluster")):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not d:
         d = tempfile.mkdtemp(prefix="codeindex-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
@@ -70,13 +69,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-_REGISTERED: dict[int, str] = {}
+_REGISTERED: dict[str, str] = {}
 
 
 def register_tables(spark: SparkSession, sf_dir: str) -> None:
     """Expose the given parquet tables as temp views named after the files (once per session and folder)."""
     configure(spark)
-    sid = id(spark.sparkContext)
+    sid = spark.sparkContext.applicationId
     if _REGISTERED.get(sid) == sf_dir and spark.catalog.tableExists("documents"):
         return
     _REGISTERED[sid] = sf_dir
@@ -86,17 +85,7 @@ def register_tables(spark: SparkSession, sf_dir: str) -> None:
             table(spark, sf_dir, name).createOrReplaceTempView(name)
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only after proving it holds at most ``max_rows`` rows.
-
-    The probe reads at most ``max_rows + 1`` rows; beyond the bound the frame is
-    returned unhinted and the join stays a shuffle join.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-_SHIPPED: set[int] = set()
+_SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -111,7 +100,7 @@ def ship_package(spark: SparkSession) -> None:
     import zipfile
 
     sc = spark.sparkContext
-    if id(sc) in _SHIPPED:
+    if sc.applicationId in _SHIPPED:
         return
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
     root = os.path.dirname(pkg_dir)
@@ -123,4 +112,4 @@ def ship_package(spark: SparkSession) -> None:
                     full = os.path.join(base, f)
                     z.write(full, os.path.relpath(full, root))
     sc.addPyFile(out)
-    _SHIPPED.add(id(sc))
+    _SHIPPED.add(sc.applicationId)

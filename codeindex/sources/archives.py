@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import io
 import zipfile
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 from ..functions.languages import lookup_rows
 from ..session import ship_package
 
-ENTRY_SCHEMA = "repository_id long, entry string, content binary"
+ENTRY_SCHEMA = "repository_id long, branch string, entry string, content binary, error string"
 SLICE_ROWS = 512
 
 
@@ -51,47 +52,64 @@ def _supported_name(entry: str, keys: frozenset) -> bool:
 
 def expand_archives(archives: DataFrame, repo_col: str = "repository_id", content_col: str = "content",
                     prefilter: bool = True) -> DataFrame:
-    """(repository_id, zip bytes) rows -> (repository_id, entry, content bytes) rows.
+    """(repository_id, branch, zip bytes) rows -> (repository_id, branch, entry, content bytes) rows.
 
     With ``prefilter`` only entries that can survive the path filters are read;
     without it every entry is listed (directories with empty content).
     """
+    return _expand(archives, repo_col, content_col, prefilter).where("error is null").drop("error")
+
+
+def archive_rejects(archives: DataFrame, repo_col: str = "repository_id", content_col: str = "content") -> DataFrame:
+    """(repository_id, branch, entry, error) of archives that cannot be opened and of entries that cannot be read."""
+    return _expand(archives, repo_col, content_col, True).where("error is not null").drop("content")
+
+
+def _expand(archives: DataFrame, repo_col: str, content_col: str, prefilter: bool) -> DataFrame:
+    """Entries with their bytes or, where reading failed, the error; one bad archive never stops the others."""
     ship_package(archives.sparkSession)
     keys = frozenset(k for k, _ in lookup_rows())
 
+    def entries(blob):
+        try:
+            z = zipfile.ZipFile(io.BytesIO(blob if blob is not None else b""))
+        except Exception as exc:
+            yield None, None, f"bad archive: {type(exc).__name__}"
+            return
+        with z:
+            for info in z.infolist():
+                name = info.filename
+                if prefilter and not _supported_name(name, keys):
+                    continue
+                try:
+                    yield name, b"" if name.endswith("/") else z.read(info), None
+                except Exception as exc:
+                    yield name, None, f"bad entry: {type(exc).__name__}"
+
     def run(batches):
         for pdf in batches:
-            for rid, blob in zip(pdf[repo_col], pdf[content_col]):
-                rows_e, rows_c = [], []
-                with zipfile.ZipFile(io.BytesIO(blob)) as z:
-                    for info in z.infolist():
-                        name = info.filename
-                        if prefilter and not _supported_name(name, keys):
-                            continue
-                        rows_e.append(name)
-                        rows_c.append(b"" if name.endswith("/") else z.read(info))
-                        if len(rows_e) >= SLICE_ROWS:
-                            yield pd.DataFrame({"repository_id": rid, "entry": rows_e, "content": rows_c})
-                            rows_e, rows_c = [], []
-                if rows_e:
-                    yield pd.DataFrame({"repository_id": rid, "entry": rows_e, "content": rows_c})
-
-    return archives.select(F.col(repo_col), F.col(content_col)).mapInPandas(run, ENTRY_SCHEMA)
+            for rid, branch, blob in zip(pdf["repository_id"], pdf["branch"], pdf["content"]):
+                source = entries(blob)
+                while rows := list(islice(source, SLICE_ROWS)):
+                    names, contents, errors = zip(*rows)
+                    yield pd.DataFrame({"repository_id": rid, "branch": branch, "entry": names, "content": contents, "error": errors})
+
+    branch = F.col("branch") if "branch" in archives.columns else F.lit(None).cast("string")
+    return archives.select(F.col(repo_col).alias("repository_id"), branch.alias("branch"), F.col(content_col).alias("content")).mapInPandas(run, ENTRY_SCHEMA)
 
 
 # ---- fixture landing (test scaffolding) -----------------------------------------
 
 def zip_entries(entries: DataFrame, per_archive: int = 500) -> DataFrame:
-    """Pack (repository_id, entry, content) rows into zip archives of at most ~``per_archive`` entries.
+    """Pack (repository_id, branch, entry, content) rows into zip archives of at most ~``per_archive`` entries.
 
     A repository with many entries is split over several archives (its rows are
     hashed into ceil(n / per_archive) parts), so no single group grows with the data.
     """
-    from ..session import checked_broadcast
     ship_package(entries.sparkSession)
-    counts = entries.groupBy("repository_id").agg(F.count(F.lit(1)).alias("_n"))
+    counts = entries.groupBy("repository_id", "branch").agg(F.count(F.lit(1)).alias("_n"))
     parts = F.greatest(F.lit(1), F.ceil(F.col("_n") / per_archive)).cast("long")
-    keyed = (entries.join(checked_broadcast(counts), "repository_id")
+    keyed = (entries.join(counts, ["repository_id", "branch"])
                     .withColumn("part", F.pmod(F.xxhash64("entry"), parts)).drop("_n"))
 
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -102,8 +120,8 @@ def zip_entries(entries: DataFrame, per_archive: int = 500) -> DataFrame:
                     z.writestr(zipfile.ZipInfo(name), b"")
                 else:
                     z.writestr(name, data if isinstance(data, (bytes, bytearray)) else str(data).encode("utf-8"))
-        return pd.DataFrame({"repository_id": [int(pdf["repository_id"].iloc[0])],
+        return pd.DataFrame({"repository_id": [int(pdf["repository_id"].iloc[0])], "branch": [pdf["branch"].iloc[0]],
                              "part": [int(pdf["part"].iloc[0])], "content": [buf.getvalue()]})
 
-    return keyed.groupBy("repository_id", "part").applyInPandas(
-        pack, "repository_id long, part long, content binary")
+    return keyed.groupBy("repository_id", "branch", "part").applyInPandas(
+        pack, "repository_id long, branch string, part long, content binary")

@@ -17,8 +17,11 @@ FIXTURE_SQL: dict[str, str] = {
 SELECT repository_id,
        concat('org', CAST(repository_id % 5 AS STRING)) AS owner,
        concat('repo-', CAST(repository_id AS STRING), '.x') AS repo_name,
-       CASE repository_id % 3 WHEN 0 THEN 'main' WHEN 1 THEN 'feature/a-b' ELSE 'dev' END AS branch
-FROM (SELECT DISTINCT CAST(substr(source, 4) AS BIGINT) AS repository_id FROM documents) t
+       CASE WHEN second THEN 'release' WHEN repository_id % 3 = 0 THEN 'main' WHEN repository_id % 3 = 1 THEN 'feature/a-b' ELSE 'dev' END AS branch
+FROM (SELECT DISTINCT CAST(substr(source, 4) AS BIGINT) AS repository_id, false AS second FROM documents
+      UNION ALL
+      SELECT DISTINCT CAST(substr(source, 4) AS BIGINT) AS repository_id, true AS second FROM documents
+      WHERE CAST(substr(source, 4) AS BIGINT) % 4 = 0) t
 """,
     "fx_archive_entries": """
 SELECT doc_id, CAST(substr(source, 4) AS BIGINT) AS repository_id,
@@ -30,8 +33,9 @@ SELECT doc_id, CAST(substr(source, 4) AS BIGINT) AS repository_id,
                 WHEN 3 THEN 'd.go' WHEN 4 THEN 'e.rs' WHEN 5 THEN 'f.C' WHEN 6 THEN 'g.hpp'
                 WHEN 7 THEN 'Makefile' WHEN 8 THEN 'dockerfile' WHEN 9 THEN 'h.tar.SQL'
                 WHEN 10 THEN 'i.kt' WHEN 11 THEN 'j.bin' WHEN 12 THEN 'k.d.ts' ELSE 'README' END) END AS entry,
-       CASE WHEN doc_id % 19 = 0 THEN concat(' ', chr(9), chr(10)) ELSE text END AS content
-FROM documents
+       CASE WHEN doc_id % 19 = 0 THEN concat(' ', chr(9), chr(10)) ELSE text END AS content,
+       CASE WHEN r % 4 = 0 AND doc_id % 3 = 0 THEN 'release' WHEN r % 3 = 0 THEN 'main' WHEN r % 3 = 1 THEN 'feature/a-b' ELSE 'dev' END AS branch
+FROM (SELECT *, CAST(substr(source, 4) AS BIGINT) AS r FROM documents) t
 """,
     "fx_code_files": """
 SELECT doc_id, CAST(substr(source, 4) AS BIGINT) AS repository_id,
@@ -60,10 +64,11 @@ SELECT p_partkey AS file_id, concat('src/P', n, '.java') AS file_path,
 FROM (SELECT *, CAST(p_partkey AS STRING) AS n, chr(10) AS nl FROM part) t
 """,
     "fx_pulls": """
-SELECT o_orderkey AS pr_number, o_custkey % 20 AS repository_id,
-       concat('Change ', n, ' ', o_orderpriority) AS title,
+SELECT CAST(floor(o_orderkey / 20) AS BIGINT) AS pr_number, CAST(o_orderkey % 20 AS BIGINT) AS repository_id,
+       CASE WHEN o_orderkey % 43 = 0 THEN NULL ELSE concat('Change ', n, ' ', o_orderpriority) END AS title,
        CASE WHEN o_orderkey % 4 = 0 THEN NULL WHEN o_orderkey % 4 = 1 THEN '  ' ELSE concat(' body ', n, ' ') END AS body,
-       CASE WHEN o_orderstatus = 'O' THEN 'open' ELSE 'closed' END AS state,
+       CASE WHEN o_orderkey % 37 = 0 THEN NULL WHEN o_orderkey % 41 = 0 THEN 'draft'
+            WHEN o_orderstatus = 'O' THEN 'open' ELSE 'closed' END AS state,
        concat(substr(CAST(o_orderdate AS STRING), 1, 10), 'T12:00:00Z') AS created_at,
        CASE WHEN o_orderstatus = 'O' THEN NULL WHEN o_orderkey % 11 = 0 THEN 'not-a-date'
             ELSE concat(substr(CAST(o_orderdate AS STRING), 1, 10), 'T18:30:00+09:00') END AS closed_at,
@@ -73,7 +78,7 @@ SELECT o_orderkey AS pr_number, o_custkey % 20 AS repository_id,
 FROM (SELECT *, CAST(o_orderkey AS STRING) AS n FROM orders) t
 """,
     "fx_pull_files": """
-SELECT l_orderkey AS pr_number,
+SELECT CAST(l_orderkey % 20 AS BIGINT) AS repository_id, CAST(floor(l_orderkey / 20) AS BIGINT) AS pr_number,
        CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS BIGINT) AS position,
        concat('src/p', CAST(l_partkey AS STRING), '.py') AS filename,
        CAST(floor(l_quantity) AS BIGINT) AS additions,
@@ -81,8 +86,8 @@ SELECT l_orderkey AS pr_number,
 FROM lineitem
 """,
     "fx_pull_commits": """
-SELECT conv_id AS pr_number, turn AS position,
-       CASE WHEN (conv_id + turn) % 6 = 0 THEN '   ' ELSE concat(' ', substr(text, 1, 60), ' ') END AS message
+SELECT CAST(conv_id % 20 AS BIGINT) AS repository_id, CAST(floor(conv_id / 20) AS BIGINT) AS pr_number, turn AS position,
+       CASE WHEN (conv_id + turn) % 6 = 0 THEN '   ' ELSE concat(' ', text, ' ') END AS message
 FROM conversations
 """,
     "fx_index_batches": """
@@ -93,15 +98,15 @@ UNION ALL
 SELECT 2 AS batch_no, doc_id + 1000000 AS id, text, lang AS language, source FROM documents WHERE doc_id % 50 = 0
 """,
     "fx_search_queries": """
-SELECT item_id AS query_id, lower(substr(text, 1, 40)) AS q, item_id % 20 AS query_vec_id
-FROM benchmark WHERE item_id < 20
+SELECT item_id AS query_id, lower(text) AS q, item_id AS query_vec_id
+FROM benchmark
 """,
     "fx_pr_request_log": """
-SELECT event_id AS request_id, ts AS requested_at, user_id % 20 AS repository_id,
-       concat('org', CAST(user_id % 5 AS STRING)) AS owner,
-       concat('repo-', CAST(user_id % 20 AS STRING), '.x') AS repo_name,
-       'main' AS branch, CASE WHEN event_id % 10 = 0 THEN 900000000 + event_id ELSE event_id % 700 END AS pr_number
-FROM events WHERE event_type IN ('click', 'signup')
+SELECT event_id AS request_id, ts AS requested_at, CAST(k % 20 AS BIGINT) AS repository_id,
+       concat('org', CAST(k % 5 AS STRING)) AS owner,
+       concat('repo-', CAST(k % 20 AS STRING), '.x') AS repo_name,
+       'main' AS branch, CASE WHEN event_id % 10 = 0 THEN 900000000 + event_id ELSE CAST(floor(k / 20) AS BIGINT) END AS pr_number
+FROM (SELECT *, (event_id * 7919) % (SELECT max(o_orderkey) + 1 FROM orders) AS k FROM events) t
 """,
     "fx_tree_items": """
 SELECT doc_id, CAST(substr(source, 4) AS BIGINT) AS repository_id,
@@ -109,7 +114,8 @@ SELECT doc_id, CAST(substr(source, 4) AS BIGINT) AS repository_id,
               '","type":"', CASE WHEN doc_id % 9 = 0 THEN 'tree' ELSE 'blob' END,
               '","url":"u', CAST(doc_id AS STRING), '"}') AS item_json,
        concat('u', CAST(doc_id AS STRING)) AS url,
-       CASE WHEN doc_id % 9 = 0 OR doc_id % 23 = 0 THEN NULL ELSE text END AS blob_text
+       CASE WHEN doc_id % 9 = 0 OR doc_id % 23 = 0 THEN NULL ELSE text END AS blob_text,
+       CASE WHEN doc_id % 47 = 0 THEN 'base64' WHEN doc_id % 53 = 0 THEN 'utf8' END AS fault
 FROM documents
 """,
     "fx_archives": """

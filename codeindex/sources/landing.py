@@ -19,7 +19,7 @@ _LANDED: dict[tuple, str] = {}
 
 def landed(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame],
            fmt: str = "json", parts: int | None = None) -> str:
-    key = (id(spark.sparkContext), sf_dir, name, fmt)
+    key = (spark.sparkContext.applicationId, sf_dir, name, fmt)
     if key not in _LANDED:
         path = new_path(spark, f"landing-{name}")
         df = build()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -16,8 +16,8 @@ def read_pulls(spark: SparkSession, path: str) -> DataFrame:
 def read_pull_files(spark: SparkSession, path: str) -> DataFrame:
     """One files listing per pull -> one row per file with its 1-based position."""
     raw = spark.read.schema(schemas.PULL_FILES).json(path)
-    return raw.select("pr_number", F.posexplode("files").alias("pos", "f")).select(
-        "pr_number", (F.col("pos") + 1).cast("long").alias("position"),
+    return raw.select("repository_id", "pr_number", F.posexplode("files").alias("pos", "f")).select(
+        "repository_id", "pr_number", (F.col("pos") + 1).cast("long").alias("position"),
         F.col("f.filename").alias("filename"), F.col("f.additions").alias("additions"),
         F.col("f.deletions").alias("deletions"))
 
@@ -25,8 +25,8 @@ def read_pull_files(spark: SparkSession, path: str) -> DataFrame:
 def read_pull_commits(spark: SparkSession, path: str) -> DataFrame:
     """One commits listing per pull -> one row per commit message in order."""
     raw = spark.read.schema(schemas.PULL_COMMITS).json(path)
-    return raw.select("pr_number", F.posexplode("commits").alias("pos", "c")).select(
-        "pr_number", (F.col("pos") + 1).cast("long").alias("position"),
+    return raw.select("repository_id", "pr_number", F.posexplode("commits").alias("pos", "c")).select(
+        "repository_id", "pr_number", (F.col("pos") + 1).cast("long").alias("position"),
         F.col("c.commit.message").alias("message"))
 
 
@@ -44,7 +44,7 @@ def pulls_payload(fx_pulls: DataFrame) -> DataFrame:
     url = F.concat(F.lit("https://github.com/org"), (rid % 5).cast("string"), F.lit("/repo-"),
                    rid.cast("string"), F.lit(".x/pull/"), F.col("pr_number").cast("string"))
     return fx_pulls.select(
-        F.col("pr_number").alias("number"), "title", "body", "state", "created_at",
+        "repository_id", F.col("pr_number").alias("number"), "title", "body", "state", "created_at",
         F.col("created_at").alias("updated_at"), "closed_at", F.lit(None).cast("string").alias("merged_at"),
         url.alias("html_url"), extras["user"].alias("user"), extras["labels"].alias("labels"),
         extras["milestone"].alias("milestone"))
@@ -52,46 +52,59 @@ def pulls_payload(fx_pulls: DataFrame) -> DataFrame:
 
 def pull_files_payload(fx_pull_files: DataFrame) -> DataFrame:
     ordered = F.array_sort(F.collect_list(F.struct("position", "filename", "additions", "deletions")))
-    return fx_pull_files.groupBy("pr_number").agg(
+    return fx_pull_files.groupBy("repository_id", "pr_number").agg(
         F.transform(ordered, lambda x: F.struct(x["filename"].alias("filename"), x["additions"].alias("additions"),
                                                 x["deletions"].alias("deletions"))).alias("files"))
 
 
 def pull_commits_payload(fx_pull_commits: DataFrame) -> DataFrame:
     ordered = F.array_sort(F.collect_list(F.struct("position", "message")))
-    return fx_pull_commits.groupBy("pr_number").agg(
+    return fx_pull_commits.groupBy("repository_id", "pr_number").agg(
         F.transform(ordered, lambda x: F.struct(F.struct(x["message"].alias("message")).alias("commit"))).alias("commits"))
 
 
 # ---- ingest: parse the JSON payloads once into bucketed parquet ---------------
 
-PAYLOAD_BUCKETS = 64
+# Bytes of landed JSON behind one payload partition.
+BUCKET_BYTES = 64 << 20
+MIN_BUCKETS = 8
 
 
-def bucket_of(pr_number) -> "F.Column":
-    """The payload partition a pull number lives in."""
-    col = F.col(pr_number) if isinstance(pr_number, str) else pr_number
-    return F.pmod(col, F.lit(PAYLOAD_BUCKETS)).cast("int")
+def bucket_of(buckets: int, number: str = "pr_number") -> Column:
+    """The payload partition of a pull."""
+    return F.pmod(F.xxhash64("repository_id", number), F.lit(buckets)).cast("int")
+
+
+def landed_bytes(spark: SparkSession, *paths: str) -> int:
+    total = 0
+    for p in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(p)
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        total += fs.getContentSummary(path).getLength()
+    return total
 
 
 def ingest_payloads(spark: SparkSession, pulls_json: str, files_json: str, commits_json: str,
-                    out_root: str) -> dict[str, str]:
-    """Parse landed JSON payloads once into parquet partitioned by ``pr_bucket``.
+                    out_root: str) -> tuple[dict[str, str], int]:
+    """Parse landed JSON payloads once into parquet partitioned by ``pr_bucket``; returns the paths and the bucket count.
 
-    A stream joining its batch's pull numbers (with their buckets) against these
-    tables reads only the matching partitions (dynamic partition pruning), so the
-    per-batch cost follows the batch instead of re-parsing every payload.
+    A stream joining its batch's pulls (with their buckets) against these tables
+    reads only the matching partitions (dynamic partition pruning), so the
+    per-batch cost follows the batch instead of re-parsing every payload. The
+    number of buckets follows the size of the payloads.
     """
+    buckets = max(MIN_BUCKETS, -(-landed_bytes(spark, pulls_json, files_json, commits_json) // BUCKET_BYTES))
     paths = {}
     tables = {
-        "pulls": read_pulls(spark, pulls_json).withColumn("pr_bucket", bucket_of("number")),
-        "files": read_pull_files(spark, files_json).withColumn("pr_bucket", bucket_of("pr_number")),
-        "commits": read_pull_commits(spark, commits_json).withColumn("pr_bucket", bucket_of("pr_number")),
+        "pulls": (read_pulls(spark, pulls_json), "number"),
+        "files": (read_pull_files(spark, files_json), "pr_number"),
+        "commits": (read_pull_commits(spark, commits_json), "pr_number"),
     }
-    for name, df in tables.items():
+    for name, (df, number) in tables.items():
         path = f"{out_root}/{name}"
-        # one file per bucket, rows sorted by pull number (tight row-group statistics)
-        (df.repartition("pr_bucket").sortWithinPartitions("pr_bucket", df.columns[0])
+        # rows sorted by pull inside a bucket (tight row-group statistics)
+        (df.withColumn("pr_bucket", bucket_of(buckets, number)).repartition("pr_bucket")
+           .sortWithinPartitions("pr_bucket", "repository_id", number)
            .write.mode("overwrite").partitionBy("pr_bucket").parquet(path))
         paths[name] = path
-    return paths
+    return paths, buckets

@@ -28,10 +28,11 @@ def read_blobs(spark: SparkSession, path: str) -> DataFrame:
 
 
 def decode_blobs(blobs: DataFrame) -> DataFrame:
-    """S06 + F05: base64 (line breaks allowed) -> bytes -> UTF-8 text; invalid UTF-8 is flagged."""
-    raw = F.unbase64(F.col("content"))
-    return blobs.select("url", F.octet_length(raw).alias("size"), C.is_valid_utf8_bytes(raw).alias("utf8"),
-                        raw.cast("string").alias("text"))
+    """S06 + F05: base64 (line breaks allowed) -> bytes -> UTF-8 text; bad base64 and invalid UTF-8 are flagged."""
+    raw = F.try_to_binary(F.regexp_replace("content", r"\s", ""), F.lit("base64"))
+    utf8 = C.is_valid_utf8_bytes(raw)
+    return blobs.select("url", F.octet_length(raw).alias("size"), raw.isNotNull().alias("base64"), F.coalesce(utf8, F.lit(False)).alias("utf8"),
+                        F.when(utf8, raw.cast("string")).alias("text"))
 
 
 def join_blobs(items: DataFrame, blobs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -47,7 +48,8 @@ def join_blobs(items: DataFrame, blobs: DataFrame) -> tuple[DataFrame, DataFrame
         "url")
     bad = j.where(~F.coalesce(F.col("utf8"), F.lit(False))).select(
         F.lit("blob_fetch").alias("stage"), F.col("url").alias("key"),
-        F.when(F.col("utf8").isNull(), F.lit("blob not found")).otherwise(F.lit("not utf-8")).alias("reason"))
+        F.when(F.col("utf8").isNull(), F.lit("blob not found")).when(~F.col("base64"), F.lit("not base64"))
+         .otherwise(F.lit("not utf-8")).alias("reason"))
     return files, bad
 
 
@@ -61,6 +63,7 @@ def trees_payload(fx_tree_items: DataFrame) -> DataFrame:
 
 def blobs_payload(fx_tree_items: DataFrame) -> DataFrame:
     b64 = F.base64(F.encode(F.col("blob_text"), "UTF-8"))
-    wrapped = F.regexp_replace(b64, "(.{60})", "$1\n")
+    wrapped = (F.when(F.col("fault") == "base64", F.lit("*not base64*")).when(F.col("fault") == "utf8", F.lit("//4="))
+                .otherwise(F.regexp_replace(b64, "(.{60})", "$1\n")))
     return fx_tree_items.where(F.col("blob_text").isNotNull()).select(
         "url", F.lit("base64").alias("encoding"), wrapped.alias("content"))
