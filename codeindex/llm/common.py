@@ -18,7 +18,7 @@ _R_INV = U64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _BYTE = np.random.default_rng(20240607).integers(1, 1 << 63, 256, dtype=np.uint64) * U64(2) + U64(1)
 
 # A slice of text handled at once in a worker. Every array below is a small multiple of it.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,25 +58,26 @@ def signed(x: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(x).view(np.int64)
 
 
+def _powers(base: np.uint64, n: int) -> np.ndarray:
+    out = np.full(n, base)
+    out[:1] = 1
+    return np.multiply.accumulate(out, out=out)
+
+
 class Rolling:
     """Polynomial hashes of any byte range of a buffer, from one prefix sum modulo 2**64."""
 
     def __init__(self, buf: np.ndarray):
         n = len(buf)
-        self.power = np.empty(n + 1, np.uint64)
-        self.power[0] = 1
-        self.power[1:] = _R
-        np.multiply.accumulate(self.power, out=self.power)
         self.inverse = None
         self.prefix = np.zeros(n + 1, np.uint64)
-        np.cumsum(_BYTE[buf] * self.power[:n], out=self.prefix[1:])
+        terms = _powers(_R, n)
+        terms *= _BYTE[buf]
+        np.cumsum(terms, out=self.prefix[1:])
 
     def _inverse(self) -> np.ndarray:
         if self.inverse is None:
-            inv = np.empty(len(self.power), np.uint64)
-            inv[0] = 1
-            inv[1:] = _R_INV
-            self.inverse = np.multiply.accumulate(inv)
+            self.inverse = _powers(_R_INV, len(self.prefix))
         return self.inverse
 
     def ranges(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -146,7 +147,20 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the lower-cased words of each row, and each row's first word index (n+1 entries)."""
     buf, offsets = text_buffer(pc.utf8_lower(pc.fill_null(texts, "").cast(pa.large_string())))
     starts, ends, first = word_spans(buf, offsets)
-    return Rolling(buf).ranges(starts, ends), first
+    out = np.empty(len(starts), np.uint64)
+    for a, b in row_slices(offsets):
+        low, (i, j) = int(offsets[a]), first[[a, b]]
+        out[i:j] = Rolling(buf[low:int(offsets[b])]).ranges(starts[i:j] - low, ends[i:j] - low)
+    return out, first
+
+
+def row_slices(offsets: np.ndarray, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
+    """Row ranges of about ``most`` bytes each; one longer row is a range of its own."""
+    at, n = 0, len(offsets) - 1
+    while at < n:
+        to = min(n, max(at + 1, int(np.searchsorted(offsets, offsets[at] + most, "right")) - 1))
+        yield at, to
+        at = to
 
 
 def shingle_hashes(words: np.ndarray, first: np.ndarray, width: int = 5) -> tuple[np.ndarray, np.ndarray]:

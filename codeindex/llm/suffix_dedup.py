@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Rolling, saved, signed, slices, text_buffer
+from .common import SLICE_BYTES, Rolling, row_slices, saved, signed, slices, text_buffer
 
 DEPTH = 50
 ANCHOR = 20
@@ -153,21 +153,28 @@ def remove_repeats(docs: DataFrame, id_col: str, text_col: str, depth: int = DEP
     def answered(replies: DataFrame, fn, schema: str) -> DataFrame:
         return dealt.groupBy("g").cogroup(replies.repartition(partitions, "g").groupBy("g")).applyInArrow(fn, schema)
 
-    def place(table: pa.Table):
-        table = table.sort_by("id")
-        buf, offsets = text_buffer(table.column("text"))
-        return table, buf, offsets, Rolling(buf)
+    def scan(buf: np.ndarray, offsets: np.ndarray):
+        """Runs of a group, some rows at a time: their hashes, and for each run digit, key, first start, last start, row."""
+        for a, b in row_slices(offsets):
+            low = int(offsets[a])
+            part = buf[low:int(offsets[b])]
+            rolling = Rolling(part)
+            digit, begin, end, row = runs(part, offsets[a:b + 1] - low, rolling, depth, anchor)
+            yield low, rolling, digit, rolling.ranges(begin, end + depth), begin, end, row + a
 
     def second_digits(texts: pa.Table, replies: pa.Table) -> pa.Table:
         empty = pa.table({"first": pa.array([], pa.int64()), "key": pa.array([], pa.int64()), "g": pa.array([], pa.int32())})
         if not texts.num_rows or not replies.num_rows:
             return empty
         g = texts.column("g")[0].as_py()
-        _, buf, offsets, rolling = place(texts)
-        digit, begin, end, _ = runs(buf, offsets, rolling, depth, anchor)
-        pick = _member(digit, _replies(replies, 1))
-        key, at = np.unique(rolling.ranges(begin[pick], end[pick] + depth), return_index=True)
-        return pa.table({"first": signed(digit[pick][at]), "key": signed(key), "g": pa.array(np.full(len(key), g, np.int32))})
+        known, digits, keys = _replies(replies, 1), [], []
+        for _, _, digit, key, _, _, _ in scan(*text_buffer(texts.column("text"))):
+            pick = _member(digit, known)
+            digits.append(digit[pick])
+            keys.append(key[pick])
+        digit = np.concatenate(digits)
+        key, at = np.unique(np.concatenate(keys), return_index=True)
+        return pa.table({"first": signed(digit[at]), "key": signed(key), "g": pa.array(np.full(len(key), g, np.int32))})
 
     w = Window.partitionBy("key")
     seconds = saved(answered(shared, second_digits, "first long, key long, g int").withColumn("lo", F.min("g").over(w)), "suffix-runs")
@@ -180,45 +187,53 @@ def remove_repeats(docs: DataFrame, id_col: str, text_col: str, depth: int = DEP
         if not texts.num_rows or not replies.num_rows:
             return pa.table({"key": pa.array([], pa.int64()), "g": pa.array([], pa.int32())})
         g = texts.column("g")[0].as_py()
-        _, buf, offsets, rolling = place(texts)
-        _, begin, end, _ = runs(buf, offsets, rolling, depth, anchor)
-        pick = _member(rolling.ranges(begin, end + depth), _replies(replies, 3))
-        at = _expand(begin[pick], end[pick])
-        key = np.unique(rolling.ranges(at, at + depth))
+        asked, keys = _replies(replies, 3), []
+        for _, rolling, _, key, begin, end, _ in scan(*text_buffer(texts.column("text"))):
+            pick = _member(key, asked)
+            at = _expand(begin[pick], end[pick])
+            keys.append(np.unique(rolling.ranges(at, at + depth)))
+        key = np.unique(np.concatenate(keys))
         return pa.table({"key": signed(key), "g": pa.array(np.full(len(key), g, np.int32))})
 
     lasts = (answered(undecided, last_digits, "key long, g int").withColumn("lo", F.min("g").over(w)).where("lo < g")
              .select("g", F.lit(4).alias("kind"), "key"))
 
     def cut(texts: pa.Table, replies: pa.Table) -> pa.Table:
-        table, buf, offsets, rolling = place(texts) if texts.num_rows else (texts, np.empty(0, np.uint8), np.zeros(1, np.int64), Rolling(np.empty(0, np.uint8)))
-        ids = np.asarray(table.column("id"), np.int64)
-        digit, begin, end, row = runs(buf, offsets, rolling, depth, anchor)
-        marks = np.zeros(len(buf) + 1, np.int64)
-        if len(digit):
-            bytes_of_run = rolling.ranges(begin, end + depth)
-            whole = _member(bytes_of_run, _replies(replies, 2)) if replies.num_rows else np.zeros(len(digit), bool)
-            np.add.at(marks, begin[whole], 1)
-            np.add.at(marks, end[whole] + depth, -1)
+        buf, offsets = text_buffer(texts.column("text"))
+        ids = np.asarray(texts.column("id"), np.int64)
+        covered, asked, known = (_replies(replies, k) if replies.num_rows else np.empty(0, np.uint64) for k in (2, 3, 4))
+        marks = np.zeros(len(buf) + 1, np.int32)  # where removed strings begin, less where they end
+        held = []
+        for low, rolling, digit, key, begin, end, row in scan(buf, offsets):
+            whole = _member(key, covered)
+            np.add.at(marks, begin[whole] + low, 1)
+            np.add.at(marks, end[whole] + low + depth, -1)
             # runs that other groups could not cover: by window, against earlier groups ...
-            if replies.num_rows:
-                rest = ~whole & _member(bytes_of_run, _replies(replies, 3))
-                at = _expand(begin[rest], end[rest])
-                at = at[_member(rolling.ranges(at, at + depth), _replies(replies, 4))]
-                np.add.at(marks, at, 1)
-                np.add.at(marks, at + depth, -1)
-            # ... and against smaller ids of this group
-            order = np.argsort(digit, kind="stable")
-            first = np.flatnonzero(np.concatenate([[True], digit[order][1:] != digit[order][:-1]]))
-            several = np.minimum.reduceat(ids[row[order]], first) < np.maximum.reduceat(ids[row[order]], first)
-            local = order[np.repeat(several, np.diff(np.append(first, len(order))))]
-            at = _expand(begin[local], end[local])
-            owner = np.repeat(ids[row[local]], end[local] - begin[local] + 1)
-            at = at[repeated_windows(buf, at, owner, depth)]
+            rest = ~whole & _member(key, asked)
+            at = _expand(begin[rest], end[rest])
+            at = at[_member(rolling.ranges(at, at + depth), known)] + low
             np.add.at(marks, at, 1)
             np.add.at(marks, at + depth, -1)
+            held.append((digit, begin + low, end + low, row))
+        if held:
+            # ... and against smaller ids of this group
+            digit, begin, end, row = (np.concatenate(x) for x in zip(*held, strict=True))
+            order = np.argsort(digit, kind="stable")
+            digit, begin, end, owner = digit[order], begin[order], end[order], ids[row[order]]
+            first = np.flatnonzero(np.concatenate([[True], digit[1:] != digit[:-1]])) if len(digit) else np.empty(0, np.int64)
+            bounds = np.append(first, len(digit))
+            several = np.minimum.reduceat(owner, first) < np.maximum.reduceat(owner, first) if len(first) else np.empty(0, bool)
+            # whole digits at a time, so that about SLICE_BYTES windows are ordered at once
+            picked = np.flatnonzero(several)
+            size = np.add.reduceat(end - begin + 1, first)[picked] if len(first) else np.empty(0, np.int64)
+            for a, b in row_slices(np.concatenate([[0], np.cumsum(size)]), SLICE_BYTES // 8):
+                runs_of = _expand(bounds[picked[a:b]], bounds[picked[a:b] + 1] - 1)
+                at = _expand(begin[runs_of], end[runs_of])
+                at = at[repeated_windows(buf, at, np.repeat(owner[runs_of], end[runs_of] - begin[runs_of] + 1), depth)]
+                np.add.at(marks, at, 1)
+                np.add.at(marks, at + depth, -1)
         gone = np.cumsum(marks[:-1]) > 0
-        return _result(table.column("id"), buf, offsets, gone)
+        return _result(texts.column("id"), buf, offsets, gone)
 
     replies = covered.unionByName(undecided).unionByName(lasts)
     out = answered(replies, cut, _SCHEMA)
