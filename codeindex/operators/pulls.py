@@ -96,7 +96,7 @@ def pull_records(pulls: DataFrame, files: DataFrame, commits: DataFrame,
 
 def is_valid(df: DataFrame) -> Column:
     """state open/closed and every required field present (never null)."""
-    ok = F.coalesce(F.col("state").isin("open", "closed"), F.lit(False))
+    ok = F.col("state").isNotNull() & F.col("state").isin("open", "closed")
     for c in REQUIRED:
         ok = ok & F.col(c).isNotNull()
     return ok

@@ -63,10 +63,10 @@ def brute_force_docs(sf):
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
-    entries = con.execute(cte("fx_archive_entries") + "SELECT repository_id, entry, content FROM fx_archive_entries").fetchall()
-    reqs = {r[0]: r[1:] for r in con.execute(cte("fx_repo_requests") + "SELECT repository_id, owner, repo_name, branch FROM fx_repo_requests").fetchall()}
+    entries = con.execute(cte("fx_archive_entries") + "SELECT repository_id, branch, entry, content FROM fx_archive_entries").fetchall()
+    reqs = {(r[0], r[3]): r[1:] for r in con.execute(cte("fx_repo_requests") + "SELECT repository_id, owner, repo_name, branch FROM fx_repo_requests").fetchall()}
     out = set()
-    for rid, entry, content in entries:
+    for rid, on, entry, content in entries:
         if entry.endswith("/"):
             continue
         parts = entry.split("/")
@@ -74,11 +74,11 @@ def brute_force_docs(sf):
         if not path or "/." in path or path.startswith("."):
             continue
         lang = detect(path)
-        if lang == "unknown" or rid not in reqs:
+        if lang == "unknown" or (rid, on) not in reqs:
             continue
         if not content or not content.strip():
             continue
-        owner, repo, branch = reqs[rid]
+        owner, repo, branch = reqs[rid, on]
         gate = (lang.lower() == "java" and re.search(P.JAVA_CLASS_START, content, M)
                 and len(re.findall(P.JAVA_GATE_METHOD, content, M)) >= 2)
         size = size_for(content)

@@ -49,9 +49,9 @@ def test_prune_scope_tombstones_vanished_documents(spark):
 
 def test_dataframe_upsert_last_batch_wins(spark):
     from codeindex.operators.index import upsert
-    schema = "index_name string, id string, v long, batch_no long"
-    cur = spark.createDataFrame([("i", "a", 1, 1), ("i", "b", 1, 1)], schema)
-    new = spark.createDataFrame([("i", "a", 2, 2), ("i", "a", 3, 3), ("i", "c", 2, 2)], schema)
+    schema = "index_name string, id string, v long, run_no long, batch_no long"
+    cur = spark.createDataFrame([("i", "a", 1, 1, 1), ("i", "b", 1, 1, 1)], schema)
+    new = spark.createDataFrame([("i", "a", 2, 1, 2), ("i", "a", 3, 2, 0), ("i", "c", 2, 1, 2)], schema)
     got = sorted((r.id, r.v) for r in upsert(cur, new).collect())
     assert got == [("a", 3), ("b", 1), ("c", 2)]
 
@@ -64,17 +64,62 @@ def test_route_limit_zero_means_default_and_equality_allowed(spark):
     assert got == {1: "archive", 2: "archive", 3: "tree"}
 
 
-def test_persisted_postings_index_gives_the_same_ranking(spark):
-    from codeindex.operators import search as SR
-    from codeindex.plans import index_queries as IQ
+def test_runs_never_replace_each_other(spark):
+    from codeindex.operators.index import IndexTable
+    from codeindex.session import new_path
+    t = IndexTable(spark, new_path(spark, "runs"))
+    one, two = t.run_of(new_path(spark, "ckpt-a")), t.run_of(new_path(spark, "ckpt-b"))
+    schema = "index_name string, id string, v long"
+    t.write_batch(spark.createDataFrame([("i", "a", 1), ("i", "b", 1)], schema), 0, run_no=one)
+    t.write_batch(spark.createDataFrame([("i", "a", 2), ("i", "c", 2)], schema), 0, run_no=two)
+    assert one < two and sorted((r.id, r.v) for r in t.read().collect()) == [("a", 2), ("b", 1), ("c", 2)]
+
+
+def test_run_survives_a_restart(spark):
+    from codeindex.operators.index import IndexTable
     from codeindex.session import new_path
-    corpus, qs = IQ.corpus_df(spark, SF_SMALL), IQ.queries_df(spark, SF_SMALL)
-    direct = sorted(tuple(r) for r in SR.search_keyword(corpus, qs, k=10).select(
-        "query_id", "doc_id", "score", "rank").collect())
-    idx = SR.PostingsIndex.build(corpus, new_path(spark, "postings"))
-    via_index = sorted(tuple(r) for r in SR.search_keyword(None, qs, k=10, index=idx).select(
-        "query_id", "doc_id", "score", "rank").collect())
-    assert direct == via_index and direct
+    root, checkpoint = new_path(spark, "runs"), new_path(spark, "ckpt")
+    first = IndexTable(spark, root).run_of(checkpoint)
+    assert IndexTable(spark, root).run_of(checkpoint) == first
+    assert IndexTable(spark, root).run_of(new_path(spark, "ckpt")) == first + 1
+
+
+def test_two_branches_of_a_repository_keep_their_files_apart(spark):
+    from codeindex.operators.files import attach_requests
+    files = spark.createDataFrame([(1, "main", "a.py"), (1, "dev", "a.py"), (2, None, "b.py")], "repository_id long, branch string, file_path string")
+    requests = spark.createDataFrame([(1, "o", "r", "main"), (1, "o", "r", "dev"), (2, "o", "s", None)],
+                                     "repository_id long, owner string, repo_name string, branch string")
+    got = sorted((r.repository_id, r.branch, r.file_path) for r in attach_requests(files, requests).collect())
+    assert got == [(1, "dev", "a.py"), (1, "main", "a.py"), (2, "main", "b.py")]
+
+
+def test_pull_numbers_are_known_inside_their_repository(spark):
+    import __spark_entry__ as E
+    d = E.queries()["pr_documents"](spark, SF_SMALL)
+    wrong = d.where(~F.col("html_url").contains(F.concat(F.lit("/"), F.col("repo_name"), F.lit("/pull/"))))
+    assert d.count() > 0 and wrong.count() == 0
+    assert d.groupBy("pr_number").agg(F.countDistinct("repository_id").alias("n")).where("n > 1").count() > 0
+
+
+def test_vector_search_takes_any_number_of_queries_in_blocks(spark):
+    from codeindex.operators import search as SR
+    rng = __import__("numpy").random.default_rng(3)
+    corpus = spark.createDataFrame([(i, rng.normal(size=3072).tolist()) for i in range(40)], "doc_id long, embedding array<float>")
+    qs = corpus.select(F.col("doc_id").alias("query_id"), "embedding")
+    whole = sorted(tuple(r) for r in SR.search_vector(corpus, qs, k=3).collect())
+    kept, SR.BLOCK_BYTES = SR.BLOCK_BYTES, 1 << 17
+    try:
+        blocks = sorted(tuple(r) for r in SR.search_vector(corpus, qs, k=3).collect())
+    finally:
+        SR.BLOCK_BYTES = kept
+    assert whole == blocks and len(whole) == 120 and all(r[1] == r[0] for r in whole if r[3] == 1)
+
+
+def test_filter_search_takes_several_conditions_and_no_limit(spark):
+    from codeindex.operators.search import filter_search
+    docs = spark.createDataFrame([(str(i), ["x", "y"] if i % 2 else ["x"], i) for i in range(60)], "id string, labels array<string>, additions long")
+    assert filter_search(docs, "pr", {"labels": [("has", "x"), ("has", "y")], "additions": [("range", 10, None), ("in", [11, 12, 13])]}).count() == 2
+    assert filter_search(docs, "pr", {"labels": ("has", "x")}).count() == 60
 
 
 def test_pruning_batch_retry_is_idempotent(spark):

@@ -5,7 +5,6 @@ import os
 import tempfile
 import zipfile
 
-import pandas as pd
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -56,7 +55,9 @@ def test_parse_epoch_edge_cases(spark):
     cases = [(None, None), ("", None), ("not-a-date", None), ("12:00", None), ("2024", None),
              ("2024-01-15T12:00:00Z", 1705320000), ("2024-01-15T12:00:00+09:00", 1705287600),
              ("2024-01-15T12:00:00.987Z", 1705320000), ("20240115T120000Z", 1705320000),
-             ("2024-01-15", 1705276800)]
+             ("2024-01-15", 1705276800), ("20240115", 1705276800), ("20240115T120000", 1705320000),
+             ("2024-W03-1", 1705276800), ("2024W031", 1705276800), ("2024-W03", 1705276800),
+             ("2024-01-15 12:00:00 Europe/Paris", None), ("20241399", None), ("2024-W60-1", None)]
     df = spark.createDataFrame([(c,) for c, _ in cases], "ts string")
     got = [r[0] for r in df.select(parse_epoch(F.col("ts"))).collect()]
     assert got == [want for _, want in cases]
@@ -69,17 +70,37 @@ def test_c_function_regex_survives_long_unpunctuated_text(spark):
     assert df.select(extract_function(F.col("t"), F.col("language"))).first()[0] == "f"
 
 
-def test_arrow_batches_capped(spark):
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20")
-    try:
-        df = spark.range(0, 1000, numPartitions=2)
+def test_model_sees_at_most_twenty_texts_per_call(spark):
+    import numpy as np
+    from codeindex.operators.embed import model_embedder
+
+    def load():
+        return lambda texts: np.array([[len(texts)] for _ in texts], dtype=float)
+
+    df = spark.range(0, 1000, numPartitions=2).select(F.col("id").cast("string").alias("t"))
+    sizes = [r.e[0] for r in df.select(model_embedder(load, 1)("t").alias("e")).collect()]
+    assert max(sizes) == 20 and len(sizes) == 1000
+
+
+def test_bad_archives_and_blobs_are_rejected_and_the_rest_goes_on(spark):
+    from codeindex.sources.archives import archive_rejects, expand_archives
+    from codeindex.sources.tree import decode_blobs
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w") as z:
+        z.writestr("top/src/a.py", "print(1)")
+    df = spark.createDataFrame([(1, "main", bytearray(buf.getvalue())), (2, "main", bytearray(b"not a zip")), (3, "main", None)],
+                               "repository_id long, branch string, content binary")
+    assert [(r.repository_id, r.branch, r.entry) for r in expand_archives(df).collect()] == [(1, "main", "top/src/a.py")]
+    assert sorted((r.repository_id, r.error) for r in archive_rejects(df).collect()) == [(2, "bad archive: BadZipFile"), (3, "bad archive: BadZipFile")]
+    blobs = spark.createDataFrame([("a", "base64", "YQ=="), ("b", "base64", "*"), ("c", "base64", "//4=")], "url string, encoding string, content string")
+    assert [(r.base64, r.utf8, r.text) for r in decode_blobs(blobs).orderBy("url").collect()] == [(True, True, "a"), (False, False, None), (True, False, None)]
+
 
-        def sizes(it):
-            for pdf in it:
-                yield pd.DataFrame({"n": [len(pdf)]})
-        assert max(r.n for r in df.mapInPandas(sizes, "n long").collect()) <= 20
-    finally:
-        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+def test_wrong_vector_sizes_are_split_off(spark):
+    from codeindex.operators.embed import as_vectors, split_by_dims
+    df = spark.createDataFrame([("a", [1.0, 2.0]), ("b", [1.0]), ("c", None)], "id string, e array<float>")
+    good, bad = split_by_dims(df.select("id", as_vectors(F.col("e")).alias("_vectors")), 2)
+    assert [r.id for r in good.collect()] == ["a"] and sorted(r.id for r in bad.collect()) == ["b", "c"]
 
 
 def test_chunk_error_becomes_whole_file(spark):
@@ -130,10 +151,11 @@ def test_model_embedder_plugs_in(spark):
     def load():
         return lambda texts: np.array([[len(t), 1.0, 0.0] for t in texts])
 
-    docs = spark.createDataFrame([("a", "xyz"), ("b", "")], "id string, text string")
+    # one id under two index names: vectors meet their own row
+    docs = spark.createDataFrame([("i", "a", "xyz"), ("j", "a", "x"), ("i", "b", "")], "index_name string, id string, text string")
     vecs = docs.withColumn("embedding", model_embedder(load, 3)("text"))
-    got = {r.id: list(r._vectors["default"]) for r in attach_vectors(docs, vecs.select("id", "embedding")).collect()}
-    assert got == {"a": [3.0, 1.0, 0.0], "b": [0.0, 1.0, 0.0]}
+    got = sorted((r.index_name, r.id, list(r._vectors["default"])) for r in attach_vectors(docs, vecs).collect())
+    assert got == [("i", "a", [3.0, 1.0, 0.0]), ("i", "b", [0.0, 1.0, 0.0]), ("j", "a", [1.0, 1.0, 0.0])]
 
 
 def test_java_gate_needs_two_signatures(spark):
