@@ -42,8 +42,7 @@ SEPARATORS: dict[str, list[str]] = {
             "\ncase "] + _TAIL,
     "ruby": ["\ndef ", "\nclass ", "\nif ", "\nunless ", "\nwhile ", "\nfor ", "\ndo ", "\nbegin ",
              "\nrescue "] + _TAIL,
-    "rust": ["\nfn ", "\nconst ", "\nlet ", "\nif ", "\nwhile ", "\nfor ", "\nloop ", "\nmatch ",
-             "\nconst "] + _TAIL,
+    "rust": ["\nfn ", "\nconst ", "\nlet ", "\nif ", "\nwhile ", "\nfor ", "\nloop ", "\nmatch "] + _TAIL,
     "scala": ["\nclass ", "\nobject ", "\ndef ", "\nval ", "\nvar ", "\nif ", "\nfor ", "\nwhile ",
               "\nmatch ", "\ncase "] + _TAIL,
     "swift": ["\nfunc ", "\nclass ", "\nstruct ", "\nenum ", "\nif ", "\nfor ", "\nwhile ", "\ndo ",

@@ -359,3 +359,16 @@ def chunk_index(spark, sf):
 ORACLE["chunk_index"] = cte("fx_code_files") + """SELECT doc_id, CAST(i - 1 AS BIGINT) AS chunk_index, parts[i] AS piece
 FROM (SELECT doc_id, string_split(content, chr(10)) AS parts FROM fx_code_files) t,
      range(1, len(parts) + 1) r(i)"""
+
+
+@q("split_exact")
+def split_exact(spark, sf):
+    """G06 + G07: files of several blocks, each too long to share a chunk, by language and generic separators."""
+    f = fixture(spark, sf, "fx_split_files")
+    text = F.concat("b0", "b1", *[F.when(F.col("n_blocks") > i, F.col(f"b{i}")).otherwise("") for i in (2, 3, 4)])
+    ch = chunking.chunk_files(f.select("file_id", "file_path", "language", F.lit(1).alias("repository_id"), text.alias("content")))
+    return ch.select("file_id", "route", "chunk_index", F.col("chunk_raw").alias("chunk"))
+
+
+ORACLE["split_exact"] = cte("fx_split_files") + " UNION ALL ".join(
+    f"SELECT file_id, 'split' AS route, {i} AS chunk_index, ltrim(b{i}, chr(10)) AS chunk FROM fx_split_files WHERE n_blocks > {i}" for i in range(5))

@@ -54,6 +54,15 @@ SELECT doc_id, CAST(substr(source, 4) AS BIGINT) AS repository_id,
        CASE WHEN k IN (3, 6) THEN NULL ELSE concat('C', n) END AS want_class,
        CASE WHEN k = 6 THEN NULL ELSE concat('f', n) END AS want_func
 FROM (SELECT *, doc_id % 7 AS k, CAST(doc_id AS STRING) AS n, chr(10) AS nl FROM documents) t
+""",
+    "fx_split_files": """
+SELECT p_partkey AS file_id, 2 + p_partkey % 4 AS n_blocks,
+       CASE WHEN p_partkey % 2 = 0 THEN 'go' ELSE 'text' END AS language,
+       concat('src/s', n, CASE WHEN p_partkey % 2 = 0 THEN '.go' ELSE '.txt' END) AS file_path,
+       concat(lead, n, 'a', fill) AS b0, concat(lead, n, 'b', fill) AS b1, concat(lead, n, 'c', fill) AS b2,
+       concat(lead, n, 'd', fill) AS b3, concat(lead, n, 'e', fill) AS b4
+FROM (SELECT *, CAST(p_partkey AS STRING) AS n, concat('() { ', repeat('step; ', 140), '}') AS fill,
+             CASE WHEN p_partkey % 2 = 0 THEN concat(chr(10), 'func f') ELSE concat(chr(10), chr(10), 'para f') END AS lead FROM part) t
 """,
     "fx_java_files": """
 SELECT p_partkey AS file_id, concat('src/P', n, '.java') AS file_path,
