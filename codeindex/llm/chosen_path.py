@@ -150,7 +150,8 @@ def candidate_groups(sets: DataFrame) -> DataFrame:
     state = sets.select("id", "sketch").mapInArrow(spread, "id long, " + ", ".join(f"{k} long" for k in names))
     small, deep = None, None
     for depth, k in enumerate(names, MIN_DEPTH):
-        sizes = state.groupBy(k).agg(F.count("*").alias("size"), F.min("id").alias("least")).where("size > 1")
+        # written first: a join straight on an aggregation could not be split at a bucket of very many sets
+        sizes = saved(state.groupBy(k).agg(F.count("*").alias("size"), F.min("id").alias("least")).where("size > 1"), "path-sizes")
         state = saved(state.join(sizes, k), "paths")
         found = state.where(F.col("size") <= SMALL).select(F.col(k).alias("bucket"), "id")
         small = found if small is None else small.unionByName(found)

@@ -18,10 +18,11 @@ def components(links: DataFrame) -> DataFrame:
     edges, last = saved(both, "links"), None
     while True:
         around = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = around.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        # written first: a join straight on an aggregation could not be split at a node with very many links
+        least = saved(around.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "least-links")
         large = around.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = large.where("a <> b").distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        least = saved(large.groupBy("a").agg(F.min("b").alias("m")), "least-links")
         small = large.join(least, "a")
         small = (small.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .unionByName(least.select("a", F.col("m").alias("b")))
