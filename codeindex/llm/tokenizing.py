@@ -9,6 +9,7 @@ Pieces are told apart by a 64-bit hash of their bytes together with their length
 from __future__ import annotations
 
 import base64
+import gc
 import os
 from itertools import chain
 
@@ -114,9 +115,12 @@ class PieceEncoder:
 
     def _ids(self, piece: str) -> list[int]:
         if piece.isascii():
-            word = piece[1:] if piece[0] == " " else piece
-            if word.isalpha():  # the pattern leaves it whole
-                return self._part(word.lower() if self.lower else piece)
+            # a word, perhaps with marks behind it: the pattern leaves the word and the run of marks whole
+            core = piece.rstrip(".,;:!?")
+            word = core[1:] if core[:1] == " " else core
+            if word.isalpha():
+                ids = self._part(word.lower() if self.lower else core)
+                return ids if len(core) == len(piece) else ids + self._part(piece[len(core):])
         elif not self.plain(piece):
             return self.tokenizer.encode(piece, add_special_tokens=False).ids
         parts = self.find(piece.lower() if self.lower else piece)
@@ -137,7 +141,11 @@ class PieceEncoder:
     def _learn(self, hashes: np.ndarray, pieces: list[str]) -> None:
         if len(self.parts) > CACHE_PARTS:
             self.parts = {}
-        found = [self._ids(p) for p in pieces]
+        gc.disable()  # nothing below makes cycles, and each collection would walk all cached parts
+        try:
+            found = [self._ids(p) for p in pieces]
+        finally:
+            gc.enable()
         lengths = np.fromiter(map(len, found), np.int64, len(found))
         need = self.used + int(lengths.sum())
         if need > len(self.flat):
