@@ -55,13 +55,6 @@ LANGUAGE_TABLE: dict[str, list[str]] = {
     "vue": [".vue"],
     "svelte": [".svelte"],
 }
-
-# Languages that have a language-specific splitter entry.
-SPLITTER_LANGUAGES: list[str] = [
-    "python", "java", "javascript", "typescript", "go", "cpp", "html", "c",
-    "c_sharp", "kotlin", "php", "ruby", "rust", "scala", "swift", "markdown",
-    "rst", "lua", "perl", "haskell", "elixir", "proto", "sol", "cobol", "latex",
-]
 # ---------------------------------------------------------------------------
 
 

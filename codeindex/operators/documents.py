@@ -8,9 +8,6 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from . import chunking
 
-CODE_DOC_COLUMNS = ["id", "sourceType", "file_path", "category", "source", "text", "repository_id",
-                    "owner", "language", "html_url", "metadata", "index_name"]
-
 
 def code_documents(files_with_requests: DataFrame, **chunk_kw) -> DataFrame:
     """Files (with owner / repo_name / branch) -> one code document per chunk."""

@@ -165,34 +165,55 @@ def chunk_route(spark, sf):
 ORACLE["chunk_route"] = FILES_SQL + "SELECT doc_id, route, chunk_size FROM routed"
 
 
+_KNOWN = ["src", "file_id", "repository_id", "owner", "repo_name", "branch", "file_path", "language", "content"]
+
+
+def _known_files(spark, sf):
+    """Files of every route whose pieces SQL can spell: whole archive files, Java files and files of long blocks."""
+    whole = (chunking.with_route(_requested_files(spark, sf)).where(F.col("route") == "whole")
+             .withColumn("src", F.lit("archive")).withColumnRenamed("doc_id", "file_id"))
+    made = [_java_fixture_files(spark, sf).withColumn("src", F.lit("java")), _block_files(spark, sf).withColumn("src", F.lit("split"))]
+    out = whole.select(*_KNOWN)
+    for f in made:
+        out = out.unionByName(f.withColumns({"owner": F.lit("org1"), "repo_name": F.lit("parts"), "branch": F.lit("main"),
+                                             "repository_id": F.lit(1).cast("long")}).select(*_KNOWN))
+    return out
+
+
+# Their chunks (c), file by file.
+KNOWN_SQL = FILES_SQL + ", " + cte("fx_java_files", "fx_split_files")[5:] + """, known AS (
+  SELECT 'archive' AS src, doc_id AS file_id, f.repository_id, r.owner, r.repo_name, r.branch, file_path, language, 0 AS chunk_index, content AS c
+  FROM routed f JOIN fx_repo_requests r USING (repository_id, branch) WHERE route = 'whole'
+""" + "".join(f"""  UNION ALL SELECT 'java', file_id, 1, 'org1', 'parts', 'main', file_path, 'java', {i}, {c} FROM fx_java_files
+""" for i, c in enumerate(["substr(p_head, 1, length(p_head) - 1)", "p_m1", "p_m2"])) + "".join(
+    f"""  UNION ALL SELECT 'split', file_id, 1, 'org1', 'parts', 'main', file_path, language, {i}, ltrim(b{i}, chr(10)) FROM fx_split_files WHERE n_blocks > {i}
+""" for i in range(5)) + ")\n"
+
+
 @q("chunk_header")
 def chunk_header(spark, sf):
-    ch = chunking.chunk_records(_requested_files(spark, sf))
-    return ch.where(F.col("route") == "whole").select("doc_id", "chunk_index", F.col("chunk_text").alias("text"))
+    ch = chunking.chunk_records(_known_files(spark, sf))
+    return ch.select("src", "file_id", "chunk_index", F.col("chunk_text").alias("text"))
 
 
-ORACLE["chunk_header"] = FILES_SQL + """SELECT doc_id, 0 AS chunk_index,
-  concat('File: ', file_path, chr(10), chr(10), content) AS text FROM routed WHERE route = 'whole'"""
+ORACLE["chunk_header"] = KNOWN_SQL + "SELECT src, file_id, chunk_index, concat('File: ', file_path, chr(10), chr(10), c) AS text FROM known"
 
 
 @q("chunk_ids")
 def chunk_ids(spark, sf):
-    ch = chunking.chunk_records(_requested_files(spark, sf))
-    return ch.where(F.col("route") == "whole").select("doc_id", "chunk_id")
+    return chunking.chunk_records(_known_files(spark, sf)).select("src", "file_id", "chunk_id")
 
 
-ORACLE["chunk_ids"] = FILES_SQL + """SELECT doc_id, concat('repo_', CAST(repository_id AS VARCHAR), '_', file_path, '_0') AS chunk_id
-FROM routed WHERE route = 'whole'"""
+ORACLE["chunk_ids"] = KNOWN_SQL + """SELECT src, file_id,
+  concat('repo_', CAST(repository_id AS VARCHAR), '_', file_path, '_', CAST(chunk_index AS VARCHAR)) AS chunk_id FROM known"""
 
 
 @q("code_doc_ids")
 def code_doc_ids(spark, sf):
-    d = documents.code_documents(_requested_files(spark, sf).withColumnRenamed("doc_id", "src_doc_id"))
-    return d.where(F.col("route") == "whole").select("id", "file_path", "chunk_index")
+    return documents.code_documents(_known_files(spark, sf)).select("id", "file_path", "chunk_index")
 
 
-ORACLE["code_doc_ids"] = FILES_SQL + f"""SELECT {S.code_doc_id('repository_id', 'file_path', '0')} AS id, file_path, 0 AS chunk_index
-FROM routed WHERE route = 'whole'"""
+ORACLE["code_doc_ids"] = KNOWN_SQL + f"SELECT {S.code_doc_id('repository_id', 'file_path', 'chunk_index')} AS id, file_path, chunk_index FROM known"
 
 
 @q("code_documents")
@@ -207,20 +228,22 @@ def code_documents(spark, sf):
 
 @q("code_documents_whole")
 def code_documents_whole(spark, sf):
-    """The document columns for files kept whole (tiny files), spelled exactly by SQL."""
-    d = code_documents(spark, sf)
-    return d.join(chunking.with_route(_requested_files(spark, sf)).where(F.col("route") == "whole")
-                  .select("repository_id", "file_path"), ["repository_id", "file_path"], "left_semi")
+    """All document columns of the files of every route whose pieces SQL can spell."""
+    d = documents.code_documents(_known_files(spark, sf))
+    return d.select("id", "sourceType", "file_path", "category", "source", "text", "repository_id", "owner",
+                    "language", "html_url", "index_name", "chunk_index",
+                    F.col("metadata").getItem("class_name").alias("meta_class_name"),
+                    F.col("metadata").getItem("function_name").alias("meta_function_name"))
 
 
-ORACLE["code_documents_whole"] = FILES_SQL + f"""SELECT {S.code_doc_id('f.repository_id', 'file_path', '0')} AS id,
-  0 AS sourceType, file_path, 'CODE' AS category, concat(r.repo_name, '@', r.branch) AS source,
-  concat('File: ', file_path, chr(10), chr(10), content) AS text, f.repository_id, r.owner, language,
-  concat('https://github.com/', r.owner, '/', r.repo_name, '/blob/', r.branch, '/', file_path) AS html_url,
-  {S.index_name('r.repo_name', 'r.branch', '_code')} AS index_name, 0 AS chunk_index,
-  {S.extract_class('content', 'language')} AS meta_class_name,
-  {S.extract_function('content', 'language')} AS meta_function_name
-FROM routed f JOIN fx_repo_requests r ON f.repository_id = r.repository_id AND f.branch = r.branch WHERE route = 'whole'"""
+ORACLE["code_documents_whole"] = KNOWN_SQL + f"""SELECT {S.code_doc_id('repository_id', 'file_path', 'chunk_index')} AS id,
+  0 AS sourceType, file_path, 'CODE' AS category, concat(repo_name, '@', branch) AS source,
+  concat('File: ', file_path, chr(10), chr(10), c) AS text, repository_id, owner, language,
+  concat('https://github.com/', owner, '/', repo_name, '/blob/', branch, '/', file_path) AS html_url,
+  {S.index_name('repo_name', 'branch', '_code')} AS index_name, chunk_index,
+  {S.extract_class('c', 'language')} AS meta_class_name,
+  {S.extract_function('c', 'language')} AS meta_function_name
+FROM known"""
 
 
 @q("extract_class")
@@ -292,23 +315,14 @@ UNION ALL SELECT file_id, 2, p_m2 FROM fx_java_files"""
 
 @q("chunk_stats")
 def chunk_stats(spark, sf):
-    """A06 over chunks whose texts are known exactly: Java fixture files and whole files."""
-    java = chunking.chunk_files(_java_fixture_files(spark, sf)).select("language", "file_path", "chunk_raw")
-    whole = chunking.chunk_files(_files(spark, sf)).where(F.col("route") == "whole").select(
-        "language", "file_path", "chunk_raw")
-    both = java.unionByName(whole)
-    return both.groupBy("language").agg(
+    """A06 over the chunks of every route."""
+    return chunking.chunk_files(_known_files(spark, sf)).groupBy("src", "language").agg(
         F.count(F.lit(1)).alias("n_chunks"), F.count_distinct("file_path").alias("n_files"),
         F.round(F.avg(F.length("chunk_raw")), 6).alias("avg_chars"))
 
 
-ORACLE["chunk_stats"] = FILES_SQL.replace("WITH ", "WITH " + cte("fx_java_files")[5:] + ",\n", 1) + """, chunks AS (
-  SELECT 'java' AS language, concat('src/P', CAST(file_id AS VARCHAR), '.java') AS file_path, substr(p_head, 1, length(p_head) - 1) AS c FROM fx_java_files
-  UNION ALL SELECT 'java', concat('src/P', CAST(file_id AS VARCHAR), '.java'), p_m1 FROM fx_java_files
-  UNION ALL SELECT 'java', concat('src/P', CAST(file_id AS VARCHAR), '.java'), p_m2 FROM fx_java_files
-  UNION ALL SELECT language, file_path, content FROM routed WHERE route = 'whole')
-SELECT language, count(*) AS n_chunks, count(DISTINCT file_path) AS n_files, round(avg(length(c)), 6) AS avg_chars
-FROM chunks GROUP BY language"""
+ORACLE["chunk_stats"] = KNOWN_SQL + """SELECT src, language, count(*) AS n_chunks, count(DISTINCT file_path) AS n_files,
+  round(avg(length(c)), 6) AS avg_chars FROM known GROUP BY src, language"""
 
 
 def _split_chunks(spark, sf):
@@ -351,22 +365,24 @@ ORACLE["split_invariants"] = FILES_SQL + "SELECT doc_id, true AS within_size, tr
 
 @q("chunk_index")
 def chunk_index(spark, sf):
-    """G09's generator: ordered position per piece, here over each document's lines."""
-    d = fixture(spark, sf, "fx_code_files")
-    return d.select("doc_id", F.posexplode(F.split(F.col("content"), "\n")).alias("chunk_index", "piece"))
+    """The position of every piece of a file, on every route."""
+    ch = chunking.chunk_files(_known_files(spark, sf))
+    return ch.select("src", "file_id", "chunk_index", F.col("chunk_raw").alias("piece"))
+
+
+ORACLE["chunk_index"] = KNOWN_SQL + "SELECT src, file_id, chunk_index, c AS piece FROM known"
 
 
-ORACLE["chunk_index"] = cte("fx_code_files") + """SELECT doc_id, CAST(i - 1 AS BIGINT) AS chunk_index, parts[i] AS piece
-FROM (SELECT doc_id, string_split(content, chr(10)) AS parts FROM fx_code_files) t,
-     range(1, len(parts) + 1) r(i)"""
+def _block_files(spark, sf):
+    f = fixture(spark, sf, "fx_split_files")
+    text = F.concat("b0", "b1", *[F.when(F.col("n_blocks") > i, F.col(f"b{i}")).otherwise("") for i in (2, 3, 4)])
+    return f.select("file_id", "file_path", "language", F.lit(1).alias("repository_id"), text.alias("content"))
 
 
 @q("split_exact")
 def split_exact(spark, sf):
     """G06 + G07: files of several blocks, each too long to share a chunk, by language and generic separators."""
-    f = fixture(spark, sf, "fx_split_files")
-    text = F.concat("b0", "b1", *[F.when(F.col("n_blocks") > i, F.col(f"b{i}")).otherwise("") for i in (2, 3, 4)])
-    ch = chunking.chunk_files(f.select("file_id", "file_path", "language", F.lit(1).alias("repository_id"), text.alias("content")))
+    ch = chunking.chunk_files(_block_files(spark, sf))
     return ch.select("file_id", "route", "chunk_index", F.col("chunk_raw").alias("chunk"))
 
 

@@ -6,7 +6,6 @@ from ..functions import patterns as P
 from ..functions.languages import sql_language_case
 
 lit = P.sql_literal
-NL2 = "chr(10) || chr(10)"
 
 
 def clean_path(e: str) -> str:
