@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, text_buffer
+from .common import prepare, release, slices, text_buffer
 from .tokenizing import byte_level_json, ragged, read_ranks, worker_encoder
 
 
@@ -52,6 +52,7 @@ def character_ranges(buf: np.ndarray, offsets: np.ndarray, lengths: np.ndarray,
 
 def encode(docs: DataFrame, id_col: str, text_col: str, ranks_path: str, pattern: str, offsets: bool = False) -> DataFrame:
     """(id, ids array<int>), with char_start and char_end (array<int>) per token if ``offsets``."""
+    prepare(docs.sparkSession)
     with open(ranks_path, "rb") as f:
         ranks = read_ranks(f.read())
     # a public vocabulary of fixed size, about 1.5 MB
@@ -79,6 +80,7 @@ def encode(docs: DataFrame, id_col: str, text_col: str, ranks_path: str, pattern
 
 def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
     """(id, ids, decoded binary) of (id, ids); ids outside the vocabulary fail the job."""
+    prepare(encoded.sparkSession)
     with open(ranks_path, "rb") as f:
         shared = encoded.sparkSession.sparkContext.broadcast(ByteTable(read_ranks(f.read())))
 
@@ -94,6 +96,7 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
                 size = np.concatenate([[0], np.cumsum(table.lengths[ids])])[np.concatenate([[0], np.cumsum(n)])]
                 texts = pa.Array.from_buffers(pa.large_binary(), b.num_rows, [None, pa.py_buffer(size.astype(np.int64)), pa.py_buffer(data)])
                 yield pa.RecordBatch.from_arrays([b.column("id"), lists, texts.cast(pa.binary())], ["id", "ids", "decoded"])
+        release()
 
     kind = encoded.schema["id"].dataType.simpleString()
     return encoded.select("id", "ids").mapInArrow(run, f"id {kind}, ids array<int>, decoded binary")

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, by_groups, mix, saved, seeded, shingle_hashes, signed, slices, word_hashes
+from .common import U64, by_groups, mix, prepare, saved, seeded, shingle_hashes, signed, slices, word_hashes
 from .components import components
 
 WIDTH = 5
@@ -214,6 +214,7 @@ def verified(members: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 def similarity_classes(docs: DataFrame, id_col: str, text_col: str, threshold: float = THRESHOLD, width: int = WIDTH) -> DataFrame:
     """(id, class_id, n_links) of each id: the smallest id reachable by links, and the number of linked rows."""
+    prepare(docs.sparkSession)
     feats = saved(features(docs, id_col, text_col, width).dropDuplicates(["id"]), "shingle-sketches")
     classes = feats.where("n > 0").groupBy("h1", "h2").agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
     named = saved(feats.select("id", "h1", "h2").join(classes, ["h1", "h2"], "left").select("id", F.coalesce("rep", "id").alias("rep"), F.coalesce("copies", F.lit(1)).alias("copies")), "set-classes")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
@@ -21,8 +22,27 @@ _BYTE = np.random.default_rng(20240607).integers(1, 1 << 63, 256, dtype=np.uint6
 SLICE_BYTES = 2 << 20
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+# Rows of an Arrow batch between Spark and a worker: texts are wide, and both sides hold whole batches.
+BATCH_ROWS = 1000
+
+
+def prepare(spark: SparkSession) -> None:
+    """What every operator needs before it sends rows to workers: the package there, and bounded batches."""
     ship_package(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
+def release() -> None:
+    """Give memory that a task has freed back to the system, as workers live on."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -118,6 +138,7 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, most: int = SLICE_BYT
             to = max(at + 1, int(np.searchsorted(total, total[at] + most, "right")) - 1)
             yield batch.slice(at, to - at)
             at = to
+    release()
 
 
 _WORD = np.zeros(256, bool)
@@ -209,6 +230,7 @@ def grouped(keys: list[str], fn: Callable[[pa.Table], Iterable[pa.RecordBatch] |
                     last = key
                 held.append(batch.slice(a, b - a))
         yield from flush()
+        release()
 
     return run
 

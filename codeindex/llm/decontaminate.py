@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, mix, saved, slices, word_hashes
+from .common import U64, mix, prepare, saved, slices, word_hashes
 
 SPAN = 12
 # Places of a span that each seed looks at (fixed masks); every pair of substitutions in a span misses one of them.
@@ -136,6 +136,7 @@ def contaminated(docs: DataFrame, id_col: str, text_col: str, items: DataFrame,
                  block_seeds: int = BLOCK_SEEDS) -> DataFrame:
     """(id, item_id, start_word, n_words, share): the longest overlap of each document with each item."""
     spark = docs.sparkSession
+    prepare(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id is not null")
     bench = items.select(F.col(item_col).cast("long").alias("item"), F.col(item_text_col).alias("text")).where("item is not null and text is not null")
     # blocks of items by a hash, so that each holds at most about half of block_seeds seeds (a word is at least two bytes)

@@ -15,7 +15,6 @@ id stay separate documents, next to each other.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved, scratch, slices
+from .common import prepare, saved, scratch, slices
 from .tokenizing import worker_encoder
 
 MAX_BITS = 16
@@ -34,6 +33,7 @@ SEGMENT_IDS = 1 << 17
 
 def tokenise(docs: DataFrame, id_col: str, text_col: str, tokenizer_json: str, pattern: str, lower: bool, end_id: int) -> DataFrame:
     """(id, ids binary): little-endian uint32 ids of each text, ``end_id`` last."""
+    prepare(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(tokenizer_json)  # a public vocabulary of fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -52,7 +52,7 @@ def tokenise(docs: DataFrame, id_col: str, text_col: str, tokenizer_json: str, p
 def segments(tokens: DataFrame, partitions: int) -> DataFrame:
     """Rows (part, start_in_part, doc_ids, counts, ids) in ascending document order; every row holds whole documents.
 
-    Ids below 65536 travel as two bytes each (``width``).
+    Ids travel as two bytes each.
     """
     kind = tokens.schema["id"].dataType.simpleString()
 
@@ -269,6 +269,3 @@ def round_trip(docs: DataFrame, id_col: str, text_col: str, tokenizer_json: str,
     write(tokenise(docs, id_col, text_col, tokenizer_json, pattern, lower, end_id), path, size, partitions)
     return read(docs.sparkSession, path)
 
-
-def crc32(ids: bytes) -> int:
-    return zlib.crc32(ids)

@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, text_buffer, word_spans
+from .common import prepare, slices, text_buffer, word_spans
 
 MAX_TRAIN_ROWS = 4000
 BUCKETS = 1 << 16
@@ -199,6 +199,7 @@ def viterbi(scores: np.ndarray, first: np.ndarray, switch: float = SWITCH) -> np
 
 def fit(labelled: DataFrame, text_col: str, lang_col: str, max_rows: int = MAX_TRAIN_ROWS) -> Model:
     """Learn from (text, lang) rows; at most about ``max_rows`` rows of each language take part."""
+    prepare(labelled.sparkSession)
     rows = labelled.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where("text is not null and lang is not null")
     # a language's rows: one number per language
     sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
@@ -237,6 +238,7 @@ def fit(labelled: DataFrame, text_col: str, lang_col: str, max_rows: int = MAX_T
 
 def predict(docs: DataFrame, id_col: str, text_col: str, model: Model, spans: bool = False) -> DataFrame:
     """(id, lang_pred, score), with ``spans`` array<struct<lang, start, end>> in characters of the lower-cased text."""
+    prepare(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS x languages floats
     more = ", spans array<struct<lang:string,start:int,end:int>>" if spans else ""
 

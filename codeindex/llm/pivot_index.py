@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_groups, saved
+from .common import by_groups, prepare, saved
 from .components import components
 
 PIVOTS = 96
@@ -63,6 +63,7 @@ def unit(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def near_duplicates(vectors: DataFrame, id_col: str, vector_col: str, cosine: float = COSINE, n_pivots: int = PIVOTS) -> DataFrame:
     """(id, n_links, component) of every id."""
     spark = vectors.sparkSession
+    prepare(spark)
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v")).where("id is not null")
     rows = rows.dropDuplicates(["id"])
     plain = F.col("v").isNotNull() & (F.size("v") > 0) & ~F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists("v", lambda x: x != 0)

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SLICE_BYTES, Rolling, row_slices, saved, signed, slices, text_buffer
+from .common import SLICE_BYTES, Rolling, prepare, row_slices, saved, signed, slices, text_buffer
 
 DEPTH = 50
 ANCHOR = 20
@@ -120,6 +120,7 @@ def remove_repeats(docs: DataFrame, id_col: str, text_col: str, depth: int = DEP
                    group_bytes: int = GROUP_BYTES) -> DataFrame:
     """(id, n_bytes, n_removed, spans array<struct<start, end>> of removed bytes, kept binary) of each row."""
     spark = docs.sparkSession
+    prepare(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     nameless = rows.where("id is null")
     rows = rows.where("id is not null")

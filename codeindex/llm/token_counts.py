@@ -23,11 +23,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Rolling, slices, text_buffer
+from .common import Rolling, prepare, slices, text_buffer
 
 # A worker's trie and terminal table start anew beyond these sizes: bounded memory, same results.
-TRIE_NODES = 400_000
-KNOWN_WORDS = 3_000_000
+TRIE_NODES = 300_000
+KNOWN_WORDS = 1_500_000
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
@@ -128,6 +128,7 @@ _COUNTERS: dict[int, Counter] = {}
 
 def count_tokens(docs: DataFrame, id_col: str, text_col: str, model_path: str) -> DataFrame:
     """(id, n_pretokens long, n_tokens long) of each row."""
+    prepare(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(piece_scores(model_path))  # one entry per piece of the vocabulary
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

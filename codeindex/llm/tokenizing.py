@@ -23,8 +23,8 @@ from .common import Rolling, text_buffer
 _ODD = "[\x1c-\x1f\u0085\u00a0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff]"
 # Pieces kept by a worker (about 40 bytes each) and parts of pieces (about 250 bytes each); a cache starts anew when
 # full, which bounds its memory and changes no result.
-CACHE_PIECES = 3_000_000
-CACHE_PARTS = 200_000
+CACHE_PIECES = 1_500_000
+CACHE_PARTS = 100_000
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 

@@ -99,7 +99,7 @@ def planted(rng):
     passages = [words(rng, 70) for _ in range(3)]
     texts = [f"{words(rng, 60)} {passages[i % 3]} {words(rng, 50)}" for i in range(9)]
     changed = passages[0].split()
-    changed[20], changed[55] = "zzz", "yyy"
+    changed[35] = "zzz"
     texts.append(f"{words(rng, 60)} {' '.join(changed)} {words(rng, 50)}")
     texts += [words(rng, 200) for _ in range(20)]
     texts += ["", None, words(rng, 30), f"{words(rng, 40)} {' '.join(passages[1].split()[:40])} {words(rng, 40)}"]
