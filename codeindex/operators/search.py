@@ -241,6 +241,16 @@ def condition(c: Column, v) -> Column:
     raise ValueError(f"unknown condition {kind}")
 
 
+def conditions(kind: str, where: dict | None) -> Column:
+    """All conditions of ``where`` on the filterable attributes of an index kind."""
+    check_attributes(kind, "filterable", list(where or {}))
+    cond = F.lit(True)
+    for name, wanted in (where or {}).items():
+        for v in wanted if isinstance(wanted, list) else [wanted]:
+            cond = cond & condition(attribute(name), v)
+    return cond
+
+
 def filter_search(docs: DataFrame, kind: str, where: dict | None = None, sort: list[tuple[str, bool]] | None = None,
                   limit: int | None = None, key: str = "id") -> DataFrame:
     """Filter-only search: equality / IN / range / array-membership conditions, sort, limit.
@@ -249,14 +259,48 @@ def filter_search(docs: DataFrame, kind: str, where: dict | None = None, sort: l
     or a list of these, which must all hold. Without ``limit`` all matches are returned.
     Attributes must be declared filterable / sortable for the index kind.
     """
-    where = where or {}
     sort = sort or []
-    check_attributes(kind, "filterable", list(where))
     check_attributes(kind, "sortable", [s for s, _ in sort])
-    cond = F.lit(True)
-    for name, wanted in where.items():
-        for v in wanted if isinstance(wanted, list) else [wanted]:
-            cond = cond & condition(attribute(name), v)
+    cond = conditions(kind, where)
     order = [(attribute(s).desc_nulls_last() if desc else attribute(s).asc_nulls_last()) for s, desc in sort]
     hits = docs.where(cond).orderBy(*order, F.col(key).asc())
     return hits if limit is None else hits.limit(limit)
+
+
+# ---- one entry point over the indexed documents --------------------------------
+
+def searchable_text(docs: DataFrame, kind: str) -> Column:
+    """The searchable attributes of an index kind in rank order, one per line (arrays: one value per line)."""
+    types = dict(docs.dtypes)
+    return F.concat_ws("\n", *[F.array_join(F.col(a), "\n") if types.get(a, "").startswith("array") else attribute(a)
+                               for a in INDEX_CONFIG[kind]["searchable"]])
+
+
+def search(docs: DataFrame, kind: str, queries: DataFrame | None = None, mode: str = "keyword", ratio: float = 0.7,
+           where: dict | None = None, sort: list[tuple[str, bool]] | None = None, k: int | None = 20, key: str = "id",
+           query: str = "query_id", q_text: str = "q", q_vec: str = "embedding") -> DataFrame:
+    """Search the documents of an index.
+
+    ``mode`` is 'keyword', 'vector', 'hybrid' or 'filter'. Filters apply before scoring, so that scores, ranks and the
+    top-k are those of the filtered documents. Ranked modes give (query, key, score, rank), the top ``k`` per query;
+    'filter' gives the documents themselves, sorted.
+    """
+    if mode == "filter" or queries is None:
+        return filter_search(docs, kind, where, sort, k, key)
+    if sort:
+        raise ValueError("a ranked search is sorted by its score")
+    kept = docs.where(conditions(kind, where))
+    named = {"key": key, "query": query}
+    columns = [F.col(key)]
+    if mode in ("keyword", "hybrid"):
+        columns.append(searchable_text(docs, kind).alias("_text"))
+    if mode in ("vector", "hybrid"):
+        columns.append(F.col("_vectors").getItem("default").alias("_vec"))
+    kept = kept.select(*columns)
+    if mode == "keyword":
+        return search_keyword(kept, queries, k, text="_text", q_text=q_text, **named)
+    if mode == "vector":
+        return search_vector(kept, queries, k, vec="_vec", q_vec=q_vec, **named)
+    if mode == "hybrid":
+        return search_hybrid(kept, queries, k, ratio, text="_text", vec="_vec", q_text=q_text, q_vec=q_vec, **named)
+    raise ValueError(f"unknown mode {mode}")

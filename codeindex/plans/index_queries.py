@@ -293,3 +293,15 @@ def search_sort_pr(spark, sf):
 
 ORACLE["search_sort_pr"] = PQ.PULLS_SQL + """SELECT id, pr_number, additions, closed_at FROM docs WHERE state = 'open'
 ORDER BY additions DESC NULLS LAST, closed_at ASC NULLS LAST, id LIMIT 20"""
+
+
+@q("search_index_pr")
+def search_index_pr(spark, sf):
+    """Keyword search over all searchable attributes of the closed pull requests."""
+    return SR.search(PQ.pr_docs_df(spark, sf), "pr", queries_df(spark, sf), where={"state": "closed"}, k=5).select("query_id", "id", "score", "rank")
+
+
+ORACLE["search_index_pr"] = PQ.PULLS_SQL.rstrip() + ", " + cte("fx_search_queries")[5:].rstrip() + """, corp AS (
+  SELECT id, concat_ws(chr(10), title, body, commit_messages, changed_files) AS text FROM docs WHERE state = 'closed')
+""" + BM25_SQL[len(cte("fx_search_queries")):].replace("documents", "corp").replace("doc_id", "id") + """SELECT query_id, id, score, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM kw) t WHERE rank <= 5"""

@@ -115,6 +115,19 @@ def test_vector_search_takes_any_number_of_queries_in_blocks(spark):
     assert whole == blocks and len(whole) == 120 and all(r[1] == r[0] for r in whole if r[3] == 1)
 
 
+def test_search_modes_filter_before_ranking(spark):
+    from codeindex.operators import search as SR
+    docs = spark.createDataFrame([("a", "alpha beta", "x", "open", {"default": [1.0, 0.0]}), ("b", "alpha", "x", "closed", {"default": [0.9, 0.1]}),
+                                  ("c", "beta gamma", "alpha", "closed", {"default": [0.0, 1.0]})],
+                                 "id string, title string, body string, state string, _vectors map<string, array<float>>")
+    docs = docs.withColumn("commit_messages", F.array(F.lit("fix"))).withColumn("changed_files", F.array(F.lit("src/a.py")))
+    qs = spark.createDataFrame([(1, "alpha", [1.0, 0.0])], "query_id long, q string, embedding array<float>")
+    found = {m: [r.id for r in SR.search(docs, "pr", qs, mode=m, where={"state": "closed"}, k=2).orderBy("rank").collect()]
+             for m in ("keyword", "vector", "hybrid")}
+    assert set(found["keyword"]) == {"b", "c"} and found["vector"] == ["b", "c"] and found["hybrid"][0] == "b"
+    assert [r.id for r in SR.search(docs, "pr", mode="filter", where={"state": "closed"}).collect()] == ["b", "c"]
+
+
 def test_filter_search_takes_several_conditions_and_no_limit(spark):
     from codeindex.operators.search import filter_search
     docs = spark.createDataFrame([(str(i), ["x", "y"] if i % 2 else ["x"], i) for i in range(60)], "id string, labels array<string>, additions long")
