@@ -84,6 +84,11 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
     return np.multiply.accumulate(out, out=out)
 
 
+def powers(n: int, inverse: bool = False) -> np.ndarray:
+    """1, R, R**2, ... modulo 2**64 (or of the inverse of R)."""
+    return _powers(_R_INV if inverse else _R, n)
+
+
 class Rolling:
     """Polynomial hashes of any byte range of a buffer, from one prefix sum modulo 2**64."""
 

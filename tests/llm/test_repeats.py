@@ -124,6 +124,30 @@ def test_whole_copies_and_many_holders(frame):
     assert set(found) == set(range(1, 40)) and all(found[i].strip() == "" for i in range(2, 40, 2))
 
 
+@pytest.mark.parametrize("group_bytes", [1 << 30, 4000])
+def test_exact_repeats_behind_an_edited_first_holder(frame, group_bytes):
+    rng = random.Random(11)
+    texts, want = [], {}
+    for _ in range(60):
+        body = words(rng, 55).split()
+        edited = list(body)
+        for i in rng.sample(range(5, 50), 2):
+            edited[i] = "zzz"
+        for own in (edited, body, body):
+            texts.append(f"{words(rng, 120)} {' '.join(own)} {words(rng, 120)}")
+        want[len(texts) - 1] = len(texts) - 2
+    # the first holder has a passage twice, and only the second place is whole
+    body = words(rng, 60).split()
+    texts += [f"{' '.join(body[:30])} {words(rng, 90)} {' '.join(body)} {words(rng, 20)}", f"{words(rng, 40)} {' '.join(body)} {words(rng, 30)}"]
+    want[len(texts) - 1] = len(texts) - 2
+    found = {r.id: r for r in compact_windows.passages(frame(texts), "doc_id", "text", group_bytes=group_bytes).collect()}
+    for k, holder in want.items():
+        assert k in found, k
+        assert any(r.holder == holder and r.words >= 55 for r in found[k].repeats)
+        assert len(found[k].kept.split()) <= len(texts[k].split()) - 55
+    assert not {k for k in found if k not in want and texts[k].count("zzz") > 0}
+
+
 def test_passages_of_no_rows_and_clashing_ids(frame):
     assert compact_windows.passages(frame([]), "doc_id", "text").count() == 0
     text = words(random.Random(1), 100)
