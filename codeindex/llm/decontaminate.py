@@ -1,8 +1,10 @@
 """Benchmark decontamination (operator 6) by spaced seeds.
 
-A seed is a fixed mask over SPAN consecutive words that ignores some places; its hash survives substitutions there.
-Every benchmark item and every document is hashed under all MASKS at each word, hashes are joined, and each hit puts
-an item beside a document at one shift. Around the hit the words are compared one by one: an overlap is a stretch of
+A seed is a fixed mask over at most SPAN consecutive words that ignores some places; its hash survives substitutions
+there. Every benchmark item and every document is hashed under all MASKS at each word, hashes are joined, and each hit
+puts an item beside a document at one shift. MASKS leave a seed in every overlap, wherever its substitutions stand: a
+test enumerates all placements. Shifts with too few equal words are dropped at once, and in the others the words are
+compared one by one: an overlap is a stretch of
 at least MIN_WORDS words (or the whole item if it is shorter) of which at least SHARE agree.
 
 Items of fewer than SPAN words are matched as a whole, word by word; items without words match nothing. Seeds of the
@@ -23,28 +25,30 @@ from pyspark.sql import functions as F
 from .common import U64, mix, prepare, saved, slices, word_hashes
 
 SPAN = 12
-# Places of a span that each seed looks at (fixed masks); every pair of substitutions in a span misses one of them.
-MASKS = ["110110110110", "101101101101", "011011011011", "111100001111", "111111000000", "000000111111"]
+# Words that each seed looks at. Every 12 words with 2 substitutions, 15 with 3, 20 with 4 and 25 with 5 hold one of the
+# masks whole, and so does every longer overlap: at SHARE, one of its parts of 13 to 25 words has that share itself.
+MASKS = ["11110111", "1100101111", "11011001011", "1111111", "110100101011", "11100010111", "111010100011"]
 MIN_WORDS = 13
 SHARE = 0.8
 BLOCK_SEEDS = 1 << 21
 
 
-def seeds(words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all spans that lie in one row (starts x masks) and the starts."""
-    n = len(words) - SPAN + 1
-    if n <= 0:
-        return np.empty((0, len(MASKS)), np.uint64), np.empty(0, np.int64)
+def seeds(words: np.ndarray, first: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each mask: hashes of all its spans that lie in one row, and their starts."""
     row = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    starts = np.flatnonzero(row[:n] == row[SPAN - 1:])
-    out = np.empty((len(starts), len(MASKS)), np.uint64)
+    out = []
     for k, mask in enumerate(MASKS):
+        n = len(words) - len(mask) + 1
+        if n <= 0:
+            out.append((np.empty(0, np.uint64), np.empty(0, np.int64)))
+            continue
         h = np.full(n, k + 1, np.uint64)
         for j, bit in enumerate(mask):
             if bit == "1":
                 h += words[j:j + n] * U64(pow(0xD6E8FEB86659FD93, j + 1, 1 << 64))
-        out[:, k] = mix(h[starts])
-    return out, starts
+        starts = np.flatnonzero(row[:n] == row[len(mask) - 1:])
+        out.append((mix(h[starts]), starts))
+    return out
 
 
 def overlap(agree: np.ndarray, least: int, share: float = SHARE) -> tuple[int, int] | None:
@@ -67,14 +71,13 @@ class Seeds:
 
     def __init__(self, ids: list[int], words: np.ndarray, first: np.ndarray):
         self.ids, self.words, self.first = ids, words, first
-        h, starts = seeds(words, first)
-        row = np.searchsorted(first, starts, "right") - 1
-        self.hash = h.ravel()
-        self.item = np.repeat(row, len(MASKS))
-        self.place = np.repeat(starts - first[row], len(MASKS))
-        order = np.argsort(self.hash, kind="stable")
-        self.hash, self.item, self.place = self.hash[order], self.item[order], self.place[order]
         count = np.diff(first)
+        h, starts = (np.concatenate(x) for x in zip(*seeds(words, first), strict=True))
+        row = np.searchsorted(first, starts, "right") - 1
+        order = np.flatnonzero(count[row] >= SPAN)
+        order = order[np.argsort(h[order], kind="stable")]
+        self.hash, self.item = h[order], row[order]
+        self.place = starts[order] - first[self.item]
         # shorter items: by their first word, then as a whole
         self.short = {i: words[first[i]:first[i + 1]] for i in np.flatnonzero((count > 0) & (count < SPAN))}
         self.heads = np.sort(np.array([w[0] for w in self.short.values()], np.uint64))
@@ -83,11 +86,10 @@ class Seeds:
         """(row, item, shift) of documents that may overlap: shift is the document word that meets the item's first."""
         found = []
         if len(self.hash):
-            h, starts = seeds(words, first)
-            for k in range(h.shape[1]):
-                lo = np.searchsorted(self.hash, h[:, k])
-                at = np.flatnonzero(self.hash[np.minimum(lo, len(self.hash) - 1)] == h[:, k])
-                n = np.searchsorted(self.hash, h[at, k], "right") - lo[at]
+            for h, starts in seeds(words, first):
+                lo = np.searchsorted(self.hash, h)
+                at = np.flatnonzero(self.hash[np.minimum(lo, len(self.hash) - 1)] == h)
+                n = np.searchsorted(self.hash, h[at], "right") - lo[at]
                 which = np.repeat(lo[at] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
                 found.append(np.stack([self.item[which], np.repeat(starts[at], n) - self.place[which]], axis=1))
         if len(self.heads):
@@ -106,7 +108,19 @@ class Seeds:
         if not len(pairs):
             return []
         # a shift can begin before its row: the row is that of the seed's words, so find it by the item's middle later
-        return [tuple(x) for x in np.unique(pairs, axis=0).tolist()]
+        pairs = np.unique(pairs, axis=0)
+        return [tuple(x) for part in np.array_split(pairs, -(-len(pairs) // 10000)) for x in part[self.enough(part, words)].tolist()]
+
+    def enough(self, pairs: np.ndarray, words: np.ndarray) -> np.ndarray:
+        """Whether an item agrees at a shift with as many words as the shortest overlap has (rows apart from each other or not)."""
+        item, shift = pairs.T
+        size = np.diff(self.first)[item]
+        low, high = np.maximum(0, -shift), np.minimum(size, len(words) - shift)
+        n = np.maximum(0, high - low)
+        which = np.repeat(np.arange(len(pairs)), n)
+        j = low[which] + np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
+        equal = self.words[self.first[item][which] + j] == words[shift[which] + j]
+        return np.bincount(which, equal, len(pairs)) >= SHARE * np.minimum(MIN_WORDS, size) - 1e-9
 
 
 def _overlaps(block: Seeds, words: np.ndarray, first: np.ndarray) -> list[tuple[int, int, int, int, float]]:

@@ -197,6 +197,37 @@ def test_decontamination_equals_brute_force(spark, frame):
     assert decontaminate.contaminated(frame(docs), "doc_id", "text", bench.limit(0), "item_id", "text").count() == 0
 
 
+def test_masks_leave_a_seed_in_every_overlap():
+    masks = [int(m[::-1], 2) for m in decontaminate.MASKS]
+    for size in range(12, 2 * decontaminate.MIN_WORDS):  # a longer one has a part of this size with the share
+        wrong = int(size * (1 - decontaminate.SHARE) + 1e-9)
+        kept = np.full(1, (1 << size) - 1)
+        for _ in range(wrong):
+            kept = np.unique(np.concatenate([kept & ~(1 << i) for i in range(size)]))
+        hit = np.zeros(len(kept), bool)
+        for m in masks:
+            for at in range(size - m.bit_length() + 1):
+                hit |= kept & m << at == m << at
+        assert hit.all(), (size, int((~hit).sum()))
+
+
+def test_overlaps_with_substitutions_anywhere(spark, frame):
+    rng = random.Random(13)
+    items = [words(rng, n) for n in (60, 15, 13, 12)]
+    docs = [" ".join("zz" if i % 5 == 4 else w for i, w in enumerate(items[0].split()))]
+    docs.append(f"{words(rng, 20)} {docs[0]} {words(rng, 20)}")
+    for k in (1, 2, 3):
+        size = len(items[k].split())
+        for _ in range(60):
+            gone = rng.sample(range(1, size - 1), size // 5)
+            docs.append(f"{words(rng, rng.randint(0, 3))} {' '.join('zz' if i in gone else w for i, w in enumerate(items[k].split()))}")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {(r.id, r.item_id): r.n_words for r in decontaminate.contaminated(frame(docs), "doc_id", "text", bench, "item_id", "text").collect()}
+    for i, d in enumerate(docs):
+        for k, item in enumerate(items):
+            assert got.get((i, k), 0) == brute_overlap(item.split(), d.split()), (i, k)
+
+
 def test_queries_give_whole_results(spark):
     got = queries.op4_suffix_dedup(spark, "/root/testdata/sf0.001").collect()
     assert all(len(r.kept_sha256) == 64 for r in got)
