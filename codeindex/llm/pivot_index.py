@@ -6,10 +6,12 @@ exactly if they share two of them. Candidates of a list are verified by cosine i
 most BLOCK vectors per side, and a pair is counted on the smallest of the lists that it shares. So every link is
 counted once, only counts and a spanning forest leave a task, and a list of any length is dealt out over tasks.
 
-Vectors with equal components form a class first and are indexed once. Reference points are a sample of PIVOTS
-distinct directions, chosen by a hash; every vector is indexed. Recall against brute force is measured in the tests.
+Vectors with equal components form a class first and are indexed once. Reference points are PIVOTS directions of a
+sample of SAMPLE times as many, drawn by a hash: each is further than cosine APART from those before it, as many points
+inside one group of near vectors would be near to its members in nearly random order. Fewer points are taken where
+there are not enough directions. Every vector is indexed. Recall against brute force is measured in the tests.
 
-Null or zero vectors and those with null or non-finite components, or of another length than the first pivot, link
+Null or zero vectors and those with null or non-finite components, or of another length than most vectors have, link
 with nothing; each is its own component. Null ids are left out; rows that repeat an id are one vector.
 """
 
@@ -26,6 +28,8 @@ from .common import by_groups, prepare, saved
 from .components import components
 
 PIVOTS = 96
+SAMPLE = 16
+APART = 0.8
 PREFIX = 6
 COSINE = 0.9
 BLOCK = 512
@@ -44,6 +48,18 @@ def describe(vectors: np.ndarray, pivots: np.ndarray, prefix: int = PREFIX) -> n
     return np.argsort(-close, axis=1, kind="stable")[:, :prefix].astype(np.int16)
 
 
+def spread(sample: np.ndarray, n: int, apart: float = APART) -> np.ndarray:
+    """The first ``n`` of the unit vectors that are further than cosine ``apart`` from those taken before them."""
+    free, out = np.ones(len(sample), bool), []
+    for i, x in enumerate(sample):
+        if free[i]:
+            out.append(i)
+            free &= sample @ x < apart
+            if len(out) == n:
+                break
+    return sample[out]
+
+
 def unit(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Unit vectors in double precision, and which rows they are; rows that link with nothing are left out."""
     rows, out = [], []
@@ -74,12 +90,12 @@ def near_duplicates(vectors: DataFrame, id_col: str, vector_col: str, cosine: fl
     named = saved(hashed.select("id", "same").join(classes, "same", "left").select("id", F.coalesce("rep", "id").alias("rep"), F.coalesce("copies", F.lit(1)).alias("copies")), "vector-classes")
     reps = hashed.where("v is not null").join(named.where("id = rep").select("id", "copies"), "id")
 
-    # n_pivots vectors: a bounded sample
-    sample = unit(pa.array([r["v"] for r in reps.orderBy(F.xxhash64("id", F.lit(5)), "id").limit(n_pivots).select("v").collect()], pa.list_(pa.float64())))[1]
-    if not sample:
+    common = hashed.where("v is not null").groupBy(F.size("v").alias("width")).count().orderBy(F.desc("count"), "width").first()
+    if common is None:
         return named.select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component"))
-    width = len(sample[0])
-    pivots = spark.sparkContext.broadcast(np.stack([x for x in sample if len(x) == width]))
+    # a bounded sample
+    sample = reps.where(F.size("v") == common["width"]).orderBy(F.xxhash64("id", F.lit(5)), "id").limit(SAMPLE * n_pivots).select("v")
+    pivots = spark.sparkContext.broadcast(spread(np.stack(unit(sample.toArrow().column("v").combine_chunks())[1]), n_pivots))
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         points = pivots.value

@@ -116,6 +116,33 @@ def test_pivot_index_recall_and_precision(spark):
     assert all(got[i].n_links <= full[i].sum() for i in got) and found >= 0.9 * full.sum() > 100
 
 
+@pytest.mark.parametrize(("dim", "share", "noise"), [(32, 0.33, 0.3), (64, 0.33, 0.2), (64, 0.6, 0.32)])
+def test_recall_with_one_large_near_group(spark, dim, share, noise):
+    rng = np.random.default_rng(dim)
+    n = 1500
+    hot = int(n * share)
+    centres = np.repeat(rng.normal(size=((n - hot) // 6, dim)), 3, axis=0)
+    v = np.concatenate([rng.normal(size=dim) + rng.normal(size=(hot, dim)) * noise, centres + rng.normal(size=centres.shape) * 0.25])
+    v = np.concatenate([v, rng.normal(size=(n - len(v), dim))])
+    unit = v / np.linalg.norm(v, axis=1, keepdims=True)
+    full = unit @ unit.T >= 0.9
+    np.fill_diagonal(full, False)
+    rows = [(i, x.tolist()) for i, x in enumerate(v)]
+    got = {r.id: r.n_links for r in pivot_index.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "vec_id", "embedding").collect()}
+    assert all(got[i] <= full[i].sum() for i in got)
+    for part in (slice(0, hot), slice(hot, n)):
+        assert sum(got[i] for i in range(n)[part]) >= 0.9 * full[part].sum() > 0
+
+
+def test_the_most_frequent_length_counts(spark):
+    from pyspark.sql import functions as F
+
+    first = [r.id for r in spark.range(60).orderBy(F.xxhash64("id", F.lit(5)), "id").collect()][:3]
+    rows = [(i, [1.0, 0.5] if i in first else [1.0, 0.5, i / 1000]) for i in range(60)]
+    got = {r.id: (r.n_links, r.component) for r in pivot_index.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "vec_id", "embedding").collect()}
+    assert all(got[i] == (56, min(set(range(60)) - set(first))) for i in range(60) if i not in first)
+
+
 def test_recall_on_the_given_vectors(spark):
     df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     rows = df.collect()
