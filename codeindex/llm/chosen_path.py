@@ -14,7 +14,9 @@ sets form a class; classes of Jaccard similarity >= ``threshold`` are linked.
   size is dealt out over tasks and only counts and a spanning forest of its links leave them.
 
 A pair at the threshold survives d splits of a run with probability threshold**d; small buckets stop at d = 2, so
-RUNS = 10 runs leave about (1 - 0.64)**10 < 1e-4 of such pairs apart, and fewer of the more similar ones.
+RUNS = 10 runs leave about (1 - 0.64)**10 < 1e-4 of such pairs apart, and fewer of the more similar ones. Sets that any
+of these runs had in a larger bucket get further runs among themselves, as many as the deepest split reached needs to
+leave at most MISSED of the pairs at the threshold apart.
 
 Null or empty texts (no words) have no links and are classes of their own. Null ids are left out. Rows
 that repeat an id are one document, so they are expected to repeat its text as well; if they don't, one of them counts.
@@ -22,6 +24,7 @@ that repeat an id are one document, so they are expected to repeat its text as w
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,6 +39,7 @@ WIDTH = 5
 THRESHOLD = 0.8
 SKETCH = 128
 RUNS = 10
+MISSED = 1e-4
 MIN_DEPTH = 2
 MAX_DEPTH = 7
 SMALL = 64
@@ -134,21 +138,37 @@ def _labels(linked: np.ndarray) -> np.ndarray:
         label = new
 
 
-def candidate_groups(sets: DataFrame) -> DataFrame:
+def runs_for(depth: int, threshold: float) -> int:
+    """Runs after which at most MISSED of the pairs at the threshold never survived ``depth`` splits together."""
+    stay = min(threshold**depth, 1 - 1e-12)
+    return max(RUNS, math.ceil(math.log(MISSED) / math.log1p(-stay) - 1e-9))
+
+
+def candidate_groups(sets: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(a, b) candidate links between ``sets`` (id, sketch): a spanning forest per bucket."""
+    found, hot, depth = _runs(sets, range(max(RUNS, runs_for(MIN_DEPTH, threshold))))
+    done, needed = max(RUNS, runs_for(MIN_DEPTH, threshold)), runs_for(depth, threshold)
+    if hot is not None and needed > done:
+        more = saved(sets.join(saved(hot.distinct(), "hot-sets"), "id", "left_semi").select("id", "sketch"), "hot-sketches")
+        found = found.unionByName(_runs(more, range(done, needed))[0])
+    return found
+
+
+def _runs(sets: DataFrame, runs: range) -> tuple[DataFrame, DataFrame | None, int]:
+    """Candidate links of some runs, the sets that were in a bucket too large at MIN_DEPTH, and the deepest split reached."""
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids = np.asarray(b.column("id"))
             sketch = np.frombuffer(b"".join(b.column("sketch").to_pylist()), np.uint16).reshape(len(ids), -1)
-            for r in range(RUNS):
+            for r in runs:
                 keys = paths(sketch, r)
                 yield pa.RecordBatch.from_arrays([pa.array(ids), *(pa.array(signed(keys[:, d])) for d in range(MIN_DEPTH - 1, MAX_DEPTH))],
                                                  ["id", *(f"k{d + 1}" for d in range(MIN_DEPTH - 1, MAX_DEPTH))])
 
     names = [f"k{d}" for d in range(MIN_DEPTH, MAX_DEPTH + 1)]
     state = sets.select("id", "sketch").mapInArrow(spread, "id long, " + ", ".join(f"{k} long" for k in names))
-    small, deep = None, None
+    small, deep, hot, reached = None, None, None, MIN_DEPTH
     for depth, k in enumerate(names, MIN_DEPTH):
         # written first: a join straight on an aggregation could not be split at a bucket of very many sets
         sizes = saved(state.groupBy(k).agg(F.count("*").alias("size"), F.min("id").alias("least")).where("size > 1"), "path-sizes")
@@ -156,6 +176,9 @@ def candidate_groups(sets: DataFrame) -> DataFrame:
         found = state.where(F.col("size") <= SMALL).select(F.col(k).alias("bucket"), "id")
         small = found if small is None else small.unionByName(found)
         state = state.where(F.col("size") > SMALL)
+        if not sizes.where(F.col("size") > SMALL).isEmpty():
+            hot = state.select("id") if hot is None else hot
+            reached = min(depth + 1, MAX_DEPTH)
         if depth == MAX_DEPTH:
             deep = state.select(F.col("id").alias("a"), F.col("least").alias("b")).where("a <> b").distinct()
         state = state.drop("size", "least", k)
@@ -170,7 +193,7 @@ def candidate_groups(sets: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(ids[off]), pa.array(ids[label[off]])], ["a", "b"])
 
     members = small.join(sets.select("id", "sketch"), "id")
-    return by_groups(members, ["bucket"], search, "a long, b long").unionByName(deep)
+    return by_groups(members, ["bucket"], search, "a long, b long").unionByName(deep), hot, reached
 
 
 def verified(members: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -220,7 +243,7 @@ def similarity_classes(docs: DataFrame, id_col: str, text_col: str, threshold: f
     named = saved(feats.select("id", "h1", "h2").join(classes, ["h1", "h2"], "left").select("id", F.coalesce("rep", "id").alias("rep"), F.coalesce("copies", F.lit(1)).alias("copies")), "set-classes")
     reps = named.where("id = rep").select("id", "copies")
     sets = feats.where("n > 0").join(reps.select("id"), "id", "left_semi")
-    grouped_ids = components(candidate_groups(sets))
+    grouped_ids = components(candidate_groups(sets, threshold))
     sizes = grouped_ids.groupBy("component").agg(F.count("*").alias("size"))
     chosen = (grouped_ids.join(sizes, "component").join(reps, F.col("node") == F.col("id")).select("id", "copies", F.col("component").alias("grp"),
               F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))

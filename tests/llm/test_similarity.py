@@ -86,6 +86,29 @@ def test_large_groups_are_verified_in_blocks(frame, monkeypatch):
         assert got[i].class_id == 0 and got[i].n_links == sum(len(s & t) >= 0.8 * len(s | t) for t in sets) - 1
 
 
+def test_members_at_the_threshold_of_large_groups(frame, monkeypatch):
+    rng = random.Random(6)
+    monkeypatch.setattr(chosen_path, "SMALL", 8)
+    texts = []
+    for g in range(3):
+        base = [f"{g}x{i}" for i in range(300)]
+        for _ in range(24):
+            texts.append(" ".join([*base, str(rng.randrange(10**6))]))
+        # 30 of 297 shingles changed: Jaccard of about 0.82 with all others of the group
+        texts.append(" ".join([*(f"new{g}y{i}" for i in range(29)), *base[29:], "end"]))
+    sets = [shingles(t) for t in texts]
+    got = {r.id: r for r in chosen_path.similarity_classes(frame(texts), "doc_id", "text").collect()}
+    for i, s in enumerate(sets):
+        own = i // 25 * 25
+        assert got[i].n_links == sum(len(s & t) >= 0.8 * len(s | t) for t in sets[own:own + 25]) - 1 == 24 and got[i].class_id == own, i
+
+
+def test_runs_follow_the_depth():
+    for depth in range(2, 8):
+        n = chosen_path.runs_for(depth, 0.8)
+        assert n >= chosen_path.RUNS and (1 - 0.8**depth) ** n <= chosen_path.MISSED
+
+
 def test_jaccard_join_of_no_rows_and_repeated_rows(frame):
     assert chosen_path.similarity_classes(frame([]), "doc_id", "text").count() == 0
     got = chosen_path.similarity_classes(frame(["a b c d e f", "a b c d e f", "x"], [4, 4, None]), "doc_id", "text").collect()
