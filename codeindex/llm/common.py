@@ -117,6 +117,14 @@ class Rolling:
         return mix((self.prefix[width:] - self.prefix[:n]) * self._inverse()[:n] + U64(width))
 
 
+def distinct(buf: np.ndarray, cuts: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """The different strings (compared byte by byte) among buf[cuts[i]:cuts[i+1]], and which of them each one is."""
+    data = np.ascontiguousarray(buf)
+    pieces = pa.Array.from_buffers(pa.large_binary(), len(cuts) - 1, [None, pa.py_buffer(cuts.astype(np.int64)), pa.py_buffer(data)])
+    found = pieces.dictionary_encode()
+    return found.dictionary, np.asarray(found.indices)
+
+
 def text_buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of an Arrow string array (null: empty) and the n+1 offsets of its rows."""
     texts = pc.fill_null(texts, "").cast(pa.large_string())

@@ -10,7 +10,8 @@
 
 The file is a Parquet folder of such records (Spark's committer makes its writing safe against lost executors) next
 to a codebook folder (id, bits). Nulls: a null text is empty, so it holds the end id alone. Null document ids come first. Rows that share an
-id stay separate documents, next to each other.
+id stay separate documents, next to each other. An empty table gives an empty file; a text longer than a segment is a
+segment of its own; other columns are not read.
 """
 
 from __future__ import annotations
@@ -31,8 +32,8 @@ BLOCK_IDS = 512
 SEGMENT_IDS = 1 << 17
 
 
-def tokenise(docs: DataFrame, id_col: str, text_col: str, tokenizer_json: str, pattern: str, lower: bool, end_id: int) -> DataFrame:
-    """(id, ids binary): little-endian uint32 ids of each text, ``end_id`` last."""
+def tokenise(docs: DataFrame, id_col: str, text_col: str, tokenizer_json: str, pattern: str, lower: bool, end_id: int, width: int = 4) -> DataFrame:
+    """(id, ids binary): little-endian unsigned ids of ``width`` bytes of each text, ``end_id`` last."""
     prepare(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(tokenizer_json)  # a public vocabulary of fixed size
 
@@ -41,8 +42,8 @@ def tokenise(docs: DataFrame, id_col: str, text_col: str, tokenizer_json: str, p
         for b in slices(batches, "text"):
             ids, first = encoder.encode(b.column("text"))
             ids = np.insert(ids, first[1:], end_id)
-            first = (first + np.arange(len(first))) * 4
-            packed = pa.Array.from_buffers(pa.binary(), b.num_rows, [None, pa.py_buffer(first.astype(np.int32)), pa.py_buffer(ids.astype("<u4"))])
+            first = (first + np.arange(len(first))) * width
+            packed = pa.Array.from_buffers(pa.binary(), b.num_rows, [None, pa.py_buffer(first.astype(np.int32)), pa.py_buffer(ids.astype(f"<u{width}"))])
             yield pa.RecordBatch.from_arrays([b.column("id"), packed], ["id", "ids"])
 
     kind = docs.schema[id_col].dataType.simpleString()
@@ -193,12 +194,17 @@ def counts_of(packed: DataFrame, size: int) -> np.ndarray:
     return out
 
 
-def write(tokens: DataFrame, path: str, size: int, partitions: int) -> None:
-    """Write (id, ids) as a file of this format below ``path``: ``segments`` and ``codebook``. ``size``: ids are below it."""
+def write(tokens: DataFrame, path: str, size: int, partitions: int, width: int = 4) -> None:
+    """Write (id, ids) as a file of this format below ``path``: ``segments`` and ``codebook``. ``size``: ids are below it.
+
+    ``width``: bytes of an id in ``tokens``. The ids are saved before they are put in order, as finding the ranges
+    reads its input once more.
+    """
     if size > 1 << 16:
         raise ValueError("ids must fit in 16 bits")
     spark = tokens.sparkSession
-    narrow = tokens.select("id", "ids").mapInArrow(_narrow, tokens.select("id", "ids").schema)
+    tokens = tokens.select("id", "ids")
+    narrow = saved(tokens if width == 2 else tokens.mapInArrow(_narrow, tokens.schema), "token-ids")
     packed = saved(segments(narrow, partitions), "id-segments")
     bits = code_lengths(counts_of(packed, size))
     # one row per partition: its number of ids, to place the partitions one after another
@@ -266,6 +272,6 @@ def round_trip(docs: DataFrame, id_col: str, text_col: str, tokenizer_json: str,
                size: int, partitions: int) -> DataFrame:
     """Encode ``docs`` to a new file in the shared folder and read it back."""
     path = scratch(docs.sparkSession, "token-file")
-    write(tokenise(docs, id_col, text_col, tokenizer_json, pattern, lower, end_id), path, size, partitions)
+    write(tokenise(docs, id_col, text_col, tokenizer_json, pattern, lower, end_id, 2), path, size, partitions, 2)
     return read(docs.sparkSession, path)
 

@@ -7,10 +7,11 @@ vocabulary. A character that the vocabulary lacks costs one byte token (of the l
 
 Each worker inserts the distinct pre-tokens it meets in a trie. A node holds the best score and count of the prefix
 it stands for, computed once from the nodes above it, whichever and however many pre-tokens share that prefix; the
-count at a pre-token's last node is its token count. Known terminal counts are looked up by hash in bulk, so a
-document costs a few vector operations. Nothing is shuffled: counts depend on the text alone.
+count at a pre-token's last node is its token count. Known terminal counts are looked up by the pre-token's bytes, once
+for each different one of a slice. Nothing is shuffled: counts depend on the text alone.
 
-Null texts count as empty (0, 0). Rows are independent of each other, so ties and repeats need no rule.
+Null texts count as empty (0, 0). Rows are independent of each other, so ties and repeats need no rule; an empty table
+gives an empty one, a text of any length is one slice, and other columns are not read.
 """
 
 from __future__ import annotations
@@ -23,11 +24,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Rolling, prepare, slices, text_buffer
+from .common import distinct, prepare, slices, text_buffer
 
 # A worker's trie and terminal table start anew beyond these sizes: bounded memory, same results.
 TRIE_NODES = 300_000
-KNOWN_WORDS = 1_500_000
+KNOWN_WORDS = 400_000
+KNOWN_BYTES = 32 << 20
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
@@ -92,7 +94,19 @@ class Counter:
 
     def __init__(self, scores: dict[str, float]):
         self.trie = Trie(scores)
-        self.keys, self.counts = np.empty(0, np.uint64), np.empty(0, np.int64)
+        self.known: dict[bytes, int] = {}
+        self.held = 0
+
+    def _counts(self, names: list[bytes]) -> np.ndarray:
+        known = self.known
+        if len(known) + len(names) > KNOWN_WORDS or self.held > KNOWN_BYTES:
+            known.clear()
+            self.held = 0
+        for x in names:
+            if x not in known:
+                known[x] = self.trie.count(x.decode("utf-8", "replace"))
+                self.held += len(x)
+        return np.fromiter(map(known.__getitem__, names), np.int64, len(names))
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         buf, offsets = text_buffer(texts)
@@ -106,19 +120,19 @@ class Counter:
         begin[1:] &= ~inside[:-1] | cut[1:-1]
         finish[:-1] &= ~inside[1:] | cut[1:-1]
         starts, ends = np.flatnonzero(begin), np.flatnonzero(finish) + 1
-        hashes, first, which = np.unique(Rolling(buf).ranges(starts, ends), return_index=True, return_inverse=True)
-        if len(self.keys) + len(hashes) > KNOWN_WORDS:
-            self.keys, self.counts = np.empty(0, np.uint64), np.empty(0, np.int64)
-        at = np.searchsorted(self.keys, hashes)
-        fresh = np.flatnonzero(self.keys[np.minimum(at, len(self.keys) - 1)] != hashes) if len(self.keys) else np.arange(len(hashes))
-        if len(fresh):
-            data = buf.tobytes()
-            words = [data[a:b].decode("utf-8", "replace") for a, b in zip(starts[first[fresh]].tolist(), ends[first[fresh]].tolist(), strict=True)]
-            counts = np.fromiter(map(self.trie.count, words), np.int64, len(words))
-            self.keys = np.insert(self.keys, at[fresh], hashes[fresh])
-            self.counts = np.insert(self.counts, at[fresh], counts)
-        each = self.counts[np.searchsorted(self.keys, hashes)][which.reshape(-1)]
         row = np.searchsorted(starts, offsets)
+        if not len(starts):
+            return np.diff(row), np.zeros(n, np.int64)
+        # words and the gaps between them take turns
+        cuts = np.empty(2 * len(starts), np.int64)
+        cuts[::2], cuts[1::2] = starts, ends
+        names, which = distinct(buf, cuts)
+        which = which[::2]
+        found = np.zeros(len(names), np.int64)
+        found[which] = 1
+        words = np.flatnonzero(found)
+        found[words] = self._counts(names.take(pa.array(words)).to_pylist())
+        each = found[which]
         total = np.concatenate([[0], np.cumsum(each)])
         return np.diff(row), total[row[1:]] - total[row[:-1]]
 

@@ -3,7 +3,7 @@
 White space that follows a non-space always starts a new pre-token in the public vocabularies used here, so a
 text's ids are the ids of its pieces (a white-space run with the run of other characters behind it) one after
 another. Words repeat, so each worker keeps the ids of the pieces it has met; the library encodes the new ones.
-Pieces are told apart by a 64-bit hash of their bytes together with their length.
+Pieces are told apart by their bytes, never by a hash alone.
 """
 
 from __future__ import annotations
@@ -17,13 +17,14 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from .common import Rolling, text_buffer
+from .common import distinct, text_buffer
 
 # Separators beyond ASCII white space, or that only some libraries take as white space: such texts go in whole.
 _ODD = "[\x1c-\x1f\u0085\u00a0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff]"
-# Pieces kept by a worker (about 40 bytes each) and parts of pieces (about 250 bytes each); a cache starts anew when
-# full, which bounds its memory and changes no result.
-CACHE_PIECES = 1_500_000
+# Pieces kept by a worker (about 180 bytes each), the bytes of their texts, and parts of pieces (about 250 bytes each);
+# a cache starts anew when full, which bounds its memory and changes no result.
+CACHE_PIECES = 400_000
+CACHE_BYTES = 32 << 20
 CACHE_PARTS = 100_000
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -109,9 +110,10 @@ class PieceEncoder:
     def _reset(self) -> None:
         self.parts: dict[str, list[int]] = {}
         self.flat = np.empty(1 << 16, np.uint32)
-        self.used = 0
-        # sorted hashes of the known pieces, and where their ids lie
-        self.keys, self.starts, self.lengths = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int32)
+        self.used = self.held = 0
+        # the known pieces, and where their ids lie
+        self.slot: dict[bytes, int] = {}
+        self.starts, self.lengths = np.empty(0, np.int64), np.empty(0, np.int64)
 
     def _ids(self, piece: str) -> list[int]:
         if piece.isascii():
@@ -138,12 +140,12 @@ class PieceEncoder:
             ids = self.parts[part] = [t.id for t in self.model.tokenize(shown)]
         return ids
 
-    def _learn(self, hashes: np.ndarray, pieces: list[str]) -> None:
+    def _learn(self, names: list[bytes]) -> None:
         if len(self.parts) > CACHE_PARTS:
             self.parts = {}
         gc.disable()  # nothing below makes cycles, and each collection would walk all cached parts
         try:
-            found = [self._ids(p) for p in pieces]
+            found = [self._ids(x.decode("utf-8", "replace")) for x in names]
         finally:
             gc.enable()
         lengths = np.fromiter(map(len, found), np.int64, len(found))
@@ -151,16 +153,20 @@ class PieceEncoder:
         if need > len(self.flat):
             self.flat = np.concatenate([self.flat, np.empty(max(need, len(self.flat) // 2), np.uint32)])
         self.flat[self.used:need] = np.fromiter(chain.from_iterable(found), np.uint32, need - self.used)
-        at = np.searchsorted(self.keys, hashes)
-        self.keys = np.insert(self.keys, at, hashes)
-        self.starts = np.insert(self.starts, at, self.used + np.cumsum(lengths) - lengths)
-        self.lengths = np.insert(self.lengths, at, lengths)
+        self.slot.update(zip(names, range(len(self.slot), len(self.slot) + len(names)), strict=True))
+        self.starts = np.concatenate([self.starts, self.used + np.cumsum(lengths) - lengths])
+        self.lengths = np.concatenate([self.lengths, lengths])
         self.used = need
+        self.held += sum(map(len, names))
 
-    def _known(self, hashes: np.ndarray) -> np.ndarray:
-        if not len(self.keys):
-            return np.zeros(len(hashes), bool)
-        return self.keys[np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)] == hashes
+    def slots(self, names: list[bytes]) -> np.ndarray:
+        """Where the ids of the pieces ``names`` (all different) lie; new ones are encoded."""
+        if self.slot and (len(self.slot) + len(names) > self.most or self.held > CACHE_BYTES):
+            self._reset()
+        fresh = [x for x in names if x not in self.slot]
+        if fresh:
+            self._learn(fresh)
+        return np.fromiter(map(self.slot.__getitem__, names), np.int64, len(names))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts (null: empty) one after another, and the n+1 offsets of the texts in them."""
@@ -177,19 +183,10 @@ class PieceEncoder:
         begin[offsets] = True
         begin[-1] = False
         starts = np.flatnonzero(begin)
-        ends = np.append(starts[1:], len(buf))
-        hashes, first, which = np.unique(Rolling(buf).ranges(starts, ends), return_index=True, return_inverse=True)
-        if len(self.keys) + len(hashes) > self.most and len(self.keys):
-            self._reset()
-        fresh = np.flatnonzero(~self._known(hashes))
-        if len(fresh):
-            data = buf.tobytes()
-            self._learn(hashes[fresh], [data[a:b].decode("utf-8", "replace") for a, b in
-                                        zip(starts[first[fresh]].tolist(), ends[first[fresh]].tolist(), strict=True)])
-        slot = np.searchsorted(self.keys, hashes)
-        which = which.reshape(-1)
-        lengths = self.lengths[slot].astype(np.int64)[which]
-        ids = ragged(self.flat, self.starts[slot][which], lengths)
+        names, which = distinct(buf, np.append(starts, len(buf)))
+        slot = self.slots(names.to_pylist())[which]
+        lengths = self.lengths[slot]
+        ids = ragged(self.flat, self.starts[slot], lengths)
         total = np.concatenate([[0], np.cumsum(lengths)])
         return ids, total[np.searchsorted(starts, offsets)]
 

@@ -177,3 +177,24 @@ def test_queries_return_their_contracts(spark):
     assert all(r[i + 1].start == r[i].start + r[i].n_tokens for i in range(len(r) - 1))
     assert queries.op1_byte_bpe(spark, sf).columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
     assert 0 <= r[0].ids_crc32 < 1 << 32 and zlib.crc32(base64.b64decode("")) == 0
+
+
+def thue_morse(n):
+    """Two texts of n letters that polynomial hashes modulo 2**64 cannot tell apart (n from 1024)."""
+    a = "".join("ab"[i.bit_count() % 2] for i in range(n))
+    return a, a.translate(str.maketrans("ab", "ba"))
+
+
+@pytest.mark.parametrize("n", [1024, 2048, 4096])
+def test_pieces_of_equal_polynomial_hash_stay_apart(encoder, oracle, n):
+    texts = list(thue_morse(n))
+    assert split(encoder, texts) == [oracle(t) for t in texts]
+    with open(P.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        js = f.read()
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_str(js)
+    assert split(PieceEncoder(js, queries.split_pattern(js), True), texts) == [t.encode(x, add_special_tokens=False).ids for x in texts]
+    counter = token_counts.Counter({"▁a": -1.0, "bb": -1.5, "abb": -2.0, "a": -3.0, "b": -3.0})
+    both = counter(pa.array(texts))[1].tolist()
+    assert both == [token_counts.Counter(counter.trie.scores)(pa.array([x]))[1][0] for x in texts]
