@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
+    alignment,
     bpe,
     chosen_path,
     compact_windows,
@@ -115,6 +116,17 @@ def op10_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.mapInArrow(_digests, f"doc_id {kind}, start long, n_tokens long, ids_crc32 long")
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    with open(vocabulary("byte_bpe_50k.json"), encoding="utf-8") as f:
+        js = f.read()
+    with open(vocabulary("piece_bpe_32k.model"), "rb") as f:
+        model = f.read()
+    found, _ = alignment.align(table(spark, sf_dir, "documents"), "doc_id", "text", js, public_tokenizers.PATTERN, model)
+    return found.withColumnRenamed("id", "doc_id").drop("groups")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -122,7 +134,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_token_counts, op3_language_id, op4_suffix_dedup, op5_merkle_audit, op6_spaced_seeds,
-                                   op7_chosen_path, op8_pivot_index, op9_compact_windows, op10_huffman_ids, pipeline)}
+                                   op7_chosen_path, op8_pivot_index, op9_compact_windows, op10_huffman_ids, op11_alignment, pipeline)}
 
 ORACLE = {
     "op4_suffix_dedup": """

@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from .common import distinct, text_buffer
 
 # Separators beyond ASCII white space, or that only some libraries take as white space: such texts go in whole.
-_ODD = "[\x1c-\x1f\u0085\u00a0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff]"
+ODD_SPACE = "[\x1c-\x1f\u0085\u00a0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff]"
 # Pieces kept by a worker (about 180 bytes each), the bytes of their texts, and parts of pieces (about 250 bytes each);
 # a cache starts anew when full, which bounds its memory and changes no result.
 CACHE_PIECES = 400_000
@@ -115,7 +115,7 @@ class PieceEncoder:
         self.slot: dict[bytes, int] = {}
         self.starts, self.lengths = np.empty(0, np.int64), np.empty(0, np.int64)
 
-    def _ids(self, piece: str) -> list[int]:
+    def ids_of(self, piece: str) -> list[int]:
         if piece.isascii():
             # a word, perhaps with marks behind it: the pattern leaves the word and the run of marks whole
             core = piece.rstrip(".,;:!?")
@@ -145,7 +145,7 @@ class PieceEncoder:
             self.parts = {}
         gc.disable()  # nothing below makes cycles, and each collection would walk all cached parts
         try:
-            found = [self._ids(x.decode("utf-8", "replace")) for x in names]
+            found = [self.ids_of(x.decode("utf-8", "replace")) for x in names]
         finally:
             gc.enable()
         lengths = np.fromiter(map(len, found), np.int64, len(found))
@@ -177,7 +177,7 @@ class PieceEncoder:
         space = _SPACE[buf]
         begin = np.zeros(len(buf) + 1, bool)
         begin[1:-1] = space[1:] & ~space[:-1]
-        odd = np.asarray(pc.match_substring_regex(texts, _ODD))
+        odd = np.asarray(pc.match_substring_regex(texts, ODD_SPACE))
         for i in np.flatnonzero(odd):
             begin[offsets[i]:offsets[i + 1]] = False
         begin[offsets] = True
