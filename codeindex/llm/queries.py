@@ -19,6 +19,7 @@ from . import (
     langid,
     merkle_audit,
     pivot_index,
+    sharding,
     suffix_dedup,
     token_counts,
 )
@@ -127,6 +128,11 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id").drop("groups")
 
 
+def op13_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shards(table(spark, sf_dir, "documents"), "doc_id", "text").select(
+        F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -134,7 +140,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_token_counts, op3_language_id, op4_suffix_dedup, op5_merkle_audit, op6_spaced_seeds,
-                                   op7_chosen_path, op8_pivot_index, op9_compact_windows, op10_huffman_ids, op11_alignment, pipeline)}
+                                   op7_chosen_path, op8_pivot_index, op9_compact_windows, op10_huffman_ids, op11_alignment, op13_feistel_shards, pipeline)}
 
 ORACLE = {
     "op4_suffix_dedup": """
@@ -160,6 +166,20 @@ link AS (SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id =
 reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM reach r JOIN link l ON l.a = r.b)
 SELECT d.doc_id, min(r.b) AS class_id, (SELECT count(*) FROM link WHERE link.a = d.doc_id) AS n_links
 FROM documents d JOIN reach r ON r.a = d.doc_id GROUP BY d.doc_id""",
+    "op13_feistel_shards": f"""
+WITH RECURSIVE tab AS (SELECT list_transform(range(256), lambda t: list_reduce(range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, t)) AS crc),
+d AS (SELECT doc_id, coalesce(hex(encode(text)), '') AS h, row_number() OVER (ORDER BY doc_id NULLS FIRST, sha256(coalesce(text, '')), text IS NULL) - 1 AS k FROM documents),
+c AS (SELECT k, list_reduce(list_transform(range(length(h) // 2), lambda i: CAST('0x' || substr(h, CAST(2 * i + 1 AS INT), 2) AS BIGINT)),
+                            lambda c, x: xor(c // 256, crc[CAST(xor(c, x) % 256 + 1 AS INT)]), CAST(4294967295 AS BIGINT)) AS crc FROM d, tab),
+m AS (SELECT n, a, (n + a - 1) // a AS b FROM (SELECT count(*) AS n, CAST(ceil(sqrt(count(*))) AS BIGINT) AS a FROM d)),
+f AS (SELECT k, k % a AS l, k // a AS r, 0 AS i FROM d, m UNION ALL
+      SELECT k, CASE WHEN i % 2 = 0 THEN (l + x) % a ELSE l END, CASE WHEN i % 2 = 1 THEN (r + x) % b ELSE r END, i + 1
+      FROM (SELECT f.*, CAST('0x' || substr(md5('{sharding.SEED}:' || (i % {sharding.ROUNDS}) || ':' || CASE WHEN i % 2 = 0 THEN r ELSE l END), 1, 15) AS BIGINT) AS x FROM f), m
+      WHERE i = 0 OR i % {sharding.ROUNDS} > 0 OR l + r * a >= n),
+p AS (SELECT k, l + r * a AS p FROM f, m WHERE i > 0 AND i % {sharding.ROUNDS} = 0 AND l + r * a < n)
+SELECT doc_id, CAST(length(h) // 2 + 1 AS BIGINT) AS size, CAST(xor(crc, 4294967295) AS BIGINT) AS text_crc32, 'rows' AS law,
+       CAST(p % {sharding.SHARDS} AS INT) AS shard, CAST(p // {sharding.SHARDS} AS BIGINT) AS slot, CAST(NULL AS INT) AS grown_shard
+FROM d JOIN c USING (k) JOIN p USING (k)""",
     "op8_pivot_index": """
 WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
 link AS (SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.vec_id <> y.vec_id WHERE list_cosine_similarity(x.e, y.e) >= 0.9),
