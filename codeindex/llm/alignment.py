@@ -35,8 +35,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import distinct, prepare, release, saved, slices, text_buffer
-from .tokenizing import ODD_SPACE, PieceEncoder, byte_characters, ragged
+from .common import distinct, prepare, ragged, release, saved, slices, text_buffer
+from .tokenizing import ODD_SPACE, PieceEncoder, byte_characters
 
 BLOCK_BYTES = 16 << 20
 # Pieces kept by a worker, and the bytes of their texts; it starts anew when full, which changes no result.

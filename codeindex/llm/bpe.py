@@ -19,8 +19,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import prepare, release, slices, text_buffer
-from .tokenizing import byte_level_json, ragged, read_ranks, worker_encoder
+from .common import prepare, ragged, release, slices, text_buffer
+from .tokenizing import byte_level_json, read_ranks, worker_encoder
 
 
 class ByteTable:

@@ -125,18 +125,83 @@ def distinct(buf: np.ndarray, cuts: np.ndarray) -> tuple[pa.Array, np.ndarray]:
     return found.dictionary, np.asarray(found.indices)
 
 
+def ragged(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """flat[starts[i] : starts[i] + lengths[i]] of all i, one after another."""
+    total = np.cumsum(lengths)
+    at = np.repeat(starts - (total - lengths), lengths)
+    at += np.arange(len(at))
+    return flat[at]
+
+
+class Known:
+    """Slots 0, 1, ... of the byte strings added so far: found in bulk by a 64-bit hash, then compared byte by byte."""
+
+    def __init__(self):
+        self.keys, self.slots = np.empty(0, np.uint64), np.empty(0, np.int64)  # sorted hashes, and the slot of each
+        self.arena, self.at = np.empty(1 << 16, np.uint8), np.zeros(1, np.int64)  # their bytes, and n+1 offsets
+
+    def __len__(self) -> int:
+        return len(self.at) - 1
+
+    @property
+    def held(self) -> int:
+        return int(self.at[-1])
+
+    def find(self, names: pa.Array) -> np.ndarray:
+        """The slot of each name, -1 for one that is not known."""
+        out = np.full(len(names), -1)
+        if not len(self) or not len(names):
+            return out
+        data, off = binary_buffer(names)
+        hashes = Rolling(data).ranges(off[:-1], off[1:])
+        place = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
+        slot, size = self.slots[place], np.diff(off)
+        hit = np.flatnonzero((self.keys[place] == hashes) & (self.at[slot + 1] - self.at[slot] == size))
+        slot, size = slot[hit], size[hit]
+        differs = ragged(data, off[:-1][hit], size) != ragged(self.arena, self.at[slot], size)
+        wrong = np.concatenate([[0], np.cumsum(differs)])[np.concatenate([[0], np.cumsum(size)])]
+        same = wrong[1:] == wrong[:-1]
+        out[hit[same]] = slot[same]
+        return out
+
+    def add(self, names: pa.Array) -> np.ndarray:
+        """Which of the names (all different and unknown) were added, as the next slots; a name whose hash is taken is not."""
+        data, off = binary_buffer(names)
+        hashes, first = np.unique(Rolling(data).ranges(off[:-1], off[1:]), return_index=True)
+        place = np.searchsorted(self.keys, hashes)
+        free = self.keys[np.minimum(place, len(self.keys) - 1)] != hashes if len(self.keys) else np.ones(len(hashes), bool)
+        place, hashes, first = place[free], hashes[free], first[free]
+        order = np.argsort(first)
+        slot = np.empty(len(first), np.int64)
+        slot[order] = len(self) + np.arange(len(first))
+        added = first[order]
+        size = np.diff(off)[added]
+        used, need = self.held, self.held + int(size.sum())
+        if need > len(self.arena):
+            self.arena = np.concatenate([self.arena, np.empty(max(need, len(self.arena) // 2), np.uint8)])
+        self.arena[used:need] = ragged(data, off[:-1][added], size)
+        self.at = np.concatenate([self.at, used + np.cumsum(size)])
+        self.keys, self.slots = np.insert(self.keys, place, hashes), np.insert(self.slots, place, slot)
+        return added
+
+
+def binary_buffer(names: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of a large string or binary array without nulls, and the n+1 offsets of its rows."""
+    _, off, data = names.buffers()
+    n = len(names)
+    offsets = np.frombuffer(off, np.int64, count=n + 1 + names.offset)[names.offset:] if off is not None else np.zeros(n + 1, np.int64)
+    if n == 0 or data is None:
+        return np.empty(0, np.uint8), np.zeros(n + 1, np.int64)
+    first, last = int(offsets[0]), int(offsets[-1])
+    return np.frombuffer(data, np.uint8)[first:last], offsets - first
+
+
 def text_buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of an Arrow string array (null: empty) and the n+1 offsets of its rows."""
     texts = pc.fill_null(texts, "").cast(pa.large_string())
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
-    _, off, data = texts.buffers()
-    n = len(texts)
-    offsets = np.frombuffer(off, np.int64, count=n + 1 + texts.offset)[texts.offset:] if off is not None else np.zeros(n + 1, np.int64)
-    if n == 0 or data is None:
-        return np.empty(0, np.uint8), np.zeros(n + 1, np.int64)
-    first, last = int(offsets[0]), int(offsets[-1])
-    return np.frombuffer(data, np.uint8)[first:last], offsets - first
+    return binary_buffer(texts)
 
 
 def slices(batches: Iterable[pa.RecordBatch], column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

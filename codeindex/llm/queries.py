@@ -15,6 +15,7 @@ from . import (
     chosen_path,
     compact_windows,
     decontaminate,
+    hard_negatives,
     huffman_ids,
     langid,
     merkle_audit,
@@ -128,6 +129,14 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id").drop("groups")
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    found = hard_negatives.mine(rows.withColumn("label", label), "vec_id", "embedding", "label", F.col("id") % 100 == 0)
+    return found.select(F.col("anchor").alias("anchor_id"), F.col("positive").alias("positive_id"), "rank", F.col("negative").alias("negative_id"),
+                        "positive_score", "negative_score")
+
+
 def op13_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shards(table(spark, sf_dir, "documents"), "doc_id", "text").select(
         F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
@@ -140,7 +149,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_token_counts, op3_language_id, op4_suffix_dedup, op5_merkle_audit, op6_spaced_seeds,
-                                   op7_chosen_path, op8_pivot_index, op9_compact_windows, op10_huffman_ids, op11_alignment, op13_feistel_shards, pipeline)}
+                                   op7_chosen_path, op8_pivot_index, op9_compact_windows, op10_huffman_ids, op11_alignment, op12_hard_negatives, op13_feistel_shards, pipeline)}
 
 ORACLE = {
     "op4_suffix_dedup": """
@@ -166,6 +175,16 @@ link AS (SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id =
 reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM reach r JOIN link l ON l.a = r.b)
 SELECT d.doc_id, min(r.b) AS class_id, (SELECT count(*) FROM link WHERE link.a = d.doc_id) AS n_links
 FROM documents d JOIN reach r ON r.a = d.doc_id GROUP BY d.doc_id""",
+    "op12_hard_negatives": """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+           FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+      FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INT) AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 10""",
     "op13_feistel_shards": f"""
 WITH RECURSIVE tab AS (SELECT list_transform(range(256), lambda t: list_reduce(range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, t)) AS crc),
 d AS (SELECT doc_id, coalesce(hex(encode(text)), '') AS h, row_number() OVER (ORDER BY doc_id NULLS FIRST, sha256(coalesce(text, '')), text IS NULL) - 1 AS k FROM documents),

@@ -24,12 +24,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import distinct, prepare, slices, text_buffer
+from .common import Known, distinct, prepare, slices, text_buffer
 
 # A worker's trie and terminal table start anew beyond these sizes: bounded memory, same results.
 TRIE_NODES = 300_000
-KNOWN_WORDS = 400_000
-KNOWN_BYTES = 32 << 20
+KNOWN_WORDS = 1_500_000
+KNOWN_BYTES = 64 << 20
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
@@ -94,19 +94,20 @@ class Counter:
 
     def __init__(self, scores: dict[str, float]):
         self.trie = Trie(scores)
-        self.known: dict[bytes, int] = {}
-        self.held = 0
-
-    def _counts(self, names: list[bytes]) -> np.ndarray:
-        known = self.known
-        if len(known) + len(names) > KNOWN_WORDS or self.held > KNOWN_BYTES:
-            known.clear()
-            self.held = 0
-        for x in names:
-            if x not in known:
-                known[x] = self.trie.count(x.decode("utf-8", "replace"))
-                self.held += len(x)
-        return np.fromiter(map(known.__getitem__, names), np.int64, len(names))
+        self.known, self.counts = Known(), np.empty(0, np.int64)
+
+    def _counts(self, names: pa.Array) -> np.ndarray:
+        if len(self.known) + len(names) > KNOWN_WORDS or self.known.held > KNOWN_BYTES:
+            self.known, self.counts = Known(), np.empty(0, np.int64)
+        slot = self.known.find(names)
+        out = np.zeros(len(names), np.int64)
+        out[slot >= 0] = self.counts[slot[slot >= 0]]
+        fresh = np.flatnonzero(slot < 0)
+        if len(fresh):
+            new = names.take(pa.array(fresh))
+            out[fresh] = [self.trie.count(x.decode("utf-8", "replace")) for x in new.to_pylist()]
+            self.counts = np.concatenate([self.counts, out[fresh[self.known.add(new)]]])
+        return out
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         buf, offsets = text_buffer(texts)
@@ -131,7 +132,7 @@ class Counter:
         found = np.zeros(len(names), np.int64)
         found[which] = 1
         words = np.flatnonzero(found)
-        found[words] = self._counts(names.take(pa.array(words)).to_pylist())
+        found[words] = self._counts(names.take(pa.array(words)))
         each = found[which]
         total = np.concatenate([[0], np.cumsum(each)])
         return np.diff(row), total[row[1:]] - total[row[:-1]]

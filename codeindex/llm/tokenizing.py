@@ -3,7 +3,7 @@
 White space that follows a non-space always starts a new pre-token in the public vocabularies used here, so a
 text's ids are the ids of its pieces (a white-space run with the run of other characters behind it) one after
 another. Words repeat, so each worker keeps the ids of the pieces it has met; the library encodes the new ones.
-Pieces are told apart by their bytes, never by a hash alone.
+Pieces are found by a hash and compared byte by byte.
 """
 
 from __future__ import annotations
@@ -17,10 +17,23 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from .common import distinct, text_buffer
+from .common import Known, distinct, ragged, text_buffer
 
 # Separators beyond ASCII white space, or that only some libraries take as white space: such texts go in whole.
 ODD_SPACE = "[\x1c-\x1f\u0085\u00a0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff]"
+# Pieces kept by a worker (about 50 bytes each), the bytes of their texts, and parts of pieces (about 250 bytes each);
+# a cache starts anew when full, which bounds its memory and changes no result.
+CACHE_PIECES = 1_500_000
+CACHE_BYTES = 64 << 20
+CACHE_PARTS = 100_000
+_SPACE = "[\x1c-\x1f\u0085\u00a0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff]"
+# Pieces kept by a worker in each of two generations (about 170 bytes each), the bytes of their texts, and parts of
+# pieces (about 250 bytes each). A full generation takes the place of the older one, so what is still met is kept: this
+# bounds memory and changes no result.
+CACHE_PIECES = 400_000
+CACHE_BYTES = 32 << 20
+CACHE_PARTS = 100_000
+_SPACE = "[\x1c-\x1f\u0085\u00a0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff]"
 # Pieces kept by a worker (about 180 bytes each), the bytes of their texts, and parts of pieces (about 250 bytes each);
 # a cache starts anew when full, which bounds its memory and changes no result.
 CACHE_PIECES = 400_000
@@ -76,14 +89,6 @@ def byte_level_json(ranks: dict[bytes, int], pattern: str) -> str:
     return t.to_str()
 
 
-def ragged(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """flat[starts[i] : starts[i] + lengths[i]] of all i, one after another."""
-    total = np.cumsum(lengths)
-    at = np.repeat(starts - (total - lengths), lengths)
-    at += np.arange(len(at))
-    return flat[at]
-
-
 class PieceEncoder:
     """Flat ids of an Arrow string array, with a bounded cache of pieces.
 
@@ -109,10 +114,9 @@ class PieceEncoder:
 
     def _reset(self) -> None:
         self.parts: dict[str, list[int]] = {}
-        self.flat = np.empty(1 << 16, np.uint32)
-        self.used = self.held = 0
-        # the known pieces, and where their ids lie
-        self.slot: dict[bytes, int] = {}
+        self.known = Known()
+        # ids of the known pieces, and where those of each slot lie
+        self.flat, self.used = np.empty(1 << 16, np.uint32), 0
         self.starts, self.lengths = np.empty(0, np.int64), np.empty(0, np.int64)
 
     def ids_of(self, piece: str) -> list[int]:
@@ -140,7 +144,8 @@ class PieceEncoder:
             ids = self.parts[part] = [t.id for t in self.model.tokenize(shown)]
         return ids
 
-    def _learn(self, names: list[bytes]) -> None:
+    def _append(self, names: list[bytes]) -> None:
+        """Encode ``names`` as the next slots."""
         if len(self.parts) > CACHE_PARTS:
             self.parts = {}
         gc.disable()  # nothing below makes cycles, and each collection would walk all cached parts
@@ -153,20 +158,29 @@ class PieceEncoder:
         if need > len(self.flat):
             self.flat = np.concatenate([self.flat, np.empty(max(need, len(self.flat) // 2), np.uint32)])
         self.flat[self.used:need] = np.fromiter(chain.from_iterable(found), np.uint32, need - self.used)
-        self.slot.update(zip(names, range(len(self.slot), len(self.slot) + len(names)), strict=True))
         self.starts = np.concatenate([self.starts, self.used + np.cumsum(lengths) - lengths])
         self.lengths = np.concatenate([self.lengths, lengths])
         self.used = need
-        self.held += sum(map(len, names))
 
-    def slots(self, names: list[bytes]) -> np.ndarray:
-        """Where the ids of the pieces ``names`` (all different) lie; new ones are encoded."""
-        if self.slot and (len(self.slot) + len(names) > self.most or self.held > CACHE_BYTES):
+    def _slots(self, names: pa.Array) -> np.ndarray:
+        """Where the ids of the pieces ``names`` (all different) lie."""
+        if len(self.known) and (len(self.known) + len(names) > self.most or self.known.held > CACHE_BYTES):
             self._reset()
-        fresh = [x for x in names if x not in self.slot]
-        if fresh:
-            self._learn(fresh)
-        return np.fromiter(map(self.slot.__getitem__, names), np.int64, len(names))
+        slot = self.known.find(names)
+        fresh = np.flatnonzero(slot < 0)
+        if len(fresh):
+            new = names.take(pa.array(fresh))
+            added = self.known.add(new)
+            base, some = len(self.known) - len(added), new.to_pylist()
+            self._append([some[i] for i in added.tolist()])
+            slot[fresh[added]] = base + np.arange(len(added))
+            rest = np.flatnonzero(slot < 0)
+            if len(rest):  # another piece has their hash: they take slots for this call only
+                keep = self.used, len(self.starts)
+                self._append(names.take(pa.array(rest)).to_pylist())
+                slot[rest] = keep[1] + np.arange(len(rest))
+                self.spare = keep
+        return slot
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts (null: empty) one after another, and the n+1 offsets of the texts in them."""
@@ -184,9 +198,13 @@ class PieceEncoder:
         begin[-1] = False
         starts = np.flatnonzero(begin)
         names, which = distinct(buf, np.append(starts, len(buf)))
-        slot = self.slots(names.to_pylist())[which]
+        self.spare = None
+        slot = self._slots(names)[which]
         lengths = self.lengths[slot]
         ids = ragged(self.flat, self.starts[slot], lengths)
+        if self.spare is not None:
+            self.used, n = self.spare
+            self.starts, self.lengths = self.starts[:n], self.lengths[:n]
         total = np.concatenate([[0], np.cumsum(lengths)])
         return ids, total[np.searchsorted(starts, offsets)]
 
