@@ -1,56 +1,35 @@
 """Batch retrieval over a query table.
 
 Keyword scoring is BM25 (Robertson & Zaragoza, 2009; k1 = 1.2, b = 0.75,
-idf = ln(1 + (N - df + 0.5) / (df + 0.5))) over word tokens; vector scoring is
-cosine similarity. Scores are rounded to 6 decimals and ties go to the smaller
-document key, so the ranking is deterministic. Every top-k is per query:
-``row_number() <= k`` lets Catalyst cut each query to k rows inside every task
-before the shuffle, so a query that matches everything never lands whole in
-one task.
+idf = ln(1 + (N - df + 0.5) / (df + 0.5))) over word tokens, read from a
+:class:`~codeindex.operators.keyword.KeywordIndex`; vector scoring is cosine
+similarity, read from a :class:`~codeindex.operators.vectors.VectorIndex`; hybrid
+search runs a threshold algorithm over the two ranked lists. Scores are rounded to
+6 decimals and ties end with the smaller document key, so the ranking is
+deterministic. Every top-k is per query: ``row_number() <= k`` lets Catalyst cut each
+query to k rows inside every task before the shuffle, so a query that matches
+everything never lands whole in one task.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ship_package
-from .embed import tokens
 from .index import INDEX_CONFIG
+from .keyword import KeywordIndex, _held, attribute_text
+from .keyword import postings as attribute_postings
+from .vectors import VectorIndex
 
-K1, B = 1.2, 0.75
-# Bytes of one block of query vectors, and of one block of corpus vectors, in a task.
-BLOCK_BYTES = 16 << 20
+# Rows of each ranked list that hybrid search reads first, per wanted result, and by how much it reads on.
+DEPTH, DEEPER = 8, 4
 
 
 # ---- Q01 -------------------------------------------------------------------
 
 def postings(corpus: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, token, tf, dl): one shuffle keyed by (key, token); dl is computed per row."""
-    return token_rows(corpus, key, text).groupBy(key, "token", "dl").agg(F.count(F.lit(1)).alias("tf"))
-
-
-def doc_tokens(corpus: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, _toks, dl) with documents hash-partitioned by key.
-
-    The shuffle moves raw text (smaller than its token tuples), spreads the
-    tokenising over every partition whatever the input file layout, and leaves
-    a later (key, token) aggregation with no second shuffle.
-    """
-    arr = corpus.select(key, text).repartition(key).select(key, tokens(F.col(text)).alias("_toks"))
-    return arr.select(key, "_toks", F.size("_toks").alias("dl"))
-
-
-def token_rows(corpus: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, dl, token) per token occurrence.
-
-    The token array and its length are computed once per document before the
-    explode; an expression next to a generator would be re-evaluated for every
-    generated row.
-    """
-    return doc_tokens(corpus, key, text).select(key, "dl", F.explode("_toks").alias("token"))
+    """(attribute, token, key, tf, dl) of a corpus with one searchable attribute."""
+    return attribute_postings(corpus, key, {text: F.col(text)})
 
 
 def top_k(scored: DataFrame, k: int, query: str = "query_id", key: str = "doc_id",
@@ -59,153 +38,82 @@ def top_k(scored: DataFrame, k: int, query: str = "query_id", key: str = "doc_id
     return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
-# ---- Q02 -------------------------------------------------------------------
+# ---- Q02 / Q03 ---------------------------------------------------------------
 
-def bm25_scores(corpus: DataFrame, queries: DataFrame, key: str = "doc_id", text: str = "text",
-                query: str = "query_id", q_text: str = "q") -> DataFrame:
-    """(query, key, score) for every document sharing at least one token with the query.
-
-    One pass tokenises the corpus: a row's term counts need no shuffle, the corpus totals are one aggregate over
-    (key, length, tokens), and only tokens that some query holds are counted on. Query tokens and their document
-    frequencies meet the postings by equi-joins, which Spark broadcasts when it sees that a side is small.
-    """
-    qt = queries.select(query, F.explode(F.array_distinct(tokens(F.col(q_text)))).alias("token"))
-    docs = doc_tokens(corpus, key, text)
-    totals = docs.agg(F.count(F.lit(1)).alias("_n"), F.coalesce(F.avg("dl"), F.lit(0.0)).alias("_avg"))
-    counts = (docs.select(key, "dl", F.explode("_toks").alias("token")).join(qt.select("token").distinct(), "token", "left_semi")
-                  .groupBy(key, "token", "dl").agg(F.count(F.lit(1)).alias("tf")))
-    n_docs, avgdl = totals.first()
-    df = counts.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-    idf = F.log(1 + (F.lit(n_docs) - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    norm = F.lit(K1) * (1 - B + B * F.col("dl") / F.lit(avgdl if avgdl else 1.0))
-    part = idf * F.col("tf") * (K1 + 1) / (F.col("tf") + norm)
-    return (counts.join(df, "token").join(qt, "token")
-                  .groupBy(query, key).agg(F.round(F.sum(part), 6).alias("score")))
+def search_keyword(corpus: DataFrame, queries: DataFrame, k: int = 10, key: str = "doc_id", text: str = "text",
+                   query: str = "query_id", q_text: str = "q", index: KeywordIndex | None = None) -> DataFrame:
+    """(query, key, score, attribute, rank); without ``index`` one is built over the text column."""
+    index = index or KeywordIndex.build(corpus, key, {text: F.col(text)})
+    return index.search(queries, k, query, q_text)
 
 
-def search_keyword(corpus: DataFrame, queries: DataFrame, k: int = 10, **kw) -> DataFrame:
-    return top_k(bm25_scores(corpus, queries, **kw), k, kw.get("query", "query_id"), kw.get("key", "doc_id"))
+def search_vector(corpus: DataFrame, queries: DataFrame, k: int = 10, key: str = "doc_id", vec: str = "embedding",
+                  query: str = "query_id", q_vec: str = "embedding", index: VectorIndex | None = None) -> DataFrame:
+    """(query, key, score, rank); without ``index`` one is built over the vector column."""
+    index = index or VectorIndex.build(corpus, key, vec)
+    return index.search(queries, k, query, q_vec)
 
 
-# ---- Q03 -------------------------------------------------------------------
-
-def _query_blocks(queries: DataFrame, query: str, vec: str):
-    """(ids, matrix, norms) of the queries in blocks of BLOCK_BYTES: the stated query set against all rows, in blocks.
+# ---- Q04 -------------------------------------------------------------------
 
-    Only one block is on the driver at a time.
-    """
-    ids, rows, used = [], [], 0
-    for r in queries.select(query, vec).toLocalIterator():
-        if r[1] is None:
-            continue
-        ids.append(r[0])
-        rows.append(np.asarray(r[1], dtype=np.float64))
-        used += rows[-1].nbytes
-        if used >= BLOCK_BYTES:
-            yield np.array(ids), np.array(rows), np.linalg.norm(np.array(rows), axis=1)
-            ids, rows, used = [], [], 0
-    if ids:
-        yield np.array(ids), np.array(rows), np.linalg.norm(np.array(rows), axis=1)
-
-
-def _similarities(mat: np.ndarray, q_mat: np.ndarray, q_norm: np.ndarray) -> np.ndarray:
-    norms = np.linalg.norm(mat, axis=1)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        return np.round((mat @ q_mat.T) / np.outer(norms, q_norm), 6)
-
-
-def _local_best(held, ids, keys: np.ndarray, sims: np.ndarray, k: int) -> dict:
-    """The running top-k per query: ``held`` maps a query's column to (keys, scores)."""
-    for j in range(len(ids)):
-        s = sims[:, j]
-        ok = np.flatnonzero(np.isfinite(s))
-        if len(ok) > k:  # keep ties with the k-th, the smaller key wins below
-            low = np.partition(s[ok], len(ok) - k)[len(ok) - k]
-            ok = ok[s[ok] >= low]
-        own = (keys[ok], s[ok])
-        if j in held:
-            own = tuple(np.concatenate([x, y]) for x, y in zip(held[j], own, strict=True))
-        best = np.lexsort((own[0], -own[1]))[:k]
-        held[j] = (own[0][best], own[1][best])
-    return held
-
-
-def cosine_candidates(corpus: DataFrame, queries: DataFrame, k: int, key: str = "doc_id",
-                      vec: str = "embedding", query: str = "query_id", q_vec: str = "embedding",
-                      clip: bool = False) -> DataFrame:
-    """Per task: cosine of every corpus vector against every query, keep the local top-k per query."""
-    ship_package(corpus.sparkSession)
-    key_type = dict(corpus.dtypes)[key]
-    q_type = dict(queries.dtypes)[query]
-    schema = f"{query} {q_type}, {key} {key_type}, score double"
-    spark, out = corpus.sparkSession, None
-    for block in _query_blocks(queries, query, q_vec):
-        shared = spark.sparkContext.broadcast(block)  # at most BLOCK_BYTES and one vector
-
-        def run(batches, shared=shared):
-            q_ids, q_mat, q_norm = shared.value
-            held: dict = {}
-            for pdf in batches:
-                pdf = pdf[pdf[vec].notna()]
-                # a block of rows and its scores stay within BLOCK_BYTES
-                step = max(1, BLOCK_BYTES // (8 * max(q_mat.shape[1], len(q_ids))))
-                for at in range(0, len(pdf), step):
-                    part = pdf.iloc[at:at + step]
-                    mat = np.array([np.asarray(v, dtype=np.float64) for v in part[vec]])
-                    sims = _similarities(mat, q_mat, q_norm)
-                    if clip:
-                        sims = np.where(np.isfinite(sims), np.maximum(sims, 0.0), 0.0)
-                    held = _local_best(held, q_ids, part[key].to_numpy(), sims, k)
-            if held:
-                yield pd.concat([pd.DataFrame({query: q_ids[j], key: keys, "score": scores}) for j, (keys, scores) in held.items()], ignore_index=True)
-
-        part = corpus.select(key, vec).mapInPandas(run, schema)
-        out = part if out is None else out.unionByName(part)
-    return out if out is not None else spark.createDataFrame([], schema)
-
-
-def search_vector(corpus: DataFrame, queries: DataFrame, k: int = 10, key: str = "doc_id",
-                  vec: str = "embedding", query: str = "query_id", q_vec: str = "embedding") -> DataFrame:
-    cand = cosine_candidates(corpus, queries, k, key, vec, query, q_vec)
-    return top_k(cand, k, query, key)
+def rounded(x: Column) -> Column:
+    """Six decimals, half up, in plain floating point: ratio * (6-decimal score) often ends in an exact 5 at the 7th
+    decimal, where decimal-expansion rounding and scaled rounding disagree; this form gives the same double everywhere."""
+    return F.floor(x * 1e6 + 0.5) / 1e6
 
 
-# ---- Q04 -------------------------------------------------------------------
+def search_hybrid(corpus: DataFrame, queries: DataFrame, keyword: KeywordIndex, vectors: VectorIndex, k: int = 10, ratio: float = 0.7,
+                  query: str = "query_id", q_text: str = "q", q_vec: str = "embedding", depth: int = DEPTH) -> DataFrame:
+    """ratio * max(cosine, 0) + (1 - ratio) * bm25 / max bm25 of the query, for every document of ``corpus`` (its keys).
 
-def search_hybrid(corpus: DataFrame, queries: DataFrame, k: int = 10, ratio: float = 0.7,
-                  key: str = "doc_id", text: str = "text", vec: str = "embedding",
-                  query: str = "query_id", q_text: str = "q", q_vec: str = "embedding") -> DataFrame:
-    """ratio * max(cosine, 0) + (1 - ratio) * bm25 / max bm25 of the query.
-
-    Candidates, exactly:
-    * every task's semantic top-k;
-    * the keyword matches that can still reach the top-k. A query's k-th best keyword part alone, (1 - ratio) * kw, is
-      a lower bound of its k-th best score, as semantic parts are not negative; a match is dropped when even a
-      semantic part of 1 leaves it below that bound.
-    A document outside both is beaten by k documents of its own task. The semantic score of a surviving keyword match
-    is computed natively from the two vectors.
+    A threshold algorithm (Fagin et al., 2003) in rounds. Each round reads the first m rows of a query's semantic and
+    keyword list and completes their scores by look-ups in the other index. A document outside both lists scores at
+    most what the m-th rows of the lists give together, so a query whose k-th best score is above that bound is done;
+    the others read on, ``DEEPER`` times as far. So a query has at most 2m candidates, whatever matches its words.
+    Documents that score nothing at all are ordered by key: the k smallest keys are candidates of every query.
     """
-    kw = bm25_scores(corpus, queries, key, text, query, q_text)
-    best = kw.groupBy(query).agg(F.max("score").alias("best"))
-    kth = top_k(kw, k, query, key).groupBy(query).agg(F.min("score").alias("kth"), F.count(F.lit(1)).alias("have"))
-    part = lambda c: F.when(F.col("best") > 0, F.col(c) / F.col("best")).otherwise(0.0)
-    kw = (kw.join(best, query).join(kth, query)
-            .where((F.col("have") < k) | (ratio + (1 - ratio) * part("score") >= (1 - ratio) * part("kth")))
-            .select(query, key, part("score").alias("kw")))
-    semantic = cosine_candidates(corpus, queries, k, key, vec, query, q_vec, clip=True).withColumnRenamed("score", "sem")
-    pairs = semantic.select(query, key).unionByName(kw.select(query, key)).distinct()
-    vectors = (pairs.join(corpus.select(key, F.col(vec).alias("_d")), key)
-                    .join(queries.select(query, F.col(q_vec).alias("_q")), query))
-    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
-    norm = F.sqrt(dot("_d", "_d")) * F.sqrt(dot("_q", "_q"))
-    sem = vectors.select(query, key, F.when(norm > 0, F.greatest(F.lit(0.0), F.round(dot("_d", "_q") / norm, 6))).otherwise(0.0).alias("sem"))
-    both = sem.join(kw, [query, key], "left")
-    mix = ratio * F.coalesce(F.col("sem"), F.lit(0.0)) + (1 - ratio) * F.coalesce(F.col("kw"), F.lit(0.0))
-    # round half up in plain floating point: ratio * (6-decimal score) often ends
-    # in an exact 5 at the 7th decimal, where decimal-expansion rounding and
-    # scaled rounding disagree; this form gives the same double everywhere
-    scored = both.select(query, key, (F.floor(mix * 1e6 + 0.5) / 1e6).alias("score"))
-    return top_k(scored, k, query, key)
+    key = keyword.key
+    pending = _held(queries.select(query, q_text, q_vec), "queries")
+    smallest = [r[0] for r in corpus.select(key).orderBy(key).limit(k).collect()]  # k keys
+    if not smallest:
+        return pending.select(query, F.lit(None).cast(dict(corpus.dtypes)[key]).alias(key), F.lit(0.0).alias("score"), F.lit(1).alias("rank")).limit(0)
+    m, done = depth * k, None
+    while True:
+        sem = _held(vectors.search(pending, m, query, q_vec).select(query, key, F.col("score").alias("sem"), F.col("rank").alias("sem_rank")), "semantic-list")
+        kw = _held(keyword.search(pending, m, query, q_text).select(query, key, F.col("score").alias("kw"), F.col("rank").alias("kw_rank")), "keyword-list")
+        pairs = _held(complete(pending, sem, kw, smallest, keyword, vectors, query, q_text, q_vec), "hybrid-candidates")
+        best = kw.where("kw_rank = 1").select(query, F.col("kw").alias("best"))
+        part = F.when(F.col("best") > 0, F.col("kw") / F.col("best")).otherwise(0.0)
+        mixed = pairs.join(best, query, "left").withColumn("sem", F.greatest(F.lit(0.0), F.coalesce("sem", F.lit(0.0)))).withColumn("kw", F.coalesce(part, F.lit(0.0)))
+        top = _held(top_k(mixed.select(query, key, rounded(ratio * F.col("sem") + (1 - ratio) * F.col("kw")).alias("score")), k, query, key), "hybrid-top")
+        # bounds on what neither list has shown; a list that ended holds everything above 0
+        sem_end = sem.where(F.col("sem_rank") == m).select(query, F.greatest(F.lit(0.0), "sem").alias("sem_end"), F.col(key).alias("sem_key"))
+        kw_end = kw.where(F.col("kw_rank") == m).join(best, query).select(query, part.alias("kw_end"))
+        last = top.groupBy(query).agg(F.min("score").alias("kth"), F.max_by(key, "rank").alias("kth_key"))
+        ends = last.join(sem_end, query, "left").join(kw_end, query, "left")
+        most = ratio * F.coalesce("sem_end", F.lit(0.0)) + (1 - ratio) * F.coalesce("kw_end", F.lit(0.0))
+        # of equal scores, what lies behind the semantic list's end with its very cosine has a larger key
+        tied = (F.col("kth") >= rounded(most)) & (F.col("kth") > rounded(most - ratio * 1e-6)) & (F.col("kth_key") <= F.col("sem_key"))
+        sure = _held(ends.where((F.col("kth") > rounded(most)) | (most == 0) | F.coalesce(tied, F.lit(False))).select(query), "hybrid-done")
+        part_done = top.join(sure, query, "left_semi")
+        done = part_done if done is None else done.unionByName(part_done)
+        if sure.count() == pending.count():
+            return done
+        pending = _held(pending.join(sure, query, "left_anti"), "queries")
+        m *= DEEPER
+
+
+def complete(queries: DataFrame, sem: DataFrame, kw: DataFrame, smallest: list, keyword: KeywordIndex, vectors: VectorIndex,
+             query: str, q_text: str, q_vec: str) -> DataFrame:
+    """(query, key, sem, kw) of all rows of both lists and of the ``smallest`` keys; a missing score is null."""
+    key = keyword.key
+    extra = queries.select(query, F.explode(F.array(*map(F.lit, smallest))).alias(key))
+    both = sem.select(query, key).unionByName(kw.select(query, key)).unionByName(extra).distinct()
+    both = _held(both.join(sem.drop("sem_rank"), [query, key], "left").join(kw.drop("kw_rank"), [query, key], "left"), "hybrid-pairs")
+    more_sem = vectors.scores_of(both.where("sem is null").select(query, key), queries, query, q_vec).withColumnRenamed("score", "more_sem")
+    more_kw = keyword.scores_of(both.where("kw is null").select(query, key), queries, query, q_text).withColumnRenamed("score", "more_kw")
+    return (both.join(more_sem, [query, key], "left").join(more_kw, [query, key], "left")
+            .select(query, key, F.coalesce("sem", "more_sem").alias("sem"), F.coalesce("kw", "more_kw").alias("kw")))
 
 
 # ---- Q05 / F11 / T01 / T02 --------------------------------------------------
@@ -269,38 +177,33 @@ def filter_search(docs: DataFrame, kind: str, where: dict | None = None, sort: l
 
 # ---- one entry point over the indexed documents --------------------------------
 
-def searchable_text(docs: DataFrame, kind: str) -> Column:
-    """The searchable attributes of an index kind in rank order, one per line (arrays: one value per line)."""
-    types = dict(docs.dtypes)
-    return F.concat_ws("\n", *[F.array_join(F.col(a), "\n") if types.get(a, "").startswith("array") else attribute(a)
-                               for a in INDEX_CONFIG[kind]["searchable"]])
+def searchable(docs: DataFrame, kind: str) -> dict[str, Column]:
+    """The texts of an index kind's searchable attributes, in rank order (arrays: one value per line)."""
+    return {a: attribute_text(docs, attribute(a), a) for a in INDEX_CONFIG[kind]["searchable"]}
 
 
 def search(docs: DataFrame, kind: str, queries: DataFrame | None = None, mode: str = "keyword", ratio: float = 0.7,
-           where: dict | None = None, sort: list[tuple[str, bool]] | None = None, k: int | None = 20, key: str = "id",
+           where: dict | None = None, sort: list[tuple[str, bool]] | None = None, k: int | None = None, key: str = "id",
            query: str = "query_id", q_text: str = "q", q_vec: str = "embedding") -> DataFrame:
     """Search the documents of an index.
 
     ``mode`` is 'keyword', 'vector', 'hybrid' or 'filter'. Filters apply before scoring, so that scores, ranks and the
-    top-k are those of the filtered documents. Ranked modes give (query, key, score, rank), the top ``k`` per query;
-    'filter' gives the documents themselves, sorted.
+    top-k are those of the filtered documents. Ranked modes give (query, key, score, rank), the top ``k`` (20 if not
+    given) per query; equal keyword scores go to the document that matches in the attribute of higher rank. 'filter'
+    gives the documents themselves, sorted: all matches, or the first ``k``.
     """
     if mode == "filter" or queries is None:
         return filter_search(docs, kind, where, sort, k, key)
     if sort:
         raise ValueError("a ranked search is sorted by its score")
+    if mode not in ("keyword", "vector", "hybrid"):
+        raise ValueError(f"unknown mode {mode}")
+    k = 20 if k is None else k
     kept = docs.where(conditions(kind, where))
-    named = {"key": key, "query": query}
-    columns = [F.col(key)]
-    if mode in ("keyword", "hybrid"):
-        columns.append(searchable_text(docs, kind).alias("_text"))
-    if mode in ("vector", "hybrid"):
-        columns.append(F.col("_vectors").getItem("default").alias("_vec"))
-    kept = kept.select(*columns)
-    if mode == "keyword":
-        return search_keyword(kept, queries, k, text="_text", q_text=q_text, **named)
+    vectors = kept.select(key, F.col("_vectors").getItem("default").alias("_vec")) if mode != "keyword" else None
     if mode == "vector":
-        return search_vector(kept, queries, k, vec="_vec", q_vec=q_vec, **named)
-    if mode == "hybrid":
-        return search_hybrid(kept, queries, k, ratio, text="_text", vec="_vec", q_text=q_text, q_vec=q_vec, **named)
-    raise ValueError(f"unknown mode {mode}")
+        return VectorIndex.build(vectors, key, "_vec").search(queries, k, query, q_vec)
+    words = KeywordIndex.build(kept, key, searchable(kept, kind))
+    if mode == "keyword":
+        return words.search(queries, k, query, q_text)
+    return search_hybrid(kept, queries, words, VectorIndex.build(vectors, key, "_vec"), k, ratio, query, q_text, q_vec)

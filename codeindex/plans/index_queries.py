@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from ..operators import documents, embed as EM, index as IX, pulls as PR, search as SR
+from ..operators import documents, embed as EM, index as IX, keyword as KW, pulls as PR, search as SR
+from ..operators.keyword import KeywordIndex
+from ..operators.vectors import VectorIndex
 from ..session import new_path
 from ..sources.fixtures import cte, fixture
 from . import pr_queries as PQ
@@ -172,29 +174,55 @@ def queries_df(spark, sf):
 
 @q("postings")
 def postings_q(spark, sf):
-    return SR.postings(corpus_df(spark, sf), "doc_id", "text").select("doc_id", "token", "tf", "dl")
+    return SR.postings(corpus_df(spark, sf), "doc_id", "text").select("attribute", "doc_id", "token", "tf", "dl")
 
 
 TOKS_SQL = f"""toks AS (SELECT doc_id, tok AS token FROM (SELECT doc_id, unnest(string_split_regex(lower(text), {RX})) AS tok FROM documents) t WHERE tok <> ''),
 dl AS (SELECT doc_id, count(*) AS dl FROM toks GROUP BY doc_id),
 stats AS (SELECT count(*) AS n_docs, avg(coalesce(dl.dl, 0)) AS avgdl FROM documents LEFT JOIN dl USING (doc_id))"""
 
-ORACLE["postings"] = f"WITH {TOKS_SQL}\nSELECT doc_id, token, count(*) AS tf, max(dl) AS dl FROM toks JOIN dl USING (doc_id) GROUP BY doc_id, token"
+ORACLE["postings"] = f"WITH {TOKS_SQL}\nSELECT 'text' AS attribute, doc_id, token, count(*) AS tf, max(dl) AS dl FROM toks JOIN dl USING (doc_id) GROUP BY doc_id, token"
 
 BM25_SQL = cte("fx_search_queries") + f""", {TOKS_SQL},
 qt AS (SELECT DISTINCT query_id, tok AS token FROM (SELECT query_id, unnest(string_split_regex(lower(q), {RX})) AS tok FROM fx_search_queries) t WHERE tok <> ''),
 tf AS (SELECT doc_id, token, count(*) AS tf FROM toks WHERE token IN (SELECT token FROM qt) GROUP BY doc_id, token),
 dfs AS (SELECT token, count(*) AS df FROM tf GROUP BY token),
-kw AS (SELECT query_id, doc_id, round(sum(ln(1 + (n_docs - df + CAST(0.5 AS DOUBLE)) / (df + CAST(0.5 AS DOUBLE))) * tf * CAST({SR.K1 + 1} AS DOUBLE)
-             / (tf + CAST({SR.K1} AS DOUBLE) * (1 - CAST({SR.B} AS DOUBLE) + CAST({SR.B} AS DOUBLE) * dl / avgdl))), 6) AS score
+kw AS (SELECT query_id, doc_id, round(sum(ln(1 + (n_docs - df + CAST(0.5 AS DOUBLE)) / (df + CAST(0.5 AS DOUBLE))) * tf * CAST({KW.K1 + 1} AS DOUBLE)
+             / (tf + CAST({KW.K1} AS DOUBLE) * (1 - CAST({KW.B} AS DOUBLE) + CAST({KW.B} AS DOUBLE) * dl / avgdl))), 6) AS score
        FROM qt JOIN tf USING (token) JOIN dfs USING (token) JOIN dl USING (doc_id) CROSS JOIN stats
        GROUP BY query_id, doc_id)
 """
 
 
+_INDEXES: dict = {}
+
+
+def _once(spark, sf, name, build):
+    """An index of a table folder, built once per session."""
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _INDEXES:
+        _INDEXES[key] = build()
+    return _INDEXES[key]
+
+
+def keyword_index(spark, sf):
+    return _once(spark, sf, "keyword", lambda: KeywordIndex.build(corpus_df(spark, sf), "doc_id", {"text": F.col("text")}))
+
+
+def vector_index(spark, sf):
+    return _once(spark, sf, "vectors", lambda: VectorIndex.build(spark.read.parquet(f"{sf}/embeddings.parquet"), "vec_id", "embedding"))
+
+
+def text_vector_index(spark, sf):
+    """Hash embeddings of the documents' texts."""
+    # the embedding is row-local: spread the documents first (the table file may be one row group)
+    return _once(spark, sf, "text-vectors", lambda: VectorIndex.build(
+        EM.hash_embed(corpus_df(spark, sf).repartition("doc_id"), "doc_id", "text", TEST_DIM), "doc_id", "embedding"))
+
+
 @q("search_keyword")
 def search_keyword(spark, sf):
-    return SR.search_keyword(corpus_df(spark, sf), queries_df(spark, sf), k=10).select(
+    return keyword_index(spark, sf).search(queries_df(spark, sf), 10).select(
         "query_id", "doc_id", "score", "rank")
 
 
@@ -209,8 +237,7 @@ def _query_vectors(spark, sf):
 
 @q("search_vector")
 def search_vector(spark, sf):
-    e = spark.read.parquet(f"{sf}/embeddings.parquet")
-    return SR.search_vector(e, _query_vectors(spark, sf), k=10, key="vec_id").select(
+    return vector_index(spark, sf).search(_query_vectors(spark, sf), 10).select(
         "query_id", "vec_id", "score", "rank")
 
 
@@ -222,10 +249,9 @@ ORACLE["search_vector"] = cte("fx_search_queries") + """SELECT query_id, vec_id,
 
 @q("search_hybrid")
 def search_hybrid(spark, sf):
-    # the embedding is row-local: spread the documents first (the table file may be one row group)
-    corpus = EM.hash_embed(corpus_df(spark, sf).repartition("doc_id"), "doc_id", "text", TEST_DIM)
     qs = EM.hash_embed(queries_df(spark, sf), "query_id", "q", TEST_DIM)
-    return SR.search_hybrid(corpus, qs, k=10, ratio=0.7).select("query_id", "doc_id", "score", "rank")
+    return SR.search_hybrid(corpus_df(spark, sf), qs, keyword_index(spark, sf), text_vector_index(spark, sf), k=10, ratio=0.7).select(
+        "query_id", "doc_id", "score", "rank")
 
 
 ORACLE["search_hybrid"] = BM25_SQL + f""", dw AS ({_weights_sql('documents', 'doc_id', 'text')}),
@@ -298,10 +324,18 @@ ORDER BY additions DESC NULLS LAST, closed_at ASC NULLS LAST, id LIMIT 20"""
 @q("search_index_pr")
 def search_index_pr(spark, sf):
     """Keyword search over all searchable attributes of the closed pull requests."""
-    return SR.search(PQ.pr_docs_df(spark, sf), "pr", queries_df(spark, sf), where={"state": "closed"}, k=5).select("query_id", "id", "score", "rank")
-
-
-ORACLE["search_index_pr"] = PQ.PULLS_SQL.rstrip() + ", " + cte("fx_search_queries")[5:].rstrip() + """, corp AS (
-  SELECT id, concat_ws(chr(10), title, body, commit_messages, changed_files) AS text FROM docs WHERE state = 'closed')
-""" + BM25_SQL[len(cte("fx_search_queries")):].replace("documents", "corp").replace("doc_id", "id") + """SELECT query_id, id, score, rank FROM (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM kw) t WHERE rank <= 5"""
+    return SR.search(PQ.pr_docs_df(spark, sf), "pr", queries_df(spark, sf), where={"state": "closed"}, k=5).select("query_id", "id", "score", "attribute", "rank")
+
+
+PR_ATTRIBUTES = ["title", "body", "commit_messages", "changed_files"]  # fixed values: searchable attributes in rank order
+# each attribute's tokens once more, for the rank of the first attribute that matches
+_ATTRIBUTE_TOKENS = " UNION ALL ".join(
+    f"SELECT id, {i} AS attribute, unnest(string_split_regex(lower({a}), {RX})) AS token FROM docs WHERE state = 'closed'" for i, a in enumerate(PR_ATTRIBUTES))
+ORACLE["search_index_pr"] = PQ.PULLS_SQL.rstrip() + ", " + cte("fx_search_queries")[5:].rstrip() + f""", corp AS (
+  SELECT id, concat_ws(chr(10), {', '.join(PR_ATTRIBUTES)}) AS text FROM docs WHERE state = 'closed'),
+first AS (SELECT id, token, min(attribute) AS attribute FROM ({_ATTRIBUTE_TOKENS}) t GROUP BY id, token)
+""" + BM25_SQL[len(cte("fx_search_queries")):].replace("documents", "corp").replace("doc_id", "id") + """, ranked AS (
+  SELECT query_id, kw.id, any_value(score) AS score, CAST(min(attribute) AS INT) AS attribute FROM kw JOIN qt USING (query_id)
+  JOIN first ON first.id = kw.id AND first.token = qt.token GROUP BY query_id, kw.id)
+SELECT query_id, id, score, attribute, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, attribute, id) AS rank FROM ranked) t WHERE rank <= 5"""

@@ -33,10 +33,11 @@ def oracle_sql() -> dict:
 
 def prepare(spark, sf_dir: str) -> None:
     """Land the fixture-derived source files the registered queries read (idempotent per session)."""
+    from . import index_queries as IQ
     from . import pr_queries as PQ
     from . import source_queries as SQ
     from . import stream_queries as STQ
     for fn in (PQ.pulls_df, PQ.pull_files_df, PQ.pull_commits_df, PQ.pr_requests_df, PQ.repo_requests_df,
                SQ.archives_df, SQ.trees_df, SQ.blobs_df, STQ._pr_request_dir, STQ._repo_request_dir,
-               STQ._sources):
+               STQ._sources, IQ.keyword_index, IQ.vector_index, IQ.text_vector_index):
         fn(spark, sf_dir)
