@@ -2,8 +2,8 @@
 
 Tokens of both vocabularies are byte ranges of a space and the text. Where a token of each ends at the same byte,
 both id lists are cut: the cumulative ends of either side are a dictionary from end to index, the hash-set
-intersection of their keys, sorted, slices both lists into groups, and inside a slice every pair of tokens that
-overlap is a link (``slices``, ``links_of``).
+intersection of their keys, sorted, slices both lists into groups (``common_ends``), and inside a slice every pair of
+tokens that overlap is a link (``expand_links``).
 
 1. White space that follows other characters always starts a token on both sides, so both end before it and no group
    or link reaches over it. A worker therefore keeps groups and links of the pieces it has met (compared by their
@@ -38,31 +38,27 @@ from pyspark.sql import functions as F
 from .common import distinct, prepare, ragged, release, saved, slices, text_buffer
 from .tokenizing import ODD_SPACE, PieceEncoder, byte_characters
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 # Pieces kept by a worker, and the bytes of their texts; it starts anew when full, which changes no result.
-CACHE_PIECES = 300_000
+CACHE_PIECES = 200_000
 CACHE_BYTES = 24 << 20
+AT_ONCE = 10_000  # pieces that are encoded in one go
 _WHITE = np.zeros(256, bool)
 _WHITE[[9, 10, 11, 12, 13, 32]] = True
 
 
-def slices_of(ends_a: list[int], ends_b: list[int]) -> list[tuple[int, int, int, int]]:
-    """Index ranges [i, j) of the first and [k, l) of the second list between byte offsets where both have an end."""
-    at_a = {e: i for i, e in enumerate(ends_a, 1)}
-    at_b = {e: i for i, e in enumerate(ends_b, 1)}
-    cuts = [(0, 0), *((at_a[e], at_b[e]) for e in sorted(at_a.keys() & at_b.keys()))]
-    return [(i, j, k, m) for (i, k), (j, m) in pairwise(cuts)]
+def common_ends(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Byte offsets where both sides have an end, in order, and how many tokens of either side end up to each."""
+    at_a, at_b = (dict(zip(ends.tolist(), range(1, len(ends) + 1), strict=True)) for ends in (ends_a, ends_b))
+    common = sorted(at_a.keys() & at_b.keys())
+    return (np.array(common, np.int64), *(np.fromiter(map(at.__getitem__, common), np.int64, len(common)) for at in (at_a, at_b)))
 
 
-def links_of(ends_a: list[int], ends_b: list[int], part: tuple[int, int, int, int]) -> Iterator[tuple[int, int]]:
-    """Index pairs of overlapping tokens of a slice: its ends differ but for the last, so one side moves on at a time."""
-    i, j, k, m = part
-    while i < j and k < m:
-        yield i, k
-        if ends_a[i] <= ends_b[k]:
-            i += 1
-        else:
-            k += 1
+def expand_links(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Links as byte end and token index of either side: the ends of a slice differ but for its last one, so each end of
+    either side closes one overlap, with the token of the other side that is still open there."""
+    ends = np.union1d(ends_a, ends_b)
+    return ends, np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
 
 
 class TwoEncoders:
@@ -74,18 +70,51 @@ class TwoEncoders:
 
         self.first = PieceEncoder(byte_json, pattern, False)
         of = {c: b for b, c in byte_characters().items()}
-        self.bytes_a = {i: bytes(of[c] for c in t) if all(c in of for c in t) else t.encode()
-                        for t, i in self.first.tokenizer.get_vocab().items()}
+        vocab = self.first.tokenizer.get_vocab()
+        names = [b""] * (max(vocab.values()) + 1)
+        for t, i in vocab.items():
+            names[i] = bytes(of[c] for c in t) if all(c in of for c in t) else t.encode()
         sp = self.second = sentencepiece.SentencePieceProcessor(model_proto=piece_model)
         pieces = [sp.id_to_piece(i) for i in range(sp.get_piece_size())]
         if any(re.search("[^▁]▁", p) for p in pieces):
             raise ValueError("pieces of this model reach over spaces")
-        self.bytes_b = [bytes([int(p[3:5], 16)]) if sp.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
+        self.sides = [TokenBytes(names), TokenBytes([bytes([int(p[3:5], 16)]) if sp.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)])]
         self.space = sp.piece_to_id("▁")
-
-    def __call__(self, piece: str) -> tuple[list[int], list[int]]:
-        """Both id lists of a text that begins with a space; the second library adds it by itself."""
-        return self.first.ids_of(piece), self.second.encode(piece[1:]) if len(piece) > 1 else [self.space]
+        top = max(len(names), len(pieces))
+        self.spelled = [f"{i}{mark}" for i in range(top) for mark in ",|;"]
+        self.widths = np.fromiter(map(len, self.spelled), np.int64, 3 * top)
+
+    def __call__(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For both sides, all ids of the texts and how many each has. Texts begin with a space, which the second library
+        adds by itself."""
+        a = list(map(self.first.ids_of, texts))
+        b = self.second.encode([t[1:] for t in texts])
+        out = []
+        for lists in (a, [x if len(t) > 1 else [self.space] for t, x in zip(texts, b, strict=True)]):
+            n = np.fromiter(map(len, lists), np.int64, len(lists))
+            out.append((np.fromiter(chain.from_iterable(lists), np.int64, int(n.sum())), n))
+        return out
+
+
+class TokenBytes:
+    """The bytes of every token of a vocabulary."""
+
+    def __init__(self, tokens: list[bytes]):
+        self.lengths = np.fromiter(map(len, tokens), np.int64, len(tokens))
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.flat = np.frombuffer(b"".join(tokens), np.uint8)
+
+    def differ(self, ids: np.ndarray, counts: np.ndarray, data: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """For texts of ``sizes`` bytes in ``data``: whether the bytes of a text's ids differ from it."""
+        lengths = self.lengths[ids]
+        own = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(counts)])]
+        bad = np.diff(own) != sizes
+        same = ragged(self.flat, self.starts[ids], lengths)
+        fine, size = ~bad, sizes[~bad]
+        wrong = ragged(same, own[:-1][fine], size) != ragged(data, (np.cumsum(sizes) - sizes)[fine], size)
+        total = np.concatenate([[0], np.cumsum(wrong)])[np.concatenate([[0], np.cumsum(size)])]
+        bad[np.flatnonzero(fine)[total[1:] > total[:-1]]] = True
+        return bad
 
 
 class Pieces:
@@ -108,36 +137,54 @@ class Pieces:
     def full(self, more: int) -> bool:
         return bool(self.slot) and (len(self.slot) + more > CACHE_PIECES or self.held > CACHE_BYTES)
 
-    def _one(self, name: bytes) -> tuple[int, int, int, int, str, list[int]]:
-        a, b = self.encoders(name.decode("utf-8", "replace"))
-        of_a, of_b = [self.encoders.bytes_a[x] for x in a], [self.encoders.bytes_b[x] for x in b]
-        if b"".join(of_a) != name or b"".join(of_b) != name:
-            return 0, 0, 0, 1, "", []
-        ends_a, ends_b = np.cumsum([len(x) for x in of_a]).tolist(), np.cumsum([len(x) for x in of_b]).tolist()
-        parts = slices_of(ends_a, ends_b)
-        text = ";".join(f"{','.join(map(str, a[i:j]))}|{','.join(map(str, b[k:m]))}" for i, j, k, m in parts)
-        at = self.pair_at
-        links = [at.setdefault(a[x] << 32 | b[y], len(at)) for part in parts for x, y in links_of(ends_a, ends_b, part)]
-        return len(a), len(b), len(parts), 0, text, links
-
     def learn(self, names: list[bytes]) -> np.ndarray:
         """Slots of the pieces ``names`` (all different)."""
         fresh = [x for x in names if x not in self.slot]
         if fresh:
-            found = [self._one(x) for x in fresh]
             self.slot.update(zip(fresh, range(len(self.slot), len(self.slot) + len(fresh)), strict=True))
             self.held += sum(map(len, fresh))
-            self.groups += [x[4] for x in found]
-            self.numbers = np.concatenate([self.numbers, np.array([x[:4] for x in found], np.int64).T], axis=1)
-            lengths = np.fromiter((len(x[5]) for x in found), np.int64, len(found))
-            self.starts = np.concatenate([self.starts, len(self.links) + np.cumsum(lengths) - lengths])
-            self.lengths = np.concatenate([self.lengths, lengths])
-            self.links = np.concatenate([self.links, np.fromiter(chain.from_iterable(x[5] for x in found), np.int32, int(lengths.sum()))])
-            known = len(self.pairs)
-            if len(self.pair_at) > known:  # dictionaries keep the order in which keys came
-                self.pairs = np.concatenate([self.pairs, np.fromiter(list(self.pair_at)[known:], np.int64)])
+            for i in range(0, len(fresh), AT_ONCE):
+                self._append(fresh[i:i + AT_ONCE])
         return np.fromiter(map(self.slot.__getitem__, names), np.int64, len(names))
 
+    def _append(self, names: list[bytes]) -> None:
+        """Groups and links of ``names`` as the next slots, all in one go: one after another they are one long text."""
+        both = self.encoders
+        (ids_a, n_a), (ids_b, n_b) = both([x.decode("utf-8", "replace") for x in names])
+        sizes = np.fromiter(map(len, names), np.int64, len(names))
+        data = np.frombuffer(b"".join(names), np.uint8)
+        bad = both.sides[0].differ(ids_a, n_a, data, sizes) | both.sides[1].differ(ids_b, n_b, data, sizes)
+        if bad.any():  # such pieces have no tokens
+            ids_a, ids_b = ids_a[np.repeat(~bad, n_a)], ids_b[np.repeat(~bad, n_b)]
+            n_a, n_b, sizes = (np.where(bad, 0, x) for x in (n_a, n_b, sizes))
+        last = np.concatenate([[0], np.cumsum(sizes)])  # byte ends of the pieces
+        ends_a, ends_b = np.cumsum(both.sides[0].lengths[ids_a]), np.cumsum(both.sides[1].lengths[ids_b])
+        common, upto_a, upto_b = common_ends(ends_a, ends_b)
+        n_groups = np.diff(np.searchsorted(common, last, "right"))
+        # both ids of a group one after the other, each with the mark that follows it
+        before_a, before_b = (np.concatenate([[0], x[:-1]]) for x in (upto_a, upto_b))
+        code = np.empty(len(ids_a) + len(ids_b), np.int64)
+        mark_a, mark_b = np.zeros(len(ids_a), np.int64), np.zeros(len(ids_b), np.int64)
+        mark_a[upto_a - 1], mark_b[upto_b - 1] = 1, 2
+        code[np.arange(len(ids_a)) + np.repeat(before_b, upto_a - before_a)] = 3 * ids_a + mark_a
+        code[np.arange(len(ids_b)) + np.repeat(upto_a, upto_b - before_b)] = 3 * ids_b + mark_b
+        text = "".join(map(both.spelled.__getitem__, code.tolist()))
+        at = np.concatenate([[0], np.cumsum(both.widths[code])])[np.concatenate([[0], np.cumsum(n_a + n_b)])].tolist()
+        self.groups += [text[i:j - 1] if j > i else "" for i, j in pairwise(at)]
+        self.numbers = np.concatenate([self.numbers, np.stack([n_a, n_b, n_groups, bad.astype(np.int64)])], axis=1)
+        ends, i, j = expand_links(ends_a, ends_b)
+        lengths = np.diff(np.searchsorted(ends, last, "right"))
+        self.starts = np.concatenate([self.starts, len(self.links) + np.cumsum(lengths) - lengths])
+        self.lengths = np.concatenate([self.lengths, lengths])
+        pairs, which = np.unique(ids_a[i] << 32 | ids_b[j], return_inverse=True)
+        known, of = len(self.pairs), self.pair_at
+        place = np.fromiter((of.setdefault(x, len(of)) for x in pairs.tolist()), np.int32, len(pairs))
+        self.links = np.concatenate([self.links, place[which.reshape(-1)]])
+        if len(of) > known:
+            new = np.empty(len(of) - known, np.int64)
+            new[place[place >= known] - known] = pairs[place >= known]
+            self.pairs = np.concatenate([self.pairs, new])
+
 
 def cut(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """A space and each text (nothing for a null or empty one): bytes, text offsets, piece starts, first piece of each text."""
@@ -209,15 +256,15 @@ class Block:
         lengths = pieces.lengths[slot]
         width = max(1, len(pieces.pairs))
         key, times = summed(np.repeat(row, lengths) * width + ragged(pieces.links, pieces.starts[slot], lengths), np.repeat(times, lengths))
-        self.docs.append(key // width + self.n)
-        self.pairs.append(key % width)
-        self.times.append(times)
+        self.docs.append((key // width + self.n).astype(np.int32))
+        self.pairs.append((key % width).astype(np.int32))
+        self.times.append(times.astype(np.uint32))
         self.n += n
         self.size += len(buf)
 
     def batches(self, pieces: Pieces) -> Iterator[pa.RecordBatch]:
         """Rows of the documents, then rows of the block's pairs in ascending order."""
-        doc, pair, times = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (self.docs, self.pairs, self.times))
+        doc, pair, times = (np.concatenate(x) if x else np.empty(0, np.int32) for x in (self.docs, self.pairs, self.times))
         holders = np.bincount(pair, minlength=len(pieces.pairs))
         used = np.flatnonzero(holders)
         used = used[np.argsort(pieces.pairs[used])]

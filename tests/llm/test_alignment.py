@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import public_tokenizers as P
 import pytest
 
@@ -102,7 +103,7 @@ def test_a_long_text(frame, files, plain):
 
 
 def test_slices_are_found_by_ends():
-    a, b = [1, 3, 6, 7, 10], [2, 3, 5, 6, 10]
-    parts = alignment.slices_of(a, b)
-    assert parts == [(0, 2, 0, 2), (2, 3, 2, 4), (3, 5, 4, 5)]
-    assert [list(alignment.links_of(a, b, p)) for p in parts] == [[(0, 0), (1, 0), (1, 1)], [(2, 2), (2, 3)], [(3, 4), (4, 4)]]
+    a, b = np.array([1, 3, 6, 7, 10]), np.array([2, 3, 5, 6, 10])
+    assert [x.tolist() for x in alignment.common_ends(a, b)] == [[3, 6, 10], [2, 3, 5], [2, 4, 5]]
+    _, i, j = alignment.expand_links(a, b)
+    assert list(zip(i.tolist(), j.tolist(), strict=True)) == [(0, 0), (1, 0), (1, 1), (2, 2), (2, 3), (3, 4), (4, 4)]
