@@ -166,7 +166,8 @@ class KeywordIndex:
     def scores(self, terms: DataFrame, query: str) -> DataFrame:
         """(query, key, score, attribute) of every document that can reach its query's floor, and of some that cannot."""
         low = F.greatest(F.lit(0), F.floor(F.col("least") * TIERS / (K1 + 1))).cast("int")
-        wanted = terms.where("essential").withColumn("tier", F.explode(F.when(low < TIERS, F.sequence(low, F.lit(TIERS - 1)))))
+        able = terms.where(F.col("essential") & (F.col("least") <= K1 + 1))  # ratios are below K1 + 1
+        wanted = able.withColumn("tier", F.explode(F.sequence(F.least(low, F.lit(TIERS - 1)), F.lit(TIERS - 1))))
         hits = self.postings().join(wanted, ["bucket", "tier", "token"]).where(F.col("ratio") >= F.col("least"))
         found = hits.groupBy(query, self.key).agg(F.sum(F.col("idf") * F.col("ratio")).alias("part"), F.min("attribute").alias("attribute"), F.max("floor").alias("floor"))
         others = terms.where(~F.col("essential"))

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import files as FL, index as IX, pulls as PR, routing as RT
+from ..operators import files as FL, index as IX, pulls as PR
+from ..session import new_path
 from ..sources import archives as AR, tree as TR
 from ..sources.fixtures import cte, fixture
 from ..sources.landing import landed
+from ..streaming.sync import RepoSources, routed, routed_files
 from . import files_queries as FQ
 from . import pr_queries as PQ
 from . import sqlbits as S
@@ -23,23 +25,40 @@ def q(name):
     return deco
 
 
-def archives_df(spark, sf):
-    """fx_archive_entries packed into zip archives (one or more per repository)."""
-    path = landed(spark, sf, "archives", lambda: AR.zip_entries(fixture(spark, sf, "fx_archive_entries")),
-                  fmt="parquet")
-    return spark.read.parquet(path)
+_ARCHIVES: dict = {}
+
+
+def archives_df(spark, sf, damaged=None):
+    """fx_archive_entries as zip files (one or more per repository and branch); archives where ``damaged`` holds are cut short."""
+    key = (spark.sparkContext.applicationId, sf, damaged)
+    if key not in _ARCHIVES:
+        _ARCHIVES[key] = new_path(spark, "archives")
+        AR.land_archives(fixture(spark, sf, "fx_archive_entries"), _ARCHIVES[key], None if damaged is None else F.expr(damaged))
+    return AR.read_archives(spark, _ARCHIVES[key])
 
 
 def trees_df(spark, sf):
-    path = landed(spark, sf, "trees", lambda: TR.trees_payload(fixture(spark, sf, "fx_tree_items")))
+    path = landed(spark, sf, "trees", lambda: TR.trees_payload(fixture(spark, sf, "fx_tree_items")), by="repository_id")
     return TR.read_trees(spark, path)
 
 
 def blobs_df(spark, sf):
-    path = landed(spark, sf, "blobs", lambda: TR.blobs_payload(fixture(spark, sf, "fx_tree_items")))
+    path = landed(spark, sf, "blobs", lambda: TR.blobs_payload(fixture(spark, sf, "fx_tree_items")), by="repository_id")
     return TR.read_blobs(spark, path)
 
 
+def archive_sql(damaged: str = "false") -> str:
+    """Archives of each repository and branch: entries are stored, so a file's length follows from names and contents.
+
+    Fixed values: 30 + 46 bytes of headers per entry, which hold its name twice, and 22 bytes at the end of a zip file.
+    """
+    return f"""arch AS (
+  SELECT repository_id, branch, parts, CASE WHEN {damaged} THEN 20 * parts ELSE 22 * parts + entry_bytes END AS n_bytes FROM (
+    SELECT repository_id, branch, CAST(ceil(count(*) / {AR.PER_ARCHIVE}.0) AS BIGINT) AS parts,
+           CAST(sum(76 + 2 * strlen(entry) + CASE WHEN ends_with(entry, '/') THEN 0 ELSE strlen(content) END) AS BIGINT) AS entry_bytes
+    FROM fx_archive_entries GROUP BY repository_id, branch) t)"""
+
+
 @q("scan_archive")
 def scan_archive(spark, sf):
     ent = AR.expand_archives(archives_df(spark, sf), prefilter=False)
@@ -62,39 +81,52 @@ ORACLE["scan_archive_files"] = FQ.FILES_SQL + "SELECT repository_id, file_path,
 
 @q("scan_archive_size")
 def scan_archive_size(spark, sf):
-    a = fixture(spark, sf, "fx_archives")
-    return a.select("repository_id", F.round(F.col("n_bytes") / 1024 / 1024, 6).alias("size_mb"))
+    a = AR.archive_sizes(archives_df(spark, sf))
+    return a.select("repository_id", "branch", "n_archives", F.round(F.col("n_bytes") / 1024 / 1024, 6).alias("size_mb"))
+
 
+ORACLE["scan_archive_size"] = cte("fx_archive_entries").rstrip() + ",\n" + archive_sql() + """
+SELECT repository_id, branch, parts AS n_archives, round(n_bytes / 1024 / 1024, 6) AS size_mb FROM arch"""
 
-ORACLE["scan_archive_size"] = cte("fx_archives") + "SELECT repository_id, round(n_bytes / 1024 / 1024, 6) AS size_mb FROM fx_archives"
+
+def repo_sources(spark, sf, damaged=None):
+    """Archives, listings and blobs; the limit is the median size of a repository's archives (one number)."""
+    archives = archives_df(spark, sf, damaged)
+    median = AR.archive_sizes(archives).agg(F.percentile("n_bytes", 0.5)).first()[0]
+    return RepoSources(archives, trees_df(spark, sf), blobs_df(spark, sf), (median or 0) / 1024 / 1024)
 
 
 @q("route_archives")
 def route_archives(spark, sf):
-    sizes = fixture(spark, sf, "fx_archives")
-    # the limit that sends half of the repositories each way: the median size (one number)
-    median = sizes.agg(F.percentile("n_bytes", 0.5)).first()[0]
-    routes = RT.route_repositories(sizes, median / 1024 / 1024)
-    arch = FL.entries_to_files(AR.expand_archives(RT.on_route(routes, archives_df(spark, sf), "archive")))
-    tree_files, _ = TR.join_blobs(TR.source_items(RT.on_route(routes, trees_df(spark, sf), "tree")), blobs_df(spark, sf))
-    cols = ["repository_id", "file_path", "language", "size"]
-    u = arch.select(*cols, F.lit("archive").alias("route")).unionByName(tree_files.select(*cols, F.lit("tree").alias("route")))
-    return u.select("repository_id", "route", "file_path", "language", "size")
-
-
-ORACLE["route_archives"] = FQ.FILES_SQL.replace("WITH ", "WITH " + cte("fx_archives", "fx_tree_items")[5:] + ",\n", 1) + f""", routes AS (
-  SELECT repository_id, CASE WHEN n_bytes IS NULL OR n_bytes <= (SELECT quantile_cont(n_bytes, 0.5) FROM fx_archives) THEN 'archive' ELSE 'tree' END AS route
-  FROM fx_archives
-), items AS (
+    """F08 + U01: every requested repository read on the route that its archives' size gives."""
+    requests = PQ.repo_requests_df(spark, sf)
+    src = repo_sources(spark, sf)
+    files, _, _ = routed_files(requests, src)
+    routes = routed(requests, src).select("repository_id", "branch", "route")
+    return files.join(routes, ["repository_id", "branch"]).select("repository_id", "branch", "route", "file_path", "language", "size")
+
+
+def routes_sql(damaged: str = "false") -> str:
+    """The files (rf) of every requested repository and branch on its route; the archive route of damaged archives gives none."""
+    return FQ.FILES_SQL.replace("WITH ", "WITH " + cte("fx_tree_items")[5:] + ",\n", 1).rstrip() + f""", {archive_sql(damaged)},
+routes AS (SELECT r.repository_id, r.owner, r.repo_name, r.branch, parts,
+  CASE WHEN n_bytes IS NULL OR n_bytes <= (SELECT quantile_cont(n_bytes, 0.5) FROM arch) THEN 'archive' ELSE 'tree' END AS route
+  FROM fx_repo_requests r LEFT JOIN arch USING (repository_id, branch)),
+items AS (
   SELECT repository_id, json_extract_string(item_json, '$.path') AS path, json_extract_string(item_json, '$.type') AS type,
-         url, blob_text FROM fx_tree_items WHERE fault IS NULL
-), tfiles AS (
-  SELECT repository_id, path AS file_path, {S.language('path')} AS language, strlen(blob_text) AS size FROM items
-  WHERE type = 'blob' AND NOT {S.hidden('path')} AND {S.language('path')} <> 'unknown' AND blob_text IS NOT NULL
-)
-SELECT f.repository_id, 'archive' AS route, file_path, language, size FROM files f JOIN routes r USING (repository_id) WHERE r.route = 'archive'
-UNION ALL
-SELECT t.repository_id, 'tree', file_path, language, size FROM tfiles t JOIN routes r USING (repository_id) WHERE r.route = 'tree'"""
+         url, blob_text, fault FROM fx_tree_items
+), titems AS (
+  SELECT *, {S.language('path')} AS language FROM items WHERE type = 'blob' AND NOT {S.hidden('path')} AND {S.language('path')} <> 'unknown'
+), rf AS (
+  SELECT f.repository_id, f.branch, r.owner, r.repo_name, 'archive' AS route, file_path, language, content, size
+  FROM files f JOIN routes r USING (repository_id, branch) WHERE r.route = 'archive' AND NOT ({damaged.replace("repository_id", "f.repository_id")})
+  UNION ALL
+  SELECT t.repository_id, r.branch, r.owner, r.repo_name, 'tree', path, language, blob_text, strlen(blob_text)
+  FROM titems t JOIN routes r USING (repository_id) WHERE r.route = 'tree' AND blob_text IS NOT NULL AND fault IS NULL)
+"""
+
+
+ORACLE["route_archives"] = routes_sql() + "SELECT repository_id, branch, route, file_path, language, size FROM rf"
 
 
 TREE_SQL = cte("fx_tree_items") + f""", items AS (
@@ -147,7 +179,7 @@ ORACLE["join_tree_blob"] = TREE_SQL + "SELECT repository_id, path AS file_path,
 def rejects(spark, sf):
     """The dead-letter log across stages (bad archives, missing and bad blobs, unknown pulls, invalid pulls)."""
     # every archive once more, cut short
-    broken = archives_df(spark, sf).where("part = 0").withColumn("content", F.expr("substring(content, 1, 20)"))
+    broken = archives_df(spark, sf).withColumn("content", F.expr("substring(content, 1, 20)"))
     bad_archives = IX.rejects("archive_read", AR.archive_rejects(broken), F.concat_ws("@", "repository_id", "branch"), F.split_part("error", F.lit(":"), F.lit(1)))
     _, bad_blobs = TR.join_blobs(TR.source_items(trees_df(spark, sf)), blobs_df(spark, sf))
     nf = IX.rejects("pr_fetch", PR.not_found(PQ.pr_requests_df(spark, sf), PQ.pulls_df(spark, sf)),
@@ -157,8 +189,10 @@ def rejects(spark, sf):
     return bad_archives.unionByName(bad_blobs).unionByName(nf).unionByName(invalid)
 
 
-ORACLE["rejects"] = PQ.PULLS_SQL.rstrip() + ", " + TREE_SQL[5:].rstrip() + ",\n" + cte("fx_archive_entries")[5:].rstrip() + f"""
-SELECT DISTINCT 'archive_read' AS stage, concat(CAST(repository_id AS VARCHAR), '@', branch) AS key, 'bad archive' AS reason FROM fx_archive_entries
+ORACLE["rejects"] = PQ.PULLS_SQL.rstrip() + ", " + TREE_SQL[5:].rstrip() + ",\n" + cte("fx_archive_entries")[5:].rstrip() + f""",
+{archive_sql()}
+SELECT 'archive_read' AS stage, concat(CAST(repository_id AS VARCHAR), '@', branch) AS key, 'bad archive' AS reason
+FROM arch, unnest(range(parts)) AS t(part)
 UNION ALL
 SELECT 'blob_fetch', url, CASE WHEN blob_text IS NULL THEN 'blob not found' WHEN fault = 'base64' THEN 'not base64' ELSE 'not utf-8' END
 FROM src WHERE blob_text IS NULL OR fault IS NOT NULL

@@ -18,13 +18,14 @@ _LANDED: dict[tuple, str] = {}
 
 
 def landed(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame],
-           fmt: str = "json", parts: int | None = None) -> str:
+           fmt: str = "json", parts: int | None = None, by: str | None = None) -> str:
     key = (spark.sparkContext.applicationId, sf_dir, name, fmt)
     if key not in _LANDED:
         path = new_path(spark, f"landing-{name}")
         df = build()
         if parts:
             df = df.repartition(parts)
-        df.write.mode("overwrite").format(fmt).save(path)
+        w = df.write.mode("overwrite").format(fmt)
+        (w.partitionBy(by) if by else w).save(path)
         _LANDED[key] = path
     return _LANDED[key]

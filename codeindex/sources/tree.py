@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions import columns as C
@@ -11,7 +12,10 @@ from ..functions.languages import with_language
 
 
 def read_trees(spark: SparkSession, path: str) -> DataFrame:
-    """One recursive listing per repository -> one row per entry; ``truncated`` is kept."""
+    """One recursive listing per repository -> one row per entry; ``truncated`` is kept.
+
+    Listings lie in folders by repository, so a join on repository_id reads those of its repositories only.
+    """
     raw = spark.read.schema(schemas.TREE).json(path)
     return raw.select("repository_id", "truncated", F.inline("tree"))
 
@@ -23,26 +27,28 @@ def source_items(items: DataFrame) -> DataFrame:
 
 
 def read_blobs(spark: SparkSession, path: str) -> DataFrame:
-    """Blob payloads as landed: (url, encoding, content)."""
-    return spark.read.schema(schemas.BLOB).json(path)
+    """Blob payloads as landed, in folders by repository: (repository_id, url, encoding, content)."""
+    raw = spark.read.schema(T.StructType([*schemas.BLOB.fields, T.StructField("repository_id", T.LongType())])).json(path)
+    return raw.select("repository_id", *schemas.BLOB.fieldNames())
 
 
 def decode_blobs(blobs: DataFrame) -> DataFrame:
     """S06 + F05: base64 (line breaks allowed) -> bytes -> UTF-8 text; bad base64 and invalid UTF-8 are flagged."""
     raw = F.try_to_binary(F.regexp_replace("content", r"\s", ""), F.lit("base64"))
     utf8 = C.is_valid_utf8_bytes(raw)
-    return blobs.select("url", F.octet_length(raw).alias("size"), raw.isNotNull().alias("base64"), F.coalesce(utf8, F.lit(False)).alias("utf8"),
+    own = ["repository_id"] if "repository_id" in blobs.columns else []
+    return blobs.select(*own, "url", F.octet_length(raw).alias("size"), raw.isNotNull().alias("base64"), F.coalesce(utf8, F.lit(False)).alias("utf8"),
                         F.when(utf8, raw.cast("string")).alias("text"))
 
 
 def join_blobs(items: DataFrame, blobs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Listing entries ⋈ decoded blobs by url -> (files, rejects).
 
-    Both sides are keyed by url, so this is a plain shuffle (or broadcast, when
+    Both sides are keyed by url (and repository, where the blobs carry it), so this is a plain shuffle (or broadcast, when
     AQE sees a small side) equi-join; rejects are missing blobs and non-UTF-8 blobs.
     """
     dec = decode_blobs(blobs)
-    j = items.join(dec, "url", "left")
+    j = items.join(dec, [c for c in ("repository_id", "url") if c in dec.columns], "left")
     files = j.where(F.col("utf8")).select(
         "repository_id", F.col("path").alias("file_path"), F.col("text").alias("content"), "language", "size",
         "url")
@@ -66,4 +72,4 @@ def blobs_payload(fx_tree_items: DataFrame) -> DataFrame:
     wrapped = (F.when(F.col("fault") == "base64", F.lit("*not base64*")).when(F.col("fault") == "utf8", F.lit("//4="))
                 .otherwise(F.regexp_replace(b64, "(.{60})", "$1\n")))
     return fx_tree_items.where(F.col("blob_text").isNotNull()).select(
-        "url", F.lit("base64").alias("encoding"), wrapped.alias("content"))
+        "repository_id", "url", F.lit("base64").alias("encoding"), wrapped.alias("content"))

@@ -7,9 +7,17 @@ from conftest import SF_SMALL
 
 def test_repo_stream_equals_batch(spark):
     import __spark_entry__ as E
-    batch = {(r.id, r.text) for r in E.queries()["code_documents"](spark, SF_SMALL).collect()}
-    stream = {(r.id, r.text) for r in E.queries()["stream_repo_sync"](spark, SF_SMALL).collect()}
+    from codeindex.operators import documents, files as FL
+    from codeindex.plans import pr_queries as PQ, source_queries as SQ, stream_queries as STQ
+    from codeindex.streaming.sync import routed_files
+    requests = PQ.repo_requests_df(spark, SF_SMALL)
+    files, _, held = routed_files(requests, SQ.repo_sources(spark, SF_SMALL, STQ.DAMAGED))
+    docs = documents.code_documents(FL.attach_requests(files, requests))
+    batch = {(r.index_name, r.id, r.text) for r in docs.collect()}
+    stream = {(r.index_name, r.id, r.text) for r in E.queries()["stream_repo_sync"](spark, SF_SMALL).collect()}
     assert batch == stream and batch
+    for h in held:
+        h.unpersist()
 
 
 def test_compaction_keeps_latest(spark):
@@ -107,11 +115,13 @@ def test_vector_search_takes_any_number_of_queries_in_blocks(spark):
     corpus = spark.createDataFrame([(i, rng.normal(size=3072).tolist()) for i in range(40)], "doc_id long, embedding array<float>")
     qs = corpus.select(F.col("doc_id").alias("query_id"), "embedding")
     whole = sorted(tuple(r) for r in SR.search_vector(corpus, qs, k=3).collect())
-    kept, SR.BLOCK_BYTES = SR.BLOCK_BYTES, 1 << 17
+    from codeindex.operators import vectors as V
+    kept = V.BLOCK_ROWS, V.QUERY_ROWS
+    V.BLOCK_ROWS, V.QUERY_ROWS = 7, 3
     try:
         blocks = sorted(tuple(r) for r in SR.search_vector(corpus, qs, k=3).collect())
     finally:
-        SR.BLOCK_BYTES = kept
+        V.BLOCK_ROWS, V.QUERY_ROWS = kept
     assert whole == blocks and len(whole) == 120 and all(r[1] == r[0] for r in whole if r[3] == 1)
 
 
@@ -126,6 +136,8 @@ def test_search_modes_filter_before_ranking(spark):
              for m in ("keyword", "vector", "hybrid")}
     assert set(found["keyword"]) == {"b", "c"} and found["vector"] == ["b", "c"] and found["hybrid"][0] == "b"
     assert [r.id for r in SR.search(docs, "pr", mode="filter", where={"state": "closed"}).collect()] == ["b", "c"]
+    many = spark.range(60).select(F.col("id").cast("string").alias("id"), F.lit("closed").alias("state"))
+    assert SR.search(many, "pr", mode="filter", where={"state": "closed"}).count() == 60
 
 
 def test_filter_search_takes_several_conditions_and_no_limit(spark):

@@ -33,7 +33,7 @@ def test_zip_archives_via_binary_file(spark):
     from codeindex.operators import files as FL
     from codeindex.sources.archives import archive_sizes, expand_archives, read_archives
     d = tempfile.mkdtemp(prefix="codeindex-zip-")
-    os.makedirs(f"{d}/repo=7")
+    os.makedirs(f"{d}/repository_id=7/branch=feature%2Fa-b")
     buf = io.BytesIO()
     with zipfile.ZipFile(buf, "w") as z:
         z.writestr("top-abc/", b"")
@@ -41,13 +41,12 @@ def test_zip_archives_via_binary_file(spark):
         z.writestr("top-abc/.github/x.yml", "a: 1")
         z.writestr("top-abc/bin/x.bin", b"\x00\x01")
         z.writestr("top-abc/src/bad.py", b"\xc3\x28")
-    with open(f"{d}/repo=7/archive.zip", "wb") as fh:
+    with open(f"{d}/repository_id=7/branch=feature%2Fa-b/archive.zip", "wb") as fh:
         fh.write(buf.getvalue())
     arch = read_archives(spark, d)
     files = FL.entries_to_files(expand_archives(arch)).collect()
     assert [(r.repository_id, r.file_path, r.language) for r in files] == [(7, "src/a.py", "python")]
-    sizes = archive_sizes(spark, d).collect()
-    assert sizes[0].repository_id == 7 and abs(sizes[0].size_mb - len(buf.getvalue()) / 1024 / 1024) < 1e-12
+    assert [tuple(r) for r in archive_sizes(arch).collect()] == [(7, "feature/a-b", len(buf.getvalue()), 1)]
 
 
 def test_parse_epoch_edge_cases(spark):
@@ -168,3 +167,143 @@ def test_java_gate_needs_two_signatures(spark):
     got = {r.k: (r.g, r.route) for r in with_route(df).select("k", java_gate("content", "language").alias("g"),
                                                                "route").collect()}
     assert got == {"one": (False, "split"), "two": (True, "java"), "kt": (False, "whole")}
+
+
+def test_a_model_sees_whole_files_until_twenty_documents(spark):
+    import numpy as np
+    from codeindex.operators.embed import embed_files
+
+    def load():
+        calls = [0]
+
+        def model(texts):
+            calls[0] += 1
+            return np.array([[len(texts), calls[0]] for _ in texts], dtype=float)
+        return model
+
+    sizes = [1, 7, 30, 3, 3, 3, 3, 3, 3, 3, 45, 2, 1]  # documents of each file
+    rows = [(1, f"f{i:02d}", k, "t") for i, n in enumerate(sizes) for k in range(n)]
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")  # files lie in several Arrow batches
+    try:
+        docs = spark.createDataFrame(rows, "repository_id long, file_path string, chunk_index int, text string").coalesce(1)
+        out = embed_files(docs, "text", load, 2).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert [(r.file_path, r.chunk_index) for r in out] == [(f, k) for _, f, k, _ in rows]
+    calls = {}
+    for r in out:
+        size, call = r["_vectors"]["default"]
+        calls.setdefault(int(call), []).append(r.file_path)
+        assert size >= 1
+    want, own = [], []
+    for i, n in enumerate(sizes):  # gathered until 20 or more, whole files only
+        own += [f"f{i:02d}"] * n
+        if len(own) >= 20 or i == len(sizes) - 1:
+            want.append(own)
+            own = []
+    assert [calls[k] for k in sorted(calls)] == want
+
+
+def test_streams_take_a_model(spark):
+    import numpy as np
+    from codeindex.operators.embed import embed_files
+    from codeindex.plans import stream_queries as STQ
+    from conftest import SF_SMALL
+
+    def load():
+        return lambda texts: np.array([[len(t)] * STQ.STREAM_DIM for t in texts], dtype=float)
+
+    table, _ = STQ._run_repo(spark, SF_SMALL, lambda docs, text: embed_files(docs, text, load, STQ.STREAM_DIM))
+    rows = table.read().selectExpr("length(text) AS n", "_vectors['default'][0] AS v").collect()
+    assert rows and all(r.n == r.v for r in rows)
+
+
+def test_equal_scores_go_to_the_earlier_attribute(spark):
+    from codeindex.operators import search as SR
+    docs = spark.createDataFrame([("a", "x", "alpha", "y"), ("b", "alpha", "x", "y"), ("c", "x", "y", "alpha")],
+                                 "id string, title string, body string, state string")
+    docs = docs.withColumn("commit_messages", F.array("state")).withColumn("changed_files", F.array(F.lit("z")))
+    qs = spark.createDataFrame([(1, "alpha")], "query_id long, q string")
+    got = SR.search(docs, "pr", qs).orderBy("rank").collect()
+    assert [r.id for r in got] == ["b", "a", "c"] and len({r.score for r in got}) == 1 and [r.attribute for r in got] == [0, 1, 2]
+
+
+def test_keyword_floors_change_no_result(spark, monkeypatch):
+    import random
+    from codeindex.operators import keyword as KW
+    random.seed(8)
+    words = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(random.choices(words, weights=[1 / (k + 1) for k in range(60)], k=random.randint(0, 30)))) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    qs = spark.createDataFrame([(i, " ".join(random.sample(words, n)), ) for i, n in enumerate([1, 2, 3, 5, 8, 20, 60])] + [(99, "unknown")], "query_id long, q string")
+    index = KW.KeywordIndex.build(docs, "doc_id", {"text": F.col("text")})
+    plain = KW.KeywordIndex.open(spark, index.root)
+    for k in (1, 3, 10):
+        terms = index.query_terms(qs, "query_id", "q", k)
+        assert k > 3 or terms.where("NOT essential OR least > 0").count() > 0
+        got = sorted(map(tuple, index.search(qs, k).collect()))
+        monkeypatch.setattr(KW, "DEEPEST", 0)  # no floor: every posting counts
+        assert got == sorted(map(tuple, plain.search(qs, k).collect()))
+        monkeypatch.setattr(KW, "DEEPEST", 100)
+
+
+def test_vector_search_reads_part_of_the_rows_and_is_exact(spark):
+    import numpy as np
+    from codeindex.operators.vectors import VectorIndex
+    rng = np.random.default_rng(2)
+    centres = rng.normal(size=(30, 12))
+    v = centres[rng.integers(0, 30, 3000)] + 0.05 * rng.normal(size=(3000, 12))
+    v[5] = 0
+    rows = [(i, x.tolist()) for i, x in enumerate(v)] + [(4000, None), (4001, [1.0, 2.0]), (4002, [2.0, 4.0])]
+    corpus = spark.createDataFrame(rows, "doc_id long, embedding array<double>")
+    qs = corpus.where("doc_id % 100 = 7 or doc_id >= 4000").select(F.col("doc_id").alias("query_id"), "embedding")
+    index = VectorIndex.build(corpus, "doc_id", "embedding")
+    got = {}
+    for r in index.search(qs, 5).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.doc_id, r.score))
+    assert 4000 not in got and [d for d, _ in got[4001]] == [4001, 4002]
+    u = v / np.where(np.linalg.norm(v, axis=1) > 0, np.linalg.norm(v, axis=1), 1)[:, None]
+    for q in range(7, 3000, 100):
+        s = np.round(u @ u[q], 6)
+        s[5] = -2
+        want = np.lexsort((np.arange(3000), -s))[:5]
+        assert [d for d, _ in got[q]] == want.tolist()
+    took = index.candidates(qs, 5).agg(F.sum("products")).first()[0]
+    assert took < 0.3 * 3000 * 30
+
+
+def test_hybrid_search_joins_few_pairs_and_is_exact(spark, monkeypatch):
+    import random
+    import numpy as np
+    from codeindex.operators import search as SR
+    from codeindex.operators.keyword import KeywordIndex
+    from codeindex.operators.vectors import VectorIndex
+    random.seed(9)
+    rng = np.random.default_rng(9)
+    words = [f"w{i}" for i in range(40)]
+    texts = [" ".join(random.choices(words, k=random.randint(0, 12))) for _ in range(500)]
+    texts[100:160] = ["w1 w2"] * 60  # many equal documents
+    vecs = rng.normal(size=(500, 6))
+    vecs[100:160] = vecs[100]
+    vecs[7] = 0
+    corpus = spark.createDataFrame([(i, t, v.tolist()) for i, (t, v) in enumerate(zip(texts, vecs, strict=True))], "doc_id long, text string, embedding array<double>")
+    asked = [(i, q, vecs[j].tolist()) for i, (q, j) in enumerate([("w1 w2", 100), ("w5", 3), ("none", 7), ("", 20), ("w3 w9 w30", 40)])]
+    qs = spark.createDataFrame(asked, "query_id long, q string, embedding array<double>")
+    words_index, vector_index = KeywordIndex.build(corpus, "doc_id", {"text": F.col("text")}), VectorIndex.build(corpus, "doc_id", "embedding")
+    pairs = []
+    whole = SR.complete
+    monkeypatch.setattr(SR, "complete", lambda *a: pairs.append(out := whole(*a)) or out)
+    got = {}
+    for r in SR.search_hybrid(corpus, qs, words_index, vector_index, k=4, depth=2).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.doc_id, r.score))
+    kw = {(r.query_id, r.doc_id): r.score for r in words_index.search(qs, 500).collect()}
+    unit = vecs / np.where(np.linalg.norm(vecs, axis=1) > 0, np.linalg.norm(vecs, axis=1), 1)[:, None]
+    for q, text, v in asked:
+        v = np.array(v)
+        sem = np.maximum(0, np.round(unit @ (v / (np.linalg.norm(v) or 1)), 6))
+        best = max((s for (a, _), s in kw.items() if a == q), default=0)
+        score = [np.floor((0.7 * sem[d] + (1 - 0.7) * (kw.get((q, d), 0) / best if best else 0)) * 1e6 + 0.5) / 1e6 for d in range(500)]
+        want = sorted(range(500), key=lambda d: (-score[d], d))[:4]
+        assert got[q] == [(d, score[d]) for d in want], (q, text)
+    assert pairs[0].count() <= 5 * (2 * 8 + 4)  # both lists to depth 2 * k, and the smallest keys
