@@ -1,7 +1,8 @@
 """Token ids in a compact binary file (operator 10): canonical, length-limited Huffman coding.
 
 1. ``tokenise``: ids of each whole text with the end id behind them, packed in rows of about ``SEGMENT_IDS`` ids in
-   ascending order of the document id. Texts are tokenised where they are scanned; only ids are shuffled.
+   ascending order of the document id. Texts are tokenised where they are scanned, once; only ids are shuffled, by
+   ranges of the document id that its quantiles give.
 2. ``code_lengths``: package-merge over the global counts of the ids (one number per entry of the vocabulary),
    limited to 16 bits.
 3. ``encode``: each segment becomes one record of the file format: canonical codes, most significant bit first, in
@@ -20,9 +21,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import prepare, saved, scratch, slices
 from .tokenizing import worker_encoder
@@ -30,10 +33,16 @@ from .tokenizing import worker_encoder
 MAX_BITS = 16
 BLOCK_IDS = 512
 SEGMENT_IDS = 1 << 17
+BUCKETS = 4  # ranges of document ids per partition, so that their hashes spread evenly
 
 
-def tokenise(docs: DataFrame, id_col: str, text_col: str, tokenizer_json: str, pattern: str, lower: bool, end_id: int, width: int = 4) -> DataFrame:
-    """(id, ids binary): little-endian unsigned ids of ``width`` bytes of each text, ``end_id`` last."""
+def tokenise(docs: DataFrame, id_col: str, text_col: str, tokenizer_json: str, pattern: str, lower: bool, end_id: int, width: int = 4,
+             edges: np.ndarray | None = None) -> DataFrame:
+    """(id, ids binary): little-endian unsigned ids of ``width`` bytes of each text, ``end_id`` last.
+
+    With ``edges`` (ascending ids) also ``bucket``: ids below the first edge are in bucket 0, and so on. An id that is
+    several edges, as very many rows have it, is dealt out over the buckets between them.
+    """
     prepare(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(tokenizer_json)  # a public vocabulary of fixed size
 
@@ -44,21 +53,36 @@ def tokenise(docs: DataFrame, id_col: str, text_col: str, tokenizer_json: str, p
             ids = np.insert(ids, first[1:], end_id)
             first = (first + np.arange(len(first))) * width
             packed = pa.Array.from_buffers(pa.binary(), b.num_rows, [None, pa.py_buffer(first.astype(np.int32)), pa.py_buffer(ids.astype(f"<u{width}"))])
-            yield pa.RecordBatch.from_arrays([b.column("id"), packed], ["id", "ids"])
+            if edges is None:
+                yield pa.RecordBatch.from_arrays([b.column("id"), packed], ["id", "ids"])
+                continue
+            value = np.asarray(pc.fill_null(b.column("id"), 0).cast(pa.float64()))
+            low, high = (np.searchsorted(edges, value, side) for side in ("left", "right"))
+            bucket = np.where(high - low > 1, low + 1 + (np.arange(len(value)) + len(ids)) % np.maximum(1, high - low), high)
+            bucket[np.asarray(b.column("id").is_null())] = 0
+            yield pa.RecordBatch.from_arrays([b.column("id"), packed, pa.array(bucket, pa.int32())], ["id", "ids", "bucket"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, ids binary")
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, ids binary" + ("" if edges is None else ", bucket int"))
+
+
+def edges_of(ids: DataFrame, buckets: int) -> np.ndarray:
+    """Up to ``buckets`` - 1 ids that part the rows into ranges of about equal size; a hot id is an edge several times."""
+    at = [i / buckets for i in range(1, buckets)]
+    return np.array(sorted(ids.approxQuantile(ids.columns[0], at, 0.25 / buckets)) if at else [], np.float64)
 
 
 def segments(tokens: DataFrame, partitions: int) -> DataFrame:
     """Rows (part, start_in_part, doc_ids, counts, ids) in ascending document order; every row holds whole documents.
 
-    Ids travel as two bytes each.
+    Ids travel as two bytes each. A part is a bucket of ``tokens`` where they have one, else a range of ids; finding
+    ranges reads ``tokens`` once more.
     """
     kind = tokens.schema["id"].dataType.simpleString()
+    dealt = "bucket" in tokens.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, start = TaskContext.get().partitionId(), 0
+        part, start = None if dealt else TaskContext.get().partitionId(), 0
         names, held, size = [], [], 0
 
         def flush():
@@ -75,17 +99,25 @@ def segments(tokens: DataFrame, partitions: int) -> DataFrame:
         id_type = None
         for b in batches:
             id_type = b.schema.field("id").type
-            for name, x in zip(b.column("id").to_pylist(), b.column("ids"), strict=True):
+            buckets = b.column("bucket").to_pylist() if dealt else [part] * b.num_rows
+            for name, x, bucket in zip(b.column("id").to_pylist(), b.column("ids").to_pylist(), buckets, strict=True):
+                if bucket != part:
+                    if held:
+                        yield flush()
+                    part, start = bucket, 0
                 names.append(name)
-                held.append(x.as_py())
-                size += len(held[-1]) // 2
+                held.append(x)
+                size += len(x) // 2
                 if size >= SEGMENT_IDS:
                     yield flush()
         if held:
             yield flush()
 
-    return (tokens.repartitionByRange(partitions, "id").sortWithinPartitions("id")
-            .mapInArrow(run, f"part int, start_in_part long, doc_ids array<{kind}>, counts array<int>, ids binary"))
+    if dealt:
+        ordered = tokens.repartition(partitions, "bucket").sortWithinPartitions("bucket", "id")
+    else:
+        ordered = tokens.repartitionByRange(partitions, "id").sortWithinPartitions("id")
+    return ordered.mapInArrow(run, f"part int, start_in_part long, doc_ids array<{kind}>, counts array<int>, ids binary")
 
 
 def code_lengths(counts: np.ndarray, most: int = MAX_BITS) -> np.ndarray:
@@ -197,14 +229,16 @@ def counts_of(packed: DataFrame, size: int) -> np.ndarray:
 def write(tokens: DataFrame, path: str, size: int, partitions: int, width: int = 4) -> None:
     """Write (id, ids) as a file of this format below ``path``: ``segments`` and ``codebook``. ``size``: ids are below it.
 
-    ``width``: bytes of an id in ``tokens``. The ids are saved before they are put in order, as finding the ranges
-    reads its input once more.
+    ``width``: bytes of an id in ``tokens``. Without buckets the ids are saved before they are put in order, as finding
+    the ranges reads them once more.
     """
     if size > 1 << 16:
         raise ValueError("ids must fit in 16 bits")
     spark = tokens.sparkSession
-    tokens = tokens.select("id", "ids")
-    narrow = saved(tokens if width == 2 else tokens.mapInArrow(_narrow, tokens.schema), "token-ids")
+    narrow = tokens
+    if "bucket" not in tokens.columns:
+        tokens = tokens.select("id", "ids")
+        narrow = saved(tokens if width == 2 else tokens.mapInArrow(_narrow, tokens.schema), "token-ids")
     packed = saved(segments(narrow, partitions), "id-segments")
     bits = code_lengths(counts_of(packed, size))
     # one row per partition: its number of ids, to place the partitions one after another
@@ -260,10 +294,12 @@ def read(spark, path: str) -> DataFrame:
                 ids = unpack(one.column("payload")[0].as_py(), np.asarray(one.column("checkpoints").flatten()), n, symbol, width).astype("<u4")
                 end = np.cumsum(np.asarray(one.column("counts").flatten(), np.int64))
                 begin = np.concatenate([[0], end[:-1]])
-                raw = ids.tobytes()
-                yield pa.RecordBatch.from_arrays([
-                    one.column("doc_ids").flatten(), pa.array(begin + one.column("start")[0].as_py()),
-                    pa.array([raw[4 * x:4 * y] for x, y in zip(begin.tolist(), end.tolist(), strict=True)], pa.binary())], ["id", "start", "ids"])
+                cuts = np.concatenate([[0], end * 4])
+                if cuts[-1] < 1 << 31:
+                    lists = pa.Array.from_buffers(pa.binary(), len(end), [None, pa.py_buffer(cuts.astype(np.int32)), pa.py_buffer(ids)])
+                else:  # one row of a batch cannot hold more; neither can a column of a JVM row
+                    raise ValueError("a segment of 2 GB of ids")
+                yield pa.RecordBatch.from_arrays([one.column("doc_ids").flatten(), pa.array(begin + one.column("start")[0].as_py()), lists], ["id", "start", "ids"])
 
     return files.mapInArrow(run, f"id {kind}, start long, ids binary")
 
@@ -272,6 +308,8 @@ def round_trip(docs: DataFrame, id_col: str, text_col: str, tokenizer_json: str,
                size: int, partitions: int) -> DataFrame:
     """Encode ``docs`` to a new file in the shared folder and read it back."""
     path = scratch(docs.sparkSession, "token-file")
-    write(tokenise(docs, id_col, text_col, tokenizer_json, pattern, lower, end_id, 2), path, size, partitions, 2)
+    numeric = isinstance(docs.schema[id_col].dataType, T.NumericType)
+    edges = edges_of(docs.select(id_col), BUCKETS * partitions) if numeric else None
+    write(tokenise(docs, id_col, text_col, tokenizer_json, pattern, lower, end_id, 2, edges), path, size, partitions, 2)
     return read(docs.sparkSession, path)
 

@@ -1,8 +1,8 @@
 """Cached piecewise encoding with the tokenizers library, and its rank-file loader.
 
 White space that follows a non-space always starts a new pre-token in the public vocabularies used here, so a
-text's ids are the ids of its pieces (a white-space run with the run of other characters behind it) one after
-another. Words repeat, so each worker keeps the ids of the pieces it has met; the library encodes the new ones.
+text's ids are the ids of its pieces (a white-space run with the run of other characters behind it, or the marks behind
+an ASCII letter, where every such vocabulary starts anew as well) one after another. Words repeat, so each worker keeps the ids of the pieces it has met; the library encodes the new ones.
 Pieces are found by a hash and compared byte by byte.
 """
 
@@ -41,6 +41,9 @@ CACHE_BYTES = 32 << 20
 CACHE_PARTS = 100_000
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+_MARK, _LETTER = np.zeros(256, bool), np.zeros(256, bool)
+_MARK[list(b".,;:!?")] = True
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
 
 
 def read_ranks(data: bytes) -> dict[bytes, int]:
@@ -120,14 +123,21 @@ class PieceEncoder:
         self.starts, self.lengths = np.empty(0, np.int64), np.empty(0, np.int64)
 
     def ids_of(self, piece: str) -> list[int]:
-        if piece.isascii():
+        plain = piece.isascii()
+        if plain or self.plain(piece):
             # a word, perhaps with marks behind it: the pattern leaves the word and the run of marks whole
             core = piece.rstrip(".,;:!?")
-            word = core[1:] if core[:1] == " " else core
+            spaced = core[:1] == " "
+            word = core[1:] if spaced else core
             if word.isalpha():
-                ids = self._part(word.lower() if self.lower else core)
-                return ids if len(core) == len(piece) else ids + self._part(piece[len(core):])
-        elif not self.plain(piece):
+                if self.lower:
+                    ids = self._part(word.lower(), plain)
+                elif spaced and plain:
+                    ids = self._part(core, True, self.shown[" "] + word)
+                else:
+                    ids = self._part(core, plain and not spaced)
+                return ids if len(core) == len(piece) else ids + self._part(piece[len(core):], True)
+        else:
             return self.tokenizer.encode(piece, add_special_tokens=False).ids
         parts = self.find(piece.lower() if self.lower else piece)
         if len(parts) == 1:
@@ -137,10 +147,12 @@ class PieceEncoder:
             out += self._part(part)
         return out
 
-    def _part(self, part: str) -> list[int]:
+    def _part(self, part: str, visible: bool = False, shown: str | None = None) -> list[int]:
+        """Ids of what the pattern leaves whole; ``visible``: every character stands for itself, or ``shown`` does for all."""
         ids = self.parts.get(part)
         if ids is None:
-            shown = part if part.isascii() and part.isprintable() and " " not in part else part.translate(self.table)
+            if shown is None:
+                shown = part if visible or part.isascii() and part.isprintable() and " " not in part else part.translate(self.table)
             ids = self.parts[part] = [t.id for t in self.model.tokenize(shown)]
         return ids
 
@@ -190,7 +202,7 @@ class PieceEncoder:
             return np.empty(0, np.uint32), np.zeros(len(offsets), np.int64)
         space = _SPACE[buf]
         begin = np.zeros(len(buf) + 1, bool)
-        begin[1:-1] = space[1:] & ~space[:-1]
+        begin[1:-1] = space[1:] & ~space[:-1] | _MARK[buf[1:]] & _LETTER[buf[:-1]]
         odd = np.asarray(pc.match_substring_regex(texts, ODD_SPACE))
         for i in np.flatnonzero(odd):
             begin[offsets[i]:offsets[i + 1]] = False

@@ -198,3 +198,19 @@ def test_pieces_of_equal_polynomial_hash_stay_apart(encoder, oracle, n):
     counter = token_counts.Counter({"▁a": -1.0, "bb": -1.5, "abb": -2.0, "a": -3.0, "b": -3.0})
     both = counter(pa.array(texts))[1].tolist()
     assert both == [token_counts.Counter(counter.trie.scores)(pa.array([x]))[1][0] for x in texts]
+
+
+def test_hot_and_null_ids_keep_the_order(frame, monkeypatch):
+    with open(P.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        js = f.read()
+    ids = [None, None, *[7] * 300, *range(100)]
+    texts = [f"word {i} " * (i % 5) for i in range(len(ids))]
+    back = huffman_ids.round_trip(frame(texts, ids).repartition(5), "doc_id", "text", js, queries.split_pattern(js), True, 1, 49408, 4).collect()
+    back.sort(key=lambda r: r.start)
+    assert [r.id for r in back] == sorted(ids, key=lambda x: -1 if x is None else x)
+    at = 0
+    for r in back:
+        assert r.start == at
+        at += len(r.ids) // 4
+    edges = huffman_ids.edges_of(frame(texts, ids).select("doc_id"), 16)
+    assert (edges == 7).sum() > 5  # a hot id is dealt out
