@@ -11,8 +11,10 @@ sample of SAMPLE times as many, drawn by a hash: each is further than cosine APA
 inside one group of near vectors would be near to its members in nearly random order. Fewer points are taken where
 there are not enough directions. Every vector is indexed. Recall against brute force is measured in the tests.
 
-Null or zero vectors and those with null or non-finite components, or of another length than most vectors have, link
-with nothing; each is its own component. Null ids are left out; rows that repeat an id are one vector.
+Null or zero vectors and those with null or non-finite components link with nothing; each is its own component. Vectors
+of one length have reference points and lists of their own, as those of different lengths never link. Null ids are left
+out; rows that repeat an id are one vector, the smallest. Ties between reference points go to the smaller one, an
+empty table gives an empty one, and other columns are not read.
 """
 
 from __future__ import annotations
@@ -21,10 +23,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import by_groups, prepare, saved
+from .common import by_groups, prepare, release, saved
 from .components import components
 
 PIVOTS = 96
@@ -60,20 +62,32 @@ def spread(sample: np.ndarray, n: int, apart: float = APART) -> np.ndarray:
     return sample[out]
 
 
-def unit(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Unit vectors in double precision, and which rows they are; rows that link with nothing are left out."""
-    rows, out = [], []
+def normal(v: np.ndarray) -> np.ndarray:
+    length = np.sqrt((v * v).sum())
+    if not np.isfinite(length):
+        v = v / np.abs(v).max()
+        length = np.sqrt((v * v).sum())
+    return v / length
+
+
+def unit(lists: pa.Array) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
+    """Which rows are vectors that can link, their unit vectors in double precision, and the vectors themselves."""
+    rows, out, raw = [], [], []
     for i, x in enumerate(lists.to_pylist()):
         if x and None not in x:
             v = np.array(x, np.float64)
-            length = np.sqrt((v * v).sum())
-            if np.isfinite(v).all() and length > 0:
-                if not np.isfinite(length):
-                    v = v / np.abs(v).max()
-                    length = np.sqrt((v * v).sum())
+            if np.isfinite(v).all() and v.any():
                 rows.append(i)
-                out.append(v / length)
-    return np.array(rows, np.int64), out
+                out.append(normal(v))
+                raw.append(v)
+    return np.array(rows, np.int64), out, raw
+
+
+def packed(v: np.ndarray) -> bytes:
+    """A vector's bytes, in single precision where that holds it."""
+    with np.errstate(over="ignore"):
+        single = v.astype(np.float32)
+    return (single if (single == v).all() else v).tobytes()
 
 
 def near_duplicates(vectors: DataFrame, id_col: str, vector_col: str, cosine: float = COSINE, n_pivots: int = PIVOTS) -> DataFrame:
@@ -81,7 +95,7 @@ def near_duplicates(vectors: DataFrame, id_col: str, vector_col: str, cosine: fl
     spark = vectors.sparkSession
     prepare(spark)
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v")).where("id is not null")
-    rows = rows.dropDuplicates(["id"])
+    rows = rows.groupBy("id").agg(F.min("v").alias("v"))
     plain = F.col("v").isNotNull() & (F.size("v") > 0) & ~F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists("v", lambda x: x != 0)
     usable = F.coalesce(plain, F.lit(False))
     hashed = rows.select("id", F.when(usable, F.col("v")).alias("v"), F.when(usable, F.md5(F.concat_ws(",", F.col("v").cast("array<string>")))).alias("same"))
@@ -90,33 +104,36 @@ def near_duplicates(vectors: DataFrame, id_col: str, vector_col: str, cosine: fl
     named = saved(hashed.select("id", "same").join(classes, "same", "left").select("id", F.coalesce("rep", "id").alias("rep"), F.coalesce("copies", F.lit(1)).alias("copies")), "vector-classes")
     reps = hashed.where("v is not null").join(named.where("id = rep").select("id", "copies"), "id")
 
-    common = hashed.where("v is not null").groupBy(F.size("v").alias("width")).count().orderBy(F.desc("count"), "width").first()
-    if common is None:
-        return named.select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component"))
-    # a bounded sample
-    sample = reps.where(F.size("v") == common["width"]).orderBy(F.xxhash64("id", F.lit(5)), "id").limit(SAMPLE * n_pivots).select("v")
-    pivots = spark.sparkContext.broadcast(spread(np.stack(unit(sample.toArrow().column("v").combine_chunks())[1]), n_pivots))
+    # a bounded sample of every vector length
+    drawn = Window.partitionBy(F.size("v")).orderBy(F.xxhash64("id", F.lit(5)), "id")
+    sample = reps.withColumn("n", F.row_number().over(drawn)).where(F.col("n") <= SAMPLE * n_pivots).orderBy("n").select("v")
+    groups: dict[int, list[np.ndarray]] = {}
+    for v in unit(sample.toArrow().column("v").combine_chunks())[1]:
+        groups.setdefault(len(v), []).append(v)
+    # of every length, its turn and its reference points
+    pivots = spark.sparkContext.broadcast({width: (turn, spread(np.stack(groups[width]), n_pivots)) for turn, width in enumerate(sorted(groups))})
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        points = pivots.value
-        n = min(PREFIX, len(points))
         for batch in batches:
             for at in range(0, batch.num_rows, 2000):
                 b = batch.slice(at, 2000)
-                which, v = unit(b.column("v"))
-                fits = np.array([len(x) == points.shape[1] for x in v], bool)
-                if not fits.any():
-                    continue
-                which, v = which[fits], np.stack([x for x, ok in zip(v, fits, strict=True) if ok])
-                prefix = describe(v, points, n)
-                lists = _pairs(prefix, len(points)) if n > 1 else prefix.astype(np.int64)
-                ids, copies = np.asarray(b.column("id"))[which], np.asarray(b.column("copies"))[which]
-                packed, near = [x.tobytes() for x in v], [x.tobytes() for x in prefix]
-                for k in range(lists.shape[1]):
-                    yield pa.RecordBatch.from_arrays([pa.array(lists[:, k]), pa.array(ids), pa.array(copies), pa.array(near, pa.binary()), pa.array(packed, pa.binary())],
-                                                     ["list", "id", "copies", "near", "v"])
-
-    entries = saved(reps.mapInArrow(index, "list long, id long, copies long, near binary, v binary"), "pivot-lists")
+                rows, units, raw = unit(b.column("v"))
+                for width in sorted({len(x) for x in units}):
+                    own = [i for i, x in enumerate(units) if len(x) == width]
+                    turn, points = pivots.value[width]
+                    n = min(PREFIX, len(points))
+                    which = rows[own]
+                    prefix = describe(np.stack([units[i] for i in own]), points, n)
+                    lists = (_pairs(prefix, len(points)) if n > 1 else prefix.astype(np.int64)) + (turn << 32)
+                    ids, copies = np.asarray(b.column("id"))[which], np.asarray(b.column("copies"))[which]
+                    held, near = [packed(raw[i]) for i in own], [x.tobytes() for x in prefix]
+                    dims = pa.array(np.full(len(own), width, np.int32))
+                    for k in range(lists.shape[1]):
+                        yield pa.RecordBatch.from_arrays([pa.array(lists[:, k]), pa.array(ids), pa.array(copies), pa.array(near, pa.binary()), dims, pa.array(held, pa.binary())],
+                                                         ["list", "id", "copies", "near", "dims", "v"])
+        release()
+
+    entries = saved(reps.mapInArrow(index, "list long, id long, copies long, near binary, dims int, v binary"), "pivot-lists")
     sizes = entries.groupBy("list").agg(F.count("*").alias("n")).where("n > 1").select("list", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
     parts = (entries.join(sizes, "list").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -127,7 +144,8 @@ def near_duplicates(vectors: DataFrame, id_col: str, vector_col: str, cosine: fl
         ids = np.asarray(part.column("id"))
         order = np.argsort(ids, kind="stable")
         ids, block, copies = ids[order], np.asarray(part.column("block"))[order], np.asarray(part.column("copies"))[order]
-        v = np.frombuffer(b"".join(part.column("v").to_pylist()), np.float64).reshape(len(ids), -1)[order]
+        width = part.column("dims")[0].as_py()
+        v = np.stack([normal(np.frombuffer(x, np.float32 if len(x) == 4 * width else np.float64).astype(np.float64)) for x in part.column("v").to_pylist()])[order]
         near = np.frombuffer(b"".join(part.column("near").to_pylist()), np.int16).reshape(len(ids), -1)[order]
         linked = np.triu(v @ v.T >= cosine, 1)
         if p != q:
@@ -140,7 +158,7 @@ def near_duplicates(vectors: DataFrame, id_col: str, vector_col: str, cosine: fl
             rank = np.cumsum(common, axis=1)
             low = mine[np.arange(len(a)), (common & (rank == 1)).argmax(axis=1)].astype(np.int64)
             high = mine[np.arange(len(a)), (common & (rank == 2)).argmax(axis=1)].astype(np.int64)
-            here = low * len(pivots.value) + high == own
+            here = low * len(pivots.value[width][1]) + high == own & 0xFFFFFFFF
             a, b = a[here], b[here]
         links = np.bincount(a, copies[b], len(ids)) + np.bincount(b, copies[a], len(ids))
         # a spanning forest: each round hangs roots below smaller ones

@@ -115,6 +115,21 @@ def test_jaccard_join_of_no_rows_and_repeated_rows(frame):
     assert [(r.id, r.class_id, r.n_links) for r in got] == [(4, 4, 0)]
 
 
+def test_one_row_stands_for_an_id(frame, monkeypatch):
+    rng = random.Random(2)
+    ws = [[str(rng.randrange(4000)) for _ in range(80)] for _ in range(2)]
+    near = [" ".join([*w[:40], "x", *w[41:]]) for w in ws]
+    # id 5 has both texts; whichever stands for it, it links with the near copies of that one only
+    rows = [(5, " ".join(ws[0])), (5, " ".join(ws[1])), (1, near[0]), (2, near[1])]
+    results = set()
+    for order in (rows, rows[::-1]):
+        got = {r.id: (r.class_id, r.n_links) for r in chosen_path.similarity_classes(frame([t for _, t in order], [i for i, _ in order]), "doc_id", "text").collect()}
+        results.add(tuple(sorted(got.items())))
+    assert len(results) == 1
+    (only,) = results
+    assert sorted(n for _, (_, n) in only) == [0, 1, 1] and dict(only)[5][1] == 1
+
+
 def test_sketches_estimate_similarity():
     rng = np.random.default_rng(0)
     for size in (20, 60, 900):
@@ -157,13 +172,20 @@ def test_recall_with_one_large_near_group(spark, dim, share, noise):
         assert sum(got[i] for i in range(n)[part]) >= 0.9 * full[part].sum() > 0
 
 
-def test_the_most_frequent_length_counts(spark):
-    from pyspark.sql import functions as F
-
-    first = [r.id for r in spark.range(60).orderBy(F.xxhash64("id", F.lit(5)), "id").collect()][:3]
-    rows = [(i, [1.0, 0.5] if i in first else [1.0, 0.5, i / 1000]) for i in range(60)]
-    got = {r.id: (r.n_links, r.component) for r in pivot_index.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "vec_id", "embedding").collect()}
-    assert all(got[i] == (56, min(set(range(60)) - set(first))) for i in range(60) if i not in first)
+def test_every_length_links_with_its_own(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, (np.ones(8) + rng.normal(size=8) * 0.1 * (i % 7)).tolist()) for i in range(100)]
+    rows += [(200 + i, (np.ones(4) + rng.normal(size=4) * 0.02).tolist()) for i in range(10)]
+    rows += [(300 + i, [1.0 + i, 1.0]) for i in range(5)] + [(400, [3.0]), (401, [-3.0]), (402, [1e300]), (403, [0.5])]
+    got = {r.id: r.n_links for r in pivot_index.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "vec_id", "embedding").collect()}
+    want = {}
+    for i, v in rows:
+        u = np.array(v) / np.abs(v).max()
+        others = [np.array(w) / np.abs(w).max() for j, w in rows if j != i and len(w) == len(v)]
+        want[i] = sum(u @ w / np.linalg.norm(u) / np.linalg.norm(w) >= 0.9 for w in others)
+    for part in (range(100), range(200, 210), range(300, 305), range(400, 404)):
+        assert all(got[i] <= want[i] for i in part) and sum(got[i] for i in part) >= 0.9 * sum(want[i] for i in part) > 0
+    assert all(got[i] == 9 for i in range(200, 210)) and got[400] == 2 and got[401] == 0
 
 
 def test_recall_on_the_given_vectors(spark):
