@@ -90,6 +90,15 @@ def sketches(h: np.ndarray, first: np.ndarray, size: int = SKETCH) -> np.ndarray
     return (out & U64(0xFFFF)).astype(np.uint16).reshape(n, size)
 
 
+def set_hashes(h: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
+    """Two 64-bit hashes of each set, whatever the order of its members."""
+    out = []
+    for seed in (11, 13):
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(seeded(h, seed), dtype=np.uint64)])
+        out.append(signed(mix(total[first[1:]] - total[first[:-1]])))
+    return out
+
+
 def features(docs: DataFrame, id_col: str, text_col: str, width: int = WIDTH) -> DataFrame:
     """(id, h1, h2, n, sketch): a 128-bit hash of the set, its size, its sketch."""
 
@@ -99,10 +108,7 @@ def features(docs: DataFrame, id_col: str, text_col: str, width: int = WIDTH) ->
             h = seeded(h, 7)
             row = np.repeat(np.arange(b.num_rows), np.diff(first))
             h = h[np.lexsort((h, row))]
-            both = []
-            for seed in (11, 13):
-                total = np.concatenate([[0], np.cumsum(seeded(h, seed), dtype=np.uint64)]).astype(np.uint64)
-                both.append(signed(mix(total[first[1:]] - total[first[:-1]])))
+            both = set_hashes(h, first)
             sketch = sketches(h, first)
             off = np.arange(b.num_rows + 1, dtype=np.int32) * (sketch.shape[1] * 2)
             packed = pa.Array.from_buffers(pa.binary(), b.num_rows, [None, pa.py_buffer(off), pa.py_buffer(sketch.tobytes())])
@@ -238,20 +244,29 @@ def verified(members: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 def similarity_classes(docs: DataFrame, id_col: str, text_col: str, threshold: float = THRESHOLD, width: int = WIDTH) -> DataFrame:
     """(id, class_id, n_links) of each id: the smallest id reachable by links, and the number of linked rows."""
     prepare(docs.sparkSession)
-    feats = saved(features(docs, id_col, text_col, width).dropDuplicates(["id"]), "shingle-sketches")
+    # rows of one id: the one of the smallest set hash
+    feats = features(docs, id_col, text_col, width).groupBy("id").agg(F.min(F.struct("h1", "h2", "n", "sketch")).alias("x")).select("id", "x.*")
+    feats = saved(feats, "shingle-sketches")
     classes = feats.where("n > 0").groupBy("h1", "h2").agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
     named = saved(feats.select("id", "h1", "h2").join(classes, ["h1", "h2"], "left").select("id", F.coalesce("rep", "id").alias("rep"), F.coalesce("copies", F.lit(1)).alias("copies")), "set-classes")
     reps = named.where("id = rep").select("id", "copies")
+    names = feats.select("id", "h1", "h2")
     sets = feats.where("n > 0").join(reps.select("id"), "id", "left_semi")
     grouped_ids = components(candidate_groups(sets, threshold))
-    sizes = grouped_ids.groupBy("component").agg(F.count("*").alias("size"))
-    chosen = (grouped_ids.join(sizes, "component").join(reps, F.col("node") == F.col("id")).select("id", "copies", F.col("component").alias("grp"),
+    # written first: a join straight on an aggregation could not be split at a component of very many sets
+    sizes = saved(grouped_ids.groupBy("component").agg(F.count("*").alias("size")), "component-sizes")
+    chosen = (grouped_ids.join(sizes, "component").join(reps, F.col("node") == F.col("id")).join(names, "id").select("id", "copies", "h1", "h2", F.col("component").alias("grp"),
               F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
               .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")))
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
             h, first = shingle_sets(b.column("text"), width)
+            h1, h2 = set_hashes(seeded(h, 7), first)
+            same = (h1 == np.asarray(b.column("h1"))) & (h2 == np.asarray(b.column("h2")))
+            if not same.all():  # another row of the id stands for it
+                h, keep = h[np.repeat(same, np.diff(first))], pa.array(same)
+                first, b = np.concatenate([[0], np.cumsum(np.diff(first)[same])]), b.filter(keep)
             packed = pa.Array.from_buffers(pa.binary(), b.num_rows, [None, pa.py_buffer((first * 8).astype(np.int32)), pa.py_buffer(h.tobytes())])
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("grp", "blocks", "block", "id", "copies")), packed], ["grp", "blocks", "block", "id", "copies", "shingles"])
 
