@@ -9,6 +9,7 @@ as many steps as the tree has levels. Everything is DataFrame operations; only h
 A record is ``changed`` (other bytes at its place), ``missing`` (not in the replica) or ``extra`` (only there). Null
 bodies are empty. Null ids are left out. Rows that repeat an id are records of their own, ordered by their hash. Files
 that one replica lacks are nodes without a partner, and so their records are found as well. Empty tables have no root.
+Ids may be negative, bodies of any length are one record, and other columns are not read.
 """
 
 from __future__ import annotations
@@ -76,8 +77,10 @@ def audit(records: DataFrame, replica: DataFrame) -> DataFrame:
     own = saved(own, "merkle-leaves")
     theirs = saved(theirs, "merkle-leaves")
     a, b = tree(placed(own, own)), tree(placed(theirs, own))
-    tops = [(a[2], b[2])]
-    low, high = a[2].unionByName(b[2]).agg(F.min("node"), F.max("node")).first()
+    base, high = a[2].unionByName(b[2]).agg(F.min("node"), F.max("node")).first()
+    # nodes count from 0 for the first file, as ids of both signs would never meet under one root
+    low, high, base = (None, None, 0) if base is None else (0, high - base, base)
+    tops = [tuple(x[2].withColumn("node", F.col("node") - base) for x in (a, b))]
     while low is not None and low != high:  # log(files) levels, up to one root
         x, y = raised(tops[-1][0]), raised(tops[-1][1])
         tops.append((saved(x, "merkle-level"), saved(y, "merkle-level")))
@@ -89,7 +92,7 @@ def audit(records: DataFrame, replica: DataFrame) -> DataFrame:
         wrong = saved(wrong, "merkle-differing").withColumnRenamed("node", "up")
         x, y = (z.withColumn("up", up).join(wrong, "up", "left_semi").drop("up") for z in (x, y))
         wrong = _differing(x, y, ["node"]).select("node")
-    wrong = saved(wrong.withColumnRenamed("node", "file"), "merkle-differing")
+    wrong = saved(wrong.select((F.col("node") + base).alias("file")), "merkle-differing")
     parts = saved(_differing(*(z[1].join(wrong, "file", "left_semi") for z in (a, b)), ["file", "part"]).select("file", "part"), "merkle-differing")
     x, y = (z[0].join(parts, ["file", "part"], "left_semi") for z in (a, b))
     y = y.select("file", "id", "turn", F.col("size").alias("replica_size"), F.col("hash").alias("replica_hash"))

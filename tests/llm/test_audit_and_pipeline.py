@@ -58,6 +58,16 @@ def test_audit_across_files_and_levels(spark, monkeypatch):
     assert merkle_audit.audit(none, none).count() == 0 and merkle_audit.audit(none, frames[0]).count() == len(own)
 
 
+@pytest.mark.parametrize("ids", [[-1, 0], [-20, -5, -1, 3, 40], [-7], [10**12, 10**12 + 1, -3]])
+def test_audit_of_negative_ids(spark, monkeypatch, ids):
+    monkeypatch.setattr(merkle_audit, "FILE_RECORDS", 2)
+    own = {k: record(k, f"u{k}", "x") for k in ids}
+    other = own | {ids[0]: b"other"}
+    frames = [spark.createDataFrame([(k, v.decode()) for k, v in x.items()], "id long, record string") for x in (own, other)]
+    got = {r.id: (r.file, r.start, r.status, r.hash, r.replica_hash) for r in merkle_audit.audit(*frames).collect()}
+    assert got == brute(own, other, 2)
+
+
 def test_records_of_odd_pages(spark):
     pages = spark.createDataFrame([(1, None, None, "x"), (None, "u", "b", "x"), (2, "u", "é", "x"), (2, "u", "é", "x")], "page_id long, url string, html string, record string")
     got = sorted((r.id, r.record.encode()) for r in merkle_audit.warc_records(pages, "page_id", "url", "html").collect())
@@ -94,6 +104,13 @@ def test_stages_on_planted_documents(spark, frame, tmp_path):
         assert r.decoded_sha256 == hashlib.sha256(text.encode()).hexdigest() and r.n_tokens == len(r.ids)
 
 
+def test_the_language_model_rejects_unknown_scripts(spark, frame):
+    texts = ["the words of a text", "los textos de una tabla", "слова другого письма", "字", "12 34", "the слова of two scripts"] * 8
+    docs = frame(texts, lang="en")
+    kept = {r.doc_id for r in corpus_pipeline.language_id(spark, docs.withColumn("lang", F.when(F.col("doc_id") % 6 < 2, "en")), "").collect()}
+    assert kept == {i for i in range(len(texts)) if i % 6 in (0, 1, 5)}
+
+
 def test_run_keeps_clean_documents(spark):
     out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     n = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").count()
