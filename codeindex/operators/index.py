@@ -1,22 +1,21 @@
 """Index sinks (K01-K05, W01, U02, A03, P11): keyed upsert tables and their catalogue.
 
-An index table is an append-only set of batch folders under one root in the
-shared folder (``<root>/run_no=<r>/batch_no=<n>``). A run is one writer: a batch
-job or a stream with its checkpoint. Writing a batch again overwrites only its
-own folder, so a retried or replayed batch is idempotent, and no run touches the
-folders of another. Run numbers are handed out in ascending order, so
-(run_no, batch_no) orders the versions of a document; reading applies
-last-write-wins per primary key (index_name, id). ``compact`` folds the batches
-into one snapshot. Nothing is ever deleted unless ``prune_scope`` asks for it, as
-in the reference.
+An index table is a Parquet folder partitioned by ``run_no``, ``batch_no`` and ``index_name``. A run is one writer: a
+batch job or a stream with its checkpoint; run numbers ascend, so (run_no, batch_no) orders the versions of a document.
+Writing a batch again replaces its folder, so a retried or replayed batch is idempotent, and no run touches the folders
+of another. Reading applies last-write-wins per (index_name, id): the older versions are found on the keys alone, which
+is the only shuffle, and anti-joined from the rows; they are few, so Spark broadcasts them and the documents
+themselves stay where they are. Nothing is ever deleted, as in the reference.
 """
 
 from __future__ import annotations
 
 import zlib
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # ---------------------------------------------------------------------------
 # Index attribute configuration (order = rank) and vector size.
@@ -61,20 +60,14 @@ def catalogue(spark: SparkSession, index_names: DataFrame) -> DataFrame:
 
 
 VERSION = ["run_no", "batch_no"]
+# a hash of the row and its place in the batch: they order rows of one key within a batch
+ROW = ["_row", "_at"]
 
 
-def latest(df: DataFrame, keys: list[str] = KEYS, order: list[str] = VERSION) -> DataFrame:
-    """The newest row per key (ties inside one batch broken by the row's text)."""
-    hashable = [c for c, t in df.dtypes if not t.startswith("map") and c not in order]
-    w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order], F.xxhash64(*hashable).desc())
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
-
-
-def upsert(current: DataFrame, new: DataFrame, keys: list[str] = KEYS, order: list[str] = VERSION) -> DataFrame:
-    """U02 + K01: rows of ``current`` whose key is not replaced, plus the newest ``new`` rows."""
-    fresh = latest(new, keys, order)
-    kept = current.join(fresh.select(*keys), keys, "left_anti")
-    return kept.unionByName(fresh, allowMissingColumns=True)
+def replaced(keyed: DataFrame) -> DataFrame:
+    """W01 on keys alone: (index_name, id, run_no, batch_no, _at) of every version that a newer one replaces."""
+    newest = Window.partitionBy(*KEYS).orderBy(*[F.col(c).desc() for c in [*VERSION, *ROW]])
+    return keyed.withColumn("_n", F.row_number().over(newest)).where(F.col("_n") > 1).select(*KEYS, *VERSION, "_at")
 
 
 class IndexTable:
@@ -110,60 +103,54 @@ class IndexTable:
         fs.mkdirs(self.spark._jvm.org.apache.hadoop.fs.Path(path, str(run)))
         return run
 
-    def write_batch(self, docs: DataFrame, batch_no: int, check_empty: bool = True,
-                    prune_scope: list[str] | None = None, run_no: int = 0) -> bool:
-        """Write one batch; an empty batch is a no-op (K04). Returns whether a write ran.
+    def write_batch(self, docs: DataFrame, batch_no: int, check_empty: bool = True, run_no: int = 0) -> bool:
+        """K01 + U02: write one batch, which replaces older versions of its documents and an earlier try of itself.
 
-        With ``check_empty=False`` the emptiness probe (an extra job) is skipped:
-        an empty frame then creates no folder and replaces nothing, because only
-        the partitions present in the data are overwritten.
-
-        ``prune_scope`` (e.g. ``["index_name", "repository_id"]``) treats the batch
-        as a full snapshot of every scope it touches: current documents of those
-        scopes whose id is absent from the batch get a tombstone row, so they
-        disappear from reads. Without it nothing is ever deleted.
+        An empty batch is a no-op (K04). Returns whether a write ran. With ``check_empty=False`` the emptiness probe (an
+        extra job) is skipped: an empty frame then leaves a folder without files.
         """
         if check_empty and docs.isEmpty():
             return False
-        out = docs.withColumn("_deleted", F.lit(False))
-        if prune_scope and self.exists():
-            # the other batches only: a retried batch never reads the folder it replaces
-            others = latest(self.raw().where((F.col("batch_no") != int(batch_no)) | (F.col("run_no") != int(run_no))))
-            if "_deleted" in others.columns:
-                others = others.where(~F.coalesce(F.col("_deleted"), F.lit(False))).drop("_deleted")
-            current = others.drop(*VERSION)
-            scopes = docs.select(*prune_scope).distinct()
-            stale = (current.join(scopes, prune_scope, "left_semi")
-                            .join(docs.select(*KEYS), KEYS, "left_anti")
-                            .select(*dict.fromkeys(KEYS + prune_scope)))
-            out = out.unionByName(stale.withColumn("_deleted", F.lit(True)), allowMissingColumns=True)
-        (out.withColumn("run_no", F.lit(int(run_no)).cast("long")).withColumn("batch_no", F.lit(int(batch_no)).cast("long"))
-            .write.mode("overwrite").partitionBy(*VERSION)
-            .option("partitionOverwriteMode", "dynamic").parquet(self.root))
+        hashable = [c for c, t in docs.dtypes if not t.startswith("map")]
+        (docs.withColumn("_row", F.xxhash64(*hashable)).withColumn("_at", F.monotonically_increasing_id())
+             .write.mode("overwrite").partitionBy("index_name").parquet(f"{self.root}/run_no={int(run_no)}/batch_no={int(batch_no)}"))
         return True
 
-    def raw(self) -> DataFrame:
-        fs, path = self._fs(self.root)
-        if not fs.exists(path) or not any(st.getPath().getName().startswith("run_no=")
-                                          for st in fs.listStatus(path)):
+    def _folders(self, path: str, prefix: str) -> list[str]:
+        fs, p = self._fs(path)
+        if not fs.exists(p):
+            return []
+        names = [st.getPath().getName() for st in fs.listStatus(p)]
+        return sorted((f"{path}/{n}" for n in names if n.startswith(prefix)), key=lambda x: int(x.rpartition("=")[2]))
+
+    def _schema(self) -> T.StructType:
+        """Columns of the newest batch of every run; a run's batches have the same ones. The types of the folder columns
+        are stated, as an index name may look like a number."""
+        fields: dict[str, T.StructField] = {}
+        for run in self._folders(self.root, "run_no="):
+            for batch in reversed(self._folders(run, "batch_no=")):
+                try:
+                    own = self.spark.read.parquet(batch).schema
+                except AnalysisException:  # a batch without files
+                    continue
+                fields |= {f.name: f for f in own if f.name != "index_name"}
+                break
+        if not fields:
             raise FileNotFoundError(f"index table {self.root} holds no batch yet")
-        return self.spark.read.option("mergeSchema", "true").parquet(self.root)
-
-    def read(self) -> DataFrame:
-        """The current documents: newest version per (index_name, id), tombstones removed."""
-        cur = latest(self.raw())
-        if "_deleted" in cur.columns:
-            cur = cur.where(~F.coalesce(F.col("_deleted"), F.lit(False))).drop("_deleted")
-        return cur.drop(*VERSION)
-
-    def compact(self, target: str) -> "IndexTable":
-        """Fold every batch into one snapshot at ``target`` (a new table)."""
-        snap = IndexTable(self.spark, target)
-        cur = latest(self.raw())
-        if "_deleted" in cur.columns:
-            cur = cur.where(~F.coalesce(F.col("_deleted"), F.lit(False)))
-        cur.write.mode("overwrite").partitionBy(*VERSION).parquet(target)
-        return snap
+        return T.StructType([*fields.values(), T.StructField("run_no", T.LongType()), T.StructField("batch_no", T.LongType()),
+                             T.StructField("index_name", T.StringType())])
+
+    def raw(self) -> DataFrame:
+        """Every version of every document."""
+        return self.spark.read.schema(self._schema()).parquet(self.root)
+
+    def read(self, index_name: str | None = None) -> DataFrame:
+        """The current documents: the newest version per (index_name, id); of one index only its folders are read."""
+        rows = self.raw()
+        if index_name is not None:
+            rows = rows.where(F.col("index_name") == index_name)
+        old = replaced(rows.select(*KEYS, *VERSION, *ROW))
+        return rows.join(old, [*KEYS, *VERSION, "_at"], "left_anti").drop(*VERSION, *ROW)
 
 
 def docs_per_index(docs: DataFrame) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Cross-cutting invariants: stream result = batch result, compaction keeps the index."""
+"""Cross-cutting invariants: stream result = batch result, index tables keep the newest versions."""
 
 from pyspark.sql import functions as F
 
@@ -20,50 +20,12 @@ def test_repo_stream_equals_batch(spark):
         h.unpersist()
 
 
-def test_compaction_keeps_latest(spark):
-    from codeindex.operators.index import IndexTable
-    from codeindex.session import new_path
-    t = IndexTable(spark, new_path(spark, "c-index"))
-    for b, rows in enumerate([[("i", "a", 1), ("i", "b", 1)], [("i", "a", 2)], [("j", "a", 3)]], start=1):
-        t.write_batch(spark.createDataFrame(rows, "index_name string, id string, v long"), b)
-    snap = t.compact(new_path(spark, "c-snap"))
-    got = sorted(tuple(r) for r in snap.read().select("index_name", "id", "v").collect())
-    assert got == sorted(tuple(r) for r in t.read().select("index_name", "id", "v").collect())
-    assert got == [("i", "a", 2), ("i", "b", 1), ("j", "a", 3)]
-
-
 def test_doc_ids_unique_per_index(spark):
     import __spark_entry__ as E
     d = E.queries()["pr_documents"](spark, SF_SMALL)
     assert d.groupBy("index_name", "id").count().where(F.col("count") > 1).count() == 0
 
 
-def test_prune_scope_tombstones_vanished_documents(spark):
-    from codeindex.operators.index import IndexTable
-    from codeindex.session import new_path
-    t = IndexTable(spark, new_path(spark, "p-index"))
-    schema = "index_name string, id string, repository_id long, v long"
-    t.write_batch(spark.createDataFrame([("i", "a", 1, 1), ("i", "b", 1, 1), ("i", "c", 2, 1)], schema), 1)
-    # repository 1 re-synced without 'b': with pruning 'b' disappears, repository 2 is untouched
-    t.write_batch(spark.createDataFrame([("i", "a", 1, 2)], schema), 2, prune_scope=["index_name", "repository_id"])
-    got = sorted((r.id, r.v) for r in t.read().collect())
-    assert got == [("a", 2), ("c", 1)]
-    # default: nothing is deleted
-    u = IndexTable(spark, new_path(spark, "p-index2"))
-    u.write_batch(spark.createDataFrame([("i", "a", 1, 1), ("i", "b", 1, 1)], schema), 1)
-    u.write_batch(spark.createDataFrame([("i", "a", 1, 2)], schema), 2)
-    assert sorted((r.id, r.v) for r in u.read().collect()) == [("a", 2), ("b", 1)]
-
-
-def test_dataframe_upsert_last_batch_wins(spark):
-    from codeindex.operators.index import upsert
-    schema = "index_name string, id string, v long, run_no long, batch_no long"
-    cur = spark.createDataFrame([("i", "a", 1, 1, 1), ("i", "b", 1, 1, 1)], schema)
-    new = spark.createDataFrame([("i", "a", 2, 1, 2), ("i", "a", 3, 2, 0), ("i", "c", 2, 1, 2)], schema)
-    got = sorted((r.id, r.v) for r in upsert(cur, new).collect())
-    assert got == [("a", 3), ("b", 1), ("c", 2)]
-
-
 def test_route_limit_zero_means_default_and_equality_allowed(spark):
     from codeindex.operators.routing import route_repositories
     mb = 1024 * 1024
@@ -147,13 +109,37 @@ def test_filter_search_takes_several_conditions_and_no_limit(spark):
     assert filter_search(docs, "pr", {"labels": ("has", "x")}).count() == 60
 
 
-def test_pruning_batch_retry_is_idempotent(spark):
+def test_newest_version_wins_without_moving_documents(spark):
+    from codeindex.operators.index import IndexTable
+    from codeindex.session import new_path
+    t = IndexTable(spark, new_path(spark, "versions"))
+    schema = "index_name string, id string, v long, wide string"
+    for run, batch, rows in [(1, 1, [("i", "a", 1), ("i", "b", 1), ("7", "a", 1)]), (1, 2, [("i", "a", 2), ("i", "c", 5), ("i", "c", 5), ("i", "c", 5)]),
+                             (2, 0, [("j", "a", 3), ("i", "b", 9)]), (1, 3, [("i", "b", 4)])]:
+        t.write_batch(spark.createDataFrame([(*r, "x" * 100) for r in rows], schema), batch, run_no=run)
+    got = sorted(tuple(r) for r in t.read().select("index_name", "id", "v").collect())
+    assert got == [("7", "a", 1), ("i", "a", 2), ("i", "b", 9), ("i", "c", 5), ("j", "a", 3)]
+    t.write_batch(spark.createDataFrame([("i", "a", 6, "y")], schema), 2, run_no=1)  # the batch once more, with other rows
+    df = t.read("i")
+    assert sorted(tuple(r) for r in df.select("id", "v").collect()) == [("a", 6), ("b", 9)]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    plan = plan[:plan.find("Initial Plan")]
+    # the wide column is in no exchange: one scan of keys is shuffled, the rows meet it as a broadcast
+    assert "BroadcastHashJoin" in plan and plan.count("ReadSchema: struct<id:string,v:bigint,wide:string") == 1
+    assert not t.write_batch(df.limit(0).withColumn("index_name", F.lit("i")), 9)
+
+
+def test_batches_may_gain_columns_and_empty_tables_raise(spark):
+    import pytest
     from codeindex.operators.index import IndexTable
     from codeindex.session import new_path
-    t = IndexTable(spark, new_path(spark, "r-index"))
-    schema = "index_name string, id string, repository_id long, v long"
-    t.write_batch(spark.createDataFrame([("i", "a", 1, 1), ("i", "b", 1, 1)], schema), 1)
-    snap = spark.createDataFrame([("i", "a", 1, 2)], schema)
-    t.write_batch(snap, 2, prune_scope=["index_name", "repository_id"])
-    t.write_batch(snap, 2, prune_scope=["index_name", "repository_id"])  # retried batch
-    assert sorted((r.id, r.v) for r in t.read().collect()) == [("a", 2)]
+    t = IndexTable(spark, new_path(spark, "columns"))
+    with pytest.raises(FileNotFoundError):
+        t.read()
+    empty = spark.createDataFrame([], "index_name string, id string")
+    t.write_batch(empty, 1, check_empty=False)
+    with pytest.raises(FileNotFoundError):
+        t.read()
+    t.write_batch(spark.createDataFrame([("i", "a")], "index_name string, id string"), 2)
+    t.write_batch(spark.createDataFrame([("i", "b", 2)], "index_name string, id string, n long"), 1, run_no=3)
+    assert sorted((r.id, r.n) for r in t.read().collect()) == [("a", None), ("b", 2)]
