@@ -104,11 +104,3 @@ def with_language(df: DataFrame, path_col: str = "file_path", out: str = "langua
         joined = joined.withColumn(out, F.coalesce(F.col(out), F.lit("unknown")))
     return joined.drop("_lang_key", "lang_key")
 
-
-def sql_language_case(path_sql: str) -> str:
-    """The same lookup spelled as a SQL CASE (used by oracle SQL)."""
-    name = f"regexp_extract({path_sql}, '[^/]*$', 0)"
-    key = (f"lower(CASE WHEN strpos({name}, '.') > 0 "
-           f"THEN regexp_extract({name}, '\\.[^.]*$', 0) ELSE {name} END)")
-    whens = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in lookup_rows())
-    return f"(CASE {key} {whens} ELSE 'unknown' END)"

@@ -84,16 +84,23 @@ def index_catalogue(spark, sf):
         "index_name", "kind", "role", "attribute", "rank", "dims", "primary_key")
 
 
-def _config_values() -> str:
-    rows = ", ".join(f"('{k}', '{r}', '{a}', {i})" for k, r, a, i in IX.config_rows())
-    return f"cfg(kind, role, attribute, rank) AS (VALUES {rows})"
+# Attributes of each kind of index by role, in rank order, and the vector size.
+CATALOGUE = """cfg(kind, role, attributes) AS (VALUES
+  ('code', 'searchable', ['text', 'file_path', 'metadata.class_name', 'metadata.function_name']),
+  ('code', 'filterable', ['repository_id', 'owner', 'language', 'category', 'source', 'metadata.class_name', 'metadata.function_name']),
+  ('code', 'sortable', ['repository_id']),
+  ('pr', 'searchable', ['title', 'body', 'commit_messages', 'changed_files']),
+  ('pr', 'filterable', ['repository_id', 'owner', 'repo_name', 'state', 'author', 'labels', 'milestone', 'changed_files', 'created_at', 'updated_at',
+                        'merged_at', 'closed_at', 'changed_files_count', 'additions', 'deletions']),
+  ('pr', 'sortable', ['created_at', 'updated_at', 'merged_at', 'closed_at', 'changed_files_count', 'additions', 'deletions']))"""
 
 
 ORACLE["index_catalogue"] = cte("fx_repo_requests", "fx_pr_request_log") + f""", names AS (
   SELECT DISTINCT {S.index_name('repo_name', 'branch', '_code')} AS index_name, 'code' AS kind FROM fx_repo_requests
   UNION SELECT DISTINCT {S.index_name('repo_name', 'branch', '_pr')}, 'pr' FROM fx_pr_request_log
-), {_config_values()}
-SELECT index_name, kind, role, attribute, rank, {IX.VECTOR_DIMS} AS dims, 'id' AS primary_key FROM names JOIN cfg USING (kind)"""
+), {CATALOGUE}
+SELECT index_name, kind, role, attributes[rank + 1] AS attribute, CAST(rank AS INT) AS rank, 3072 AS dims, 'id' AS primary_key
+FROM names JOIN cfg USING (kind), unnest(range(len(attributes))) AS t(rank)"""
 
 
 @q("docs_per_index")

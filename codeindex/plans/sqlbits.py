@@ -3,10 +3,59 @@
 from __future__ import annotations
 
 from ..functions import patterns as P
-from ..functions.languages import sql_language_case
 
 lit = P.sql_literal
 
+# ---------------------------------------------------------------------------
+# The language of a lower-cased extension or file name, spelled out here once more so that the oracle does
+# not read the engine's table.
+# ---------------------------------------------------------------------------
+LANGUAGES = """
+WHEN k IN ('.sh', '.bash', '.zsh') THEN 'bash'
+WHEN k IN ('.c', '.h') THEN 'c'
+WHEN k IN ('.cpp', '.cc', '.cxx', '.hpp', '.hh', '.hxx') THEN 'cpp'
+WHEN k IN ('.cs', '.csx') THEN 'c_sharp'
+WHEN k IN ('.css') THEN 'css'
+WHEN k IN ('.go') THEN 'go'
+WHEN k IN ('.html', '.htm') THEN 'html'
+WHEN k IN ('.java') THEN 'java'
+WHEN k IN ('.js', '.jsx', '.mjs', '.cjs') THEN 'javascript'
+WHEN k IN ('.json') THEN 'json'
+WHEN k IN ('.php', '.phtml') THEN 'php'
+WHEN k IN ('.py', '.pyw') THEN 'python'
+WHEN k IN ('.rb', '.rake', '.gemspec') THEN 'ruby'
+WHEN k IN ('.rs') THEN 'rust'
+WHEN k IN ('.ts', '.tsx') THEN 'typescript'
+WHEN k IN ('.ex', '.exs') THEN 'elixir'
+WHEN k IN ('.elm') THEN 'elm'
+WHEN k IN ('.erl', '.hrl') THEN 'erlang'
+WHEN k IN ('.f90', '.f95', '.f03') THEN 'fortran'
+WHEN k IN ('.hack', '.hhi') THEN 'hack'
+WHEN k IN ('.hs', '.lhs') THEN 'haskell'
+WHEN k IN ('.hcl', '.tf') THEN 'hcl'
+WHEN k IN ('.jl') THEN 'julia'
+WHEN k IN ('.kt', '.kts') THEN 'kotlin'
+WHEN k IN ('.lua') THEN 'lua'
+WHEN k IN ('makefile', '.mk', '.make') THEN 'make'
+WHEN k IN ('.md', '.markdown') THEN 'markdown'
+WHEN k IN ('.ml', '.mli') THEN 'ocaml'
+WHEN k IN ('.pl', '.pm') THEN 'perl'
+WHEN k IN ('.ql', '.qll') THEN 'ql'
+WHEN k IN ('.regex') THEN 'regex'
+WHEN k IN ('.rst') THEN 'rst'
+WHEN k IN ('.scala', '.sc') THEN 'scala'
+WHEN k IN ('.sql') THEN 'sql'
+WHEN k IN ('.toml') THEN 'toml'
+WHEN k IN ('.yaml', '.yml') THEN 'yaml'
+WHEN k IN ('dockerfile', '.dockerfile') THEN 'dockerfile'
+WHEN k IN ('.el') THEN 'elisp'
+WHEN k IN ('.m', '.mm') THEN 'objc'
+WHEN k IN ('.swift') THEN 'swift'
+WHEN k IN ('.vue') THEN 'vue'
+WHEN k IN ('.svelte') THEN 'svelte'
+"""
+# ---------------------------------------------------------------------------
+
 
 def clean_path(e: str) -> str:
     return f"(CASE WHEN strpos({e}, '/') > 0 THEN substr({e}, strpos({e}, '/') + 1) ELSE '' END)"
@@ -17,7 +66,9 @@ def hidden(p: str) -> str:
 
 
 def language(p: str) -> str:
-    return sql_language_case(p)
+    name = f"regexp_extract({p}, '[^/]*$', 0)"
+    key = f"lower(CASE WHEN strpos({name}, '.') > 0 THEN regexp_extract({name}, '\\.[^.]*$', 0) ELSE {name} END)"
+    return f"(SELECT CASE {LANGUAGES} ELSE 'unknown' END FROM (SELECT {key} AS k))"
 
 
 def not_blank(t: str) -> str:
