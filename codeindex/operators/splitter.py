@@ -61,20 +61,6 @@ SEPARATORS: dict[str, list[str]] = {
     "elixir": ["\ndef ", "\ndefp ", "\ndefmodule ", "\ndefprotocol ", "\ndefmacro ", "\ndefmacrop ",
                "\nif ", "\nunless ", "\nwhile ", "\ncase ", "\ncond ", "\nwith ", "\nfor ",
                "\ndo "] + _TAIL,
-    "proto": ["\nmessage ", "\nservice ", "\nenum ", "\noption ", "\nimport ", "\nsyntax "] + _TAIL,
-    "sol": ["\npragma ", "\nusing ", "\ncontract ", "\ninterface ", "\nlibrary ", "\nconstructor ",
-            "\ntype ", "\nfunction ", "\nevent ", "\nmodifier ", "\nerror ", "\nstruct ", "\nenum ",
-            "\nif ", "\nfor ", "\nwhile ", "\ndo while ", "\nassembly "] + _TAIL,
-    "cobol": ["\nIDENTIFICATION DIVISION.", "\nENVIRONMENT DIVISION.", "\nDATA DIVISION.",
-              "\nPROCEDURE DIVISION.", "\nWORKING-STORAGE SECTION.", "\nLINKAGE SECTION.",
-              "\nFILE SECTION.", "\nINPUT-OUTPUT SECTION.", "\nOPEN ", "\nCLOSE ", "\nREAD ",
-              "\nWRITE ", "\nIF ", "\nELSE ", "\nMOVE ", "\nPERFORM ", "\nUNTIL ", "\nVARYING ",
-              "\nACCEPT ", "\nDISPLAY ", "\nSTOP RUN.", "\n", " ", ""],
-    "latex": ["\n\\\\chapter\\{", "\n\\\\section\\{", "\n\\\\subsection\\{", "\n\\\\subsubsection\\{",
-              "\n\\\\begin\\{enumerate\\}", "\n\\\\begin\\{itemize\\}", "\n\\\\begin\\{description\\}",
-              "\n\\\\begin\\{list\\}", "\n\\\\begin\\{quote\\}", "\n\\\\begin\\{quotation\\}",
-              "\n\\\\begin\\{verse\\}", "\n\\\\begin\\{verbatim\\}", "\n\\\\begin\\{align\\}",
-              "\\$\\$", "\\$", " ", ""],
 }
 GENERIC_SEPARATORS: list[str] = ["\n\n", "\n", " ", ""]
 # ---------------------------------------------------------------------------

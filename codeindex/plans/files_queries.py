@@ -8,6 +8,7 @@ from ..functions import columns as C
 from ..functions import patterns as Pt
 from ..operators import chunking, documents, files as FL
 from ..sources.fixtures import cte, fixture
+from . import split_sql as X
 from . import sqlbits as S
 
 QUERIES: dict = {}
@@ -169,11 +170,10 @@ _KNOWN = ["src", "file_id", "repository_id", "owner", "repo_name", "branch", "fi
 
 
 def _known_files(spark, sf):
-    """Files of every route whose pieces SQL can spell: whole archive files, Java files and files of long blocks."""
-    whole = (chunking.with_route(_requested_files(spark, sf)).where(F.col("route") == "whole")
-             .withColumn("src", F.lit("archive")).withColumnRenamed("doc_id", "file_id"))
+    """All requested archive files, and made ones for the Java route and for blocks of known cuts."""
+    archive = _requested_files(spark, sf).withColumn("src", F.lit("archive")).withColumnRenamed("doc_id", "file_id")
     made = [_java_fixture_files(spark, sf).withColumn("src", F.lit("java")), _block_files(spark, sf).withColumn("src", F.lit("split"))]
-    out = whole.select(*_KNOWN)
+    out = archive.select(*_KNOWN)
     for f in made:
         out = out.unionByName(f.withColumns({"owner": F.lit("org1"), "repo_name": F.lit("parts"), "branch": F.lit("main"),
                                              "repository_id": F.lit(1).cast("long")}).select(*_KNOWN))
@@ -181,9 +181,10 @@ def _known_files(spark, sf):
 
 
 # Their chunks (c), file by file.
-KNOWN_SQL = FILES_SQL + ", " + cte("fx_java_files", "fx_split_files")[5:] + """, known AS (
-  SELECT 'archive' AS src, doc_id AS file_id, f.repository_id, r.owner, r.repo_name, r.branch, file_path, language, 0 AS chunk_index, content AS c
-  FROM routed f JOIN fx_repo_requests r USING (repository_id, branch) WHERE route = 'whole'
+SPLIT_SQL = FILES_SQL.replace("WITH ", "WITH RECURSIVE ", 1).rstrip() + ", " + X.chunks("routed", "doc_id") + "\n"
+KNOWN_SQL = SPLIT_SQL + ", " + cte("fx_java_files", "fx_split_files")[5:] + """, known AS (
+  SELECT 'archive' AS src, doc_id AS file_id, f.repository_id, r.owner, r.repo_name, r.branch, file_path, language, chunk_index, c
+  FROM pieces JOIN routed f USING (doc_id) JOIN fx_repo_requests r USING (repository_id, branch)
 """ + "".join(f"""  UNION ALL SELECT 'java', file_id, 1, 'org1', 'parts', 'main', file_path, 'java', {i}, {c} FROM fx_java_files
 """ for i, c in enumerate(["substr(p_head, 1, length(p_head) - 1)", "p_m1", "p_m2"])) + "".join(
     f"""  UNION ALL SELECT 'split', file_id, 1, 'org1', 'parts', 'main', file_path, language, {i}, ltrim(b{i}, chr(10)) FROM fx_split_files WHERE n_blocks > {i}
@@ -228,7 +229,7 @@ def code_documents(spark, sf):
 
 @q("code_documents_whole")
 def code_documents_whole(spark, sf):
-    """All document columns of the files of every route whose pieces SQL can spell."""
+    """All document columns of the files of every route, made ones included."""
     d = documents.code_documents(_known_files(spark, sf))
     return d.select("id", "sourceType", "file_path", "category", "source", "text", "repository_id", "owner",
                     "language", "html_url", "index_name", "chunk_index",
@@ -236,7 +237,7 @@ def code_documents_whole(spark, sf):
                     F.col("metadata").getItem("function_name").alias("meta_function_name"))
 
 
-ORACLE["code_documents_whole"] = KNOWN_SQL + f"""SELECT {S.code_doc_id('repository_id', 'file_path', 'chunk_index')} AS id,
+_DOCUMENTS_SQL = KNOWN_SQL + f"""SELECT {S.code_doc_id('repository_id', 'file_path', 'chunk_index')} AS id,
   0 AS sourceType, file_path, 'CODE' AS category, concat(repo_name, '@', branch) AS source,
   concat('File: ', file_path, chr(10), chr(10), c) AS text, repository_id, owner, language,
   concat('https://github.com/', owner, '/', repo_name, '/blob/', branch, '/', file_path) AS html_url,
@@ -244,6 +245,8 @@ ORACLE["code_documents_whole"] = KNOWN_SQL + f"""SELECT {S.code_doc_id('reposito
   {S.extract_class('c', 'language')} AS meta_class_name,
   {S.extract_function('c', 'language')} AS meta_function_name
 FROM known"""
+ORACLE["code_documents_whole"] = _DOCUMENTS_SQL
+ORACLE["code_documents"] = _DOCUMENTS_SQL + " WHERE src = 'archive'"
 
 
 @q("extract_class")
@@ -343,6 +346,12 @@ def split_generic(spark, sf):
     return ch.select("doc_id", "language", "chunk_size", "chunk_index", F.col("chunk_raw").alias("chunk"))
 
 
+_SPLIT_LANGUAGES = ", ".join(f"'{k}'" for k in X.SEPARATORS if k)
+_SPLIT_COLUMNS = "SELECT doc_id, language, chunk_size, chunk_index, c AS chunk FROM pieces JOIN routed USING (doc_id) WHERE route = 'split'"
+ORACLE["split_code"] = SPLIT_SQL + _SPLIT_COLUMNS + f" AND language IN ({_SPLIT_LANGUAGES})"
+ORACLE["split_generic"] = SPLIT_SQL + _SPLIT_COLUMNS + f" AND language NOT IN ({_SPLIT_LANGUAGES})"
+
+
 @q("split_invariants")
 def split_invariants(spark, sf):
     """Per split-route file: chunks within size, indexes contiguous, no visible character lost."""
