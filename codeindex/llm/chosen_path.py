@@ -151,33 +151,45 @@ def runs_for(depth: int, threshold: float) -> int:
 
 
 def candidate_groups(sets: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(a, b) candidate links between ``sets`` (id, sketch): a spanning forest per bucket."""
-    found, hot, depth = _runs(sets, range(max(RUNS, runs_for(MIN_DEPTH, threshold))))
-    done, needed = max(RUNS, runs_for(MIN_DEPTH, threshold)), runs_for(depth, threshold)
-    if hot is not None and needed > done:
-        more = saved(sets.join(saved(hot.distinct(), "hot-sets"), "id", "left_semi").select("id", "sketch"), "hot-sketches")
-        found = found.unionByName(_runs(more, range(done, needed))[0])
+    """(a, b) candidate links between ``sets`` (id, sketch): a spanning forest per bucket.
+
+    The first runs take all sets. Sets of buckets that went on beyond MIN_DEPTH need more runs; there, buckets whose sets
+    are connected already have nothing to add and are left.
+    """
+    first = max(RUNS, runs_for(MIN_DEPTH, threshold))
+    found, hot, depth = _runs(sets.select("id", "sketch", F.col("id").alias("part")), range(first))
+    needed = runs_for(depth, threshold)
+    if hot is not None and needed > first:
+        parts = saved(components(found), "candidate-parts")
+        more = sets.select("id", "sketch").join(saved(hot.distinct(), "hot-sets"), "id", "left_semi").join(parts, F.col("id") == F.col("node"), "left")
+        more = saved(more.select("id", "sketch", F.coalesce("component", "id").alias("part")), "hot-sketches")
+        found = parts.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+        found = found.unionByName(_runs(more, range(first, needed))[0])
     return found
 
 
 def _runs(sets: DataFrame, runs: range) -> tuple[DataFrame, DataFrame | None, int]:
-    """Candidate links of some runs, the sets that were in a bucket too large at MIN_DEPTH, and the deepest split reached."""
+    """Candidate links of some runs, the sets that were in a bucket too large at MIN_DEPTH, and the deepest split reached.
+
+    Sets of one ``part`` are known to be connected.
+    """
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids = np.asarray(b.column("id"))
-            sketch = np.frombuffer(b"".join(b.column("sketch").to_pylist()), np.uint16).reshape(len(ids), -1)
+            n = b.num_rows
+            sketch = np.frombuffer(b"".join(b.column("sketch").to_pylist()), np.uint16).reshape(n, -1)
             for r in runs:
                 keys = paths(sketch, r)
-                yield pa.RecordBatch.from_arrays([pa.array(ids), *(pa.array(signed(keys[:, d])) for d in range(MIN_DEPTH - 1, MAX_DEPTH))],
-                                                 ["id", *(f"k{d + 1}" for d in range(MIN_DEPTH - 1, MAX_DEPTH))])
+                yield pa.RecordBatch.from_arrays([b.column("id"), b.column("part"), *(pa.array(signed(keys[:, d])) for d in range(MIN_DEPTH - 1, MAX_DEPTH))],
+                                                 ["id", "part", *(f"k{d + 1}" for d in range(MIN_DEPTH - 1, MAX_DEPTH))])
 
     names = [f"k{d}" for d in range(MIN_DEPTH, MAX_DEPTH + 1)]
-    state = sets.select("id", "sketch").mapInArrow(spread, "id long, " + ", ".join(f"{k} long" for k in names))
+    state = sets.select("id", "part", "sketch").mapInArrow(spread, "id long, part long, " + ", ".join(f"{k} long" for k in names))
     small, deep, hot, reached = None, None, None, MIN_DEPTH
     for depth, k in enumerate(names, MIN_DEPTH):
         # written first: a join straight on an aggregation could not be split at a bucket of very many sets
-        sizes = saved(state.groupBy(k).agg(F.count("*").alias("size"), F.min("id").alias("least")).where("size > 1"), "path-sizes")
+        sizes = state.groupBy(k).agg(F.count("*").alias("size"), F.min("id").alias("least"), F.min("part").alias("low"), F.max("part").alias("high"))
+        sizes = saved(sizes.where("low < high").drop("low", "high"), "path-sizes")
         state = saved(state.join(sizes, k), "paths")
         found = state.where(F.col("size") <= SMALL).select(F.col(k).alias("bucket"), "id")
         small = found if small is None else small.unionByName(found)
