@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import prepare, slices, text_buffer, word_spans
+from .common import SLICE_BYTES, prepare, slices, text_buffer, word_spans
 
 MAX_TRAIN_ROWS = 4000
 BUCKETS = 1 << 16
@@ -245,7 +245,8 @@ def predict(docs: DataFrame, id_col: str, text_col: str, model: Model, spans: bo
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         langs = model.langs
-        for b in slices(batches, "text"):
+        # the passes over a slice hold languages x languages numbers per block of words
+        for b in slices(batches, "text", max(1 << 14, SLICE_BYTES // 2 * 400 // max(400, len(langs) ** 2))):
             texts = pc.fill_null(b.column("text"), "")
             scores, known, starts, ends, first = model.word_scores(texts)
             label = viterbi(scores, first)

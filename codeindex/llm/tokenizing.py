@@ -21,20 +21,7 @@ from .common import Known, distinct, ragged, text_buffer
 
 # Separators beyond ASCII white space, or that only some libraries take as white space: such texts go in whole.
 ODD_SPACE = "[\x1c-\x1f\u0085\u00a0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff]"
-# Pieces kept by a worker (about 50 bytes each), the bytes of their texts, and parts of pieces (about 250 bytes each);
-# a cache starts anew when full, which bounds its memory and changes no result.
-CACHE_PIECES = 1_500_000
-CACHE_BYTES = 64 << 20
-CACHE_PARTS = 100_000
-_SPACE = "[\x1c-\x1f\u0085\u00a0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff]"
-# Pieces kept by a worker in each of two generations (about 170 bytes each), the bytes of their texts, and parts of
-# pieces (about 250 bytes each). A full generation takes the place of the older one, so what is still met is kept: this
-# bounds memory and changes no result.
-CACHE_PIECES = 400_000
-CACHE_BYTES = 32 << 20
-CACHE_PARTS = 100_000
-_SPACE = "[\x1c-\x1f\u0085\u00a0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff]"
-# Pieces kept by a worker (about 180 bytes each), the bytes of their texts, and parts of pieces (about 250 bytes each);
+# Pieces kept by a worker (about 60 bytes each), the bytes of their texts, and parts of pieces (about 250 bytes each);
 # a cache starts anew when full, which bounds its memory and changes no result.
 CACHE_PIECES = 400_000
 CACHE_BYTES = 32 << 20
