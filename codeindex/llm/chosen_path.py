@@ -39,6 +39,7 @@ WIDTH = 5
 THRESHOLD = 0.8
 SKETCH = 128
 RUNS = 10
+WARM = 2
 MISSED = 1e-4
 MIN_DEPTH = 2
 MAX_DEPTH = 7
@@ -153,21 +154,35 @@ def runs_for(depth: int, threshold: float) -> int:
 def candidate_groups(sets: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(a, b) candidate links between ``sets`` (id, sketch): a spanning forest per bucket.
 
-    The first runs take all sets. Sets of buckets that went on beyond MIN_DEPTH need more runs; there, buckets whose sets
-    are connected already have nothing to add and are left.
+    The first WARM runs take every bucket. In the runs after them, buckets whose sets are all connected by then have
+    nothing to add and are left, which spares large groups of near copies most of the splits. Sets of buckets that went on
+    beyond MIN_DEPTH need more runs than the others.
     """
+    own = sets.select("id", "sketch")
     first = max(RUNS, runs_for(MIN_DEPTH, threshold))
-    found, hot, depth = _runs(sets.select("id", "sketch", F.col("id").alias("part")), range(first))
+    found, hot, depth = _runs(own.withColumn("part", F.col("id")), range(WARM))
+    parts = saved(components(found), "candidate-parts")
+    more, also_hot, also_depth = _runs(_with_parts(own, parts), range(WARM, first))
+    found, depth = _stars(parts).unionByName(more), max(depth, also_depth)
+    hot = also_hot if hot is None else hot if also_hot is None else hot.unionByName(also_hot)
     needed = runs_for(depth, threshold)
     if hot is not None and needed > first:
         parts = saved(components(found), "candidate-parts")
-        more = sets.select("id", "sketch").join(saved(hot.distinct(), "hot-sets"), "id", "left_semi").join(parts, F.col("id") == F.col("node"), "left")
-        more = saved(more.select("id", "sketch", F.coalesce("component", "id").alias("part")), "hot-sketches")
-        found = parts.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
-        found = found.unionByName(_runs(more, range(first, needed))[0])
+        some = own.join(saved(hot.distinct(), "hot-sets"), "id", "left_semi")
+        found = _stars(parts).unionByName(_runs(_with_parts(some, parts), range(first, needed))[0])
     return found
 
 
+def _with_parts(sets: DataFrame, parts: DataFrame) -> DataFrame:
+    """(id, sketch, part): with the component that each set is known to be in."""
+    joined = sets.join(parts, F.col("id") == F.col("node"), "left")
+    return saved(joined.select("id", "sketch", F.coalesce("component", "id").alias("part")), "sketches-with-parts")
+
+
+def _stars(parts: DataFrame) -> DataFrame:
+    return parts.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+
+
 def _runs(sets: DataFrame, runs: range) -> tuple[DataFrame, DataFrame | None, int]:
     """Candidate links of some runs, the sets that were in a bucket too large at MIN_DEPTH, and the deepest split reached.
 
