@@ -155,6 +155,12 @@ class KeywordIndex:
         rows = (rows.withColumn("most", F.col("idf") * F.col("top")[0]).withColumn("floor", F.max(F.col("idf") * kth).over(whole) - ROUNDING)
                 .withColumn("least", (F.col("floor") - (F.sum("most").over(whole) - F.col("most"))) / F.col("idf"))
                 .withColumn("essential", F.sum("most").over(up) >= F.col("floor")))
+        # looking tokens up for candidates pays only where they have more postings than there may be look-ups
+        ask = F.when(F.col("essential"), F.col("df"))
+        spared = F.sum(F.when(~F.col("essential"), F.col("df"))).over(whole)
+        looked = F.sum(ask).over(whole) * F.count(F.when(~F.col("essential"), 1)).over(whole)
+        rows = rows.withColumn("spared", F.coalesce(spared, F.lit(0))).withColumn("looked", F.coalesce(looked, F.lit(0)))
+        rows = rows.withColumn("essential", F.col("essential") | (F.col("spared") <= F.col("looked")))
         return rows.select(query, "token", "bucket", "idf", "most", "floor", "least", "essential")
 
     def search(self, queries: DataFrame, k: int, query: str = "query_id", q_text: str = "q") -> DataFrame:
