@@ -22,7 +22,7 @@ from .keyword import postings as attribute_postings
 from .vectors import VectorIndex
 
 # Rows of each ranked list that hybrid search reads first, per wanted result, and by how much it reads on.
-DEPTH, DEEPER = 8, 4
+DEPTH, DEEPER = 32, 4
 
 
 # ---- Q01 -------------------------------------------------------------------
