@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import ctypes
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
@@ -11,7 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import shared_dir, ship_package
+from ..session import BATCH_ROWS, release, shared_dir, ship_package  # noqa: F401
 
 U64 = np.uint64
 _R = U64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
@@ -22,25 +21,12 @@ _BYTE = np.random.default_rng(20240607).integers(1, 1 << 63, 256, dtype=np.uint6
 SLICE_BYTES = 2 << 20
 
 
-# Rows of an Arrow batch between Spark and a worker: texts are wide, and both sides hold whole batches.
-BATCH_ROWS = 1000
-
-
 def prepare(spark: SparkSession) -> None:
     """What every operator needs before it sends rows to workers: the package there, and bounded batches."""
     ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
-def release() -> None:
-    """Give memory that a task has freed back to the system, as workers live on."""
-    pa.default_memory_pool().release_unused()
-    try:
-        ctypes.CDLL(None).malloc_trim(0)
-    except (OSError, AttributeError):  # another C library
-        pass
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     prepare(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

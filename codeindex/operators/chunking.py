@@ -9,13 +9,16 @@ JVM. Names, metadata, headers and ids are native expressions on the exploded row
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import columns as C
-from ..session import ship_package
+from ..session import bounded_batches, release, ship_package
 from . import java_methods, splitter
 
 ROUTE_SKIP, ROUTE_JAVA, ROUTE_WHOLE, ROUTE_SPLIT = "skip", "java", "whole", "split"
@@ -45,22 +48,42 @@ def pieces_for(text: str, language: str | None, route_name: str, size: int | Non
     return got
 
 
+# Characters of text that a worker cuts before it hands their pieces back.
+SLICE_CHARS = 4 << 20
+
+
+def _slices(n: list[int]) -> Iterator[tuple[int, int]]:
+    """Ranges of rows of about SLICE_CHARS characters each."""
+    start, held = 0, 0
+    for i, size in enumerate(n):
+        if held and held + size > SLICE_CHARS:
+            yield start, i
+            start, held = i, 0
+        held += size
+    yield start, len(n)
+
+
 def _pieces_udf(keep_tail: bool):
-    @F.pandas_udf(PIECES)
-    def cut(content: pd.Series, language: pd.Series, route_name: pd.Series, size: pd.Series) -> pd.DataFrame:
-        pieces, errors = [], []
-        for text, lang, r, n in zip(content, language, route_name, size):
-            if text is None:
-                pieces.append(None)
-                errors.append(None)
-                continue
-            try:
-                pieces.append(pieces_for(text, lang, r, None if pd.isna(n) else int(n), keep_tail))
-                errors.append(None)
-            except Exception as exc:  # one bad file becomes one whole chunk, the job goes on
-                pieces.append([text])
-                errors.append(f"{type(exc).__name__}: {exc}")
-        return pd.DataFrame({"pieces": pieces, "error": errors})
+    @F.arrow_udf(PIECES)
+    def cut(content: pa.Array, language: pa.Array, route_name: pa.Array, size: pa.Array) -> pa.Array:
+        kind = pa.struct([("pieces", pa.list_(pa.string())), ("error", pa.string())])
+        parts = []
+        lengths = pc.fill_null(pc.utf8_length(content), 0).to_pylist()
+        for start, end in _slices(lengths):
+            rows = []
+            for text, lang, r, n in zip(*(x.slice(start, end - start).to_pylist() for x in (content, language, route_name, size)), strict=True):
+                if text is None:
+                    rows.append({"pieces": None, "error": None})
+                    continue
+                try:
+                    rows.append({"pieces": pieces_for(text, lang, r, n, keep_tail), "error": None})
+                except Exception as exc:  # one bad file becomes one whole chunk, the job goes on
+                    rows.append({"pieces": [text], "error": f"{type(exc).__name__}: {exc}"})
+            parts.append(pa.array(rows, kind))
+            del rows
+        out = pa.concat_arrays(parts)
+        release()
+        return out
     return cut
 
 
@@ -81,6 +104,7 @@ def chunk_files(files: DataFrame, content: str = "content", language: str = "lan
     repository or archive can hold a large share of all files.
     """
     ship_package(files.sparkSession)
+    bounded_batches(files.sparkSession)
     routed = with_route(files, content, language, dynamic, static_size).where(F.col("route") != ROUTE_SKIP)
     if rebalance:
         routed = routed.hint("rebalance")

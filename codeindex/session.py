@@ -69,6 +69,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+# Bytes of table files behind one partition of a shuffle; adaptive execution joins the small ones.
+PARTITION_BYTES = 4 << 20
+
+
+def sized_shuffles(spark: SparkSession, sf_dir: str) -> None:
+    """Let adaptive shuffles start from as many partitions as the tables' size asks for, so that no task's share grows with it."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    size = p.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // PARTITION_BYTES))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n))
+
+
 _REGISTERED: dict[str, str] = {}
 
 
@@ -85,6 +97,31 @@ def register_tables(spark: SparkSession, sf_dir: str) -> None:
             table(spark, sf_dir, name).createOrReplaceTempView(name)
 
 
+# Rows of an Arrow batch between Spark and a worker: texts are wide, and both sides hold whole batches.
+BATCH_ROWS = 1000
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most BATCH_ROWS rows; a smaller bound of the session stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(name))
+    if not 0 < now <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
+def release() -> None:
+    """Give memory that a task has freed back to the system, as workers live on."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 _SHIPPED: set[str] = set()
 
 
