@@ -123,7 +123,8 @@ GROUP BY {key}, bucket HAVING sum(sgn) <> 0"""
 
 @q("embed_hash")
 def embed_hash(spark, sf):
-    docs = fixture(spark, sf, "fx_code_files").select("doc_id", "content")
+    # row by row: a rebalance spreads the texts over tasks, whatever the layout of the file
+    docs = fixture(spark, sf, "fx_code_files").select("doc_id", "content").hint("rebalance")
     emb = EM.hash_embed(docs, "doc_id", "content", TEST_DIM)
     return (emb.select("doc_id", F.posexplode("embedding").alias("bucket", "w"))
                .where(F.col("w") != 0).select("doc_id", F.col("bucket").cast("long").alias("bucket"),
