@@ -33,6 +33,7 @@ K1, B = 1.2, 0.75
 TIERS = 4
 DEEPEST = 100  # a token's largest ratios that ``terms`` keeps; a search for more has no floor
 BUCKET_BYTES = 64 << 20
+TASK_BYTES = 4 << 20
 BUCKETS = (16, 1024)  # fewest and most folders of tokens
 ROUNDING = 1.1e-6  # scores are compared after rounding to 6 decimals
 
@@ -52,7 +53,10 @@ def token_counts(docs: DataFrame, key: str, attributes: list[Column]) -> DataFra
     Documents are dealt out by key before they are tokenised (one shuffle of the text, which is smaller than its
     tokens), whatever the layout of the input; the counting then needs no further shuffle.
     """
-    spread = docs.select(F.col(key), *[a.alias(f"_a{i}") for i, a in enumerate(attributes)]).repartition(key)
+    texts = docs.select(F.col(key), *[a.alias(f"_a{i}") for i, a in enumerate(attributes)])
+    size = texts.agg(sum((F.coalesce(F.sum(F.octet_length(f"_a{i}")), F.lit(0)) for i in range(len(attributes))), F.lit(0))).first()[0]
+    # a task counts the tokens of about TASK_BYTES of text, however large the table is
+    spread = texts.repartition(max(-(-size // TASK_BYTES), docs.sparkSession.sparkContext.defaultParallelism), key)
     lists = spread.select(key, *[F.coalesce(tokens(F.col(f"_a{i}")), F.array().cast("array<string>")).alias(f"_a{i}") for i in range(len(attributes))])
     sized = lists.withColumn("dl", sum(F.size(f"_a{i}") for i in range(len(attributes))))
     tagged = F.flatten(F.array(*[F.transform(f"_a{i}", _tagged(i)) for i in range(len(attributes))]))
@@ -99,7 +103,10 @@ class KeywordIndex:
         """Index ``docs`` by the texts of ``attributes``, given in rank order."""
         spark = docs.sparkSession
         root = root or new_path(spark, "keyword-index")
-        token_counts(docs, key, list(attributes.values())).write.parquet(f"{root}/counts")
+        # the documents may be long in the making, and are read three times
+        docs.select(F.col(key), *[a.alias(f"_text{i}") for i, a in enumerate(attributes.values())]).write.parquet(f"{root}/texts")
+        docs = spark.read.parquet(f"{root}/texts")
+        token_counts(docs, key, [F.col(f"_text{i}") for i in range(len(attributes))]).write.parquet(f"{root}/counts")
         counts = spark.read.parquet(f"{root}/counts")
         tfs = [F.col(f"tf_{i}") for i in range(len(attributes))]
         counts = counts.withColumn("tf", sum(tfs[1:], tfs[0]))
