@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ..session import ship_package
+from ..session import ship_package, sized_shuffles
 from . import files_queries, index_queries, pr_queries, source_queries, stream_queries
 
 _MODULES = [files_queries, pr_queries, index_queries, source_queries, stream_queries]
@@ -11,6 +11,7 @@ _MODULES = [files_queries, pr_queries, index_queries, source_queries, stream_que
 def _shipped(fn):
     def run(spark, sf_dir):
         ship_package(spark)
+        sized_shuffles(spark, sf_dir)
         return fn(spark, sf_dir)
     run.__name__ = getattr(fn, "__name__", "query")
     run.__doc__ = fn.__doc__
