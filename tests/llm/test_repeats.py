@@ -148,6 +148,40 @@ def test_exact_repeats_behind_an_edited_first_holder(frame, group_bytes):
     assert not {k for k in found if k not in want and texts[k].count("zzz") > 0}
 
 
+def test_similar_passages_behind_an_unlike_first_holder(frame):
+    rng = random.Random(17)
+    texts, want = [], {}
+
+    def placed(body, gone):
+        return f"{words(rng, 120)} {' '.join('zzz' if i in gone else w for i, w in enumerate(body))} {words(rng, 120)}"
+
+    for _ in range(40):
+        body = words(rng, 60).split()
+        # the last two differ by one word; the first holder differs from them by three or four others
+        texts += [placed(body, {8, 22, 45, 52}), placed(body, {30}), placed(body, set())]
+        want[len(texts) - 1] = len(texts) - 2
+    # the first holder has the signatures twice, and only its second place is similar
+    body = words(rng, 60).split()
+    texts += [f"{' '.join(body[:30])} {words(rng, 90)} {' '.join(body)} {words(rng, 20)}", placed(body, {30})]
+    want[len(texts) - 1] = len(texts) - 2
+    found = {r.id: r for r in compact_windows.passages(frame(texts), "doc_id", "text").collect()}
+    for k, holder in want.items():
+        assert k in found and any(r.holder == holder and r.jaccard >= 0.8 for r in found[k].repeats), k
+    assert set(found) <= set(want) | {k - 1 for k in want}
+
+
+def test_surroundings_tell_common_shingles():
+    rng = np.random.default_rng(3)
+    h = rng.integers(1, 1 << 62, 200).astype(np.uint64)
+    h[100:] = np.resize(h[100:110], 100)
+    low, high = np.zeros(3, np.int64), np.full(3, 200)
+    bits, ask = compact_windows.surroundings(h, low, high, np.array([46, 160, 100]), 46)
+    bit = compact_windows.seeded(h, 71) % compact_windows.U64(compact_windows.SKETCH)
+    for row, (a, z, starts) in enumerate(((1, 92, range(1, 47)), (115, 200, range(115, 155)), (55, 146, range(55, 101)))):
+        assert int(np.bitwise_count(bits[row]).sum()) == len(set(bit[a:z].tolist()))
+        assert ask[row] == int(min(len(set(bit[s:s + 46].tolist())) for s in starts) * compact_windows.SHARE)
+
+
 def test_passages_of_no_rows_and_clashing_ids(frame):
     assert compact_windows.passages(frame([]), "doc_id", "text").count() == 0
     text = words(random.Random(1), 100)
