@@ -176,14 +176,6 @@ class VectorIndex:
                .where(F.col("most") >= F.coalesce("kth", F.lit(-2.0))).select(query, "cell", "blocks"))
         return first.unionByName(_held(self._probe(far, queries, k, query, q_vec), "far-cells"))
 
-    def scores_of(self, pairs: DataFrame, queries: DataFrame, query: str = "query_id", q_vec: str = "embedding") -> DataFrame:
-        """(query, key, score) of given (query, key) pairs; pairs without a cosine are left out."""
-        own = queries.where(usable(q_vec)).select(query, F.col(q_vec).cast("array<double>").alias("_q"))
-        rows = self.rows().select(F.col("key").alias(self.key), "v")
-        both = rows.join(pairs, self.key).join(own, query).where(F.size("v") == F.size("_q"))
-        norm = F.sqrt(dot("v", "v")) * F.sqrt(dot("_q", "_q"))
-        return both.select(query, self.key, F.when(norm > 0, F.round(dot("v", "_q") / norm, 6)).alias("score")).where("score is not null")
-
     def search(self, queries: DataFrame, k: int, query: str = "query_id", q_vec: str = "embedding") -> DataFrame:
         """(query, key, score, rank): the k best rows by cosine; equal scores go to the smaller key."""
         w = Window.partitionBy(query).orderBy(F.desc("score"), self.key)
