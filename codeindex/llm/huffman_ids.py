@@ -7,7 +7,7 @@
    limited to 16 bits.
 3. ``encode``: each segment becomes one record of the file format: canonical codes, most significant bit first, in
    blocks of ``BLOCK_IDS`` ids, with the bit offset of every block as a checkpoint.
-4. ``decode``: blocks are independent. All blocks of a segment are decoded side by side by one 2**16-entry table.
+4. ``decode``: blocks are independent. All blocks of several segments are decoded side by side by one 2**16-entry table.
 
 The file is a Parquet folder of such records (Spark's committer makes its writing safe against lost executors) next
 to a codebook folder (id, bits). Nulls: a null text is empty, so it holds the end id alone. Null document ids come first. Rows that share an
@@ -33,6 +33,7 @@ from .tokenizing import worker_encoder
 MAX_BITS = 16
 BLOCK_IDS = 512
 SEGMENT_IDS = 1 << 17
+TOGETHER_IDS = 8 * SEGMENT_IDS  # segments that start within so many ids are decoded side by side
 BUCKETS = 4  # ranges of document ids per partition, so that their hashes spread evenly
 
 
@@ -194,19 +195,33 @@ def decode_table(bits: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def unpack(data: bytes, checkpoints: np.ndarray, n: int, symbol: np.ndarray, width: np.ndarray) -> np.ndarray:
-    """The ids of a segment; its blocks are read side by side, each from its checkpoint."""
-    words = np.frombuffer(data, ">u2").astype(np.uint32)
-    out = np.zeros((len(checkpoints), BLOCK_IDS), np.uint32)
-    at = checkpoints.astype(np.int64).copy()
-    left = np.minimum(BLOCK_IDS, n - np.arange(len(checkpoints)) * BLOCK_IDS)
-    for k in range(min(BLOCK_IDS, n)):
-        if k == left[-1]:  # only the last block can be short
-            at = at[:-1]
-        word = at >> 4
-        next16 = (((words[word] << 16) | words[word + 1]) >> (16 - (at & 15)).astype(np.uint32)) & 0xFFFF
-        out[: len(at), k] = symbol[next16]
-        at += width[next16]
-    return out.ravel()[:n]
+    """The ids of a segment."""
+    return unpack_all([data], [checkpoints], [n], symbol, width)
+
+
+def unpack_all(data: list[bytes], checkpoints: list[np.ndarray], n: list[int], symbol: np.ndarray, width: np.ndarray) -> np.ndarray:
+    """The ids of several segments one after another; all their blocks are read side by side, each from its checkpoint."""
+    words = np.frombuffer(b"".join(data), ">u2").astype(np.uint32)
+    pairs = words[:-1] << 16 | words[1:]  # the 32 bits from each word on
+    base = np.cumsum([0, *(len(x) * 8 for x in data[:-1])])
+    at = np.concatenate([x + b for x, b in zip(checkpoints, base, strict=True)]).astype(np.int64)
+    left = np.concatenate([np.minimum(BLOCK_IDS, m - np.arange(len(x)) * BLOCK_IDS) for x, m in zip(checkpoints, n, strict=True)]).astype(np.int64)
+    order = np.argsort(-left, kind="stable")  # short blocks last: those that have ended are left out
+    at = at[order]
+    running = np.searchsorted(-left[order], -np.arange(BLOCK_IDS), "left")
+    both = symbol.astype(np.uint32) | width.astype(np.uint32) << 16  # symbols are below 2**16
+    out = np.zeros((BLOCK_IDS, len(order)), np.uint32)
+    for k, m in enumerate(running.tolist()):
+        if not m:
+            break
+        at = at[:m]
+        entry = both[pairs[at >> 4] >> (16 - (at & 15)).astype(np.uint32) & 0xFFFF]
+        out[k, :m] = entry
+        at = at + (entry >> 16)
+    back = np.empty(len(order), np.int64)
+    back[order] = np.arange(len(order))
+    out = out.T[back] & 0xFFFF
+    return out[np.arange(BLOCK_IDS) < left[:, None]]
 
 
 def counts_of(packed: DataFrame, size: int) -> np.ndarray:
@@ -288,18 +303,22 @@ def read(spark, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         symbol, width = book.value
         for b in batches:
-            for i in range(b.num_rows):
-                one = b.slice(i, 1)
-                n = one.column("n_ids")[0].as_py()
-                ids = unpack(one.column("payload")[0].as_py(), np.asarray(one.column("checkpoints").flatten()), n, symbol, width).astype("<u4")
-                end = np.cumsum(np.asarray(one.column("counts").flatten(), np.int64))
-                begin = np.concatenate([[0], end[:-1]])
-                cuts = np.concatenate([[0], end * 4])
-                if cuts[-1] < 1 << 31:
-                    lists = pa.Array.from_buffers(pa.binary(), len(end), [None, pa.py_buffer(cuts.astype(np.int32)), pa.py_buffer(ids)])
-                else:  # one row of a batch cannot hold more; neither can a column of a JVM row
-                    raise ValueError("a segment of 2 GB of ids")
-                yield pa.RecordBatch.from_arrays([one.column("doc_ids").flatten(), pa.array(begin + one.column("start")[0].as_py()), lists], ["id", "start", "ids"])
+            sizes = np.asarray(b.column("n_ids"))
+            cuts = np.flatnonzero(np.diff((np.cumsum(sizes) - sizes) // TOGETHER_IDS, prepend=-1, append=-1)).tolist()
+            for low, high in zip(cuts[:-1], cuts[1:], strict=True):
+                some, n = b.slice(low, high - low), sizes[low:high].tolist()
+                marks = [np.asarray(x.values) for x in some.column("checkpoints")]
+                ids = unpack_all([x.as_py() for x in some.column("payload")], marks, n, symbol, width).astype("<u4")
+                first = np.cumsum([0, *n])
+                for i, name in enumerate(some.column("doc_ids")):
+                    end = np.cumsum(np.asarray(some.column("counts")[i].values, np.int64))
+                    begin = np.concatenate([[0], end[:-1]])
+                    cuts = np.concatenate([[0], end * 4])
+                    if cuts[-1] >= 1 << 31:  # one row of a batch cannot hold more; neither can a column of a JVM row
+                        raise ValueError("a segment of 2 GB of ids")
+                    own = np.ascontiguousarray(ids[first[i]:first[i + 1]])
+                    lists = pa.Array.from_buffers(pa.binary(), len(end), [None, pa.py_buffer(cuts.astype(np.int32)), pa.py_buffer(own)])
+                    yield pa.RecordBatch.from_arrays([name.values, pa.array(begin + some.column("start")[i].as_py()), lists], ["id", "start", "ids"])
 
     return files.mapInArrow(run, f"id {kind}, start long, ids binary")
 

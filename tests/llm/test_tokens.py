@@ -214,3 +214,14 @@ def test_hot_and_null_ids_keep_the_order(frame, monkeypatch):
         at += len(r.ids) // 4
     edges = huffman_ids.edges_of(frame(texts, ids).select("doc_id"), 16)
     assert (edges == 7).sum() > 5  # a hot id is dealt out
+
+
+def test_segments_are_decoded_side_by_side():
+    """Segments of any lengths, an empty one and single ids among them, come back from one call in order."""
+    rng = np.random.default_rng(12)
+    segments = [rng.zipf(1.4, n) % 3000 for n in (1, 511, 512, 513, 0, 5000, 1024)]
+    bits = huffman_ids.code_lengths(np.bincount(np.concatenate(segments), minlength=3000))
+    codes = huffman_ids.canonical_codes(bits)
+    packed = [huffman_ids.pack(x, bits, codes) for x in segments]
+    got = huffman_ids.unpack_all([d for d, _ in packed], [m for _, m in packed], [len(x) for x in segments], *huffman_ids.decode_table(bits, codes))
+    assert (got == np.concatenate(segments)).all()
