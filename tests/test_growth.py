@@ -140,3 +140,17 @@ def test_hybrid_search_in_blocks_hands_on_few_rows_and_is_exact(spark, monkeypat
     monkeypatch.setattr(SR, "QUERY_ROWS", 2)
     assert sorted(map(tuple, SR.search_hybrid(corpus, qs, words, vectors, k=6).collect())) == whole
     assert found[0].count() <= 5 * 6 * words.blocks
+
+
+def test_hybrid_search_counts_the_words_of_a_repeated_key_once(spark):
+    """A key with two vectors was looked up twice, so its text counted twice where the keyword list ended before it."""
+    from codeindex.operators import keyword as KW, search as SR
+    from codeindex.operators.vectors import VectorIndex
+    rows = [(i, "alpha " * (i + 2), [0.0, 1.0]) for i in range(10)] + [(10, "alpha pad pad pad", [1.0, 0.0])] * 2
+    corpus = spark.createDataFrame(rows, "doc_id long, text string, embedding array<double>")
+    qs = spark.createDataFrame([(1, "alpha", [1.0, 0.0])], "query_id long, q string, embedding array<double>")
+    words = KW.KeywordIndex.build(corpus.dropDuplicates(["doc_id"]), "doc_id", {"text": F.col("text")})
+    kw = {r.doc_id: r.score for r in words.search(qs, 50).collect()}
+    assert min(kw, key=kw.get) == 10
+    got = SR.search_hybrid(corpus, qs, words, VectorIndex.build(corpus, "doc_id", "embedding"), k=1, depth=2).collect()
+    assert [(r.doc_id, r.rank) for r in got] == [(10, 1)] and abs(got[0].score - (0.7 + 0.3 * kw[10] / max(kw.values()))) < 2e-6
