@@ -10,7 +10,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from codeindex.llm import compact_windows, decontaminate, queries, suffix_dedup
+from codeindex.llm import common, compact_windows, decontaminate, queries, suffix_dedup
 from llm_frames import frame  # noqa: F401  (a fixture)
 
 
@@ -148,6 +148,39 @@ def test_exact_repeats_behind_an_edited_first_holder(frame, group_bytes):
     assert not {k for k in found if k not in want and texts[k].count("zzz") > 0}
 
 
+def test_blocks_verify_matches_as_single_pairs_do():
+    rng, schema = np.random.default_rng(5), pa.schema([("task", pa.int64()), ("id", pa.int64()), ("stretch", pa.int32()), ("low", pa.int32()), ("shingles", pa.binary()),
+                                                       ("holder", pa.int64()), ("high", pa.int32()), ("low0", pa.int32()), ("high0", pa.int32())])
+    rows, want, margin = [], set(), 2 * compact_windows.MIN_WORDS
+    for task in range(6):
+        base = rng.integers(0, 9 if task == 5 else 1 << 40, 300)
+        texts = [np.where(rng.random(300) < rate, rng.integers(0, 1 << 40, 300), base).astype(np.uint64) for rate in (0, 0.02, 0.1, 0.3)]
+        texts[3][150:] = texts[1][100:250]
+        for k, h in enumerate(texts):
+            rows.append({"task": task, "id": k, "stretch": 0, "low": 0, "shingles": h.tobytes()})
+        for holder in range(4):
+            for k in range(holder + 1, 4):
+                for at, at0 in ((60, 60), (200, 150), (290, 290)):
+                    rows.append({"task": task, "id": k, "holder": holder, "low": at, "high": at + 3, "low0": at0, "high0": at0 + 2})
+                    a = max(0, at - margin)
+                    want |= {(k, s, e, holder, score) for s, e, score in compact_windows.verify_passage(
+                        texts[k][a:at + 4 + margin], a, texts[holder][max(0, at0 - margin):at0 + 3 + margin], 0.8)}
+    batches = [pa.RecordBatch.from_pylist(rows[i:i + 7], schema) for i in range(0, len(rows), 7)]
+    got = {tuple(r.values()) for b in compact_windows.verify_blocks(iter(batches), 0.8) for r in b.to_pylist()}
+    assert got == want and len(want) > 20
+
+
+def test_passages_leave_only_their_result_on_disk(frame, spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(common, "shared_dir", lambda _: str(tmp_path))
+    rng = random.Random(19)
+    body = words(rng, 80).split()
+    texts = [f"{words(rng, 60)} {' '.join('zzz' if i in gone else w for i, w in enumerate(body))} {words(rng, 60)}" for gone in ({9, 24, 40, 55, 70}, {30}, set(), {12})]
+    assert compact_windows.passages(frame(texts), "doc_id", "text").count()
+    assert {p.parent.name.rpartition("-")[0] for p in tmp_path.rglob("*.parquet") if "passages-" not in str(p)} == set()
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("dealt")]
+    assert not spark.sparkContext._jsc.getPersistentRDDs()
+
+
 def test_similar_passages_behind_an_unlike_first_holder(frame):
     rng = random.Random(17)
     texts, want = [], {}
